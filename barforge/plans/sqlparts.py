@@ -6,7 +6,8 @@ from __future__ import annotations
 from barforge.schema import INTRADAY_MINUTES, INTRADAY_INTERVALS
 from barforge.sources.derived import (JOB_CLASS_SQL, JOB_INTERVAL_SQL, JOB_MESSAGE_SQL,
                                       JOB_STATUS_SQL, LISTING_CLASS_SQL, LISTING_SYMBOL_SQL,
-                                      SECURITY_NAME_SQL, TEST_ISSUE_SQL)
+                                      SECURITY_NAME_SQL, TEST_ISSUE_SQL,
+                                      TICK_SOURCE_SQL)
 
 SERIES = "asset_class, interval, ticker"
 _CAL = {"1d": "day", "1wk": "week", "1mo": "month", "3mo": "quarter"}
@@ -43,7 +44,8 @@ def bars_1d(name: str = "bars_1d", statuses=None) -> str:
 TICKS = r"""ticks AS (
   SELECT CASE WHEN user_id % 3 = 0 THEN 'crypto' WHEN user_id % 3 = 1 THEN 'stocks_us'
               ELSE 'currencies' END AS asset_class,
-         'U' || CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS TIMESTAMP) AS ts, value AS price,
+         'U' || CAST(user_id AS VARCHAR)
+           || CASE WHEN user_id % 3 = 0 THEN '-USD' WHEN user_id % 3 = 2 THEN '=X' ELSE '' END AS ticker, CAST(ts AS TIMESTAMP) AS ts, value AS price,
          TRY_CAST(NULLIF(regexp_extract(props, '"k":\s*(-?\d+)', 1), '') AS BIGINT) AS size,
          event_id AS seq, event_type
   FROM events)"""
@@ -186,3 +188,53 @@ JOBS = f"""jobs AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+TICK_SOURCES = f"""tick_src AS (
+  SELECT *, {TICK_SOURCE_SQL} AS src FROM ticks)"""
+
+
+def source_bars(intervals=INTRADAY_INTERVALS) -> str:
+    """Bars per tick source (fresh / stored / legacy) for the merge fixtures."""
+    arms = "\n    UNION ALL ".join(
+        f"SELECT src, asset_class, ticker, ts, price, size, '{iv}' AS interval, {bar_start(iv)} AS bts FROM tick_src"
+        for iv in intervals)
+    return f"""src_bars AS (
+  SELECT src, asset_class, interval, ticker, bts AS ts, arg_min(price, ts) AS open, max(price) AS high,
+         min(price) AS low, arg_max(price, ts) AS close, CAST(NULL AS DOUBLE) AS adj_close,
+         CAST(sum(size) AS BIGINT) AS volume
+  FROM ({arms}) x
+  GROUP BY src, asset_class, interval, ticker, bts)"""
+
+
+def retention_sql(as_of: str, ts: str = "ts", interval: str = "interval") -> str:
+    from barforge.schema import RETENTION_DAYS
+    arms = " OR ".join(
+        f"({interval} = '{iv}' AND {ts} >= TIMESTAMP '{as_of}' - INTERVAL {d} DAY)"
+        for iv, d in RETENTION_DAYS.items())
+    ivs = ", ".join(f"'{iv}'" for iv in RETENTION_DAYS)
+    return f"({interval} IS NULL OR {interval} NOT IN ({ivs}) OR {arms})"
+
+
+def merged(sources: dict, name: str = "merged") -> str:
+    """Union sources with (src_rank, seq); winner per (series, ts) + flags."""
+    arms = "\n  UNION ALL ".join(
+        f"SELECT asset_class, interval, ticker, ts, open, high, low, close, adj_close, volume, "
+        f"'{src}' AS src, {rank} AS src_rank, {seq} AS seq FROM {tbl}"
+        for src, (tbl, rank, seq) in sources.items())
+    cols = ["open", "high", "low", "close", "adj_close", "volume"]
+    same = " AND ".join(f"w.{c} IS NOT DISTINCT FROM s.{c}" for c in cols)
+    return f"""{name}_u AS (
+  {arms}),
+{name}_r AS (
+  SELECT *, row_number() OVER (PARTITION BY {SERIES}, ts ORDER BY src_rank DESC, seq DESC) AS rn
+  FROM {name}_u),
+{name} AS (
+  SELECT w.asset_class, w.interval, w.ticker, w.ts, w.open, w.high, w.low, w.close, w.adj_close, w.volume,
+         s.ts IS NOT NULL AS in_stored,
+         EXISTS (SELECT 1 FROM {name}_u f WHERE f.src = 'fresh' AND f.asset_class = w.asset_class
+                 AND f.interval = w.interval AND f.ticker = w.ticker AND f.ts = w.ts) AS in_fresh,
+         s.ts IS NOT NULL AND NOT ({same}) AS changed
+  FROM (SELECT * FROM {name}_r WHERE rn = 1) w
+  LEFT JOIN (SELECT * FROM {name}_u WHERE src = 'stored') s
+    ON w.asset_class = s.asset_class AND w.interval = s.interval AND w.ticker = s.ticker AND w.ts = s.ts)"""

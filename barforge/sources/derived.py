@@ -57,7 +57,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.when(u % 3 == 0, "crypto").when(u % 3 == 1, "stocks_us").otherwise("currencies")
         .alias("asset_class"),
-        F.concat(F.lit("U"), u.cast("string")).alias("ticker"),
+        F.concat(F.lit("U"), u.cast("string"),
+                 F.when(u % 3 == 0, "-USD").when(u % 3 == 2, "=X").otherwise("")).alias("ticker"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("size"),
@@ -176,3 +177,22 @@ def job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(JOB_MESSAGE_SQL).alias("message"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
         F.year("l_shipdate").alias("shard"))
+
+
+# ---------------------------------------------------------------------------
+# Intraday bar sources for merges: ticks split by event type into a fresh
+# download, the stored series and legacy dated day files.
+# ---------------------------------------------------------------------------
+TICK_SOURCE_SQL = """
+CASE event_type WHEN 'error' THEN 'legacy' WHEN 'click' THEN 'fresh'
+  WHEN 'purchase' THEN 'fresh' ELSE 'stored' END"""
+
+
+def intraday_sources(spark: SparkSession, sf_dir: str, intervals=None) -> dict:
+    from barforge.operators.bars import bars_from_ticks
+    from barforge.schema import INTRADAY_INTERVALS
+    t = ticks(spark, sf_dir).withColumn("src", F.expr(TICK_SOURCE_SQL))
+    b = bars_from_ticks(t, intervals or INTRADAY_INTERVALS, key=("src", "asset_class", "ticker"))
+    out = {s: b.where(F.col("src") == s).drop("src", "n_ticks") for s in ("fresh", "stored", "legacy")}
+    out["legacy"] = out["legacy"].withColumn("day", F.to_date("ts"))
+    return out
