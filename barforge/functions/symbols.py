@@ -27,6 +27,18 @@ def to_market_symbol(c: Column) -> Column:
     return F.when(keep, s).otherwise(F.regexp_replace(s, _SHARE_CLASS_RE, "$1-$2"))
 
 
+def with_market_symbol(df, src: str = "symbol", dst: str = "symbol"):
+    """P1 on a DataFrame column. The stripped value is materialised once so
+    the rule's several tests reference a column instead of repeating the
+    strip expression (keeps the generated code small)."""
+    s = F.col("_stripped")
+    u = F.upper(s)
+    keep = u.rlike(_SUFFIX_RE) | u.endswith(F.lit("=X")) | u.endswith(F.lit("=F")) | s.contains("-")
+    out = df.withColumn("_stripped", strip(F.col(src)))
+    return out.withColumn(dst, F.when(keep, s).otherwise(
+        F.regexp_replace(s, _SHARE_CLASS_RE, "$1-$2"))).drop("_stripped")
+
+
 def safe_filename(c: Column) -> Column:
     """File-safe ticker: drop ``^``, map ``=`` and ``/`` to ``_``."""
     return F.replace(F.replace(F.replace(c, F.lit("^"), F.lit("")), F.lit("="), F.lit("_")),
@@ -45,7 +57,7 @@ def not_skipped_security(c: Column) -> Column:
 
 def usable_symbol(c: Column) -> Column:
     """Non-null, non-blank and not the text 'nan' (any case)."""
-    return c.isNotNull() & (c != "") & (F.lower(c) != "nan")
+    return ~F.coalesce(F.lower(c), F.lit("")).isin("", "nan")
 
 
 def plain_ticker(c: Column) -> Column:

@@ -54,7 +54,7 @@ def first_available(candidates: DataFrame, available: DataFrame,
     """The highest-priority candidate that exists in ``available``."""
     ok = candidates.join(available.select(*key).distinct(), list(key), "left_semi")
     return ok.groupBy(*group).agg(F.min_by(F.struct(*key), F.col(priority)).alias("pick")) \
-        .select(*group, *[F.col(f"pick.{k}").alias(k) for k in key])
+        .select(*group, *[F.col(f"pick.{k}").alias(k) for k in key if k not in group])
 
 
 def period_fallback(responses: DataFrame, key=("asset_class", "ticker", "interval"),
@@ -110,3 +110,52 @@ def job_outcomes(plan: DataFrame, loaded: DataFrame, errors: DataFrame,
                .when((F.col("loaded_rows") == 0) & (F.col("mode") == "full"), F.lit("no data"))
                .otherwise(F.concat(F.col("loaded_rows").cast("string"), F.lit(" rows"))))
     return j.select(status.alias("status"), "ticker", "asset_class", "interval", message.alias("message"))
+
+
+def unknown_names(requested: DataFrame, known: DataFrame, col: str = "asset_class") -> DataFrame:
+    """Requested EXCEPT known (distinct)."""
+    return requested.select(col).subtract(known.select(col))
+
+
+def select_classes(universe: DataFrame, requested: DataFrame, col: str = "asset_class") -> DataFrame:
+    """Rows of the requested classes; unknown names raise, listing the
+    known ones. The check collects only the (tiny) set of unknown names."""
+    unknown = sorted(r[0] for r in unknown_names(requested, universe, col).collect())
+    if unknown:
+        known = sorted(r[0] for r in universe.select(col).distinct().collect())
+        raise ValueError("Unknown asset class(es): " + ", ".join(unknown)
+                         + ". Known: " + ", ".join(known))
+    return universe.join(requested.select(col).distinct(), col, "left_semi")
+
+
+def allowed_intervals(requested: DataFrame, supported: DataFrame, col: str = "interval") -> DataFrame:
+    """U4: requested INTERSECT supported."""
+    return requested.select(col).intersect(supported.select(col))
+
+
+def classify_intervals(df: DataFrame, interval_dim: DataFrame, col: str = "interval") -> DataFrame:
+    """P10: cumulative / intraday / unsupported via the 13-row interval
+    dimension (a fixed-size broadcast)."""
+    dim = F.broadcast(interval_dim.select(F.col("interval").alias(col), "kind"))
+    return df.join(dim, col, "left").withColumn("kind", F.coalesce("kind", F.lit("unsupported")))
+
+
+def shard_audit(plan: DataFrame, universe: DataFrame):
+    """``plan(entry_id, asset_class, shard_index, shard_count)`` against
+    the universe. Returns (per-entry ticker counts with a duplicate flag,
+    universe classes no entry covers). Entries of unknown classes count 0."""
+    counts = []
+    sizes = [r[0] for r in plan.select("shard_count").distinct().collect()]  # a handful
+    for n in sizes:
+        s = stable_shards(universe, n).withColumn("shard_count", F.lit(n))
+        counts.append(s.groupBy("asset_class", "shard_count", "shard").agg(
+            F.count(F.lit(1)).alias("tickers")))
+    from functools import reduce
+    per_shard = reduce(DataFrame.unionByName, counts)
+    w = Window.partitionBy("asset_class", "shard_count", "shard_index")
+    entries = (plan.join(per_shard.withColumnRenamed("shard", "shard_index"),
+                         ["asset_class", "shard_count", "shard_index"], "left")
+               .na.fill(0, ["tickers"])
+               .withColumn("duplicated", F.count(F.lit(1)).over(w) > 1))
+    uncovered = universe.select("asset_class").distinct().join(plan, "asset_class", "left_anti")
+    return entries, uncovered

@@ -80,18 +80,11 @@ CASE
   WHEN p_size = 50 THEN NULL
   WHEN p_size = 49 THEN 'nan'
   WHEN p_size = 48 THEN '   '
-  WHEN p_size % 12 = 0 THEN base || '.B'
-  WHEN p_size % 12 = 1 THEN base || '.ks'
-  WHEN p_size % 12 = 2 THEN base || '=X'
-  WHEN p_size % 12 = 3 THEN base || '-USD'
-  WHEN p_size % 12 = 4 THEN base || '.BC'
-  WHEN p_size % 12 = 5 THEN '  ' || base || '  '
-  WHEN p_size % 12 = 6 THEN base || '.t'
-  WHEN p_size % 12 = 7 THEN base || '.b'
-  WHEN p_size % 12 = 8 THEN base || '.1'
   WHEN p_size % 12 = 9 THEN '.' || substr(base, 1, 1)
-  WHEN p_size % 12 = 10 THEN base || '=F'
-  ELSE base
+  ELSE CASE WHEN p_size % 12 = 5 THEN '  ' ELSE '' END || base ||
+       CASE p_size % 12 WHEN 0 THEN '.B' WHEN 1 THEN '.ks' WHEN 2 THEN '=X' WHEN 3 THEN '-USD'
+         WHEN 4 THEN '.BC' WHEN 5 THEN '  ' WHEN 6 THEN '.t' WHEN 7 THEN '.b' WHEN 8 THEN '.1'
+         WHEN 10 THEN '=F' ELSE '' END
 END"""
 
 SECURITY_NAME_SQL = """
