@@ -93,21 +93,21 @@ def distinct_requests(plan: DataFrame, req=("ticker", "interval", "start", "peri
     return uniq, plan.withColumn("request_id", rid)
 
 
-def job_outcomes(plan: DataFrame, loaded: DataFrame, errors: DataFrame,
-                 supported, key=SERIES_KEY) -> DataFrame:
-    """One result per planned (series, interval): skipped when the interval
-    is unsupported, failed on a load error, failed on an empty full load,
-    success otherwise (an empty incremental load is a success with 0 rows)."""
+def job_outcomes(loaded: DataFrame, errors: DataFrame, supported, key=SERIES_KEY) -> DataFrame:
+    """One result per planned (series, interval) from the load counts
+    (``mode``, ``loaded_rows``, see :func:`staged_load`) and load errors:
+    skipped when the interval is unsupported, failed on an error or an empty
+    full load, success otherwise (an empty incremental load is a success
+    with 0 rows). A failing series never affects the others."""
     key = list(key)
-    j = (plan.join(loaded, key, "left").join(errors, key, "left")
-         .na.fill(0, ["loaded_rows"]))
-    status = (F.when(~F.col("interval").isin(*supported), "skipped")
-              .when(F.col("error").isNotNull(), "failed")
-              .when((F.col("loaded_rows") == 0) & (F.col("mode") == "full"), "failed")
-              .otherwise("success"))
-    message = (F.when(~F.col("interval").isin(*supported), F.concat(F.lit("unsupported interval "), F.col("interval")))
+    j = loaded.join(errors, key, "left")
+    unsupported = ~F.col("interval").isin(*supported)
+    empty_full = (F.col("loaded_rows") == 0) & (F.col("mode") == "full")
+    status = (F.when(unsupported, "skipped").when(F.col("error").isNotNull(), "failed")
+              .when(empty_full, "failed").otherwise("success"))
+    message = (F.when(unsupported, F.concat(F.lit("unsupported interval "), F.col("interval")))
                .when(F.col("error").isNotNull(), F.col("error"))
-               .when((F.col("loaded_rows") == 0) & (F.col("mode") == "full"), F.lit("no data"))
+               .when(empty_full, F.lit("no data"))
                .otherwise(F.concat(F.col("loaded_rows").cast("string"), F.lit(" rows"))))
     return j.select(status.alias("status"), "ticker", "asset_class", "interval", message.alias("message"))
 
