@@ -21,7 +21,8 @@ def normalise_outcomes(jobs: DataFrame) -> DataFrame:
             .withColumn("class_key", key("asset_class")))
 
 
-def _counts(status: Column = F.col("status")):
+def _counts(status: Column | None = None):
+    status = F.col("status") if status is None else status
     return [F.count_if(status == s).alias(s) for s in STATUSES]
 
 
