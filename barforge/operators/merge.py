@@ -27,37 +27,33 @@ POLICIES = {
 PAYLOAD = ("open", "high", "low", "close", "adj_close", "volume", "dividends", "stock_splits")
 
 
-def _tag(df: DataFrame, src: str, rank: int, seq=None) -> DataFrame:
-    return (df.withColumn("src", F.lit(src)).withColumn("src_rank", F.lit(rank))
-            .withColumn("seq", seq if seq is not None else F.lit(0).cast("bigint")))
+def rank_sources(df: DataFrame, policy: str = "fresh_wins", src_col: str = "src",
+                 seq=None) -> DataFrame:
+    """Attach ``src_rank`` (from the policy) and ``seq`` to a DataFrame whose
+    ``src`` column says where each row came from."""
+    ranks = POLICIES[policy]
+    rank = None
+    for name, r in ranks.items():
+        rank = F.when(F.col(src_col) == name, r) if rank is None else rank.when(F.col(src_col) == name, r)
+    out = df.withColumn("src_rank", rank)
+    if seq is not None:
+        out = out.withColumn("seq", seq)
+    elif "seq" not in df.columns:
+        out = out.withColumn("seq", F.lit(0).cast("bigint"))
+    return out
 
 
-def merge_sources(sources: dict[str, DataFrame], policy: str = "fresh_wins",
-                  key=SERIES_KEY, seq_cols: dict | None = None) -> DataFrame:
-    """Combine bar sources under ``policy``; one row per (series, ts).
+def ranked_merge(union: DataFrame, key=SERIES_KEY) -> DataFrame:
+    """One row per (series, ts): the payload of the greatest (src_rank, seq),
+    plus per-key flags for the merge report - ``in_stored``, ``in_fresh``,
+    ``changed`` (the winner differs from the stored row).
 
-    Returns the winning payload plus per-key flags used by the merge report:
-    ``in_stored``, ``in_fresh``, ``changed`` (the winner differs from the
-    stored row). One aggregation does everything; duplicates are combined
-    map-side (``max_by`` is a partial aggregate) before the shuffle on
-    (series, ts), which spreads even a hot ticker over its timestamps."""
-    ranks = POLICIES[policy]
-    seq_cols = seq_cols or {}
-    parts = []
-    cols = None
-    for src, df in sources.items():
-        if df is None:
-            continue
-        payload = [c for c in PAYLOAD if c in df.columns]
-        cols = payload if cols is None else [c for c in cols if c in payload] + [c for c in payload if c not in cols]
-        parts.append(_tag(df, src, ranks[src], seq_cols.get(src)))
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p, allowMissingColumns=True)
+    A single aggregation does everything. ``max_by`` is a partial aggregate,
+    so duplicates combine map-side before the shuffle on (series, ts), which
+    spreads even a hot ticker over its timestamps."""
     key = list(key)
     payload = [c for c in PAYLOAD if c in union.columns]
-    h = F.xxhash64(*payload)
-    union = union.withColumn("_h", h)
+    union = union.withColumn("_h", F.xxhash64(*payload))
     agg = union.groupBy(*key, "ts").agg(
         F.max_by(F.struct(*payload, "_h"), F.struct("src_rank", "seq")).alias("_w"),
         F.max(F.when(F.col("src") == "stored", F.col("_h"))).alias("_stored_h"),
@@ -70,6 +66,22 @@ def merge_sources(sources: dict[str, DataFrame], policy: str = "fresh_wins",
         ((F.col("_in_stored") == 1) & (F.col("_w._h") != F.col("_stored_h"))).alias("changed"))
 
 
+def merge_sources(sources: dict[str, DataFrame], policy: str = "fresh_wins",
+                  key=SERIES_KEY, seq_cols: dict | None = None) -> DataFrame:
+    """Combine separate bar sources under ``policy`` (see :func:`ranked_merge`)."""
+    seq_cols = seq_cols or {}
+    parts = []
+    for src, df in sources.items():
+        if df is None:
+            continue
+        seq = seq_cols.get(src, F.lit(0).cast("bigint"))
+        parts.append(df.withColumn("src", F.lit(src)).withColumn("seq", seq))
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p, allowMissingColumns=True)
+    return ranked_merge(rank_sources(union, policy), key)
+
+
 def merge_report(merged: DataFrame, key=SERIES_KEY) -> DataFrame:
     """A1 counts per series: rows after the merge, ``new_rows`` (timestamps
     not stored before - the reference's number), ``updated_rows`` (stored
@@ -95,6 +107,15 @@ def merge_intraday(fresh: DataFrame, stored: DataFrame, legacy: DataFrame | None
     return prune_retention(merged, as_of)
 
 
+def merge_intraday_sources(sources: DataFrame, as_of: dt.datetime, key=SERIES_KEY,
+                           policy: str = "stored_wins") -> DataFrame:
+    """A2 over one DataFrame with ``src`` in {fresh, stored, legacy} (legacy
+    rows carry ``day``): one scan of the input for all three sources."""
+    seq = F.coalesce(F.unix_date(F.col("day")).cast("bigint"), F.lit(0).cast("bigint")) \
+        if "day" in sources.columns else None
+    return prune_retention(ranked_merge(rank_sources(sources, policy, seq=seq), key), as_of)
+
+
 DATED_NAME = r"^(.+)_(\d{4}-\d{2}-\d{2})\.csv$"
 
 
@@ -123,23 +144,30 @@ def trusted_last_ts(stored: DataFrame, key=SERIES_KEY, min_rows: int = MIN_TRUST
         F.when(F.count(F.lit(1)) >= min_rows, F.max("ts")).alias("last_ts"))
 
 
-def consolidate(undated: DataFrame, dated: DataFrame, as_of: dt.datetime,
-                key=SERIES_KEY):
-    """Fold dated snapshot bars (``dated`` carries ``day``) into the
-    undated series, prune retention everywhere.
+def consolidate(undated: DataFrame, dated: DataFrame, as_of: dt.datetime, key=SERIES_KEY):
+    """A11 over two DataFrames; see :func:`consolidate_sources`."""
+    u = undated.withColumn("src", F.lit("stored")).unionByName(
+        dated.withColumn("src", F.lit("legacy")), allowMissingColumns=True)
+    return consolidate_sources(u, as_of, key)
+
+
+def consolidate_sources(sources: DataFrame, as_of: dt.datetime, key=SERIES_KEY):
+    """Fold dated snapshot bars (``src = 'legacy'`` with ``day``) into the
+    undated series (``src = 'stored'``) and prune retention everywhere.
 
-    Returns (bars, report). Report per (asset_class, interval):
-    ``removed`` dated files, ``consolidated`` series that had dated files
-    (even when nothing survives the prune), ``pruned`` undated series without
-    dated files that lost rows to the prune."""
+    Returns (bars, report). Report per (asset_class, interval): ``removed``
+    dated files, ``consolidated`` series that had dated files (even when
+    nothing survives the prune), ``pruned`` series without dated files that
+    lost rows to the prune."""
     key = list(key)
-    merged = merge_intraday(None, undated, dated, as_of, key).drop("in_stored", "in_fresh", "changed")
-    dated_series = dated.select(*key, "day").groupBy(*key).agg(
-        F.count_distinct("day").alias("files"))
-    before = undated.groupBy(*key).agg(F.count(F.lit(1)).alias("n_before"))
+    ranked = rank_sources(sources, "stored_wins",
+                          seq=F.coalesce(F.unix_date(F.col("day")).cast("bigint"), F.lit(0).cast("bigint")))
+    merged = prune_retention(ranked_merge(ranked, key), as_of).drop("in_stored", "in_fresh", "changed")
+    before = sources.groupBy(*key).agg(
+        F.count_if(F.col("src") == "stored").alias("n_before"),
+        F.count_distinct(F.when(F.col("src") == "legacy", F.col("day"))).alias("files"))
     after = merged.groupBy(*key).agg(F.count(F.lit(1)).alias("n_after"))
-    per = (before.join(after, key, "full").join(dated_series, key, "full")
-           .na.fill(0, ["n_before", "n_after", "files"]))
+    per = before.join(after, key, "left").na.fill(0, ["n_after"])
     report = per.groupBy("asset_class", "interval").agg(
         F.sum("files").alias("removed"),
         F.count_if(F.col("files") > 0).alias("consolidated"),

@@ -60,8 +60,7 @@ _A2 = _SRC + [Q.merged({"fresh": ("fresh_b", 0, 0), "stored": ("stored_b", 1, 0)
 
 
 def _a2(spark, sf):
-    s = D.intraday_sources(spark, sf)
-    return M.merge_intraday(s["fresh"], s["stored"], s["legacy"], AS_OF)
+    return M.merge_intraday_sources(D.intraday_source_bars(spark, sf), AS_OF)
 
 
 @register("a2_intraday_merge", Q.with_(*_A2) + f"""
@@ -105,8 +104,8 @@ _A11 = _SRC + [Q.merged({"stored": ("stored_b", 1, 0),
 
 
 def _a11(spark, sf):
-    s = D.intraday_sources(spark, sf)
-    return M.consolidate(s["stored"], s["legacy"], AS_OF)
+    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
+    return M.consolidate_sources(b, AS_OF)
 
 
 @register("a11_consolidated_bars", Q.with_(*_A11) + f"""

@@ -29,27 +29,27 @@ def _scratch(spark, tag: str) -> str:
 
 # ---- snapshot trees derived from the bar sources -------------------------
 def _pulled_paths(spark, sf):
-    s = D.intraday_sources(spark, sf)
-    d = D.bars_1d(spark, sf, ("F",))
-    series = (s["stored"].select("asset_class", "interval", "ticker")
-              .unionByName(d.select("asset_class", "interval", "ticker")).distinct())
-    files = series.select(F.concat_ws("/", "asset_class", "interval",
-                                      F.concat(safe_filename(F.col("ticker")), F.lit(".csv"))).alias("path"))
-    dated = s["legacy"].select(F.concat_ws("/", "asset_class", "interval", F.concat(
-        safe_filename(F.col("ticker")), F.lit("_"), F.date_format("day", "yyyy-MM-dd"), F.lit(".csv"))).alias("path")).distinct()
-    control = (series.select("asset_class").distinct()
-               .select(F.concat_ws("/", "asset_class", F.lit(".gitkeep")).alias("path"))
-               .unionByName(series.select("asset_class", "interval").distinct().select(
-                   F.concat_ws("/", "asset_class", "interval", F.lit(".DS_Store")).alias("path")))
-               .unionByName(series.select("asset_class").distinct().select(
-                   F.concat_ws("/", "asset_class", F.lit("README.md")).alias("path"))))
-    return files.unionByName(dated).unionByName(control)
+    """The pulled snapshot as file paths: one series file per stored series,
+    one dated file per legacy (series, day), control files per directory.
+    Every path comes from one distinct-keys aggregation (one pass)."""
+    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
+    d = D.bars_1d(spark, sf, ("F",)).select("asset_class", "interval", "ticker",
+                                            F.lit("stored").alias("src"), F.lit(None).cast("date").alias("day"))
+    keys = b.select("asset_class", "interval", "ticker", "src", "day").unionByName(d).distinct()
+    stem = safe_filename(F.col("ticker"))
+    data = F.when(F.col("src") == "legacy", F.concat(stem, F.lit("_"), F.date_format("day", "yyyy-MM-dd"),
+                                                      F.lit(".csv"))).otherwise(F.concat(stem, F.lit(".csv")))
+    paths = F.array(F.concat_ws("/", "asset_class", "interval", data),
+                    F.concat_ws("/", "asset_class", F.lit(".gitkeep")),
+                    F.concat_ws("/", "asset_class", "interval", F.lit(".DS_Store")),
+                    F.concat_ws("/", "asset_class", F.lit("README.md")))
+    return keys.select(F.explode(paths).alias("path")).distinct()
 
 
 def _current_paths(spark, sf):
     """After consolidation: dated files folded into their series, retention applied."""
-    s = D.intraday_sources(spark, sf)
-    merged, _ = M.consolidate(s["stored"], s["legacy"], AS_OF)
+    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
+    merged, _ = M.consolidate_sources(b, AS_OF)
     d = D.bars_1d(spark, sf)
     series = (merged.select("asset_class", "interval", "ticker")
               .unionByName(d.select("asset_class", "interval", "ticker")).distinct())
@@ -63,13 +63,15 @@ _SERIES_CTES = [Q.TICKS, Q.TICK_SOURCES, Q.source_bars(),
                 Q.bars_1d("stored_1d", ["F"]), Q.bars_1d()]
 _PULLED = _SERIES_CTES + [f"""pseries AS (
   SELECT DISTINCT {Q.SERIES} FROM stored_b UNION SELECT DISTINCT {Q.SERIES} FROM stored_1d)""",
+                          f"""pdirs AS (
+  SELECT DISTINCT asset_class, interval FROM pseries UNION SELECT DISTINCT asset_class, interval FROM legacy_b)""",
                           f"""pulled AS (
   SELECT asset_class || '/' || interval || '/' || {_SAFE} || '.csv' AS path FROM pseries
   UNION ALL
   SELECT DISTINCT asset_class || '/' || interval || '/' || {_SAFE} || '_' || strftime(day, '%Y-%m-%d') || '.csv' FROM legacy_b
-  UNION ALL SELECT DISTINCT asset_class || '/.gitkeep' FROM pseries
-  UNION ALL SELECT DISTINCT asset_class || '/' || interval || '/.DS_Store' FROM pseries
-  UNION ALL SELECT DISTINCT asset_class || '/README.md' FROM pseries)""",
+  UNION ALL SELECT DISTINCT asset_class || '/.gitkeep' FROM pdirs
+  UNION ALL SELECT DISTINCT asset_class || '/' || interval || '/.DS_Store' FROM pdirs
+  UNION ALL SELECT DISTINCT asset_class || '/README.md' FROM pdirs)""",
                           f"""ptree AS (
   SELECT path, len(string_split(path, '/')) AS depth,
          CASE WHEN len(string_split(path, '/')) >= 3 THEN string_split(path, '/')[2] END AS interval,

@@ -181,11 +181,18 @@ CASE event_type WHEN 'error' THEN 'legacy' WHEN 'click' THEN 'fresh'
   WHEN 'purchase' THEN 'fresh' ELSE 'stored' END"""
 
 
-def intraday_sources(spark: SparkSession, sf_dir: str, intervals=None) -> dict:
+def intraday_source_bars(spark: SparkSession, sf_dir: str, intervals=None) -> DataFrame:
+    """All three sources in one DataFrame (``src`` column; ``day`` = the
+    dated file's day for legacy rows) - one pass over the ticks."""
     from barforge.operators.bars import bars_from_ticks
     from barforge.schema import INTRADAY_INTERVALS
     t = ticks(spark, sf_dir).withColumn("src", F.expr(TICK_SOURCE_SQL))
     b = bars_from_ticks(t, intervals or INTRADAY_INTERVALS, key=("src", "asset_class", "ticker"))
-    out = {s: b.where(F.col("src") == s).drop("src", "n_ticks") for s in ("fresh", "stored", "legacy")}
-    out["legacy"] = out["legacy"].withColumn("day", F.to_date("ts"))
+    return b.drop("n_ticks").withColumn("day", F.when(F.col("src") == "legacy", F.to_date("ts")))
+
+
+def intraday_sources(spark: SparkSession, sf_dir: str, intervals=None) -> dict:
+    b = intraday_source_bars(spark, sf_dir, intervals)
+    out = {s: b.where(F.col("src") == s).drop("src", "day") for s in ("fresh", "stored", "legacy")}
+    out["legacy"] = b.where(F.col("src") == "legacy").drop("src")
     return out
