@@ -45,16 +45,17 @@ def publish_guard(previous: DataFrame, current: DataFrame, required, include=Non
     prev = previous if include is None else previous.where(F.col("interval").isin(*include))
     cur = current if include is None else current.where(F.col("interval").isin(*include))
     req = list(required)
-    keys = prev.select("interval").unionByName(cur.select("interval"))
+    # each input is referenced once: chained full outer joins on interval
+    j = (prev.withColumnRenamed("n_files", "pulled")
+         .join(cur.withColumnRenamed("n_files", "current"), "interval", "full"))
     if req:
-        keys = keys.unionByName(prev.sparkSession.createDataFrame([(r,) for r in req], "interval string"))
-    keys = keys.distinct()
-    j = (keys.join(prev.withColumnRenamed("n_files", "pulled"), "interval", "left")
-         .join(cur.withColumnRenamed("n_files", "current"), "interval", "left")
-         .na.fill(0, ["pulled", "current"]))
-    is_req = F.col("interval").isin(*req) if req else F.lit(False)
-    return j.select("interval", "pulled", "current", is_req.alias("required"),
-                    (is_req & (F.col("current") == 0)).alias("missing"),
+        req_df = prev.sparkSession.createDataFrame([(r, True) for r in req], "interval string, required boolean")
+        j = j.join(req_df, "interval", "full")
+    else:
+        j = j.withColumn("required", F.lit(False))
+    j = j.na.fill(0, ["pulled", "current"]).na.fill(False, ["required"])
+    return j.select("interval", "pulled", "current", "required",
+                    (F.col("required") & (F.col("current") == 0)).alias("missing"),
                     (F.col("current") < F.col("pulled")).alias("reduced"))
 
 
