@@ -32,15 +32,22 @@ def refresh_plan(plan: DataFrame, stored: DataFrame, key=SERIES_KEY) -> DataFram
 
 def staged_load(rp: DataFrame, staged: DataFrame, key=SERIES_KEY) -> DataFrame:
     """Rows of the staged download each planned series would load: all of
-    them for a full load, those at or after ``start`` otherwise."""
+    them for a full load, those at or after ``start`` (a day) otherwise.
+
+    Staged rows are first reduced to counts per (series, day) - a partial
+    aggregation, so a hot series is combined map-side - and only those
+    counts meet the plan in the join; the raw rows are never shuffled to the
+    task of their series."""
     key = list(key)
-    r, s = rp.alias("r"), staged.select(*key, "ts").alias("s")
+    daily = (staged.groupBy(*key, F.to_date("ts").alias("d"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    r, s = rp.alias("r"), daily.alias("s")
     cond = [F.col(f"r.{k}") == F.col(f"s.{k}") for k in key]
-    cond.append(F.col("r.start").isNull() | (F.col("s.ts") >= F.col("r.start")))
+    cond.append(F.col("r.start").isNull() | (F.col("s.d") >= F.col("r.start")))
     j = r.join(s, cond, "left")
     return (j.groupBy(*[F.col(f"r.{k}").alias(k) for k in key], F.col("r.mode").alias("mode"),
                       F.col("r.start").alias("start"))
-            .agg(F.count(F.col("s.ts")).alias("loaded_rows")))
+            .agg(F.coalesce(F.sum(F.col("s.n")), F.lit(0)).cast("bigint").alias("loaded_rows")))
 
 
 def resume(plan: DataFrame, done: DataFrame, key=SERIES_KEY):
