@@ -26,13 +26,48 @@ def ar1_coefficients(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train
 
 def ar1_forecast(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train") -> DataFrame:
     """Log-price forecast ln p_t + phi * r_t for t+1 on every row.
-    The coefficient table has one row per series; it is joined on the series
-    key, which shares the partitioning of the feature frame's windows."""
-    phi = ar1_coefficients(feat, key, train_col)
-    return (feat.join(phi, list(key), "left")
+
+    phi is a window aggregate over the series partition - the frame is
+    already hash-partitioned by the series key for its other windows, so the
+    coefficient needs no join and no extra shuffle."""
+    w = Window.partitionBy(*key).orderBy("ts")
+    whole = Window.partitionBy(*key)
+    lagged = feat.withColumn("_prev", F.lag("log_ret").over(w))
+    t = F.col(train_col) & F.col("_prev").isNotNull()
+    num = F.sum(F.when(t, F.col("log_ret") * F.col("_prev"))).over(whole)
+    den = F.sum(F.when(t, F.col("_prev") * F.col("_prev"))).over(whole)
+    return (lagged.withColumn("phi", F.try_divide(num, den)).drop("_prev")
             .withColumn("ar_log", F.col("log_price") + F.coalesce(F.col("phi"), F.lit(0.0)) * F.col("log_ret")))
 
 
+def _mse_grid(n, saa, sab, sbb, steps: int):
+    """Closed-form MSE of w*a + (1-w)*b for w = i/steps, as an array of
+    (mse, i) structs; ``array_min`` picks the lowest MSE, then the lowest i."""
+    def one(i):
+        w = i / F.lit(float(steps))
+        mse = (w * w * saa + 2 * w * (1 - w) * sab + (1 - w) * (1 - w) * sbb) / n
+        return F.struct(mse.alias("mse"), i.alias("i"))
+    return F.transform(F.sequence(F.lit(0), F.lit(steps)), one)
+
+
+def with_blend_weight(df: DataFrame, a_log: str, b_log: str, actual_log: str, val_col: str,
+                      key=SERIES_KEY, steps: int = 100) -> DataFrame:
+    """A14 as window aggregates over the series partition: adds ``best_w`` and
+    ``best_mse`` to every row (see :func:`blend_weight`)."""
+    whole = Window.partitionBy(*key)
+    v = F.col(val_col)
+    ea = F.col(a_log) - F.col(actual_log)
+    eb = F.col(b_log) - F.col(actual_log)
+    n = F.count(F.when(v, ea)).over(whole)
+    saa = F.sum(F.when(v, ea * ea)).over(whole)
+    sab = F.sum(F.when(v, ea * eb)).over(whole)
+    sbb = F.sum(F.when(v, eb * eb)).over(whole)
+    best = F.when(n > 0, F.array_min(_mse_grid(n, saa, sab, sbb, steps)))
+    return (df.withColumn("_best", best)
+            .withColumn("best_w", F.col("_best.i") / F.lit(float(steps)))
+            .withColumn("best_mse", F.col("_best.mse")).drop("_best"))
+
+
 def blend_weight(val: DataFrame, a_log: str, b_log: str, actual_log: str,
                  key=SERIES_KEY, steps: int = 100) -> DataFrame:
     """Weight w in {0, 1/steps, ..., 1} minimising the validation MSE of
@@ -45,21 +80,19 @@ def blend_weight(val: DataFrame, a_log: str, b_log: str, actual_log: str,
     eb = F.col(b_log) - F.col(actual_log)
     sums = val.groupBy(*key).agg(F.count(ea).alias("n_val"), F.sum(ea * ea).alias("saa"),
                                  F.sum(ea * eb).alias("sab"), F.sum(eb * eb).alias("sbb"))
-    grid = sums.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps))))
-    w = F.col("i") / F.lit(float(steps))
-    mse = (w * w * F.col("saa") + 2 * w * (1 - w) * F.col("sab")
-           + (1 - w) * (1 - w) * F.col("sbb")) / F.col("n_val")
-    grid = grid.withColumn("w", w).withColumn("mse", mse)
-    best = grid.groupBy(*key).agg(F.min_by(F.struct("w", "mse"), F.struct("mse", "i")).alias("b"))
-    return best.select(*key, F.col("b.w").alias("best_w"), F.col("b.mse").alias("best_mse"))
+    best = F.array_min(_mse_grid(F.col("n_val"), F.col("saa"), F.col("sab"), F.col("sbb"), steps))
+    return sums.select(*key, (best.getField("i") / F.lit(float(steps))).alias("best_w"),
+                       best.getField("mse").alias("best_mse"))
 
 
-def blended_forecast(df: DataFrame, weights: DataFrame, a_log: str, b_log: str,
+def blended_forecast(df: DataFrame, weights: DataFrame | None, a_log: str, b_log: str,
                      key=SERIES_KEY) -> DataFrame:
-    """exp(w*a + (1-w)*b); ``collapsed`` when w is outside (0.05, 0.95)."""
+    """exp(w*a + (1-w)*b); ``collapsed`` when w is outside (0.05, 0.95).
+    ``weights`` is a per-series table, or None when ``df`` already carries
+    ``best_w`` (see :func:`with_blend_weight`)."""
     w = F.col("best_w")
-    return (df.join(weights, list(key), "inner")
-            .withColumn("hybrid", F.exp(w * F.col(a_log) + (1 - w) * F.col(b_log)))
+    out = df if weights is None else df.join(weights, list(key), "inner")
+    return (out.withColumn("hybrid", F.exp(w * F.col(a_log) + (1 - w) * F.col(b_log)))
             .withColumn("collapsed", ~((w > 0.05) & (w < 0.95))))
 
 

@@ -40,9 +40,10 @@ def forecast_table(spark: SparkSession, sf: str) -> DataFrame:
     fs = FC.ar1_forecast(split_frame(spark, sf))
     fs = (fs.withColumn("ma_log", F.col("log_price") + F.col("sma_5"))
           .withColumn("actual_log", F.ln("next_price")))
-    weights = FC.blend_weight(fs.where(F.col("split_label") == "val"),
-                              "ar_log", "ma_log", "actual_log")
-    out = FC.blended_forecast(fs, weights, "ar_log", "ma_log")
+    fs = FC.with_blend_weight(fs.withColumn("is_val", F.col("split_label") == "val"),
+                              "ar_log", "ma_log", "actual_log", "is_val")
+    # series without validation rows have no weight (and no blended forecast)
+    out = FC.blended_forecast(fs.where(F.col("best_w").isNotNull()), None, "ar_log", "ma_log")
     return out.select(*KEY, "ts", "split_label", "phi", F.col("next_price").alias("actual"),
                       F.col("price").alias("prev_close"), F.exp("ar_log").alias("ar"),
                       F.exp("ma_log").alias("ma"), F.col("price").alias("naive"),

@@ -3,18 +3,24 @@
 Staged bar files (each row tagged with its ``src_rank`` and ``seq``) arrive
 in a folder. Each micro-batch is merged into the store with the same
 precedence rule as the batch merge (greatest (src_rank, seq) wins), pruned to
-the retention window, and committed as a new store version:
-
-* ``<root>/v=<N>``   the full store after batch N-1 (Parquet, partitioned by
-                     asset_class / interval, range-sorted by ticker, ts)
-* ``<root>/_log``    one row per committed version (version, status)
-
-A version directory is written before its log row, and the directory name is
-derived from the batch id, so a replayed batch overwrites its own output:
-the sink is idempotent and survives executor or driver loss (the streaming
-checkpoint lives in the shared ``spark.checkpoint.dir``). Because precedence
-is carried in the rows, the result does not depend on batch order.
-Duplicate deliveries are dropped with ``dropDuplicatesWithinWatermark``.
+the retention window, and committed.
+
+Store layout (plain Parquet, partition-level versions):
+
+* ``<root>/v=<N>/asset_class=<c>/interval=<i>/``  data written by version N
+* ``<root>/_log``  rows (version, asset_class, interval, status); the current
+  data of a partition is the one of its greatest logged version (status
+  ``EMPTY`` when the merge left nothing)
+
+A micro-batch reads and rewrites only the (asset_class, interval) partitions
+its rows touch, so a batch costs the size of the touched partitions, not
+of the store. The data directory is written before its log rows and is named
+after the batch id, so a replayed batch overwrites its own output and a
+batch whose log rows exist is skipped: the sink is idempotent and survives
+executor or driver loss (the streaming checkpoint lives in the shared
+``spark.checkpoint.dir``). Precedence is carried in the rows, so the result
+does not depend on batch order. Duplicate deliveries are dropped with
+``dropDuplicatesWithinWatermark``.
 """
 
 from __future__ import annotations
@@ -22,12 +28,15 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barforge.operators.bars import prune_retention
 from barforge.schema import SERIES_KEY
 
 PAYLOAD = ["open", "high", "low", "close", "adj_close", "volume"]
+PART = ["asset_class", "interval"]
+LOG_SCHEMA = "version int, asset_class string, interval string, status string"
 
 
 def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> DataFrame:
@@ -40,43 +49,79 @@ def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> D
                                                              for c in (*PAYLOAD, "src_rank", "seq")])
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        log = spark.read.parquet(f"{root}/_log")
-    except Exception:  # noqa: BLE001 - no version committed yet
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log")
+    except Exception:  # noqa: BLE001 - nothing committed yet
+        return None
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    log = _log(spark, root)
+    if log is None:
+        return None
+    return log.agg(F.max("version")).first()[0]
+
+
+def current_partitions(spark: SparkSession, root: str, touched=None) -> list[tuple]:
+    """(asset_class, interval, version) of the live data of each partition
+    (optionally only ``touched`` ones). One row per partition - metadata."""
+    log = _log(spark, root)
+    if log is None:
+        return []
+    if touched is not None:
+        keys = spark.createDataFrame(list(touched), "asset_class string, interval string")
+        log = log.join(keys, PART, "left_semi")
+    w = Window.partitionBy(*PART).orderBy(F.col("version").desc())
+    cur = log.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") == 1) & (F.col("status") == "READY"))
+    return [tuple(r) for r in cur.select(*PART, "version").collect()]
+
+
+def read_current(spark: SparkSession, root: str, touched=None) -> DataFrame | None:
+    parts = current_partitions(spark, root, touched)
+    if not parts:
         return None
-    row = log.where(F.col("status") == "READY").agg(F.max("version")).first()
-    return row[0] if row else None
+    paths = [f"{root}/v={v}/asset_class={c}/interval={i}" for c, i, v in parts]
+    return spark.read.option("basePath", root).parquet(*paths).drop("v")
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    v = latest_version(spark, root) if version is None else version
-    return None if v is None else spark.read.parquet(f"{root}/v={v}")
+    """The live store (``version`` is accepted for symmetry; the log decides)."""
+    return read_current(spark, root)
 
 
-def commit(spark: SparkSession, root: str, bars: DataFrame, version: int) -> None:
-    (bars.repartitionByRange("asset_class", "interval", "ticker", "ts")
-     .sortWithinPartitions("asset_class", "interval", "ticker", "ts")
-     .write.mode("overwrite").parquet(f"{root}/v={version}"))
-    spark.createDataFrame([(version, "READY")], "version int, status string") \
-        .write.mode("append").parquet(f"{root}/_log")
+def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touched) -> None:
+    """Write the new data of the ``touched`` partitions as ``version`` and log
+    them; partitions left empty are logged as EMPTY."""
+    (bars.repartitionByRange(*PART, "ticker", "ts")
+     .sortWithinPartitions(*PART, "ticker", "ts")
+     .write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/v={version}"))
+    written = spark.read.parquet(f"{root}/v={version}").select(*PART).distinct()
+    present = {tuple(r) for r in written.collect()}
+    rows = [(version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
+    spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(f"{root}/_log")
 
 
 def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:
     """Version 0 of the store (rows must carry src_rank and seq)."""
-    commit(spark, root, bars.select(*SERIES_KEY, "ts", *PAYLOAD, "src_rank", "seq"), 0)
+    data = bars.select(*SERIES_KEY, "ts", *PAYLOAD, "src_rank", "seq")
+    touched = [tuple(r) for r in data.select(*PART).distinct().collect()]
+    commit(spark, root, data, 0, touched)
 
 
 def upsert_batch_fn(root: str, as_of: dt.datetime, key=SERIES_KEY):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = batch_id + 1
-        store = read_version(spark, root)
         current = latest_version(spark, root)
         if current is not None and current >= version:
             return  # replay of an already committed batch
+        touched = [tuple(r) for r in batch.select(*PART).distinct().collect()]
+        if not touched:
+            return
+        store = read_current(spark, root, touched)
         merged = prune_retention(merge_ranked(store, batch, key), as_of)
-        commit(spark, root, merged, version)
+        commit(spark, root, merged, version, touched)
     return fn
 
 
