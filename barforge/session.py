@@ -18,11 +18,27 @@ SESSION_CONF = {
 }
 
 
+# Sizing defaults, applied only where the deployment has not set them: AQE
+# coalesces shuffle output towards ~128 MB partitions (so a generous
+# spark.sql.shuffle.partitions on a large cluster costs nothing on small
+# stages) and splits skewed partitions above 5x the median.
+SIZING_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "128m",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library needs to an existing session."""
+    """Apply the runtime settings the library needs to an existing session
+    (UTC clock, AQE); sizing knobs only when unset."""
     for key, value in SESSION_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key, value in SIZING_DEFAULTS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
