@@ -243,6 +243,13 @@ def s9_exchange_directory(spark, sf):
 
 
 # --------------------------------------------------------------------------- S12 / S13
+# one refresh entry per listing file: its builder (source) and url
+_ENTRY_SOURCE_SQL = """CASE asset_class || '/' || CAST(file_pos AS STRING)
+  WHEN 'stocks_us/1' THEN 'plain_tickers' WHEN 'stocks_eu/0' THEN 'europe'
+  WHEN 'indices/0' THEN 'russell2000' WHEN 'indices/1' THEN 'plain_tickers' END"""
+_ENTRY_URL_SQL = """CASE asset_class || '/' || CAST(file_pos AS STRING)
+  WHEN 'stocks_us/0' THEN 'https://listings.invalid/us0.csv'
+  WHEN 'stocks_us/1' THEN 'https://listings.invalid/us1.txt' END"""
 _SOURCES = [Q.listing_rows(), f"""clean_all AS (
   SELECT asset_class, file_pos, p_type, pos, {sql_symbol('symbol')} AS symbol FROM (
     SELECT l.*, p.p_type, p.p_size FROM listing l JOIN part p ON l.pos = p.p_partkey)
@@ -252,10 +259,15 @@ _SOURCES = [Q.listing_rows(), f"""clean_all AS (
             f"""stored AS (SELECT DISTINCT asset_class, file_pos, symbol FROM clean_all c
                 WHERE {SQL_USABLE} AND p_type <> 'PROMO'
                   AND NOT (p_type = 'SMALL' AND pos IN (SELECT p_partkey FROM part WHERE p_size > 45)))""",
-            """src AS (SELECT DISTINCT asset_class, file_pos FROM listing)""",
+            f"""src AS (SELECT asset_class, file_pos, {_ENTRY_SOURCE_SQL.replace("STRING", "VARCHAR")} AS source,
+                       {_ENTRY_URL_SQL.replace("STRING", "VARCHAR")} AS url
+                FROM (SELECT DISTINCT asset_class, file_pos FROM listing))""",
             """outcome AS (
   SELECT s.asset_class, s.file_pos,
-         CASE WHEN n.n IS NULL THEN 'failed' WHEN o.n IS NULL THEN 'created'
+         CASE WHEN NOT (coalesce(s.source IN ('krx', 'tse', 'europe', 'twse', 'plain_tickers', 'russell2000'), false)
+                        OR s.url IS NOT NULL) THEN 'skipped'
+              WHEN s.source = 'plain_tickers' AND s.url IS NULL THEN 'failed'
+              WHEN n.n IS NULL THEN 'failed' WHEN o.n IS NULL THEN 'created'
               WHEN o.syms = n.syms THEN 'unchanged' ELSE 'updated' END AS status
   FROM src s
   LEFT JOIN (SELECT asset_class, file_pos, count(*) AS n, list(symbol ORDER BY symbol) AS syms FROM stored GROUP BY ALL) o
@@ -273,10 +285,9 @@ def _outcomes(spark, sf):
         (F.col("p_type") == "SMALL") & (F.col("p_size") > 45))), grp, order)
     fp_new = L.content_fingerprint(staged, grp, ["symbol"])
     fp_old = L.content_fingerprint(stored, grp, ["symbol"])
-    sources = rows.select(*grp).distinct()
-    status = L.change_status(fp_old, fp_new, grp)
-    return sources.join(status, list(grp), "left").select(
-        *grp, F.coalesce("status", F.lit("failed")).alias("status"))
+    entries = rows.select(*grp).distinct().select(
+        *grp, F.expr(_ENTRY_SOURCE_SQL).alias("source"), F.expr(_ENTRY_URL_SQL).alias("url"))
+    return L.entry_outcomes(entries, fp_old, fp_new, grp)
 
 
 @register("s12_write_if_changed", Q.with_(*_SOURCES) + "SELECT asset_class, file_pos, status FROM outcome")
@@ -285,7 +296,8 @@ def s12_write_if_changed(spark, sf):
 
 
 @register("s13_listing_refresh_report", Q.with_(*_SOURCES) + """
-SELECT count(*) AS checked, count(*) FILTER (WHERE status IN ('created', 'updated')) AS updated,
+SELECT count(*) FILTER (WHERE status <> 'skipped') AS checked,
+       count(*) FILTER (WHERE status IN ('created', 'updated')) AS updated,
        count(*) FILTER (WHERE status = 'failed') AS failed FROM outcome""")
 def s13_listing_refresh_report(spark, sf):
     return L.refresh_report(_outcomes(spark, sf))

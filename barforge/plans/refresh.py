@@ -67,10 +67,13 @@ def first_available(candidates: DataFrame, available: DataFrame,
 def period_fallback(responses: DataFrame, key=("asset_class", "ticker", "interval"),
                     rank: str = "period_rank") -> DataFrame:
     """Keep the rows of the first non-empty response window in fallback
-    order per series (window min over the series, no self join)."""
-    w = Window.partitionBy(*key)
-    return (responses.withColumn("_best", F.min(rank).over(w))
-            .where(F.col(rank) == F.col("_best")).drop("_best"))
+    order per series. The per-series minimum is a partial aggregate (a hot
+    series is combined map-side) and the rows are kept by a semi join on
+    (series, rank) - AQE can split a skewed left side, and turns the small
+    side into a broadcast only after measuring it."""
+    key = list(key)
+    best = responses.groupBy(*key).agg(F.min(rank).alias(rank))
+    return responses.join(best, [*key, rank], "left_semi")
 
 
 def stable_shards(universe: DataFrame, shard_count: int, shard_index: int | None = None,

@@ -19,12 +19,10 @@ SESSION_CONF = {
 
 
 # Sizing defaults, applied only where the deployment has not set them: AQE
-# coalesces shuffle output towards ~128 MB partitions (so a generous
-# spark.sql.shuffle.partitions on a large cluster costs nothing on small
-# stages) and splits skewed partitions above 5x the median.
+# coalesces small shuffle partitions, and splits partitions that are 5x the
+# median and above the 128 MB advisory size (skew).
 SIZING_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.files.maxPartitionBytes": "128m",
 }

@@ -148,23 +148,47 @@ def content_fingerprint(df: DataFrame, group, cols) -> DataFrame:
         F.sum(h2.cast("decimal(38,0)")).alias("h2_sum"))
 
 
-def change_status(stored: DataFrame, staged: DataFrame, key) -> DataFrame:
-    """S12/S13 outcome per source: Created / Updated / Unchanged by comparing
-    staged and stored fingerprints; a staged source that is empty or missing
-    fails and keeps its stored copy."""
+# Built-in listing sources of a refresh entry; the first one
+# needs an explicit url, the others have a default or need none.
+URL_REQUIRED_SOURCES = ("plain_tickers",)
+KNOWN_SOURCES = ("krx", "tse", "europe", "twse", "plain_tickers", "russell2000")
+
+
+def entry_outcomes(entries: DataFrame, stored: DataFrame, staged: DataFrame, key) -> DataFrame:
+    """S12/S13 outcome per listing entry ``(key..., source, url)`` from the
+    stored and freshly staged content fingerprints (:func:`content_fingerprint`):
+
+    * ``skipped``   - neither a built-in source nor a url: not checked;
+    * ``failed``    - a url-only source without url, or the staged content is
+                      missing or empty (the stored copy is kept);
+    * ``created`` / ``updated`` / ``unchanged`` - by fingerprint comparison.
+    """
     key = list(key)
     s = stored.select(*key, F.struct("n_rows", "h_sum", "h2_sum").alias("old"))
     n = staged.select(*key, F.struct("n_rows", "h_sum", "h2_sum").alias("new"))
-    j = s.join(n, key, "full")
-    status = (F.when(F.col("new").isNull() | (F.col("new.n_rows") == 0), "failed")
+    j = entries.join(s, key, "left").join(n, key, "left")
+    src, url = F.col("source"), F.col("url")
+    checked = F.coalesce(src.isin(*KNOWN_SOURCES), F.lit(False)) | url.isNotNull()
+    status = (F.when(~checked, "skipped")
+              .when(F.coalesce(src.isin(*URL_REQUIRED_SOURCES), F.lit(False)) & url.isNull(), "failed")
+              .when(F.col("new").isNull() | (F.col("new.n_rows") == 0), "failed")
               .when(F.col("old").isNull(), "created")
               .when(F.col("old") == F.col("new"), "unchanged").otherwise("updated"))
     return j.select(*key, status.alias("status"))
 
 
+def change_status(stored: DataFrame, staged: DataFrame, key) -> DataFrame:
+    """Created / Updated / Unchanged / failed for every key present on either
+    side (all entries treated as checked url sources)."""
+    key = list(key)
+    entries = (stored.select(*key).unionByName(staged.select(*key)).distinct()
+               .withColumn("source", F.lit(None).cast("string")).withColumn("url", F.lit("staged")))
+    return entry_outcomes(entries, stored, staged, key)
+
+
 def refresh_report(outcomes: DataFrame) -> DataFrame:
     """S13 roll-up: sources checked, updated (created or changed), failed."""
     return outcomes.agg(
-        F.count(F.lit(1)).alias("checked"),
+        F.count_if(F.col("status") != "skipped").alias("checked"),
         F.count_if(F.col("status").isin("created", "updated")).alias("updated"),
         F.count_if(F.col("status") == "failed").alias("failed"))

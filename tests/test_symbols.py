@@ -82,3 +82,34 @@ def test_plain_ticker_text(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "line_no int, value string")
     out = [r.symbol for r in L.plain_ticker_listing(df).collect()]
     assert out == ["AAP", "AAPL", "BRK.B"]
+
+
+def _fp(spark, rows):
+    df = spark.createDataFrame(rows, "src string, symbol string")
+    return L.content_fingerprint(df, ["src"], ["symbol"])
+
+
+def _entries(spark, rows):
+    return spark.createDataFrame(rows, "src string, source string, url string")
+
+
+def _report(spark, entries, stored, staged):
+    out = L.entry_outcomes(_entries(spark, entries), stored, staged, ["src"])
+    r = L.refresh_report(out).first()
+    return (r.checked, r.updated, r.failed)
+
+
+def test_refresh_report_cases(spark):
+    six = [(f"s{i}", src, None) for i, src in enumerate(["krx", "tse", "europe", "twse", "russell2000", "krx"])]
+    staged = _fp(spark, [(f"s{i}", "AAA") for i in range(6)])
+    empty = _fp(spark, [("x", "A")]).limit(0)
+    assert _report(spark, six, empty, staged) == (6, 6, 0)
+    url = [("u", None, "https://x.invalid/l.csv")]
+    one = _fp(spark, [("u", "AAPL"), ("u", "MSFT")])
+    assert _report(spark, url, empty, one) == (1, 1, 0)      # first run: created
+    assert _report(spark, url, one, one) == (1, 0, 0)        # identical rerun
+    assert _report(spark, url, one, empty) == (1, 0, 1)      # empty body fails, copy kept
+    assert _report(spark, [("p", "plain_tickers", None)], empty, one.where("false")) == (1, 0, 1)
+    five = [(f"f{i}", "europe", None) for i in range(5)]
+    assert _report(spark, five, empty, empty) == (5, 0, 5)
+    assert _report(spark, [("local", None, None)], empty, empty) == (0, 0, 0)  # not checked
