@@ -192,3 +192,38 @@ def refresh_report(outcomes: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "skipped").alias("checked"),
         F.count_if(F.col("status").isin("created", "updated")).alias("updated"),
         F.count_if(F.col("status") == "failed").alias("failed"))
+
+
+def universe_from_config(spark: SparkSession, config: dict | str, base_dir: str | None = None) -> DataFrame:
+    """S5 from a tickers config (a dict, or a YAML file read on the driver -
+    it is a small control file): ``{asset_class: [inline tickers],
+    listings: {asset_class: [path | {path, url, source}]}}``. Inline entries
+    are kept verbatim (as text); listing files are read with Spark, bound by
+    header; a missing listing file is skipped."""
+    import os
+    if isinstance(config, str):
+        import yaml
+        base_dir = base_dir or os.path.dirname(config)
+        with open(config, encoding="utf-8") as fh:
+            config = yaml.safe_load(fh) or {}
+    config = dict(config)
+    listings = config.pop("listings", None) or {}
+    inline = [(str(cls), i, str(t)) for cls, syms in config.items() if syms
+              for i, t in enumerate(syms)]
+    inline_df = spark.createDataFrame(inline, "asset_class string, pos int, ticker string")
+    parts = []
+    for cls, entries in listings.items():
+        for file_pos, entry in enumerate(entries or []):
+            path = entry if isinstance(entry, str) else entry.get("path")
+            if not path:
+                raise ValueError(f"Listing entry missing 'path': {entry!r}")
+            full = path if os.path.isabs(path) or base_dir is None else os.path.join(base_dir, path)
+            if not os.path.exists(full):
+                continue  # missing listing file: skipped
+            rows = read_listing_csv(spark, full)
+            parts.append(rows.withColumn("asset_class", F.lit(str(cls))).withColumn("file_pos", F.lit(file_pos)))
+    if parts:
+        listed = listing_symbols(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+    else:
+        listed = spark.createDataFrame([], "asset_class string, symbol string, file_pos int, pos long")
+    return build_universe(inline_df, listed)

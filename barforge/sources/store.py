@@ -159,3 +159,34 @@ def manifest(tree: DataFrame, dataset: str, version: int) -> DataFrame:
     return (tree.where(~F.col("control") & (F.col("depth") >= 3))
             .groupBy("interval").agg(F.count(F.lit(1)).alias("n_files"))
             .select(F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "interval", "n_files"))
+
+
+def resolve_stems(bars: DataFrame, universe: DataFrame):
+    """Q11: a file stem is not a ticker (``^GSPC`` and ``GSPC`` share a stem).
+    Map stems back to tickers by joining on the file-safe form within the
+    asset class. Returns (bars with ``ticker``, collisions): stems claimed by
+    more than one ticker are reported and their rows left unresolved (ticker
+    null) rather than guessed; stems with no universe ticker keep the stem."""
+    from barforge.functions.symbols import safe_filename
+    u = universe.select("asset_class", "ticker", safe_filename(F.col("ticker")).alias("stem")).distinct()
+    claims = u.groupBy("asset_class", "stem").agg(F.count(F.lit(1)).alias("n"),
+                                                  F.sort_array(F.collect_set("ticker")).alias("tickers"))
+    unique = claims.where(F.col("n") == 1).select("asset_class", "stem", F.col("tickers")[0].alias("_t"))
+    out = (bars.join(unique, ["asset_class", "stem"], "left")
+           .join(claims.where(F.col("n") > 1).select("asset_class", "stem", F.lit(True).alias("_clash")),
+                 ["asset_class", "stem"], "left")
+           .withColumn("ticker", F.when(F.col("_clash"), F.lit(None).cast("string"))
+                       .otherwise(F.coalesce("_t", "stem")))
+           .drop("_t", "_clash"))
+    return out, claims.where(F.col("n") > 1).drop("n")
+
+
+def scan_tree(spark: SparkSession, root: str) -> DataFrame:
+    """A6 input: every file under ``root`` as a relative path, from the
+    binaryFile source with only the ``path`` column selected (file contents
+    are not read), then :func:`file_tree`."""
+    base = root.rstrip("/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+             .select("path"))
+    rel = F.regexp_extract("path", r"^(?:file:)?" + base.replace(".", r"\.") + r"/(.*)$", 1)
+    return file_tree(files.select(rel.alias("path")))
