@@ -38,6 +38,20 @@ def _bar_start_by_interval(ts: Column, intervals) -> Column:
     return expr
 
 
+SEQ_BITS = 37  # 1-minute offset (< 6e7 us, 26 bits) + 37 bits of sequence fit a long
+
+
+def tick_order(ts: Column, bar_ts: Column, seq: Column) -> Column:
+    """A single BIGINT ordering ticks inside one 1-minute bar by (ts, seq):
+    the microsecond offset from the bar start in the high bits, the sequence
+    in the low 37 bits. Being primitive, it lets ``min_by`` / ``max_by`` run
+    as a hash aggregate (a struct ordering forces a sort-based aggregate,
+    i.e. a sort of every tick). Exact for seq < 2^37; beyond, ties at the
+    same microsecond are broken by seq mod 2^37 - still deterministic."""
+    off = F.unix_micros(ts) - F.unix_micros(bar_ts)
+    return off * F.lit(1 << SEQ_BITS) + F.pmod(seq.cast("bigint"), F.lit(1 << SEQ_BITS))
+
+
 def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker")) -> DataFrame:
     """OHLCV bars per series and interval from trade ticks
     ``(key..., ts, price, size, seq)``.
@@ -49,9 +63,9 @@ def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker"))
     interval's boundaries are multiples of one minute, so the roll-up is exact.
     """
     key = list(key)
-    order = F.struct("ts", "seq")
-    base = (ticks.withColumn("bar_ts", bar_start("ts", "1m"))
-            .groupBy(*key, "bar_ts")
+    ticks = ticks.withColumn("bar_ts", bar_start("ts", "1m"))
+    order = tick_order(F.col("ts"), F.col("bar_ts"), F.col("seq"))
+    base = (ticks.groupBy(*key, "bar_ts")
             .agg(F.min_by("price", order).alias("open"),
                  F.max("price").alias("high"),
                  F.min("price").alias("low"),
@@ -96,18 +110,34 @@ def rollup_bars(bars: DataFrame, interval: str, key=("asset_class", "ticker")) -
                     F.col("_b").alias("ts"), "open", "high", "low", "close", "adj_close", "volume"))
 
 
+RANK_BITS = 48  # packed (src_rank, seq): seq < 2^48, src_rank < 2^14
+
+
+def packed_rank(rank: Column, seq: Column) -> Column:
+    """(src_rank, seq) as one BIGINT ordered like the pair (seq < 2^48)."""
+    return rank.cast("bigint") * F.lit(1 << RANK_BITS) + seq.cast("bigint")
+
+
 def last_write_wins(df: DataFrame, key, rank_cols=("src_rank", "seq")) -> DataFrame:
     """One row per ``key``; the row with the greatest ``rank_cols`` wins.
 
-    Expressed as an aggregate (``max_by`` over a struct) rather than a
-    row_number window so Spark can combine duplicates map-side before the
-    shuffle; ties cannot occur when ``rank_cols`` ends in a unique sequence."""
+    Expressed as an aggregate rather than a row_number window so duplicates
+    combine map-side before the shuffle. With (src_rank, seq) - or a single
+    primitive rank column - the rank is one BIGINT and every column is taken
+    with its own ``max_by`` on it: a hash aggregate. Ranks must be unique per
+    key (a unique ``seq`` guarantees it), so all columns come from one row."""
     key = list(key)
     rank_cols = [c for c in rank_cols if c in df.columns]
     payload = [c for c in df.columns if c not in key]
-    rank = F.struct(*rank_cols)
-    winner = F.max_by(F.struct(*payload), rank).alias("_w")
-    return df.groupBy(*key).agg(winner).select(*key, *[F.col(f"_w.{c}").alias(c) for c in payload])
+    if rank_cols == ["src_rank", "seq"]:
+        rank = packed_rank(F.col("src_rank"), F.col("seq"))
+    elif len(rank_cols) == 1:
+        rank = F.col(rank_cols[0])
+    else:
+        winner = F.max_by(F.struct(*payload), F.struct(*rank_cols)).alias("_w")
+        return df.groupBy(*key).agg(winner).select(*key, *[F.col(f"_w.{c}").alias(c) for c in payload])
+    d = df.withColumn("_rk", rank)
+    return d.groupBy(*key).agg(*[F.max_by(c, "_rk").alias(c) for c in payload])
 
 
 def normalise_bars(raw: DataFrame, key=SERIES_KEY, ts_col: str = "Datetime",

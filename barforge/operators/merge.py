@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barforge.operators.bars import prune_retention
+from barforge.operators.bars import packed_rank, prune_retention
 from barforge.schema import MIN_TRUSTED_ROWS, SERIES_KEY
 
 POLICIES = {
@@ -48,22 +48,26 @@ def ranked_merge(union: DataFrame, key=SERIES_KEY) -> DataFrame:
     plus per-key flags for the merge report - ``in_stored``, ``in_fresh``,
     ``changed`` (the winner differs from the stored row).
 
-    A single aggregation does everything. ``max_by`` is a partial aggregate,
-    so duplicates combine map-side before the shuffle on (series, ts), which
-    spreads even a hot ticker over its timestamps."""
+    A single hash aggregation does everything: (src_rank, seq) is packed into
+    one BIGINT and each column takes its own ``max_by`` on it, so duplicates
+    combine map-side before the shuffle on (series, ts), which spreads even
+    a hot ticker over its timestamps. Rows of one source are unique per
+    (series, ts) (normalisation guarantees it), so the winner is one row."""
     key = list(key)
     payload = [c for c in PAYLOAD if c in union.columns]
-    union = union.withColumn("_h", F.xxhash64(*payload))
+    union = (union.withColumn("_h", F.xxhash64(*payload))
+             .withColumn("_rk", packed_rank(F.col("src_rank"), F.col("seq"))))
     agg = union.groupBy(*key, "ts").agg(
-        F.max_by(F.struct(*payload, "_h"), F.struct("src_rank", "seq")).alias("_w"),
+        *[F.max_by(c, "_rk").alias(c) for c in payload],
+        F.max_by("_h", "_rk").alias("_win_h"),
         F.max(F.when(F.col("src") == "stored", F.col("_h"))).alias("_stored_h"),
         F.max((F.col("src") == "stored").cast("int")).alias("_in_stored"),
         F.max((F.col("src") == "fresh").cast("int")).alias("_in_fresh"))
     return agg.select(
-        *key, "ts", *[F.col(f"_w.{c}").alias(c) for c in payload],
+        *key, "ts", *payload,
         (F.col("_in_stored") == 1).alias("in_stored"),
         (F.col("_in_fresh") == 1).alias("in_fresh"),
-        ((F.col("_in_stored") == 1) & (F.col("_w._h") != F.col("_stored_h"))).alias("changed"))
+        ((F.col("_in_stored") == 1) & (F.col("_win_h") != F.col("_stored_h"))).alias("changed"))
 
 
 def merge_sources(sources: dict[str, DataFrame], policy: str = "fresh_wins",

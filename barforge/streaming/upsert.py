@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barforge.operators.bars import prune_retention
+from barforge.operators.bars import packed_rank, prune_retention
 from barforge.schema import SERIES_KEY
 
 PAYLOAD = ["open", "high", "low", "close", "adj_close", "volume"]
@@ -44,9 +44,8 @@ def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> D
     key = list(key)
     cols = [*key, "ts", *PAYLOAD, "src_rank", "seq"]
     u = batch.select(*cols) if store is None else store.select(*cols).unionByName(batch.select(*cols))
-    w = F.max_by(F.struct(*PAYLOAD, "src_rank", "seq"), F.struct("src_rank", "seq")).alias("_w")
-    return u.groupBy(*key, "ts").agg(w).select(*key, "ts", *[F.col(f"_w.{c}").alias(c)
-                                                             for c in (*PAYLOAD, "src_rank", "seq")])
+    u = u.withColumn("_rk", packed_rank(F.col("src_rank"), F.col("seq")))
+    return u.groupBy(*key, "ts").agg(*[F.max_by(c, "_rk").alias(c) for c in (*PAYLOAD, "src_rank", "seq")])
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
