@@ -76,6 +76,26 @@ def period_fallback(responses: DataFrame, key=("asset_class", "ticker", "interva
     return responses.join(best, [*key, rank], "left_semi")
 
 
+def positions(df: DataFrame, group, order, out: str = "pos", partitions: int | None = None) -> DataFrame:
+    """0-based row number of each row within ``group`` by ``order``, without
+    putting a whole group into one task: rows are range-partitioned on
+    (group, order), numbered inside each (partition, group) cell, and shifted
+    by the sizes of the same group's cells in earlier partitions (a table of
+    one row per partition and group). A group larger than a partition is thus
+    spread over several tasks."""
+    group, order = list(group), list(order)
+    r = (df.repartitionByRange(*([partitions] if partitions else []), *group, *order)
+         .withColumn("_pid", F.spark_partition_id()))
+    cells = r.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    local = Window.partitionBy("_pid", *group).orderBy(*order)
+    numbered = r.withColumn("_local", F.row_number().over(local) - 1)
+    return (numbered.join(offsets, ["_pid", *group], "inner")
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_pid", "_off", "_local"))
+
+
 def stable_shards(universe: DataFrame, shard_count: int, shard_index: int | None = None,
                   cls: str = "asset_class", sym: str = "ticker") -> DataFrame:
     """shard = rank of the symbol among the class's sorted distinct
@@ -88,9 +108,8 @@ def stable_shards(universe: DataFrame, shard_count: int, shard_index: int | None
     if shard_count == 1:
         out = universe.withColumn("shard", F.lit(0))
     else:
-        d = universe.select(cls, sym).distinct()
-        w = Window.partitionBy(cls).orderBy(sym)
-        out = d.withColumn("shard", ((F.row_number().over(w) - 1) % shard_count).cast("int"))
+        d = positions(universe.select(cls, sym).distinct(), [cls], [sym], "_rank")
+        out = d.withColumn("shard", (F.col("_rank") % shard_count).cast("int")).drop("_rank")
     return out if shard_index is None else out.where(F.col("shard") == shard_index)
 
 

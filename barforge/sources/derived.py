@@ -14,8 +14,17 @@ from pyspark.sql import functions as F
 from barforge.session import prepare
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The DataFrame (a plan, not data) is reused per session
+    so repeated references skip file listing and footer reads."""
+    key = (id(spark._jsparkSession), sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df
 
 
 # ---------------------------------------------------------------------------

@@ -51,15 +51,14 @@ def build_universe(inline: DataFrame, listed: DataFrame) -> DataFrame:
     """S5 + U2: per class, the inline list verbatim (order and duplicates
     kept), then listing symbols not already present, in listing order.
     ``inline(asset_class, pos, ticker)``, ``listed(asset_class, symbol, file_pos, pos)``."""
-    from pyspark.sql import Window
+    from barforge.plans.refresh import positions
     inl = inline.select("asset_class", "ticker", F.lit(0).alias("src"), F.lit(0).alias("p1"),
                         F.col("pos").alias("p2"))
     lst = listed.select("asset_class", F.col("symbol").alias("ticker"), F.lit(1).alias("src"),
                         F.col("file_pos").alias("p1"), F.col("pos").alias("p2"))
     lst = lst.join(inl.select("asset_class", "ticker").distinct(), ["asset_class", "ticker"], "left_anti")
     u = inl.unionByName(lst)
-    w = Window.partitionBy("asset_class").orderBy("src", "p1", "p2")
-    return u.select("asset_class", "ticker", (F.row_number().over(w) - 1).alias("pos"))
+    return positions(u, ["asset_class"], ["src", "p1", "p2"]).select("asset_class", "ticker", "pos")
 
 
 def plain_ticker_listing(lines: DataFrame, value: str = "value", order: str = "line_no") -> DataFrame:

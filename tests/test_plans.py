@@ -61,3 +61,12 @@ def test_global_window_is_detected(spark):
     assert _global_windows(df) == 1
     keyed = spark.range(10).withColumn("rn", F.row_number().over(Window.partitionBy(F.col("id") % 2).orderBy("id")))
     assert _global_windows(keyed) == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+@pytest.mark.parametrize("name", ["i6_bars_from_ticks", "a2_intraday_merge", "a1_incremental_merge",
+                                  "w1_last_write_wins"])
+def test_hash_aggregation_with_map_side_combine(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    assert "SortAggregate" not in plan
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_max_by|partial_min_by", plan)

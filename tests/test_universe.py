@@ -55,3 +55,16 @@ def test_period_fallback_keeps_first_nonempty(spark):
     df = spark.createDataFrame(rows, "asset_class string, ticker string, interval string, period_rank int, v int")
     out = sorted((r.ticker, r.period_rank) for r in R.period_fallback(df).collect())
     assert out == [("A", 1), ("B", 0)]
+
+
+def test_positions_match_row_number_with_hot_group(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    # one group holds 90% of the rows and is spread over several range partitions
+    df = spark.range(2000).select(F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("g"),
+                                  ((F.col("id") * 7919) % 2003).alias("k"))
+    got = R.positions(df, ["g"], ["k"], "pos", partitions=6)
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
+    assert sorted(map(tuple, got.select("g", "k", "pos").collect())) == \
+        sorted(map(tuple, exp.select("g", "k", F.col("pos").cast("long")).collect()))
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
