@@ -101,13 +101,17 @@ def first_failures(jobs: DataFrame, order: str = "seq", limit: int = FAILURE_LIS
 def catalogue(series: DataFrame, per_group: int = 3, key=("asset_class", "interval"),
               name: str = "ticker") -> DataFrame:
     """O2: up to ``per_group`` series names per (class, interval), by name,
-    plus the number of series in the group."""
+    plus the number of series in the group. The sample is a per-group limit
+    (Catalyst inserts a partial WindowGroupLimit before the shuffle, so no
+    task holds more than ``per_group`` rows of a group); the count is a
+    separate partial aggregate."""
     key = list(key)
+    d = series.select(*key, name).distinct()
     w = Window.partitionBy(*key).orderBy(name)
-    d = series.select(*key, name).distinct().withColumn("_rn", F.row_number().over(w))
-    return d.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_rn") <= per_group, F.col(name)))).alias("sample"),
-        F.count(F.lit(1)).alias("series"))
+    top = (d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_group)
+           .groupBy(*key).agg(F.array_sort(F.collect_list(name)).alias("sample")))
+    counts = d.groupBy(*key).agg(F.count(F.lit(1)).alias("series"))
+    return top.join(counts, key, "inner")
 
 
 def summary_document(summary: DataFrame, failures: DataFrame) -> DataFrame:
