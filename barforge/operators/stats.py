@@ -27,14 +27,17 @@ def _check_series_list(names) -> list[str]:
 def align_long(df: DataFrame, series_col: str = "ticker", n_series: int | None = None,
                on: str = "ts") -> DataFrame:
     """J1 (long form): keep timestamps present in all ``n_series`` series,
-    i.e. an N-way inner join on the exact instant without materialising the
-    join. The ts-level count is a partial aggregate; the semi join re-uses
-    the hash partitioning on ``ts``."""
+    i.e. an N-way inner join on the exact instant without materialising it.
+
+    Input rows are unique per (series, ts) - true of bars - so the number of
+    series at a timestamp is a window count over ``ts``: one shuffle and one
+    pass over the input (a group-by plus semi join would evaluate the input
+    twice). A timestamp holds at most one row per series."""
     if n_series is None:
         n_series = df.select(series_col).distinct().count()
-    full = (df.groupBy(on).agg(F.count_distinct(series_col).alias("_n"))
-            .where(F.col("_n") == n_series).select(on))
-    return df.join(full, on, "left_semi")
+    w = Window.partitionBy(on)
+    return (df.withColumn("_n", F.count(F.lit(1)).over(w))
+            .where(F.col("_n") == n_series).drop("_n"))
 
 
 def align_wide(df: DataFrame, series, value: str = "price", series_col: str = "ticker",

@@ -53,7 +53,7 @@ def build_session(master: str | None = None, app: str = "barforge",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("BARFORGE_DRIVER_MEMORY", "16g"),
+        "spark.driver.memory": os.environ.get("BARFORGE_DRIVER_MEMORY", "4g"),
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
     })
     conf.update(extra or {})
