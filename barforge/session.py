@@ -65,13 +65,17 @@ def build_session(master: str | None = None, app: str = "barforge",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (or already set on
+    the SparkContext).
 
-    On a cluster this must be set by the deployment (a shared file system);
-    we only fill it in when it is unset, which is the local/test case."""
+    On a cluster this must come from the deployment (a shared file system);
+    a local folder is created only when neither is set - the local/test case."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="barforge-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
