@@ -140,7 +140,7 @@ def positional_split(df: DataFrame, test_rows: int = 90, val_fraction: float = 0
     are test, validation starts at int(val_fraction * split)."""
     w = series_window(key)
     n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    i = F.row_number().over(w) - 1
+    i = (F.row_number().over(w) - 1).cast("bigint")
     split = n - test_rows
     val_start = F.floor(split * F.lit(val_fraction))
     return (df.withColumn("row_idx", i).withColumn("n_rows", n)

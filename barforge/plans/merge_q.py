@@ -115,7 +115,7 @@ def a11_consolidated_bars(spark, sf):
 
 
 @register("a11_consolidation_report", Q.with_(*_A11) + """
-SELECT asset_class, interval, sum(files) AS removed, count(*) FILTER (WHERE files > 0) AS consolidated,
+SELECT asset_class, interval, CAST(sum(files) AS BIGINT) AS removed, count(*) FILTER (WHERE files > 0) AS consolidated,
        count(*) FILTER (WHERE files = 0 AND n_after < n_before) AS pruned
 FROM c_per GROUP BY asset_class, interval""")
 def a11_consolidation_report(spark, sf):

@@ -141,7 +141,7 @@ def j9_publish_guard(spark, sf):
 
 
 @register("j9_publish_verdict", Q.with_(*_GUARD) + """
-SELECT sum(pulled) AS pulled, sum(current) AS current, bool_or(missing) AS any_missing,
+SELECT CAST(sum(pulled) AS BIGINT) AS pulled, CAST(sum(current) AS BIGINT) AS current, bool_or(missing) AS any_missing,
        bool_or(reduced) AS any_reduced,
        bool_or(missing) OR bool_or(reduced) OR (sum(pulled) > 0 AND sum(current) < sum(pulled)) AS refused
 FROM guard""")
@@ -201,12 +201,13 @@ d AS (SELECT dataset, max(version) FILTER (WHERE st = 'READY') AS current_versio
 per AS (SELECT dataset, max(version) AS max_v,
                count(*) FILTER (WHERE st <> '' AND st NOT IN ('READY', 'FAILED', 'DELETED')) AS n_pending,
                count(*) FILTER (WHERE st IN ('FAILED', 'DELETED')) AS n_failed FROM s GROUP BY dataset)
-SELECT d.dataset, d.current_version, greatest(d.current_version, coalesce(p.max_v, 0)) AS max_version,
+SELECT d.dataset, CAST(d.current_version AS BIGINT) AS current_version,
+       CAST(greatest(d.current_version, coalesce(p.max_v, 0)) AS BIGINT) AS max_version,
        coalesce(p.n_pending, 0) AS n_pending, coalesce(p.n_failed, 0) AS n_failed,
        d.ds_status = 'READY' AND coalesce(p.n_pending, 0) = 0 AND d.current_version > 0 AND NOT EXISTS (
          SELECT 1 FROM range(d.current_version + 1, greatest(d.current_version, coalesce(p.max_v, 0)) + 1) r(v)
          WHERE r.v NOT IN (SELECT version FROM s WHERE s.dataset = d.dataset AND st IN ('FAILED', 'DELETED'))) AS ready,
-       greatest(d.current_version, coalesce(p.max_v, 0)) + 1 AS next_version
+       CAST(greatest(d.current_version, coalesce(p.max_v, 0)) + 1 AS BIGINT) AS next_version
 FROM d LEFT JOIN per p USING (dataset)""")
 def a13_version_readiness(spark, sf):
     v = _versions(spark, sf)

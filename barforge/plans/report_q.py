@@ -48,8 +48,10 @@ def a3_run_summary(spark, sf):
               ELSE 'asset_class' END AS scope,
          coalesce(interval_key, class_key, '') AS key, {_COUNTS}
   FROM j GROUP BY GROUPING SETS ((shard), (shard, interval_key), (shard, class_key)))""") + """
-SELECT scope, key, sum(success) AS success, sum(failed) AS failed, sum(skipped) AS skipped,
-       sum(success) + sum(failed) + sum(skipped) AS total, sum(success) + sum(failed) AS attempted,
+SELECT scope, key, CAST(sum(success) AS BIGINT) AS success, CAST(sum(failed) AS BIGINT) AS failed,
+       CAST(sum(skipped) AS BIGINT) AS skipped,
+       CAST(sum(success) + sum(failed) + sum(skipped) AS BIGINT) AS total,
+       CAST(sum(success) + sum(failed) AS BIGINT) AS attempted,
        round(coalesce(sum(failed) / nullif(sum(success) + sum(failed), 0), 0.0), 9) AS failure_rate
 FROM parts GROUP BY scope, key""")
 def a4_merge_partial_summaries(spark, sf):
