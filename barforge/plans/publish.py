@@ -113,22 +113,30 @@ def split_slices(tree: DataFrame, slice_dim: DataFrame) -> DataFrame:
 
 def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: str,
                      required=(), include=None, allow_shrink: bool = False) -> dict:
-    """I5 write path: guard the new snapshot against the last published
-    manifest (re-based counts), then write ``<root>/version=<N+1>`` (bars,
-    partitioned by asset_class / interval), its manifest, and flip the
-    version log to READY. A refused publish writes nothing.
-
-    Counts here are series per interval (one file per series in the
-    published layout), so the guard sees what a reader of the slice sees."""
+    """I5 write path, write-then-commit: the snapshot is written once to
+    ``<root>/version=<N+1>`` (partitioned by asset_class / interval), its
+    per-interval counts are read back from the written files (partition
+    columns and ticker only), guarded against the last published manifest
+    (re-based counts), and only then the version log is flipped - READY, or
+    REFUSED, in which case readers never see the data. The snapshot lineage
+    is evaluated exactly once.
+
+    Counts are series per interval (one file per series in the published
+    layout), so the guard sees what a reader of the slice sees."""
     import datetime as dt
     log_path, man_path = f"{root}/_versions", f"{root}/_manifest"
     try:
         log = spark.read.parquet(log_path).where(F.col("dataset") == dataset)
         last = log.where(F.col("status") == "READY").agg(F.max("version")).first()[0]
+        top = log.agg(F.max("version")).first()[0]
     except Exception:  # noqa: BLE001 - first publish
-        last = None
-    version = (last or 0) + 1
-    cur = (bars.select("asset_class", "interval", "ticker").distinct()
+        last = top = None
+    version = (top or 0) + 1
+    path = f"{root}/version={version}"
+    (bars.repartitionByRange("asset_class", "interval", "ticker", "ts")
+     .sortWithinPartitions("asset_class", "interval", "ticker", "ts")
+     .write.mode("overwrite").partitionBy("asset_class", "interval").parquet(path))
+    cur = (spark.read.parquet(path).select("asset_class", "interval", "ticker").distinct()
            .groupBy("interval").agg(F.count(F.lit(1)).alias("n_files")))
     if last is not None:
         prev = (spark.read.parquet(man_path).where((F.col("dataset") == dataset) & (F.col("version") == last))
@@ -136,15 +144,12 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     else:
         prev = cur.limit(0)
     verdict = guard_verdict(publish_guard(prev, cur, required, include)).first()
-    if verdict.refused and not allow_shrink:
-        return {"version": None, "refused": True, "pulled": verdict.pulled, "current": verdict.current}
-    (bars.repartitionByRange("asset_class", "interval", "ticker", "ts")
-     .sortWithinPartitions("asset_class", "interval", "ticker", "ts")
-     .write.mode("overwrite").partitionBy("asset_class", "interval").parquet(f"{root}/version={version}"))
-    cur.select(F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "interval", "n_files") \
-        .write.mode("append").parquet(man_path)
-    spark.createDataFrame([(dataset, version, "READY", dt.datetime.now(dt.timezone.utc))],
+    refused = bool(verdict.refused) and not allow_shrink
+    if not refused:
+        cur.select(F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "interval", "n_files") \
+            .write.mode("append").parquet(man_path)
+    spark.createDataFrame([(dataset, version, "REFUSED" if refused else "READY", dt.datetime.now(dt.timezone.utc))],
                           "dataset string, version int, status string, at timestamp") \
         .write.mode("append").parquet(log_path)
-    return {"version": version, "refused": bool(verdict.refused), "pulled": verdict.pulled,
-            "current": verdict.current}
+    return {"version": None if refused else version, "refused": bool(verdict.refused),
+            "pulled": verdict.pulled, "current": verdict.current}

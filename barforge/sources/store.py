@@ -51,7 +51,9 @@ def read_bar_csv(spark: SparkSession, root: str, glob: str = "*/*/*.csv"):
     heads = (text.where(F.col("value").rlike("^(Datetime|Date),"))
              .groupBy("path").agg(F.min("value").alias("header")))
     groups = heads.groupBy("header").agg(F.collect_list("path").alias("files")).collect()
-    all_files = text.select("path").distinct()
+    # every file of the tree from the file listing alone (binaryFile with only
+    # the path selected does not read contents); those without a header are bad
+    all_files = spark.read.format("binaryFile").load(pattern).select("path")
     bad_files = all_files.join(heads, "path", "left_anti").withColumn("reason", F.lit("no header"))
     parts = []
     for row in groups:
