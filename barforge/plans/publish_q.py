@@ -161,20 +161,40 @@ def i4_slice_split(spark, sf):
     return parts.groupBy("slice", "interval").agg(F.count(F.lit(1)).alias("n_files"))
 
 
-@register("i5_publish_plan")
+_I5_BARS = ["asset_class", "interval", "ticker", "ts", "open", "high", "low", "close", "adj_close", "volume"]
+
+
+@register("i5_publish_plan", Q.with_(*_CURRENT, """v1 AS (
+  SELECT interval, count(*) AS n FROM (SELECT DISTINCT asset_class, interval, ticker FROM pseries) GROUP BY interval)""",
+                                     """v2 AS (
+  SELECT interval, count(*) AS n FROM (
+    SELECT asset_class, interval, ticker FROM consolidated UNION SELECT asset_class, interval, ticker FROM bars_1d)
+  GROUP BY interval)""", """g AS (
+  SELECT coalesce(p.n, 0) AS pulled, coalesce(c.n, 0) AS current, coalesce(c.n, 0) < coalesce(p.n, 0) AS reduced
+  FROM v1 p FULL JOIN v2 c USING (interval))""", """ref AS (
+  SELECT bool_or(reduced) OR (sum(pulled) > 0 AND sum(current) < sum(pulled)) AS refused FROM g)""") + """
+SELECT 'combined' AS dataset, 1 AS version, interval, n AS n_files, 'READY' AS status FROM v1
+UNION ALL SELECT 'combined', 2, interval, n, 'READY' FROM v2 WHERE NOT (SELECT refused FROM ref)
+UNION ALL SELECT 'combined', 1, '*', CAST(NULL AS BIGINT), 'READY'
+UNION ALL SELECT 'combined', 2, '*', CAST(NULL AS BIGINT),
+                 CASE WHEN (SELECT refused FROM ref) THEN 'REFUSED' ELSE 'READY' END""")
 def i5_publish_plan(spark, sf):
-    """Rows-only: consolidate -> re-based counts -> guard -> next version and
-    its manifest (one row per interval of the version to publish)."""
-    cur_tree = _tree(_current_paths(spark, sf))
-    per, _ = P.tree_counts(cur_tree, _INC)
-    # counts are re-based after consolidation, so the migration itself is
-    # never reported as a shrink: previous = consolidated counts of the pull
-    verdict = P.guard_verdict(P.publish_guard(per, per, _REQ, _INC))
-    man = ST.manifest(cur_tree, "intraday", 2).withColumn("refused", F.lit(None).cast("boolean"))
-    row = verdict.select(F.lit("intraday").alias("dataset"), F.lit(2).alias("version"),
-                         F.lit("*verdict*").alias("interval"), F.lit(None).cast("bigint").alias("n_files"),
-                         "refused")
-    return man.unionByName(row)
+    """Publish the pulled snapshot (version 1), then consolidate and publish
+    again (version 2) through the no-shrink guard; returns the manifest of
+    the READY versions and the version log ('*' rows)."""
+    root = _scratch(spark, "i5")
+    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
+    pulled = (b.where(F.col("src") == "stored").select(*_I5_BARS)
+              .unionByName(D.bars_1d(spark, sf, ("F",)).select(*_I5_BARS)))
+    P.publish_snapshot(spark, pulled, root, "combined")
+    merged, _ = M.consolidate_sources(b, AS_OF)
+    current = merged.select(*_I5_BARS).unionByName(D.bars_1d(spark, sf).select(*_I5_BARS))
+    P.publish_snapshot(spark, current, root, "combined")
+    man = spark.read.parquet(f"{root}/_manifest").select(
+        "dataset", "version", "interval", "n_files", F.lit("READY").alias("status"))
+    log = spark.read.parquet(f"{root}/_versions").select(
+        "dataset", "version", F.lit("*").alias("interval"), F.lit(None).cast("bigint").alias("n_files"), "status")
+    return man.unionByName(log)
 
 
 # --------------------------------------------------------------------------- A13

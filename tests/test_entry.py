@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"w18_linear_return_model", "s16_summary_json", "i5_publish_plan"}
+ROWS_ONLY = {"w18_linear_return_model", "s16_summary_json"}
 SPOT = ["a7_return_description", "w8_rolling_stats", "a1_merge_counts", "a3_run_summary",
         "s5_universe_build", "p1_symbol_normalise", "j9_publish_guard", "a13_version_readiness"]
 
