@@ -118,9 +118,13 @@ def summary_document(summary: DataFrame, failures: DataFrame) -> DataFrame:
     """One JSON document per run: counters, per-interval and per-class
     buckets, percent rounded to 4 places, and the (already capped) failure
     list. One global aggregation over the summary rows plus the failure rows;
-    both inputs are bounded (buckets per interval/class, <= 100 failures)."""
+    both inputs are bounded (buckets per interval/class, <= 100 failures).
+    Buckets are sorted by key and failures by sequence, so the document is
+    byte-for-byte reproducible."""
     s = failure_rate_pct(summary)
-    fail = F.struct("ticker", "asset_class", "interval", "message")
+    order = "seq" if "seq" in failures.columns else F.lit(0)
+    fail = F.struct(F.col(order) if isinstance(order, str) else order.alias("seq"),
+                    "ticker", "asset_class", "interval", "message")
     rows = s.select("scope", "key", *STATUSES, "total", "attempted", "failure_rate",
                     "failure_rate_pct", F.lit(None).cast(failures.select(fail.alias("f")).schema["f"].dataType).alias("f"))
     rows = rows.unionByName(failures.select(F.lit("failure").alias("scope"), fail.alias("f")),
@@ -133,9 +137,9 @@ def summary_document(summary: DataFrame, failures: DataFrame) -> DataFrame:
     doc = rows.agg(
         *[total(c).alias(c) for c in (*STATUSES, "total", "attempted", "failure_rate")],
         F.round(total("failure_rate_pct"), 4).alias("failure_rate_pct"),
-        F.map_from_entries(F.collect_list(F.when(F.col("scope") == "interval", F.struct("key", bucket))))
-        .alias("by_interval"),
-        F.map_from_entries(F.collect_list(F.when(F.col("scope") == "asset_class", F.struct("key", bucket))))
-        .alias("by_asset_class"),
-        F.collect_list("f").alias("failures"))
+        F.map_from_entries(F.array_sort(F.collect_list(
+            F.when(F.col("scope") == "interval", F.struct("key", bucket))))).alias("by_interval"),
+        F.map_from_entries(F.array_sort(F.collect_list(
+            F.when(F.col("scope") == "asset_class", F.struct("key", bucket))))).alias("by_asset_class"),
+        F.transform(F.array_sort(F.collect_list("f")), lambda x: x.dropFields("seq")).alias("failures"))
     return doc.select(F.to_json(F.struct(*doc.columns)).alias("summary_json"))

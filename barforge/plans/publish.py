@@ -114,7 +114,7 @@ def split_slices(tree: DataFrame, slice_dim: DataFrame) -> DataFrame:
 def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: str,
                      required=(), include=None, allow_shrink: bool = False) -> dict:
     """I5 write path, write-then-commit: the snapshot is written once to
-    ``<root>/version=<N+1>`` (partitioned by asset_class / interval), its
+    ``<root>/data/version=<N+1>`` (partitioned by asset_class / interval), its
     per-interval counts are read back from the written files (partition
     columns and ticker only), guarded against the last published manifest
     (re-based counts), and only then the version log is flipped - READY, or
@@ -124,7 +124,7 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     Counts are series per interval (one file per series in the published
     layout), so the guard sees what a reader of the slice sees."""
     import datetime as dt
-    log_path, man_path = f"{root}/_versions", f"{root}/_manifest"
+    log_path, man_path = f"{root}/versions", f"{root}/manifest"
     try:
         log = spark.read.parquet(log_path).where(F.col("dataset") == dataset)
         last = log.where(F.col("status") == "READY").agg(F.max("version")).first()[0]
@@ -132,7 +132,7 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     except Exception:  # noqa: BLE001 - first publish
         last = top = None
     version = (top or 0) + 1
-    path = f"{root}/version={version}"
+    path = f"{root}/data/version={version}"
     (bars.repartitionByRange("asset_class", "interval", "ticker", "ts")
      .sortWithinPartitions("asset_class", "interval", "ticker", "ts")
      .write.mode("overwrite").partitionBy("asset_class", "interval").parquet(path))

@@ -190,9 +190,9 @@ def i5_publish_plan(spark, sf):
     merged, _ = M.consolidate_sources(b, AS_OF)
     current = merged.select(*_I5_BARS).unionByName(D.bars_1d(spark, sf).select(*_I5_BARS))
     P.publish_snapshot(spark, current, root, "combined")
-    man = spark.read.parquet(f"{root}/_manifest").select(
+    man = spark.read.parquet(f"{root}/manifest").select(
         "dataset", "version", "interval", "n_files", F.lit("READY").alias("status"))
-    log = spark.read.parquet(f"{root}/_versions").select(
+    log = spark.read.parquet(f"{root}/versions").select(
         "dataset", "version", F.lit("*").alias("interval"), F.lit(None).cast("bigint").alias("n_files"), "status")
     return man.unionByName(log)
 

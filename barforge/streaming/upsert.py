@@ -7,8 +7,8 @@ the retention window, and committed.
 
 Store layout (plain Parquet, partition-level versions):
 
-* ``<root>/v=<N>/asset_class=<c>/interval=<i>/``  data written by version N
-* ``<root>/_log``  rows (version, asset_class, interval, status); the current
+* ``<root>/data/v=<N>/asset_class=<c>/interval=<i>/``  data written by version N
+* ``<root>/log``  rows (version, asset_class, interval, status); the current
   data of a partition is the one of its greatest logged version (status
   ``EMPTY`` when the merge left nothing)
 
@@ -50,7 +50,7 @@ def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> D
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log")
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
     except Exception:  # noqa: BLE001 - nothing committed yet
         return None
 
@@ -80,8 +80,8 @@ def read_current(spark: SparkSession, root: str, touched=None) -> DataFrame | No
     parts = current_partitions(spark, root, touched)
     if not parts:
         return None
-    paths = [f"{root}/v={v}/asset_class={c}/interval={i}" for c, i, v in parts]
-    return spark.read.option("basePath", root).parquet(*paths).drop("v")
+    paths = [f"{root}/data/v={v}/asset_class={c}/interval={i}" for c, i, v in parts]
+    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("v")
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
@@ -94,11 +94,11 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
     them; partitions left empty are logged as EMPTY."""
     (bars.repartitionByRange(*PART, "ticker", "ts")
      .sortWithinPartitions(*PART, "ticker", "ts")
-     .write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/v={version}"))
-    written = spark.read.parquet(f"{root}/v={version}").select(*PART).distinct()
+     .write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/data/v={version}"))
+    written = spark.read.parquet(f"{root}/data/v={version}").select(*PART).distinct()
     present = {tuple(r) for r in written.collect()}
     rows = [(version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
-    spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(f"{root}/_log")
+    spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(f"{root}/log")
 
 
 def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:

@@ -39,8 +39,8 @@ def test_publish_snapshot_versions_and_guard(spark, tmp_path):
     assert r2["refused"] and r2["version"] is None
     r3 = P.publish_snapshot(spark, full, root, "daily", required=("1d",))
     assert r3["version"] == 3  # version 2 was written but refused (never READY)
-    assert spark.read.parquet(f"{root}/version=3").count() == 6
-    log = {r.version: r.status for r in spark.read.parquet(f"{root}/_versions").collect()}
+    assert spark.read.parquet(f"{root}/data/version=3").count() == 6
+    log = {r.version: r.status for r in spark.read.parquet(f"{root}/versions").collect()}
     assert log == {1: "READY", 2: "REFUSED", 3: "READY"}
 
 
