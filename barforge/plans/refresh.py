@@ -173,6 +173,9 @@ def shard_audit(plan: DataFrame, universe: DataFrame):
     """``plan(entry_id, asset_class, shard_index, shard_count)`` against
     the universe. Returns (per-entry ticker counts with a duplicate flag,
     universe classes no entry covers). Entries of unknown classes count 0."""
+    bad = plan.where(F.col("entry_id").isNull() | F.col("asset_class").isNull()).limit(1).collect()
+    if bad:
+        raise ValueError(f"Invalid shard entry (needs entry_id and asset_class): {bad[0].asDict()}")
     counts = []
     sizes = [r[0] for r in plan.select("shard_count").distinct().collect()]  # a handful
     for n in sizes:

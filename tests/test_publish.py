@@ -60,3 +60,9 @@ def test_slices_and_split(spark):
     assert parts == {("daily", "1d"), ("intraday", "1m"), ("intraday", "5m")}
     pats = sorted(r.pattern for r in P.ignore_patterns(spark, "daily").collect())
     assert "**/1m/**" in pats and "**/1d/**" not in pats
+
+
+def test_split_requires_non_empty_source(spark):
+    import pytest
+    with pytest.raises(RuntimeError, match="No files"):
+        P.split_slices(_tree(spark, ["c/.gitkeep", "notes.md"]), slice_dim(spark))

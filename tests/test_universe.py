@@ -68,3 +68,16 @@ def test_positions_match_row_number_with_hot_group(spark):
     assert sorted(map(tuple, got.select("g", "k", "pos").collect())) == \
         sorted(map(tuple, exp.select("g", "k", F.col("pos").cast("long")).collect()))
     assert got.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_shard_audit_entries(spark):
+    u = spark.createDataFrame([("stocks_us", t) for t in "ABCD"] + [("indices", "X")], "asset_class string, ticker string")
+    plan = spark.createDataFrame([(0, "stocks_us", 0, 2), (1, "stocks_us", 1, 2), (2, "stocks_us", 1, 2), (3, "rates", 0, 1)],
+                                 "entry_id int, asset_class string, shard_index int, shard_count int")
+    entries, uncovered = R.shard_audit(plan, u)
+    got = {r.entry_id: (r.tickers, r.duplicated) for r in entries.collect()}
+    assert got == {0: (2, False), 1: (2, True), 2: (2, True), 3: (0, False)}
+    assert [r.asset_class for r in uncovered.collect()] == ["indices"]
+    bad = spark.createDataFrame([(None, "stocks_us", 0, 1)], "entry_id int, asset_class string, shard_index int, shard_count int")
+    with pytest.raises(ValueError, match="Invalid shard entry"):
+        R.shard_audit(bad, u)
