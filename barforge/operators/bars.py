@@ -4,8 +4,6 @@ retention pruning, adjusted-close preference."""
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,12 +54,12 @@ def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker"))
     """OHLCV bars per series and interval from trade ticks
     ``(key..., ts, price, size, seq)``.
 
-    Two aggregation levels: ticks are first combined into 1-minute bars
-    (partial aggregation before the shuffle, so a hot ticker is reduced
-    map-side), then every coarser interval is rolled up from the 1-minute
-    bars, which are orders of magnitude smaller than the ticks. Each
-    interval's boundaries are multiples of one minute, so the roll-up is exact.
-    """
+    Two aggregation levels, one scan: ticks are first combined into 1-minute
+    bars (hash aggregation with map-side partial aggregation, so a hot
+    ticker is reduced before the shuffle), then every requested interval -
+    1-minute included - is rolled up from those bars, which are orders of
+    magnitude smaller than the ticks. Each interval's boundaries are
+    multiples of one minute, so the roll-up is exact."""
     key = list(key)
     ticks = ticks.withColumn("bar_ts", bar_start("ts", "1m"))
     order = tick_order(F.col("ts"), F.col("bar_ts"), F.col("seq"))
@@ -72,28 +70,20 @@ def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker"))
                  F.max_by("price", order).alias("close"),
                  F.sum("size").alias("volume"),
                  F.count(F.lit(1)).alias("n_ticks")))
-    coarse = [iv for iv in intervals if iv != "1m"]
-    parts = []
-    if "1m" in intervals:
-        parts.append(base.select(*key, F.lit("1m").alias("interval"), F.col("bar_ts").alias("ts"),
-                                 "open", "high", "low", "close", "volume", "n_ticks"))
-    if coarse:
-        rolled = (base.withColumn("interval", F.explode(F.array(*[F.lit(i) for i in coarse])))
-                  .withColumn("ts", _bar_start_by_interval(F.col("bar_ts"), coarse))
-                  .groupBy(*key, "interval", "ts")
-                  .agg(F.min_by("open", "bar_ts").alias("open"),
-                       F.max("high").alias("high"),
-                       F.min("low").alias("low"),
-                       F.max_by("close", "bar_ts").alias("close"),
-                       F.sum("volume").alias("volume"),
-                       F.sum("n_ticks").alias("n_ticks")))
-        parts.append(rolled.select(*key, "interval", "ts", "open", "high", "low", "close",
-                                   "volume", "n_ticks"))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(*key[:1], "interval", *key[1:], "ts", "open", "high", "low", "close",
-                      F.lit(None).cast("double").alias("adj_close"),
-                      F.col("volume").cast("bigint").alias("volume"),
-                      F.col("n_ticks").cast("bigint").alias("n_ticks"))
+    ivs = list(dict.fromkeys(intervals))
+    rolled = (base.withColumn("interval", F.explode(F.array(*[F.lit(i) for i in ivs])))
+              .withColumn("ts", _bar_start_by_interval(F.col("bar_ts"), ivs))
+              .groupBy(*key, "interval", "ts")
+              .agg(F.min_by("open", "bar_ts").alias("open"),
+                   F.max("high").alias("high"),
+                   F.min("low").alias("low"),
+                   F.max_by("close", "bar_ts").alias("close"),
+                   F.sum("volume").alias("volume"),
+                   F.sum("n_ticks").alias("n_ticks")))
+    return rolled.select(*key[:1], "interval", *key[1:], "ts", "open", "high", "low", "close",
+                         F.lit(None).cast("double").alias("adj_close"),
+                         F.col("volume").cast("bigint").alias("volume"),
+                         F.col("n_ticks").cast("bigint").alias("n_ticks"))
 
 
 def rollup_bars(bars: DataFrame, interval: str, key=("asset_class", "ticker")) -> DataFrame:

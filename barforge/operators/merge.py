@@ -102,6 +102,11 @@ def merge_cumulative(stored: DataFrame, fresh: DataFrame, key=SERIES_KEY,
     return merge_sources({"stored": stored, "fresh": fresh}, policy, key)
 
 
+def merge_cumulative_sources(sources: DataFrame, key=SERIES_KEY, policy: str = "fresh_wins") -> DataFrame:
+    """A1 over one DataFrame with ``src`` in {stored, fresh}: one scan."""
+    return ranked_merge(rank_sources(sources, policy), key)
+
+
 def merge_intraday(fresh: DataFrame, stored: DataFrame, legacy: DataFrame | None,
                    as_of: dt.datetime, key=SERIES_KEY, policy: str = "stored_wins") -> DataFrame:
     """A2: fresh + stored + legacy dated files, then retention prune.

@@ -393,11 +393,10 @@ FROM cand c WHERE EXISTS (SELECT 1 FROM avail a WHERE a.asset_class = c.asset_cl
 GROUP BY asset_class""")
 def j7_first_available(spark, sf):
     from barforge.operators.merge import trusted_last_ts
-    s = D.intraday_sources(spark, sf, ["5m", "15m"])
-    cand = (s["fresh"].unionByName(s["stored"]).unionByName(s["legacy"].drop("day"))
-            .select("asset_class", "ticker", "interval").distinct()
+    b = D.intraday_source_bars(spark, sf, ["5m", "15m"])
+    cand = (b.select("asset_class", "ticker", "interval").distinct()
             .withColumn("priority", F.struct(F.when(F.col("interval") == "5m", 0).otherwise(1), "ticker")))
-    avail = trusted_last_ts(s["stored"]).where(F.col("last_ts").isNotNull())
+    avail = trusted_last_ts(b.where(F.col("src") == "stored")).where(F.col("last_ts").isNotNull())
     return R.first_available(cand, avail, ("asset_class", "ticker", "interval"), ("asset_class",))
 
 

@@ -30,7 +30,7 @@ _A1 = [Q.bars_1d("stored_1d", ["F"]), Q.bars_1d("fresh_1d", ["O", "P"]),
 
 
 def _a1(spark, sf):
-    return M.merge_cumulative(D.bars_1d(spark, sf, ("F",)), D.bars_1d(spark, sf, ("O", "P")))
+    return M.merge_cumulative_sources(D.bars_1d_sources(spark, sf))
 
 
 @register("a1_incremental_merge", Q.with_(*_A1) + f"""
@@ -135,13 +135,13 @@ _DATED_RE = r"^(.+)_(\d{4}-\d{2}-\d{2})\.csv$"
 
 
 def _files(spark, sf):
-    s = D.intraday_sources(spark, sf)
-    dated = s["legacy"].select("asset_class", "interval", F.concat(
-        safe_filename(F.col("ticker")), F.lit("_"), F.date_format("day", "yyyy-MM-dd"),
-        F.lit(".csv")).alias("file_name")).distinct()
-    undated = s["stored"].select("asset_class", "interval", F.concat(
-        safe_filename(F.col("ticker")), F.lit(".csv")).alias("file_name")).distinct()
-    return dated.unionByName(undated)
+    """File names of the stored series and of the legacy dated files, from
+    one pass over the source bars."""
+    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
+    stem = safe_filename(F.col("ticker"))
+    name = F.when(F.col("src") == "legacy", F.concat(stem, F.lit("_"), F.date_format("day", "yyyy-MM-dd"),
+                                                     F.lit(".csv"))).otherwise(F.concat(stem, F.lit(".csv")))
+    return b.select("asset_class", "interval", name.alias("file_name")).distinct()
 
 
 @register("p8_dated_name_parse", Q.with_(*_FILES) + f"""

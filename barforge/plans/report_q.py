@@ -101,11 +101,8 @@ SELECT asset_class, interval, list_sort(list(ticker) FILTER (WHERE rn <= 3)) AS
 FROM (SELECT *, row_number() OVER (PARTITION BY asset_class, interval ORDER BY ticker) AS rn FROM keys)
 GROUP BY asset_class, interval""")
 def o2_sample_catalogue(spark, sf):
-    s = D.intraday_sources(spark, sf)
     keys = (D.bars_1d(spark, sf).select("asset_class", "interval", "ticker")
-            .unionByName(s["fresh"].select("asset_class", "interval", "ticker"))
-            .unionByName(s["stored"].select("asset_class", "interval", "ticker"))
-            .unionByName(s["legacy"].select("asset_class", "interval", "ticker")))
+            .unionByName(D.intraday_source_bars(spark, sf).select("asset_class", "interval", "ticker")))
     return RP.catalogue(keys, 3)
 
 

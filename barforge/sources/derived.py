@@ -56,6 +56,32 @@ def bars_1d(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] | None =
         F.col("volume").cast("bigint").alias("volume"))
 
 
+def bars_1d_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored (finished orders) and fresh (open / pending orders) daily bars
+    in one DataFrame with a ``src`` column - one pass over orders."""
+    prepare(spark)
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    k = F.col("o_custkey") % 10
+    o = o.select(
+        F.when(F.col("o_orderstatus") == "F", "stored").otherwise("fresh").alias("src"),
+        F.when(k < 4, "stocks_us").when(k < 7, "crypto").otherwise("indices").alias("asset_class"),
+        F.concat(F.lit("T"), k.cast("string")).alias("ticker"),
+        F.col("o_orderdate").cast("timestamp").alias("ts"),
+        "o_orderkey", "o_totalprice", k.alias("k"))
+    bars = o.groupBy("src", "asset_class", "ticker", "ts", "k").agg(
+        F.min_by("o_totalprice", "o_orderkey").alias("open"),
+        F.max("o_totalprice").alias("high"),
+        F.min("o_totalprice").alias("low"),
+        F.max_by("o_totalprice", "o_orderkey").alias("close"),
+        F.count(F.lit(1)).alias("volume"))
+    return bars.select(
+        "src", "asset_class", F.lit("1d").alias("interval"), "ticker", "ts",
+        "open", "high", "low", "close",
+        F.when(F.col("k") % 2 == 0, F.col("close") * 0.98).alias("adj_close"),
+        F.col("volume").cast("bigint").alias("volume"))
+
+
 # ---------------------------------------------------------------------------
 # Ticks from events: ticker per user, price = value, size from props.k.
 # ---------------------------------------------------------------------------
