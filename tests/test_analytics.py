@@ -94,3 +94,25 @@ def test_bars_from_ticks_rollup(spark):
     assert (five.open, five.high, five.low, five.close, five.volume) == (10.0, 12.0, 9.0, 9.0, 3)
     assert out[("1m", dt.datetime(2024, 1, 1, 0, 0))].close == 12.0
     assert out[("5m", dt.datetime(2024, 1, 1, 0, 5))].n_ticks == 1
+
+
+def test_bars_from_ticks_hot_ticker_matches_pandas(spark):
+    rng = np.random.default_rng(11)
+    n = 3000
+    tickers = np.where(np.arange(n) < n // 3, "HOT", np.array([f"T{i % 40}" for i in range(n)]))
+    base = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+    secs = rng.integers(0, 6 * 3600, size=n)
+    rows = [("c", str(tickers[i]), base + dt.timedelta(seconds=int(secs[i]), microseconds=int(i % 7)),
+             float(rng.integers(100, 200)), int(rng.integers(1, 9)), i) for i in range(n)]
+    t = spark.createDataFrame(rows, "asset_class string, ticker string, ts timestamp, price double, size long, seq long")
+    got = {(r.ticker, r.interval, r.ts.replace(tzinfo=None)): (r.open, r.high, r.low, r.close, r.volume)
+           for r in B.bars_from_ticks(t, ["5m", "1h"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["asset_class", "ticker", "ts", "price", "size", "seq"])
+    pdf["ts"] = pd.to_datetime(pdf["ts"], utc=True).dt.tz_localize(None)
+    for iv, freq in (("5m", "5min"), ("1h", "1h")):
+        g = pdf.sort_values(["ts", "seq"]).assign(b=lambda d: d["ts"].dt.floor(freq)).groupby(["ticker", "b"])
+        exp = g.agg(open=("price", "first"), high=("price", "max"), low=("price", "min"),
+                    close=("price", "last"), volume=("size", "sum"))
+        for (tk, b), r in exp.iterrows():
+            assert got[(tk, iv, b.to_pydatetime())] == (r.open, r.high, r.low, r.close, r.volume)
+    assert len(got) == sum(len(pdf.assign(b=pdf["ts"].dt.floor(f)).groupby(["ticker", "b"])) for f in ("5min", "1h"))
