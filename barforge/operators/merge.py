@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barforge.operators.bars import packed_rank, prune_retention
-from barforge.schema import MIN_TRUSTED_ROWS, SERIES_KEY
+from barforge.schema import MIN_TRUSTED_ROWS, RETENTION_DAYS, SERIES_KEY
 
 POLICIES = {
     "fresh_wins": {"stored": 0, "fresh": 1, "legacy": 2},
@@ -153,22 +153,26 @@ def trusted_last_ts(stored: DataFrame, key=SERIES_KEY, min_rows: int = MIN_TRUST
         F.when(F.count(F.lit(1)) >= min_rows, F.max("ts")).alias("last_ts"))
 
 
-def consolidate(undated: DataFrame, dated: DataFrame, as_of: dt.datetime, key=SERIES_KEY):
+def consolidate(undated: DataFrame, dated: DataFrame, as_of: dt.datetime, key=SERIES_KEY, intervals=None):
     """A11 over two DataFrames; see :func:`consolidate_sources`."""
     u = undated.withColumn("src", F.lit("stored")).unionByName(
         dated.withColumn("src", F.lit("legacy")), allowMissingColumns=True)
-    return consolidate_sources(u, as_of, key)
+    return consolidate_sources(u, as_of, key, intervals)
 
 
-def consolidate_sources(sources: DataFrame, as_of: dt.datetime, key=SERIES_KEY):
+def consolidate_sources(sources: DataFrame, as_of: dt.datetime, key=SERIES_KEY, intervals=None):
     """Fold dated snapshot bars (``src = 'legacy'`` with ``day``) into the
     undated series (``src = 'stored'``) and prune retention everywhere.
+    Only intraday intervals are consolidated (optionally a requested subset
+    of them: requested INTERSECT intraday); other intervals are left out.
 
     Returns (bars, report). Report per (asset_class, interval): ``removed``
     dated files, ``consolidated`` series that had dated files (even when
     nothing survives the prune), ``pruned`` series without dated files that
     lost rows to the prune."""
     key = list(key)
+    allowed = [iv for iv in RETENTION_DAYS if intervals is None or iv in set(intervals)]
+    sources = sources.where(F.col("interval").isin(*allowed))
     ranked = rank_sources(sources, "stored_wins",
                           seq=F.coalesce(F.unix_date(F.col("day")).cast("bigint"), F.lit(0).cast("bigint")))
     merged = prune_retention(ranked_merge(ranked, key), as_of).drop("in_stored", "in_fresh", "changed")

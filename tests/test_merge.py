@@ -147,3 +147,12 @@ def test_merge_invariants(spark, a, b):
     rep = M.merge_report(M.merge_cumulative(sa, sb)).collect()
     assert all(r.new_rows >= 0 for r in rep)
     m1.unpersist()
+
+
+def test_consolidation_only_touches_intraday_intervals(spark):
+    d5 = _intraday(spark, [ts(2024, 6, 1, 14, 30)], "AAPL", "5m").withColumn("day", F.to_date("ts"))
+    dd = _intraday(spark, [ts(2024, 6, 1)], "AAPL", "1d").withColumn("day", F.to_date("ts"))
+    merged, report = M.consolidate(d5.drop("day").limit(0), d5.unionByName(dd), ts(2024, 6, 2, 20))
+    assert {r.interval for r in merged.collect()} == {"5m"}
+    merged2, _ = M.consolidate(d5.drop("day").limit(0), d5, ts(2024, 6, 2, 20), intervals=["1m"])
+    assert merged2.count() == 0
