@@ -11,7 +11,7 @@ from barforge.operators import bars as B
 from barforge.operators import merge as M
 from barforge.plans import sqlparts as Q
 from barforge.plans.registry import register
-from barforge.schema import DAILY_RUN_INTERVALS, SERIES_KEY
+from barforge.schema import CUMULATIVE_INTERVALS, DAILY_RUN_INTERVALS, RETENTION_DAYS, SERIES_KEY
 from barforge.sources import derived as D
 
 KEY = list(SERIES_KEY)
@@ -234,6 +234,9 @@ def p5_normalise_bars(spark, sf):
 
 
 # --------------------------------------------------------------------------- I1
+_INTRA_LIST = ", ".join(f"'{i}'" for i in RETENTION_DAYS)
+_CUM_LIST = ", ".join(f"'{i}'" for i in CUMULATIVE_INTERVALS)
+_IV_LIST = _INTRA_LIST + ", " + _CUM_LIST
 _I1 = [Q.bars_1d("stored_1d", ["F"]), Q.rollup("stored_1d", "1wk", "stored_1wk"),
        Q.bars_1d("fresh_1d", ["O", "P"]), Q.rollup("fresh_1d", "1wk", "fresh_1wk"),
        "stored AS (SELECT * FROM stored_1d UNION ALL SELECT * FROM stored_1wk)",
@@ -243,8 +246,11 @@ _I1 = [Q.bars_1d("stored_1d", ["F"]), Q.rollup("stored_1d", "1wk", "stored_1wk")
                        FROM stored GROUP BY {Q.SERIES})""",
        f"""refresh AS (
   SELECT p.asset_class, p.interval, p.ticker,
-         CASE WHEN t.last_ts IS NULL THEN 'full' ELSE 'incremental' END AS mode,
-         CAST(t.last_ts AS DATE) - 1 AS start
+         CASE WHEN p.interval NOT IN ({_IV_LIST}) THEN 'unsupported'
+              WHEN p.interval IN ({_INTRA_LIST}) THEN 'window'
+              WHEN t.last_ts IS NULL THEN 'full' ELSE 'incremental' END AS mode,
+         CASE WHEN p.interval IN ({_CUM_LIST}) AND t.last_ts IS NOT NULL
+              THEN CAST(t.last_ts AS DATE) - 1 END AS start
   FROM plan p LEFT JOIN trusted t USING ({Q.SERIES}))"""]
 
 

@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.operators.merge import trusted_last_ts
-from barforge.schema import SERIES_KEY
+from barforge.schema import CUMULATIVE_INTERVALS, RETENTION_DAYS, SERIES_KEY
+
+# Job outcome messages
+MSG_UNSUPPORTED = "unsupported interval '%s'"
+MSG_EXISTS = "skipped (exists)"
+MSG_EMPTY_WINDOW = "No %s data (illiquid, halted, or unsupported)"
+MSG_EMPTY_FULL = "No %s data returned"
+MSG_LOADED = "%d row(s) loaded"
 
 
 def work_plan(universe: DataFrame, intervals) -> DataFrame:
@@ -19,15 +26,30 @@ def work_plan(universe: DataFrame, intervals) -> DataFrame:
     return universe.withColumn("interval", F.explode(F.array(*[F.lit(i) for i in intervals])))
 
 
-def refresh_plan(plan: DataFrame, stored: DataFrame, key=SERIES_KEY) -> DataFrame:
-    """Per planned series, a full load when the stored history is missing
-    or untrusted (P13), otherwise an incremental load from the day before the
-    last stored bar."""
-    t = trusted_last_ts(stored, key).select(*key, "last_ts")
-    return (plan.join(t, list(key), "left")
-            .withColumn("mode", F.when(F.col("last_ts").isNull(), "full").otherwise("incremental"))
-            .withColumn("start", F.date_sub(F.to_date("last_ts"), 1))
-            .drop("last_ts"))
+def refresh_plan(plan: DataFrame, stored: DataFrame, key=SERIES_KEY,
+                 skip_existing: bool = False) -> DataFrame:
+    """How each planned series is loaded (``mode``) and from when:
+
+    * intraday intervals - ``window``: the whole retention window, always;
+    * cumulative intervals - ``incremental`` from the day before the last
+      stored bar when the stored history is trusted (P13), else ``full``;
+    * anything else - ``unsupported``;
+    * with ``skip_existing``: ``exists`` for a cumulative series with trusted
+      history or an intraday series with any stored bar (nothing is loaded).
+    """
+    t = trusted_last_ts(stored, key)
+    j = plan.join(t, list(key), "left")
+    iv = F.col("interval")
+    intraday = iv.isin(*RETENTION_DAYS)
+    cumulative = iv.isin(*CUMULATIVE_INTERVALS)
+    exists = (cumulative & F.col("last_ts").isNotNull()) | (intraday & (F.coalesce("stored_rows", F.lit(0)) > 0))
+    mode = F.when(~(intraday | cumulative), "unsupported")
+    if skip_existing:
+        mode = mode.when(exists, "exists")
+    mode = mode.when(intraday, "window").when(F.col("last_ts").isNull(), "full").otherwise("incremental")
+    return (j.withColumn("mode", mode)
+            .withColumn("start", F.when(F.col("mode") == "incremental", F.date_sub(F.to_date("last_ts"), 1)))
+            .drop("last_ts", "stored_rows"))
 
 
 def staged_load(rp: DataFrame, staged: DataFrame, key=SERIES_KEY) -> DataFrame:
@@ -122,22 +144,34 @@ def distinct_requests(plan: DataFrame, req=("ticker", "interval", "start", "peri
     return uniq, plan.withColumn("request_id", rid)
 
 
-def job_outcomes(loaded: DataFrame, errors: DataFrame, supported, key=SERIES_KEY) -> DataFrame:
+def job_outcomes(loaded: DataFrame, errors: DataFrame, supported=None, key=SERIES_KEY) -> DataFrame:
     """One result per planned (series, interval) from the load counts
-    (``mode``, ``loaded_rows``, see :func:`staged_load`) and load errors:
-    skipped when the interval is unsupported, failed on an error or an empty
-    full load, success otherwise (an empty incremental load is a success
-    with 0 rows). A failing series never affects the others."""
+    (``mode``, ``loaded_rows``; see :func:`refresh_plan`, :func:`staged_load`)
+    and load errors. A failing series never affects the others:
+
+    * unsupported interval -> skipped;
+    * ``exists`` (skip_existing hit) -> success, not skipped;
+    * a load error -> failed with its message;
+    * an empty full cumulative load or an empty intraday window -> failed;
+    * otherwise success (an empty incremental load is a success with 0 rows).
+    """
     key = list(key)
     j = loaded.join(errors, key, "left")
-    unsupported = ~F.col("interval").isin(*supported)
-    empty_full = (F.col("loaded_rows") == 0) & (F.col("mode") == "full")
-    status = (F.when(unsupported, "skipped").when(F.col("error").isNotNull(), "failed")
-              .when(empty_full, "failed").otherwise("success"))
-    message = (F.when(unsupported, F.concat(F.lit("unsupported interval "), F.col("interval")))
+    mode, n, iv = F.col("mode"), F.col("loaded_rows"), F.col("interval")
+    unsupported = mode == "unsupported"
+    if supported is not None:
+        unsupported = unsupported | ~iv.isin(*supported)
+    empty_window = (n == 0) & (mode == "window")
+    empty_full = (n == 0) & (mode == "full")
+    status = (F.when(unsupported, "skipped").when(mode == "exists", "success")
+              .when(F.col("error").isNotNull(), "failed")
+              .when(empty_window | empty_full, "failed").otherwise("success"))
+    message = (F.when(unsupported, F.format_string(MSG_UNSUPPORTED, iv))
+               .when(mode == "exists", F.lit(MSG_EXISTS))
                .when(F.col("error").isNotNull(), F.col("error"))
-               .when(empty_full, F.lit("no data"))
-               .otherwise(F.concat(F.col("loaded_rows").cast("string"), F.lit(" rows"))))
+               .when(empty_window, F.format_string(MSG_EMPTY_WINDOW, iv))
+               .when(empty_full, F.format_string(MSG_EMPTY_FULL, iv))
+               .otherwise(F.format_string(MSG_LOADED, n)))
     return j.select(status.alias("status"), "ticker", "asset_class", "interval", message.alias("message"))
 
 

@@ -10,7 +10,7 @@ from barforge.plans import refresh as R
 from barforge.plans import sqlparts as Q
 from barforge.plans.merge_q import _I1
 from barforge.plans.registry import register
-from barforge.schema import (ALL_INTERVALS, MISSING_MARKERS, PERMANENT_MARKERS, TRANSIENT_MARKERS)
+from barforge.schema import MISSING_MARKERS, PERMANENT_MARKERS, TRANSIENT_MARKERS
 from barforge.sources import derived as D
 
 _NORM = """j AS (
@@ -114,7 +114,7 @@ def s16_summary_json(spark, sf):
 
 
 # --------------------------------------------------------------------------- I3
-_PLAN_IVS = ("1d", "1wk", "3mo", "2h")
+_PLAN_IVS = ("1d", "1wk", "3mo", "5m", "2h")
 
 
 def _i3(spark, sf):
@@ -128,7 +128,7 @@ def _i3(spark, sf):
               .agg(F.max("volume").alias("v")).where(F.col("v") > 20)
               .select("asset_class", "interval", "ticker",
                       F.concat(F.lit("rejected bar volume "), F.col("v").cast("string")).alias("error")))
-    return R.job_outcomes(loaded, errors, ALL_INTERVALS)
+    return R.job_outcomes(loaded, errors)
 
 
 @register("i3_job_outcomes", Q.with_(*_I1[:4], "stored AS (SELECT * FROM stored_1d UNION ALL SELECT * FROM stored_1wk)",
@@ -141,14 +141,15 @@ def _i3(spark, sf):
   GROUP BY ALL)""", f"""errs AS (
   SELECT {Q.SERIES}, 'rejected bar volume ' || CAST(max(volume) AS VARCHAR) AS error
   FROM staged GROUP BY ALL HAVING max(volume) > 20)""") + f"""
-SELECT CASE WHEN l.interval NOT IN ({", ".join(f"'{i}'" for i in ALL_INTERVALS)}) THEN 'skipped'
+SELECT CASE WHEN l.mode = 'unsupported' THEN 'skipped'
             WHEN e.error IS NOT NULL THEN 'failed'
-            WHEN l.loaded_rows = 0 AND l.mode = 'full' THEN 'failed' ELSE 'success' END AS status,
+            WHEN l.loaded_rows = 0 AND l.mode IN ('full', 'window') THEN 'failed' ELSE 'success' END AS status,
        l.ticker, l.asset_class, l.interval,
-       CASE WHEN l.interval NOT IN ({", ".join(f"'{i}'" for i in ALL_INTERVALS)}) THEN 'unsupported interval ' || l.interval
+       CASE WHEN l.mode = 'unsupported' THEN 'unsupported interval ' || chr(39) || l.interval || chr(39)
             WHEN e.error IS NOT NULL THEN e.error
-            WHEN l.loaded_rows = 0 AND l.mode = 'full' THEN 'no data'
-            ELSE CAST(l.loaded_rows AS VARCHAR) || ' rows' END AS message
+            WHEN l.loaded_rows = 0 AND l.mode = 'window' THEN 'No ' || l.interval || ' data (illiquid, halted, or unsupported)'
+            WHEN l.loaded_rows = 0 AND l.mode = 'full' THEN 'No ' || l.interval || ' data returned'
+            ELSE CAST(l.loaded_rows AS VARCHAR) || ' row(s) loaded' END AS message
 FROM loaded l LEFT JOIN errs e USING ({Q.SERIES})""")
 def i3_job_outcomes(spark, sf):
     return _i3(spark, sf)

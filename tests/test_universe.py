@@ -81,3 +81,25 @@ def test_shard_audit_entries(spark):
     bad = spark.createDataFrame([(None, "stocks_us", 0, 1)], "entry_id int, asset_class string, shard_index int, shard_count int")
     with pytest.raises(ValueError, match="Invalid shard entry"):
         R.shard_audit(bad, u)
+
+
+def test_job_outcome_rules(spark):
+    from conftest import BAR_DDL, daily_bars
+    from pyspark.sql import functions as F
+    stored = spark.createDataFrame(daily_bars(25, ticker="OLD") + daily_bars(3, ticker="NEW")
+                                   + daily_bars(2, ticker="OLD", iv="5m"), BAR_DDL)
+    plan = spark.createDataFrame([("stocks_us", t, iv) for t in ("OLD", "NEW", "NONE") for iv in ("1d", "5m", "2h")],
+                                 "asset_class string, ticker string, interval string")
+    staged = stored.limit(0)  # the provider returned nothing at all
+    errors = spark.createDataFrame([], "asset_class string, interval string, ticker string, error string")
+    got = {(r.ticker, r.interval): (r.status, r.message) for r in
+           R.job_outcomes(R.staged_load(R.refresh_plan(plan, stored), staged), errors).collect()}
+    assert got[("OLD", "1d")] == ("success", "0 row(s) loaded")           # incremental, nothing new
+    assert got[("NEW", "1d")] == ("failed", "No 1d data returned")       # untrusted -> full load, empty
+    assert got[("OLD", "5m")] == ("failed", "No 5m data (illiquid, halted, or unsupported)")
+    assert got[("NONE", "2h")] == ("skipped", "unsupported interval '2h'")
+    skip = {(r.ticker, r.interval): (r.status, r.message) for r in
+            R.job_outcomes(R.staged_load(R.refresh_plan(plan, stored, skip_existing=True), staged), errors).collect()}
+    assert skip[("OLD", "1d")] == ("success", "skipped (exists)")
+    assert skip[("OLD", "5m")] == ("success", "skipped (exists)")
+    assert skip[("NEW", "1d")][0] == "failed"                            # untrusted history is not skipped
