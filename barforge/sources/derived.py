@@ -15,6 +15,24 @@ from barforge.session import prepare
 
 
 _TABLES: dict = {}
+_PLANS: dict = {}
+
+
+def _memo(fn):
+    """Reuse the DataFrame (a lazy plan, not data) a derivation returns for
+    the same session and arguments; execution still does all the work."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(spark, sf_dir, *args):
+        key = (fn.__name__, id(spark._jsparkSession), sf_dir,
+               tuple(tuple(a) if isinstance(a, (list, tuple)) else a for a in args))
+        df = _PLANS.get(key)
+        if df is None:
+            df = _PLANS[key] = fn(spark, sf_dir, *args)
+        prepare(spark)
+        return df
+    return wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +48,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Daily bars from orders: one ticker per o_custkey % 10, one bar per order day.
 # ---------------------------------------------------------------------------
+@_memo
 def bars_1d(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] | None = None) -> DataFrame:
     prepare(spark)
     o = table(spark, sf_dir, "orders").select(
@@ -56,6 +75,7 @@ def bars_1d(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] | None =
         F.col("volume").cast("bigint").alias("volume"))
 
 
+@_memo
 def bars_1d_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored (finished orders) and fresh (open / pending orders) daily bars
     in one DataFrame with a ``src`` column - one pass over orders."""
@@ -85,6 +105,7 @@ def bars_1d_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Ticks from events: ticker per user, price = value, size from props.k.
 # ---------------------------------------------------------------------------
+@_memo
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     e = table(spark, sf_dir, "events")
@@ -101,6 +122,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type")
 
 
+@_memo
 def bars_intraday(spark: SparkSession, sf_dir: str, intervals=None) -> DataFrame:
     from barforge.operators.bars import bars_from_ticks
     from barforge.schema import INTRADAY_INTERVALS
@@ -141,6 +163,7 @@ CASE p_type WHEN 'ECONOMY' THEN 'stocks_us' WHEN 'SMALL' THEN 'stocks_us'
   ELSE 'indices' END"""
 
 
+@_memo
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """asset_class, file_pos, pos, symbol, security_name, test_issue."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
@@ -156,6 +179,7 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(TEST_ISSUE_SQL).alias("test_issue"))
 
 
+@_memo
 def inline_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inline (config) lists per class from supplier: asset_class, pos, ticker.
     Inline entries are used verbatim (no symbol mapping, duplicates kept)."""
@@ -192,6 +216,7 @@ CASE WHEN l_discount >= 0.09 THEN
   ELSE 'ok' END"""
 
 
+@_memo
 def job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """status, ticker, asset_class, interval, message, seq, shard."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -216,6 +241,7 @@ CASE event_type WHEN 'error' THEN 'legacy' WHEN 'click' THEN 'fresh'
   WHEN 'purchase' THEN 'fresh' ELSE 'stored' END"""
 
 
+@_memo
 def intraday_source_bars(spark: SparkSession, sf_dir: str, intervals=None) -> DataFrame:
     """All three sources in one DataFrame (``src`` column; ``day`` = the
     dated file's day for legacy rows) - one pass over the ticks."""
