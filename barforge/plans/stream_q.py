@@ -1,4 +1,4 @@
-"""Registered streaming query (I2) and the sort operator (O1)."""
+"""Registered streaming queries (I2, I6 as a stream) and the sort operator (O1)."""
 
 from __future__ import annotations
 
@@ -45,3 +45,23 @@ SELECT asset_class, symbol FROM listed ORDER BY asset_class, symbol""")
 def o1_sorted_symbols(spark, sf):
     """Sort at the sink only: binary (code-point) order of the symbols."""
     return _listed(spark, sf).select("asset_class", "symbol").orderBy("asset_class", "symbol")
+
+
+@register("i6_stream_bars", Q.with_(Q.TICKS, Q.bars_from_ticks(["15m"], "b15")) + f"""
+SELECT {Q.SERIES}, ts, open, high, low, close, volume, n_ticks FROM b15
+WHERE ts + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 5 MINUTE""")
+def i6_stream_bars(spark, sf):
+    """Ticks streamed file by file into 15-minute bars with 5 minutes of
+    allowed lateness; the stream drains the staged files and emits every bar
+    the final watermark has closed."""
+    from barforge.streaming import bars as SB
+    base = f"{checkpoint_dir(spark).rstrip('/')}/i6s-{uuid.uuid4().hex}"
+    t = D.ticks(spark, sf).select("asset_class", "ticker", "ts", "price", "size", "seq")
+    week = F.date_trunc("week", "ts")
+    # stage the ticks as one file per calendar week, oldest first (arrival order)
+    for w in sorted(r[0] for r in t.select(week.alias("w")).distinct().collect()):
+        t.where(week == F.lit(w)).coalesce(1).write.mode("append").parquet(f"{base}/staged")
+    q = SB.start_bar_stream(spark, f"{base}/staged", t.schema, f"{base}/out", f"{base}/ckpt", "15m", "5 minutes")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(*SERIES_KEY, "ts", "open", "high", "low", "close",
+                                                    "volume", "n_ticks")
