@@ -7,10 +7,12 @@ the retention window, and committed.
 
 Store layout (plain Parquet, partition-level versions):
 
-* ``<root>/data/v=<N>/asset_class=<c>/interval=<i>/``  data written by version N
-* ``<root>/log``  rows (version, asset_class, interval, status); the current
-  data of a partition is the one of its greatest logged version (status
-  ``EMPTY`` when the merge left nothing)
+* ``<root>/data/stream=<s>/v=<N>/asset_class=<c>/interval=<i>/``  data
+  written by version N of stream s (the seed is stream ``seed``, version 0)
+* ``<root>/log``  rows (stream, version, asset_class, interval, status); the
+  current data of a partition is the one of its greatest logged version
+  (status ``EMPTY`` when the merge left nothing). Concurrent streams must
+  touch disjoint partitions (e.g. split by interval).
 
 A micro-batch reads and rewrites only the (asset_class, interval) partitions
 its rows touch, so a batch costs the size of the touched partitions, not
@@ -36,7 +38,7 @@ from barforge.schema import SERIES_KEY
 
 PAYLOAD = ["open", "high", "low", "close", "adj_close", "volume"]
 PART = ["asset_class", "interval"]
-LOG_SCHEMA = "version int, asset_class string, interval string, status string"
+LOG_SCHEMA = "stream string, version int, asset_class string, interval string, status string"
 
 
 def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> DataFrame:
@@ -55,10 +57,12 @@ def _log(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
+def latest_version(spark: SparkSession, root: str, stream: str | None = None) -> int | None:
     log = _log(spark, root)
     if log is None:
         return None
+    if stream is not None:
+        log = log.where(F.col("stream") == stream)
     return log.agg(F.max("version")).first()[0]
 
 
@@ -73,15 +77,15 @@ def current_partitions(spark: SparkSession, root: str, touched=None) -> list[tup
         log = log.join(keys, PART, "left_semi")
     w = Window.partitionBy(*PART).orderBy(F.col("version").desc())
     cur = log.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") == 1) & (F.col("status") == "READY"))
-    return [tuple(r) for r in cur.select(*PART, "version").collect()]
+    return [tuple(r) for r in cur.select(*PART, "version", "stream").collect()]
 
 
 def read_current(spark: SparkSession, root: str, touched=None) -> DataFrame | None:
     parts = current_partitions(spark, root, touched)
     if not parts:
         return None
-    paths = [f"{root}/data/v={v}/asset_class={c}/interval={i}" for c, i, v in parts]
-    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("v")
+    paths = [f"{root}/data/stream={s}/v={v}/asset_class={c}/interval={i}" for c, i, v, s in parts]
+    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("stream", "v")
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
@@ -89,15 +93,17 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return read_current(spark, root)
 
 
-def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touched) -> None:
-    """Write the new data of the ``touched`` partitions as ``version`` and log
-    them; partitions left empty are logged as EMPTY."""
+def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touched,
+           stream: str = "main") -> None:
+    """Write the new data of the ``touched`` partitions as ``version`` of
+    ``stream`` and log them; partitions left empty are logged as EMPTY."""
+    path = f"{root}/data/stream={stream}/v={version}"
     (bars.repartitionByRange(*PART, "ticker", "ts")
      .sortWithinPartitions(*PART, "ticker", "ts")
-     .write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/data/v={version}"))
-    written = spark.read.parquet(f"{root}/data/v={version}").select(*PART).distinct()
+     .write.mode("overwrite").partitionBy(*PART).parquet(path))
+    written = spark.read.parquet(path).select(*PART).distinct()
     present = {tuple(r) for r in written.collect()}
-    rows = [(version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
+    rows = [(stream, version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
     spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(f"{root}/log")
 
 
@@ -105,14 +111,14 @@ def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:
     """Version 0 of the store (rows must carry src_rank and seq)."""
     data = bars.select(*SERIES_KEY, "ts", *PAYLOAD, "src_rank", "seq")
     touched = [tuple(r) for r in data.select(*PART).distinct().collect()]
-    commit(spark, root, data, 0, touched)
+    commit(spark, root, data, 0, touched, "seed")
 
 
-def upsert_batch_fn(root: str, as_of: dt.datetime, key=SERIES_KEY):
+def upsert_batch_fn(root: str, as_of: dt.datetime, key=SERIES_KEY, stream: str = "main"):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = batch_id + 1
-        current = latest_version(spark, root)
+        current = latest_version(spark, root, stream)
         if current is not None and current >= version:
             return  # replay of an already committed batch
         touched = [tuple(r) for r in batch.select(*PART).distinct().collect()]
@@ -120,18 +126,28 @@ def upsert_batch_fn(root: str, as_of: dt.datetime, key=SERIES_KEY):
             return
         store = read_current(spark, root, touched)
         merged = prune_retention(merge_ranked(store, batch, key), as_of)
-        commit(spark, root, merged, version, touched)
+        commit(spark, root, merged, version, touched, stream)
     return fn
 
 
 def start_upsert(spark: SparkSession, staged_dir: str, schema, root: str, checkpoint: str,
-                 as_of: dt.datetime, watermark: str = "60 days", files_per_batch: int = 1):
+                 as_of: dt.datetime, watermark: str = "60 days", files_per_batch: int = 1,
+                 intervals=None, stream: str = "main"):
     """Start the upsert stream; ``trigger(availableNow=True)`` drains what is
-    staged and stops (a scheduled job); drop the trigger to run continuously."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(staged_dir)
-              .withColumn("ts", F.col("ts").cast("timestamp"))  # watermark needs TIMESTAMP (not NTZ)
-              .withWatermark("ts", watermark)
-              .dropDuplicatesWithinWatermark([*SERIES_KEY, "ts", "src_rank", "seq"]))
-    return (stream.writeStream.foreachBatch(upsert_batch_fn(root, as_of))
+    staged and stops (a scheduled job); drop the trigger to run continuously.
+
+    A stream has one watermark, so series with different retention windows
+    run as separate streams over the same staged folder, e.g.
+    ``intervals=["1m"], watermark="7 days"`` and the other intraday
+    intervals with ``"60 days"`` (each with its own checkpoint); their
+    micro-batches touch disjoint store partitions."""
+    rows = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+            .parquet(staged_dir))
+    if intervals is not None:
+        rows = rows.where(F.col("interval").isin(*intervals))
+    rows = (rows
+            .withColumn("ts", F.col("ts").cast("timestamp"))  # watermark needs TIMESTAMP (not NTZ)
+            .withWatermark("ts", watermark)
+            .dropDuplicatesWithinWatermark([*SERIES_KEY, "ts", "src_rank", "seq"]))
+    return (rows.writeStream.foreachBatch(upsert_batch_fn(root, as_of, stream=stream))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -77,3 +77,24 @@ def test_stream_window_alignment():
     import pytest
     with pytest.raises(ValueError):
         SB.window_spec("1mo")
+
+
+def test_two_streams_split_by_interval(spark):
+    def mk(vals, iv, day0, rank):
+        return (spark.createDataFrame([("c", iv, "X", ts(2024, 6, day0 + i), v, v, v, v, None, 1) for i, v in enumerate(vals)],
+                                      BAR_DDL).withColumn("src_rank", F.lit(rank)).withColumn("seq", F.lit(0).cast("long")))
+    base = f"{checkpoint_dir(spark)}/test-i2-split-{uuid.uuid4().hex}"
+    cols = ["asset_class", "interval", "ticker", "ts", *U.PAYLOAD, "src_rank", "seq"]
+    U.seed_store(spark, f"{base}/store", mk([1.0], "1m", 8, 1).unionByName(mk([1.0], "5m", 1, 1)).select(*cols))
+    staged = mk([5.0, 6.0], "1m", 8, 0).unionByName(mk([7.0, 8.0], "5m", 1, 0)).select(*cols)
+    staged.coalesce(1).write.mode("append").parquet(f"{base}/staged")
+    as_of = ts(2024, 6, 10)
+    q1 = U.start_upsert(spark, f"{base}/staged", staged.schema, f"{base}/store", f"{base}/ck1", as_of,
+                        "7 days", intervals=["1m"], stream="m1")
+    q2 = U.start_upsert(spark, f"{base}/staged", staged.schema, f"{base}/store", f"{base}/ck2", as_of,
+                        "60 days", intervals=["5m"], stream="other")
+    q1.awaitTermination()
+    q2.awaitTermination()
+    got = sorted((r.interval, r.ts.day, r.close) for r in U.read_current(spark, f"{base}/store").collect())
+    # stored wins on 06-08 (1m) and 06-01 (5m); fresh adds the rest; 1m keeps 7 days
+    assert got == [("1m", 8, 1.0), ("1m", 9, 6.0), ("5m", 1, 1.0), ("5m", 2, 8.0)]
