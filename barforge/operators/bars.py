@@ -4,6 +4,7 @@ retention pruning, adjusted-close preference."""
 from __future__ import annotations
 
 import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,8 @@ def tick_order(ts: Column, bar_ts: Column, seq: Column) -> Column:
     i.e. a sort of every tick). Exact for seq < 2^37; beyond, ties at the
     same microsecond are broken by seq mod 2^37 - still deterministic."""
     off = F.unix_micros(ts) - F.unix_micros(bar_ts)
-    return off * F.lit(1 << SEQ_BITS) + F.pmod(seq.cast("bigint"), F.lit(1 << SEQ_BITS))
+    seq = F.coalesce(seq.cast("bigint"), F.lit(0).cast("bigint"))
+    return off * F.lit(1 << SEQ_BITS) + F.pmod(seq, F.lit(1 << SEQ_BITS))
 
 
 def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker")) -> DataFrame:
@@ -104,8 +106,10 @@ RANK_BITS = 48  # packed (src_rank, seq): seq < 2^48, src_rank < 2^14
 
 
 def packed_rank(rank: Column, seq: Column) -> Column:
-    """(src_rank, seq) as one BIGINT ordered like the pair (seq < 2^48)."""
-    return rank.cast("bigint") * F.lit(1 << RANK_BITS) + seq.cast("bigint")
+    """(src_rank, seq) as one BIGINT ordered like the pair (0 <= seq < 2^48;
+    outside that range ANSI arithmetic raises instead of mis-ordering)."""
+    seq = F.coalesce(seq.cast("bigint"), F.lit(0).cast("bigint"))
+    return rank.cast("bigint") * F.lit(1 << RANK_BITS) + seq
 
 
 def last_write_wins(df: DataFrame, key, rank_cols=("src_rank", "seq")) -> DataFrame:

@@ -9,10 +9,11 @@ Store layout (plain Parquet, partition-level versions):
 
 * ``<root>/data/stream=<s>/v=<N>/asset_class=<c>/interval=<i>/``  data
   written by version N of stream s (the seed is stream ``seed``, version 0)
-* ``<root>/log``  rows (stream, version, asset_class, interval, status); the
-  current data of a partition is the one of its greatest logged version
-  (status ``EMPTY`` when the merge left nothing). Concurrent streams must
-  touch disjoint partitions (e.g. split by interval).
+* ``<root>/log/stream=<s>/``  rows (version, asset_class, interval, status)
+  appended by stream s only (concurrent writers never share an output
+  directory); the current data of a partition is the one of its greatest
+  logged version (status ``EMPTY`` when the merge left nothing). Concurrent
+  streams must touch disjoint partitions (e.g. split by interval).
 
 A micro-batch reads and rewrites only the (asset_class, interval) partitions
 its rows touch, so a batch costs the size of the touched partitions, not
@@ -38,7 +39,8 @@ from barforge.schema import SERIES_KEY
 
 PAYLOAD = ["open", "high", "low", "close", "adj_close", "volume"]
 PART = ["asset_class", "interval"]
-LOG_SCHEMA = "stream string, version int, asset_class string, interval string, status string"
+LOG_ROW = "version int, asset_class string, interval string, status string"
+LOG_SCHEMA = LOG_ROW + ", stream string"  # stream = the log/stream=<name> directory
 
 
 def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> DataFrame:
@@ -103,8 +105,8 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
      .write.mode("overwrite").partitionBy(*PART).parquet(path))
     written = spark.read.parquet(path).select(*PART).distinct()
     present = {tuple(r) for r in written.collect()}
-    rows = [(stream, version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
-    spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(f"{root}/log")
+    rows = [(version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
+    spark.createDataFrame(rows, LOG_ROW).write.mode("append").parquet(f"{root}/log/stream={stream}")
 
 
 def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:
