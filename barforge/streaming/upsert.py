@@ -7,17 +7,21 @@ the retention window, and committed.
 
 Store layout (plain Parquet, partition-level versions):
 
-* ``<root>/data/stream=<s>/v=<N>/asset_class=<c>/interval=<i>/``  data
-  written by version N of stream s (the seed is stream ``seed``, version 0)
+* ``<root>/data/stream=<s>/v=<N>/asset_class=<c>/interval=<i>/month=<yyyy-MM>/``
+  data written by version N of stream s (the seed is stream ``seed``, version 0)
 * ``<root>/log/stream=<s>/``  rows (version, asset_class, interval, status)
   appended by stream s only (concurrent writers never share an output
   directory); the current data of a partition is the one of its greatest
   logged version (status ``EMPTY`` when the merge left nothing). Concurrent
   streams must touch disjoint partitions (e.g. split by interval).
 
-A micro-batch reads and rewrites only the (asset_class, interval) partitions
-its rows touch, so a batch costs the size of the touched partitions, not
-of the store. The data directory is written before its log rows and is named
+A micro-batch reads and rewrites only the (asset_class, interval, month)
+partitions its rows touch, plus, per intraday interval, the month that
+straddles the retention cutoff; months wholly past retention are dropped by
+a log entry alone. A daily update of decades of daily bars therefore
+rewrites one month, not the series history.
+
+The data directory is written before its log rows and is named
 after the batch id, so a replayed batch overwrites its own output and a
 batch whose log rows exist is skipped: the sink is idempotent and survives
 executor or driver loss (the streaming checkpoint lives in the shared
@@ -38,8 +42,8 @@ from barforge.operators.bars import packed_rank, prune_retention
 from barforge.schema import SERIES_KEY
 
 PAYLOAD = ["open", "high", "low", "close", "adj_close", "volume"]
-PART = ["asset_class", "interval"]
-LOG_ROW = "version int, asset_class string, interval string, status string"
+PART = ["asset_class", "interval", "month"]
+LOG_ROW = "version int, asset_class string, interval string, month string, status string"
 LOG_SCHEMA = LOG_ROW + ", stream string"  # stream = the log/stream=<name> directory
 
 
@@ -52,6 +56,36 @@ def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> D
     return u.groupBy(*key, "ts").agg(*[F.max_by(c, "_rk").alias(c) for c in (*PAYLOAD, "src_rank", "seq")])
 
 
+def month_of(ts) -> F.Column:
+    """The store's time partition of a bar: its UTC calendar month."""
+    return F.date_format(ts, "yyyy-MM")
+
+
+def _month_bounds(month: str) -> tuple[dt.datetime, dt.datetime]:
+    y, m = (int(x) for x in month.split("-"))
+    start = dt.datetime(y, m, 1, tzinfo=dt.timezone.utc)
+    end = dt.datetime(y + (m == 12), m % 12 + 1, 1, tzinfo=dt.timezone.utc)
+    return start, end
+
+
+def retention_months(live, as_of: dt.datetime):
+    """Split live intraday partitions into (expired, straddling) months for
+    ``as_of``: expired months hold only bars older than the retention cutoff
+    (dropped by a log entry), the straddling month is re-pruned."""
+    from barforge.operators.bars import retention_cutoffs
+    cut = retention_cutoffs(as_of)
+    expired, straddling = set(), set()
+    for c, i, m, *_ in live:
+        if i not in cut:
+            continue
+        start, end = _month_bounds(m)
+        if end <= cut[i]:
+            expired.add((c, i, m))
+        elif start < cut[i]:
+            straddling.add((c, i, m))
+    return expired, straddling
+
+
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
@@ -69,13 +103,16 @@ def latest_version(spark: SparkSession, root: str, stream: str | None = None) ->
 
 
 def current_partitions(spark: SparkSession, root: str, touched=None) -> list[tuple]:
-    """(asset_class, interval, version) of the live data of each partition
-    (optionally only ``touched`` ones). One row per partition - metadata."""
+    """(asset_class, interval, month, version, stream) of the live data of each
+    partition (optionally only ``touched`` ones). One row per partition -
+    metadata."""
     log = _log(spark, root)
     if log is None:
         return []
     if touched is not None:
-        keys = spark.createDataFrame(list(touched), "asset_class string, interval string")
+        if not touched:
+            return []
+        keys = spark.createDataFrame(list(touched), "asset_class string, interval string, month string")
         log = log.join(keys, PART, "left_semi")
     w = Window.partitionBy(*PART).orderBy(F.col("version").desc())
     cur = log.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") == 1) & (F.col("status") == "READY"))
@@ -86,8 +123,8 @@ def read_current(spark: SparkSession, root: str, touched=None) -> DataFrame | No
     parts = current_partitions(spark, root, touched)
     if not parts:
         return None
-    paths = [f"{root}/data/stream={s}/v={v}/asset_class={c}/interval={i}" for c, i, v, s in parts]
-    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("stream", "v")
+    paths = [f"{root}/data/stream={s}/v={v}/asset_class={c}/interval={i}/month={m}" for c, i, m, v, s in parts]
+    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("stream", "v", "month")
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
@@ -100,19 +137,22 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
     """Write the new data of the ``touched`` partitions as ``version`` of
     ``stream`` and log them; partitions left empty are logged as EMPTY."""
     path = f"{root}/data/stream={stream}/v={version}"
-    (bars.repartitionByRange(*PART, "ticker", "ts")
+    (bars.withColumn("month", month_of(F.col("ts")))
+     .repartitionByRange(*PART, "ticker", "ts")
      .sortWithinPartitions(*PART, "ticker", "ts")
      .write.mode("overwrite").partitionBy(*PART).parquet(path))
     written = spark.read.parquet(path).select(*PART).distinct()
     present = {tuple(r) for r in written.collect()}
-    rows = [(version, c, i, "READY" if (c, i) in present else "EMPTY") for c, i in touched]
-    spark.createDataFrame(rows, LOG_ROW).write.mode("append").parquet(f"{root}/log/stream={stream}")
+    rows = [(version, c, i, m, "READY" if (c, i, m) in present else "EMPTY") for c, i, m in touched]
+    if rows:
+        spark.createDataFrame(rows, LOG_ROW).write.mode("append").parquet(f"{root}/log/stream={stream}")
 
 
 def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:
     """Version 0 of the store (rows must carry src_rank and seq)."""
     data = bars.select(*SERIES_KEY, "ts", *PAYLOAD, "src_rank", "seq")
-    touched = [tuple(r) for r in data.select(*PART).distinct().collect()]
+    touched = [tuple(r) for r in data.select("asset_class", "interval", month_of(F.col("ts")).alias("month"))
+               .distinct().collect()]
     commit(spark, root, data, 0, touched, "seed")
 
 
@@ -123,12 +163,17 @@ def upsert_batch_fn(root: str, as_of: dt.datetime, key=SERIES_KEY, stream: str =
         current = latest_version(spark, root, stream)
         if current is not None and current >= version:
             return  # replay of an already committed batch
-        touched = [tuple(r) for r in batch.select(*PART).distinct().collect()]
+        touched = {tuple(r) for r in batch.select("asset_class", "interval", month_of(F.col("ts")).alias("month"))
+                   .distinct().collect()}
         if not touched:
             return
-        store = read_current(spark, root, touched)
+        expired, straddling = retention_months(current_partitions(spark, root), as_of)
+        groups = {(c, i) for c, i, _ in touched}
+        straddling = {p for p in straddling if (p[0], p[1]) in groups}
+        expired = {p for p in expired if (p[0], p[1]) in groups}
+        store = read_current(spark, root, (touched | straddling) - expired)
         merged = prune_retention(merge_ranked(store, batch, key), as_of)
-        commit(spark, root, merged, version, touched, stream)
+        commit(spark, root, merged, version, sorted(touched | straddling | expired), stream)
     return fn
 
 

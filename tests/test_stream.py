@@ -98,3 +98,24 @@ def test_two_streams_split_by_interval(spark):
     got = sorted((r.interval, r.ts.day, r.close) for r in U.read_current(spark, f"{base}/store").collect())
     # stored wins on 06-08 (1m) and 06-01 (5m); fresh adds the rest; 1m keeps 7 days
     assert got == [("1m", 8, 1.0), ("1m", 9, 6.0), ("5m", 1, 1.0), ("5m", 2, 8.0)]
+
+
+def test_month_partitions_touched_expired_straddling(spark):
+    base = f"{checkpoint_dir(spark)}/test-i2-months-{uuid.uuid4().hex}"
+    cols = ["asset_class", "interval", "ticker", "ts", *U.PAYLOAD, "src_rank", "seq"]
+
+    def rows(spec, rank):
+        return (spark.createDataFrame([("c", iv, "X", t, v, v, v, v, None, 1) for iv, t, v in spec], BAR_DDL)
+                .withColumn("src_rank", F.lit(rank)).withColumn("seq", F.lit(0).cast("long")).select(*cols))
+    U.seed_store(spark, f"{base}/store", rows([("1d", ts(2024, 1, 5), 1.0), ("1d", ts(2024, 2, 5), 2.0),
+                                               ("1m", ts(2024, 5, 20), 3.0), ("1m", ts(2024, 6, 2), 4.0),
+                                               ("1m", ts(2024, 6, 9), 5.0)], 1))
+    fn = U.upsert_batch_fn(f"{base}/store", ts(2024, 6, 10))
+    fn(rows([("1d", ts(2024, 2, 6), 6.0), ("1m", ts(2024, 6, 10), 7.0)], 0), 0)
+    live = {(i, m): v for c, i, m, v, s in U.current_partitions(spark, f"{base}/store")}
+    assert live[("1d", "2024-01")] == 0          # untouched month: not rewritten
+    assert live[("1d", "2024-02")] == 1          # touched month
+    assert ("1m", "2024-05") not in live         # wholly past the 7-day retention: dropped by the log
+    assert live[("1m", "2024-06")] == 1          # straddles the cutoff: re-pruned
+    got = sorted((r.interval, r.ts.day, r.ts.month, r.close) for r in U.read_current(spark, f"{base}/store").collect())
+    assert got == [("1d", 5, 1, 1.0), ("1d", 5, 2, 2.0), ("1d", 6, 2, 6.0), ("1m", 9, 6, 5.0), ("1m", 10, 6, 7.0)]
