@@ -49,3 +49,15 @@ def test_parquet_store_prunes_partitions(spark, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "1wk" in plan
     assert q.count() == 4
+
+
+def test_scan_quarantines_unparseable_rows(spark, tmp_path):
+    d = tmp_path / "crypto" / "5m"
+    d.mkdir(parents=True)
+    (d / "BTC-USD.csv").write_text("Datetime,Open,Close,Volume\n"
+                                   "2024-06-01T00:00:00+0000,1.0,2.0,5\n"
+                                   "not-a-time,3.0,4.0,6\n")
+    bars, quarantine = ST.read_bar_csv(spark, str(tmp_path))
+    assert [(r.stem, r.close) for r in bars.collect()] == [("BTC-USD", 2.0)]
+    bad = [(r.reason, r.rows) for r in quarantine.collect()]
+    assert bad == [("bad time", 1)]
