@@ -14,10 +14,28 @@ from barforge.functions.symbols import (not_skipped_security, not_test_issue, pl
 from barforge.schema import EUROPE_SUFFIXES
 
 
+_INTEGRAL = ("byte", "short", "integer", "long")
+_LO_BITS = 40  # packed (hi, lo) position: 0 <= lo < 2^40, 0 <= hi < 2^23
+
+
 def first_seen(df: DataFrame, group, value: str, order) -> DataFrame:
-    """Keep the first occurrence of ``value`` per ``group`` by ``order``
-    (a min over a struct - partial aggregation, no global sort)."""
+    """Keep the first occurrence of ``value`` per ``group`` by ``order``.
+
+    With one or two non-negative integral position columns the position is
+    packed into one BIGINT and taken with ``min`` - a hash aggregate with
+    map-side combine - then unpacked (types preserved); other orderings fall
+    back to the minimum of a struct (a sort-based aggregate)."""
     group, order = list(group), list(order)
+    types = [df.schema[c].dataType for c in order]
+    if 1 <= len(order) <= 2 and all(t.typeName() in _INTEGRAL for t in types):
+        cols = [F.col(c).cast("bigint") for c in order]
+        packed = cols[0] if len(cols) == 1 else cols[0] * F.lit(1 << _LO_BITS) + cols[1]
+        agg = df.groupBy(*group, value).agg(F.min(packed).alias("_p"))
+        if len(order) == 1:
+            parts = [F.col("_p")]
+        else:
+            parts = [F.floor(F.col("_p") / F.lit(1 << _LO_BITS)), F.pmod(F.col("_p"), F.lit(1 << _LO_BITS))]
+        return agg.select(*group, value, *[p.cast(t).alias(c) for p, t, c in zip(parts, types, order)])
     first = F.min(F.struct(*order)).alias("_first")
     return df.groupBy(*group, value).agg(first).select(
         *group, value, *[F.col(f"_first.{c}").alias(c) for c in order])
