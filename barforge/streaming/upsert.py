@@ -9,7 +9,7 @@ Store layout (plain Parquet, partition-level versions):
 
 * ``<root>/data/stream=<s>/v=<N>/asset_class=<c>/interval=<i>/month=<yyyy-MM>/``
   data written by version N of stream s (the seed is stream ``seed``, version 0)
-* ``<root>/log/stream=<s>/``  rows (version, asset_class, interval, status)
+* ``<root>/log/stream=<s>/``  rows (version, asset_class, interval, month, status)
   appended by stream s only (concurrent writers never share an output
   directory); the current data of a partition is the one of its greatest
   logged version (status ``EMPTY`` when the merge left nothing). Concurrent
