@@ -98,8 +98,10 @@ def json_directory_listing(rows: DataFrame, code_keys, name_keys, industry_keys,
                     strip(first_nonblank(name_keys)).alias("name"),
                     strip(first_nonblank(industry_keys)).alias("industry"), order)
     r = r.where(F.col("code").rlike(r"^\d+$")).withColumn("symbol", F.concat("code", F.lit(suffix)))
-    firsts = r.groupBy("symbol").agg(F.min_by(F.struct("name", "industry"), F.col(order)).alias("f"))
-    return firsts.select("symbol", "f.name", "f.industry").orderBy("symbol")
+    # one min_by per column on the (unique) record position: a hash aggregate
+    firsts = r.groupBy("symbol").agg(F.min_by("name", order).alias("name"),
+                                     F.min_by("industry", order).alias("industry"))
+    return firsts.select("symbol", "name", "industry").orderBy("symbol")
 
 
 def suffix_rank(sym: Column) -> Column:
@@ -123,10 +125,10 @@ def nested_constituents_listing(stocks: DataFrame) -> DataFrame:
     c = c.withColumn("rank", suffix_rank(F.col("sym"))).where(F.col("rank") < 100)
     best = c.groupBy("index_name", "index_pos", "stock_pos", "name").agg(
         F.min_by("sym", F.struct("rank", F.length("sym"), "sym")).alias("symbol"))
-    firsts = best.groupBy("symbol").agg(
-        F.min_by(F.struct("name", "index_name"), F.struct("index_pos", "stock_pos")).alias("f"))
-    return firsts.select("symbol", F.col("f.name").alias("name"),
-                         F.col("f.index_name").alias("index_name")).orderBy("symbol")
+    pos = F.col("index_pos").cast("bigint") * F.lit(1 << _LO_BITS) + F.col("stock_pos").cast("bigint")
+    firsts = best.withColumn("_pos", pos).groupBy("symbol").agg(
+        F.min_by("name", "_pos").alias("name"), F.min_by("index_name", "_pos").alias("index_name"))
+    return firsts.select("symbol", "name", "index_name").orderBy("symbol")
 
 
 def pad_code(code: Column, width: int = 6) -> Column:
@@ -148,8 +150,10 @@ def exchange_directory_listing(markets: dict[str, DataFrame], suffixes: dict[str
                                F.lit(market).alias("market"), F.lit(i).alias("m_pos"),
                                F.col(order).alias("r_pos")))
     u = reduce(DataFrame.unionByName, parts)
-    firsts = u.groupBy("symbol").agg(F.min_by(F.struct("name", "market"), F.struct("m_pos", "r_pos")).alias("f"))
-    return firsts.select("symbol", "f.name", "f.market").orderBy("symbol")
+    pos = F.col("m_pos").cast("bigint") * F.lit(1 << _LO_BITS) + F.col("r_pos").cast("bigint")
+    firsts = u.withColumn("_pos", pos).groupBy("symbol").agg(
+        F.min_by("name", "_pos").alias("name"), F.min_by("market", "_pos").alias("market"))
+    return firsts.select("symbol", "name", "market").orderBy("symbol")
 
 
 def content_fingerprint(df: DataFrame, group, cols) -> DataFrame:
