@@ -20,7 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,14 +121,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     the piece (part, nth among that part's pieces of its length). A document's
     ids end with ``end_id``; only those longer than ``capacity`` are cut. Null
     text counts as empty, a null doc_id stays."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, nth, tokenize = TaskContext.get().partitionId(), Counter(), tokenizer_at(tokenizer_path)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in batches:
             rows, size = [], 0
-            for doc, text in zip(b["doc_id"].astype("Int64"), b["text"]):
-                ids = tokenize(text) + end
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
+                ids = tokenize(text.as_py()) + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at:at + step]
                     n = len(cut) // 4
@@ -139,12 +139,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     yield _frame(rows)
                     rows, size = [], 0
             yield _frame(rows)
-    return written(texts_only(docs, id_col, text_col).mapInPandas(run, PIECE_SCHEMA), "pack-pieces")
+    return written(texts_only(docs, id_col, text_col).mapInArrow(run, PIECE_SCHEMA), "pack-pieces")
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=PIECE_SCHEMA.names)
-    return out.astype({"doc_id": "Int64", "piece": "int32", "start": "int64", "length": "int64", "part": "int32", "nth": "int64"})
+def _frame(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    columns = zip(*rows) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], PIECE_SCHEMA.names)
 
 
 # ---------------------------------------------------------------------------
@@ -375,13 +376,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = np.array(rows or [(0, 0, 0, 1, 0)], np.int64)
     key = (table[:, 0] << 48) | table[:, 1]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, rank = b["length"].to_numpy(np.int64), b["_rank"].to_numpy(np.int64)
+            n, rank = (b.column(c).to_numpy() for c in ("length", "_rank"))
             row = table[np.searchsorted(key, (n << 48) | rank, "right") - 1]
             nth = rank - row[:, 1]
-            yield b.drop(columns="_rank").assign(
-                sequence_id=row[:, 2] + nth // row[:, 3], offset=row[:, 4] + nth % row[:, 3] * n)
+            sequence, offset = row[:, 2] + nth // row[:, 3], row[:, 4] + nth % row[:, 3] * n
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in kept), pa.array(sequence), pa.array(offset)], [*kept, "sequence_id", "offset"])
 
     by_length = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = held.select("part", "length", F.coalesce(F.sum("held").over(by_length), F.lit(0)).alias("_first"))
@@ -390,4 +392,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.select(*kept, (F.col("_first") + F.col("nth")).cast("bigint").alias("_rank"))
     schema = T.StructType([*(f for f in ranked.schema.fields if f.name != "_rank"),
                            T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInPandas(place, schema)
+    return ranked.mapInArrow(place, schema)

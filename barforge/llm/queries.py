@@ -37,3 +37,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barforge.llm.packing import pack, token_pieces
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "nth"))
+
+
+@query("op9_warc_chunked_records", oracle="""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND first <> page_id THEN first END AS refers_to
+FROM f
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.warc import read_archive, records, write_archive
+    path = write_archive(table(spark, sf_dir, "pages"))
+    return records(read_archive(spark, path))

@@ -20,7 +20,7 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,11 +52,11 @@ def text_fingerprint(text: bytes | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): one row per input row, fp the fingerprint as a signed
     BIGINT with the same bits. Null text counts as empty; nulls in the id stay."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([text_fingerprint(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fps})
-    return texts_only(docs, id_col, text_col).mapInPandas(run, "doc_id bigint, fp bigint")
+            fps = np.array([text_fingerprint(t.as_py(), shingle) for t in b.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+    return texts_only(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
 def ball_masks(radius: int, segments: int = 2, bits: int = 64) -> list[int]:
