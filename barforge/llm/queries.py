@@ -52,3 +52,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barforge.llm.warc import read_archive, records, write_archive
     path = write_archive(table(spark, sf_dir, "pages"))
     return records(read_archive(spark, path))
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.substring import EMPTY, remove_repeats
+    summary, changed = remove_repeats(table(spark, sf_dir, "documents"))
+    kept = changed.select(F.col("doc_id").alias("id"), F.col("digest").alias("of"), F.sha2("kept", 256).alias("rest"))
+    out = summary.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.when(F.col("state") == "copy", F.lit(EMPTY)).otherwise(F.coalesce("rest", "digest")).alias("kept_sha256"))
