@@ -62,3 +62,61 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = summary.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
     return out.select("doc_id", "n_words", "n_removed",
                       F.when(F.col("state") == "copy", F.lit(EMPTY)).otherwise(F.coalesce("rest", "digest")).alias("kept_sha256"))
+
+
+#: The contract's rules (fixed values).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+_OP1_SHARE = """greatest(0.001, least(0.9, coalesce(CASE WHEN sum(n) FILTER (n > 0) > count(*) FILTER (n > 0) THEN
+  (sum((bad * 1.0::DOUBLE / n - up) * (bad * 1.0::DOUBLE / n - up) * n / (up * (1 - up))) FILTER (n > 0) - count(*) FILTER (n > 0))
+  / (sum(n) FILTER (n > 0) - count(*) FILTER (n > 0)) END, 0.001)))::DOUBLE"""
+
+
+@query("op1_url_host_reputation", oracle=rf"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+marked AS (
+  SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT host, sum(bad) AS bad, count(*) AS n
+  FROM p JOIN marked ON marked.doc_id = try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:\.[a-z]+)?/?$', 1), '') AS BIGINT)
+  GROUP BY host),
+hosts AS (
+  SELECT host, CASE WHEN host ~ '^[0-9.]+$' OR regexp_extract(host, '[^.]+\.[^.]+$') = '' OR host ~ '^(?:ac|co|com|edu|gov|net|org)\.[a-z][a-z]$' THEN host
+      WHEN regexp_extract(host, '[^.]+\.(?:ac|co|com|edu|gov|net|org)\.[a-z][a-z]$') <> '' THEN regexp_extract(host, '[^.]+\.(?:ac|co|com|edu|gov|net|org)\.[a-z][a-z]$')
+      ELSE regexp_extract(host, '[^.]+\.[^.]+$') END AS domain
+  FROM (SELECT DISTINCT host FROM p)),
+base AS (
+  SELECT h.host, domain, CASE WHEN regexp_extract(domain, '^[^.]*\.(.+)$', 1) = '' OR h.host ~ '^[0-9.]+$' THEN domain
+      ELSE regexp_extract(domain, '^[^.]*\.(.+)$', 1) END AS suffix, coalesce(bad, 0) AS bad, coalesce(n, 0) AS n
+  FROM hosts h LEFT JOIN counts c ON c.host = h.host),
+d0 AS (SELECT suffix, domain, sum(bad) AS bad, sum(n) AS n FROM base GROUP BY ALL),
+s0 AS (SELECT suffix, sum(bad) AS bad, sum(n) AS n, (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(n) + 2) FROM base) AS up FROM d0 GROUP BY suffix),
+s1 AS (SELECT 1 / {_OP1_SHARE} - 1 AS k FROM s0),
+d1 AS (SELECT d0.*, (s0.bad + k * up) / (s0.n + k) AS up FROM d0 JOIN s0 USING (suffix), s1),
+d2 AS (SELECT 1 / {_OP1_SHARE} - 1 AS k FROM d1),
+h1 AS (SELECT host, base.bad, base.n, (d1.bad + k * up) / (d1.n + k) AS up FROM base JOIN d1 USING (domain), d2),
+h2 AS (SELECT 1 / {_OP1_SHARE} - 1 AS k FROM h1),
+post AS (SELECT host, bad + k * up AS a, n - bad + k * (1 - up) AS b FROM h1, h2),
+j AS (
+  SELECT page_id, host, path, a / (a + b) - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) AS low,
+    CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM p LEFT JOIN post USING (host))
+SELECT page_id, host, path, rule,
+  CASE rule WHEN 'com/' THEN 'allow' WHEN 'www.example.com/en/' THEN 'allow' WHEN 'example.com/en/' THEN 'block'
+    WHEN 'net/es/' THEN 'block' WHEN 'net/fr/' THEN 'block' ELSE CASE WHEN low > 0.5 THEN 'block' ELSE 'allow' END END AS verdict
+FROM j
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.url_filter import judge, page_outcomes
+    pages = table(spark, sf_dir, "pages")
+    judged = judge(pages, page_outcomes(pages, table(spark, sf_dir, "labels")), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
