@@ -120,3 +120,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = judge(pages, page_outcomes(pages, table(spark, sf_dir, "labels")), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_quality_ngram_ratio")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.quality import judge
+    labels = table(spark, sf_dir, "labels")
+    trusted = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    return judge(table(spark, sf_dir, "documents"), trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
