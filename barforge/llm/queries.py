@@ -129,3 +129,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0))
     return judge(table(spark, sf_dir, "documents"), trusted).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
+def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language decisions for ``docs`` (columns of documents): text, markup
+    language and address of the document's page, and its source as the host of
+    documents without a page."""
+    from barforge.llm.language import fit_text_models, identify, page_evidence
+    languages, models = fit_text_models(docs, "lang")
+    return identify(docs, languages, models, host_col="source", evidence=page_evidence(table(spark, sf_dir, "pages")))
+
+
+@query("op6_language_evidence")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = languages_of(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return found.select("doc_id", "lang", "kept", "text_lang", F.round("probability", 6).alias("probability"))
