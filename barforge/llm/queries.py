@@ -144,3 +144,9 @@ def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = languages_of(spark, table(spark, sf_dir, "documents"), sf_dir)
     return found.select("doc_id", "lang", "kept", "text_lang", F.round("probability", 6).alias("probability"))
+
+
+@query("op2_benchmark_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
