@@ -150,3 +150,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barforge.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_pii_boosted_candidates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.pii import BASE, document_spans, span_text
+    found = document_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in BASE), F.sha2(span_text("base"), 256).alias("base_sha256"),
+                        span_text("spans").alias("spans"))
