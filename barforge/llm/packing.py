@@ -16,6 +16,8 @@ sequence and offset from the plan.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -69,39 +71,48 @@ class ChunkTokenizer:
             self.cut = regex.compile(splits[0]["pattern"]["Regex"]).findall
             printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
             others = [b for b in range(256) if b not in printable]
-            self.letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+            self.letter = {b: chr(256 + i) for i, b in enumerate(others)}  # the printable stand for themselves
             self.tokenize = self.whole.model.tokenize
         self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             if len(self.parts) >= CACHE_CHUNKS:
                 self.parts.clear()
-            letter = self.letter
-            ids = self.parts[part] = [t.id for t in self.tokenize("".join(letter[b] for b in part.encode()))]
+            letters = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letter)
+            ids = self.parts[part] = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
         return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "replace")
-        if self.quick and _SIMPLE.fullmatch(text) and not any(s in text for s in self.special):
-            ids = [i for part in self.cut(text.lower()) for i in self._part(part)]
-        else:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        if self.quick:
+            text = chunk.decode("utf-8", "replace")
+            if _SIMPLE.fullmatch(text):
+                low = text.lower()
+                if low.isalpha():
+                    return self._part(low)
+                if low[-1] in ",." and low[:-1].isalpha():
+                    return self._part(low[:-1]) + self._part(low[-1])
+                if not any(s in text for s in self.special):
+                    return b"".join(map(self._part, self.cut(low)))
+        return array("I", self.whole.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: bytes | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, out = self.chunks, []
-        for chunk in (text or b"").split():
-            ids = known.get(chunk)
-            if ids is None:
-                if len(known) >= CACHE_CHUNKS:
-                    known.clear()
-                ids = known[chunk] = self._chunk(chunk)
-            out.append(ids)
-        return b"".join(out)
+        known, chunks = self.chunks, (text or b"").split()
+        out = list(map(known.get, chunks))
+        if None in out:
+            if len(known) >= CACHE_CHUNKS:
+                known.clear()
+            for i in [i for i, ids in enumerate(out) if ids is None]:
+                chunk = chunks[i]
+                ids = known.get(chunk)
+                if ids is None:
+                    ids = known[chunk] = self._chunk(chunk)
+                out[i] = ids
+        ids = b"".join(out)
+        return ids if sys.byteorder == "little" else np.frombuffer(ids, ">u4").astype("<u4").tobytes()
 
 
 _LOADED: dict[str, ChunkTokenizer] = {}
@@ -135,7 +146,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     rows.append((doc, piece, at // 4, n, cut, part, nth[n]))
                     nth[n] += 1
                 size += len(ids)
-                if size > 16_000_000:
+                if size > 4_000_000:
                     yield _frame(rows)
                     rows, size = [], 0
             yield _frame(rows)
