@@ -158,3 +158,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = document_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *(f"n_{k}" for k in BASE), F.sha2(span_text("base"), 256).alias("base_sha256"),
                         span_text("spans").alias("spans"))
+
+
+@query("op4_licence_paragraphs")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.licences import scan
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_paragraphs", "n_licence", F.array_join("families", ",").alias("families"),
+                        F.round("probability", 6).alias("probability"))

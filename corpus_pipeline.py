@@ -1,21 +1,80 @@
-"""Corpus pipeline: five stages from raw documents to packed sequences."""
+"""Corpus pipeline: five stages from raw documents to packed sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before
+kept; run() writes every result to the shared folder as Parquet and reads it
+back as the next stage's docs. All stages but the last return the columns of
+documents. Rows without a doc_id cannot be followed through the stages and go
+in the first one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barforge.llm.common import scratch_path, written
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language the evidence settles on; lang holds that language.
+    The rest (no letters, or none of the known languages probable enough) goes."""
+    from barforge.llm.queries import languages_of
+    found = written(languages_of(spark, docs, sf_dir).where(F.col("kept") & F.col("doc_id").isNotNull())
+                    .groupBy("doc_id").agg(F.max("lang").alias("found_lang")), "pipeline-languages")
+    return docs.join(found, "doc_id").select("doc_id", "text", F.col("found_lang").alias("lang"), "source", "n_chars")
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest
+    doc_id (a repeated row counts once)."""
+    from barforge.llm.simhash import near_duplicates
+    found = near_duplicates(docs, shingle=3, max_bits=2)
+    kept = written(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "pipeline-kept")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    from barforge.llm.decontaminate import contaminated
+    hit = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = written(hit.select("doc_id").distinct(), "pipeline-contaminated")
+    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; n_chars follows."""
+    from barforge.llm.pii import redact
+    return redact(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token piece of every document with its sequence and offset."""
+    import public_tokenizers
+
+    from barforge.llm.packing import pack, token_pieces
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "nth"))
+
 
-STAGES: list[tuple[str, Callable]] = []
+STAGES: list[tuple[str, Callable]] = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pii", pii),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: SQL cannot express the stages (SimHash, tokenizer); tests hold run() against a brute-force version.
+#: SQL cannot express the stages (XXH64 fingerprints, trained models, a
+#: tokenizer); tests/llm holds run() against a brute-force version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents; each result is a Parquet table in the shared
-    folder that the next stage reads."""
-    from barforge.llm.common import scratch_path
+    """Apply STAGES to documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
