@@ -3,8 +3,10 @@ the raw corpus, plus the base measures of every text.
 
 Words and word pairs are hashed into a fixed number of buckets. One pass counts
 the buckets over all documents and, at the same time, over the trusted ones;
-each task sends one row per bucket it met, so what is shuffled for the counts
-and what reaches the driver is bounded by the number of buckets. A second pass
+the target is fitted on a bounded sample of these, whose ids every task holds,
+so no text is shuffled. Each task sends one row per bucket it met: what is
+shuffled for the counts and what reaches the driver is bounded by the number
+of buckets. A second pass
 scores every document: the sum of log(p_target / p_raw) over its n-grams,
 divided by their number plus a pseudo-length, against a fixed threshold.
 """
@@ -19,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barforge.llm.common import mix, slices, texts_only, window_hashes, word_hashes
+from barforge.llm.common import mix, slices, texts_only, window_hashes, word_hashes, written
 
 BUCKETS = 1 << 18
+#: Trusted documents the target is fitted on, at most (those with the smallest hash of the id).
+TRUSTED_SAMPLE = 30_000
 #: Target n-grams added to every bucket, and raw ones in proportion.
 PRIOR_COUNT = 4.0
 #: n-grams of neutral evidence added to every document; short texts are not judged on a few words.
@@ -41,11 +45,13 @@ def ngram_buckets(words: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id",
-                  text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+                  text_col: str = "text", trusted_sample: int = TRUSTED_SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """(raw, target) n-gram counts per bucket over all documents and over those
-    whose id is in ``trusted(doc_id)``."""
-    marked = texts_only(docs, id_col, text_col).join(
-        trusted.select(F.col("doc_id").cast("bigint")).distinct().withColumn("trusted", F.lit(True)), "doc_id", "left")
+    whose id is among the ``trusted_sample`` chosen from ``trusted(doc_id)``."""
+    ids = trusted.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
+    ids = written(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_sample), "quality-trusted")
+    # at most trusted_sample ids: small by construction
+    marked = texts_only(docs, id_col, text_col).join(F.broadcast(ids.withColumn("trusted", F.lit(True))), "doc_id", "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
