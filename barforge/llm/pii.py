@@ -119,7 +119,9 @@ def featured(found: DataFrame) -> DataFrame:
     seed = (F.col("kind") == "secret") & m.rlike("^[0-9A-Fa-f]{32,}$")
     sure = found.withColumn("sure", F.col("valid") | seed)
     back = F.max(F.when(F.col("sure"), F.col("end"))).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.min(F.when(F.col("sure"), F.col("start"))).over(by_place.rowsBetween(1, Window.unboundedFollowing))
+    # from the end: a frame that reaches to the partition's end would take time in the square of its rows
+    from_end = Window.partitionBy("doc_id", "text_hash").orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))
+    ahead = F.min(F.when(F.col("sure"), F.col("start"))).over(from_end.rowsBetween(Window.unboundedPreceding, -1))
     overlaps = F.coalesce(back > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
     cue = F.when(F.col("prior").rlike(CONTACT_CUE), 1).otherwise(0) + F.when(F.col("prior").rlike(SECRET_CUE), 2).otherwise(0)
     codes = {
@@ -167,13 +169,16 @@ def selected_patterns(candidates_featured: DataFrame, precision: float = PRECISI
 
 def find_spans(docs: DataFrame, precision: float = PRECISION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, kind, start, end, base): the base spans, secrets a
-    rule confirms, and the other candidates the calibrated trees select. Candidates of a base kind
-    that fail its rule, or that overlap a confirmed span, are not added again."""
+    rule confirms, and the other candidates the calibrated trees select.
+    Candidates of a base kind that fail its rule are not added, nor candidates
+    of the trees that overlap a confirmed span."""
     found = written(featured(candidates(docs, id_col, text_col)), "pii-candidates")
     base = found.where("valid").select("doc_id", "text_hash", "kind", "start", "end", F.lit(True).alias("base"))
     chosen = selected_patterns(found, precision)
-    more = found.where(~F.col("valid") & ~F.col("inside") & ~F.col("kind").isin(*BASE))
-    added = more.where("sure").unionByName(more.where("not sure").join(chosen, list(FEATURES), "left_semi")) if chosen is not None else more.where("sure")
+    more = found.where(~F.col("valid") & ~F.col("kind").isin(*BASE))
+    added = more.where("sure")
+    if chosen is not None:
+        added = added.unionByName(more.where("not sure and not inside").join(chosen, list(FEATURES), "left_semi"))
     return base.union(added.select("doc_id", "text_hash", "kind", "start", "end", F.lit(False)))
 
 
@@ -214,12 +219,17 @@ def redact(docs: DataFrame, precision: float = PRECISION, id_col: str = "doc_id"
     spans = _listed(find_spans(docs, precision, id_col, text_col)).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans"))
     spans = written(spans, "pii-spans")
-    rows = docs.withColumn("_hash", F.xxhash64(text, F.lit(1)))
-    rows = rows.join(spans, F.col(id_col).cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # kept apart from the names used here
+    rows = docs.select(row, F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text, F.lit(1)).alias("_hash"), text.alias("_text"))
+    rows = rows.join(spans, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left")
+    text = F.col("_text")
     start = F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("at"))
     done = F.aggregate("_spans", start, lambda a, s: F.when(s["start"] < a["at"], F.struct(
         a["text"].alias("text"), F.greatest(a["at"], s["end"]).alias("at"))).otherwise(F.struct(
             F.concat(a["text"], text.substr((a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
                      F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("text"), s["end"].alias("at"))))
-    rest = F.concat(done["text"], text.substr((done["at"] + 1).cast("int"), F.length(text)))
-    return rows.withColumn(text_col, F.when(F.col("_spans").isNotNull(), rest).otherwise(F.col(text_col))).select(*docs.columns)
+    rows = rows.withColumn("_done", F.when(F.col("_spans").isNotNull(), done))
+    rest = F.concat("_done.text", text.substr((F.col("_done.at") + 1).cast("int"), F.length(text)))
+    clean = F.when(F.col("_done").isNotNull(), rest)
+    return rows.select(*((F.coalesce(clean, F.col(f"row.`{c}`")) if c == text_col else F.col(f"row.`{c}`")).alias(c)
+                         for c in docs.columns))
