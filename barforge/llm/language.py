@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barforge.llm.common import with_fields, written
+from barforge.llm.common import small_batches, with_fields, written
 from barforge.llm.url_filter import host_of, registered_domain, suffix_of
 
 UNKNOWN = "und"
@@ -105,6 +105,7 @@ def text_scores(docs: DataFrame, languages: list[str], models: np.ndarray, *keep
     buckets = models.shape[1]
     flat = math.log(8.0 / buckets)
     table = np.ascontiguousarray(models.T)
+    small_batches(docs.sparkSession)
     rows = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias("_text"))
     names = [c for c in rows.columns if c != "_text"]
 

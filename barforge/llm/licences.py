@@ -199,14 +199,14 @@ def licence_paragraphs(docs: DataFrame, model: LicenceModel, id_col: str = "doc_
                        (F.col("best.similarity") >= shared_pairs).alias("confirmed"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_paragraphs (lines with a word),
+def scan(docs: DataFrame, model: LicenceModel | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """With ``model``, or one fitted on ``docs``: one row per row of ``docs`` with doc_id, n_paragraphs (lines with a word),
     n_licence (paragraphs with a confirmed family), families (distinct, sorted),
     probability (the highest confirmed one, null without any). Null text has no
     paragraphs; null ids and repeated rows stay; an empty table gives an empty
     result; other columns are ignored."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = licence_paragraphs(docs, fit(docs, text_col), id_col, text_col).where("confirmed")
+    found = licence_paragraphs(docs, model or fit(docs, text_col), id_col, text_col).where("confirmed")
     found = found.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("family")).alias("families"), F.max("probability").alias("probability"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text, F.lit(1)).alias("text_hash"),
