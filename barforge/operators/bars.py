@@ -4,6 +4,7 @@ retention pruning, adjusted-close preference."""
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,19 +38,27 @@ def _bar_start_by_interval(ts: Column, intervals) -> Column:
     return expr
 
 
-SEQ_BITS = 37  # 1-minute offset (< 6e7 us, 26 bits) + 37 bits of sequence fit a long
+def ordered_pair(high: Column, low: Column) -> Column:
+    """Two integers as one DECIMAL(38) ordered like the pair: high * 2^64 + low.
+    Exact for every BIGINT ``low`` (null counts as 0) and every INT ``high``,
+    negative ones included. Being a fixed-width value it lets ``min_by`` /
+    ``max_by`` run as a hash aggregate (a struct ordering forces a sort-based
+    one)."""
+    wide = F.lit(Decimal(1 << 64))
+    return (high.cast("decimal(12,0)") * wide + F.coalesce(low.cast("bigint"), F.lit(0)).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def split_pair(pair: Column) -> tuple[Column, Column]:
+    """(high, low) of :func:`ordered_pair` for non-negative ``low``."""
+    wide = F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
+    low = F.pmod(pair, wide)
+    return ((pair - low) / wide).cast("bigint"), low.cast("bigint")
 
 
 def tick_order(ts: Column, bar_ts: Column, seq: Column) -> Column:
-    """A single BIGINT ordering ticks inside one 1-minute bar by (ts, seq):
-    the microsecond offset from the bar start in the high bits, the sequence
-    in the low 37 bits. Being primitive, it lets ``min_by`` / ``max_by`` run
-    as a hash aggregate (a struct ordering forces a sort-based aggregate,
-    i.e. a sort of every tick). Exact for seq < 2^37; beyond, ties at the
-    same microsecond are broken by seq mod 2^37 - still deterministic."""
-    off = F.unix_micros(ts) - F.unix_micros(bar_ts)
-    seq = F.coalesce(seq.cast("bigint"), F.lit(0).cast("bigint"))
-    return off * F.lit(1 << SEQ_BITS) + F.pmod(seq, F.lit(1 << SEQ_BITS))
+    """Orders ticks inside one 1-minute bar by (ts, seq): the microsecond offset
+    from the bar start, then the sequence."""
+    return ordered_pair(F.unix_micros(ts) - F.unix_micros(bar_ts), seq)
 
 
 def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker")) -> DataFrame:
@@ -90,26 +99,26 @@ def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker"))
 
 def rollup_bars(bars: DataFrame, interval: str, key=("asset_class", "ticker")) -> DataFrame:
     """Resample finer bars of one series into ``interval`` bars (open of the
-    first bar, close/adj_close of the last, high/low extremes, summed volume)."""
+    first bar, close/adj_close of the last, high/low extremes, summed volume and
+    dividends, splits multiplied; the last two where the bars carry them)."""
     key = list(key)
+    # a ratio of 0 or null means no split on that bar
+    split = lambda c: F.exp(F.sum(F.when(F.col(c) > 0, F.ln(c))))
+    extra = {c: how for c, how in (("dividends", F.sum), ("stock_splits", split)) if c in bars.columns}
     return (bars.withColumn("_b", bar_start("ts", interval))
             .groupBy(*key, "_b")
             .agg(F.min_by("open", "ts").alias("open"), F.max("high").alias("high"),
                  F.min("low").alias("low"), F.max_by("close", "ts").alias("close"),
                  F.max_by("adj_close", "ts").alias("adj_close"),
-                 F.sum("volume").cast("bigint").alias("volume"))
+                 F.sum("volume").cast("bigint").alias("volume"),
+                 *[how(c).alias(c) for c, how in extra.items()])
             .select(*key[:1], F.lit(interval).alias("interval"), *key[1:],
-                    F.col("_b").alias("ts"), "open", "high", "low", "close", "adj_close", "volume"))
-
-
-RANK_BITS = 48  # packed (src_rank, seq): seq < 2^48, src_rank < 2^14
+                    F.col("_b").alias("ts"), "open", "high", "low", "close", "adj_close", "volume", *extra))
 
 
 def packed_rank(rank: Column, seq: Column) -> Column:
-    """(src_rank, seq) as one BIGINT ordered like the pair (0 <= seq < 2^48;
-    outside that range ANSI arithmetic raises instead of mis-ordering)."""
-    seq = F.coalesce(seq.cast("bigint"), F.lit(0).cast("bigint"))
-    return rank.cast("bigint") * F.lit(1 << RANK_BITS) + seq
+    """(src_rank, seq) as one value ordered like the pair, any BIGINT seq."""
+    return ordered_pair(rank, seq)
 
 
 def last_write_wins(df: DataFrame, key, rank_cols=("src_rank", "seq")) -> DataFrame:
@@ -117,7 +126,7 @@ def last_write_wins(df: DataFrame, key, rank_cols=("src_rank", "seq")) -> DataFr
 
     Expressed as an aggregate rather than a row_number window so duplicates
     combine map-side before the shuffle. With (src_rank, seq) - or a single
-    primitive rank column - the rank is one BIGINT and every column is taken
+    primitive rank column - the rank is one number and every column is taken
     with its own ``max_by`` on it: a hash aggregate. Ranks must be unique per
     key (a unique ``seq`` guarantees it), so all columns come from one row."""
     key = list(key)
@@ -135,12 +144,14 @@ def last_write_wins(df: DataFrame, key, rank_cols=("src_rank", "seq")) -> DataFr
 
 
 def normalise_bars(raw: DataFrame, key=SERIES_KEY, ts_col: str = "Datetime",
-                   seq_col: str | None = None) -> DataFrame:
+                   seq_col: str = "seq") -> DataFrame:
     """P5: flatten two-level (``price.ticker``) columns, keep the whitelisted
     OHLCV columns, parse the time as UTC, last row per timestamp wins.
 
     ``raw`` may carry struct columns such as ``Open: struct<AAPL: double>``
-    (the two-level header); the first field of each is taken."""
+    (the two-level header); the first field of each is taken. A cell that does
+    not parse becomes null. ``seq_col`` (required) orders rows of one
+    timestamp: an order made up from partitions would depend on file splits."""
     cols = {}
     for field in raw.schema.fields:
         name = field.name
@@ -153,9 +164,11 @@ def normalise_bars(raw: DataFrame, key=SERIES_KEY, ts_col: str = "Datetime",
     ts_raw = cols[ts_col.lower()]
     ts = ts_raw if raw.schema[ts_col].dataType.typeName().startswith("timestamp") \
         else F.try_to_timestamp(ts_raw.cast("string"))
-    seq = cols[seq_col] if seq_col else F.monotonically_increasing_id()
+    if seq_col.lower() not in cols:
+        raise ValueError(f"no sequence column {seq_col!r} in {raw.columns}")
+    seq = cols[seq_col.lower()]
     df = raw.select(*[cols[k].alias(k) for k in key], ts.cast("timestamp").alias("ts"),
-                    *[(cols[c].cast("bigint") if c == "volume" else cols[c].cast("double")).alias(c)
+                    *[(cols[c].try_cast("double").try_cast("bigint") if c == "volume" else cols[c].try_cast("double")).alias(c)
                       for c in keep],
                     seq.alias("seq"))
     df = df.where(F.col("ts").isNotNull())

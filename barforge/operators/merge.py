@@ -13,11 +13,12 @@ policies mirror the two code paths being reproduced:
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barforge.operators.bars import packed_rank, prune_retention
+from barforge.operators.bars import packed_rank, prune_retention, retention_predicate
 from barforge.schema import MIN_TRUSTED_ROWS, RETENTION_DAYS, SERIES_KEY
 
 POLICIES = {
@@ -48,26 +49,27 @@ def ranked_merge(union: DataFrame, key=SERIES_KEY) -> DataFrame:
     plus per-key flags for the merge report - ``in_stored``, ``in_fresh``,
     ``changed`` (the winner differs from the stored row).
 
-    A single hash aggregation does everything: (src_rank, seq) is packed into
-    one BIGINT and each column takes its own ``max_by`` on it, so duplicates
+    A single hash aggregation does everything: (src_rank, seq) is one number
+    and each column takes its own ``max_by`` on it, so duplicates
     combine map-side before the shuffle on (series, ts), which spreads even
     a hot ticker over its timestamps. Rows of one source are unique per
     (series, ts) (normalisation guarantees it), so the winner is one row."""
     key = list(key)
     payload = [c for c in PAYLOAD if c in union.columns]
-    union = (union.withColumn("_h", F.xxhash64(*payload))
-             .withColumn("_rk", packed_rank(F.col("src_rank"), F.col("seq"))))
+    union = union.withColumn("_rk", packed_rank(F.col("src_rank"), F.col("seq")))
+    stored = F.col("src") == "stored"
+    # the (one) stored row's own values, null where it has none: compared as they are
     agg = union.groupBy(*key, "ts").agg(
         *[F.max_by(c, "_rk").alias(c) for c in payload],
-        F.max_by("_h", "_rk").alias("_win_h"),
-        F.max(F.when(F.col("src") == "stored", F.col("_h"))).alias("_stored_h"),
+        *[F.max(F.when(stored, F.col(c))).alias(f"_was_{c}") for c in payload],
         F.max((F.col("src") == "stored").cast("int")).alias("_in_stored"),
         F.max((F.col("src") == "fresh").cast("int")).alias("_in_fresh"))
     return agg.select(
         *key, "ts", *payload,
         (F.col("_in_stored") == 1).alias("in_stored"),
         (F.col("_in_fresh") == 1).alias("in_fresh"),
-        ((F.col("_in_stored") == 1) & (F.col("_win_h") != F.col("_stored_h"))).alias("changed"))
+        ((F.col("_in_stored") == 1) & ~reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in payload])).alias("changed"))
 
 
 def merge_sources(sources: dict[str, DataFrame], policy: str = "fresh_wins",
@@ -175,12 +177,14 @@ def consolidate_sources(sources: DataFrame, as_of: dt.datetime, key=SERIES_KEY,
     sources = sources.where(F.col("interval").isin(*allowed))
     ranked = rank_sources(sources, "stored_wins",
                           seq=F.coalesce(F.unix_date(F.col("day")).cast("bigint"), F.lit(0).cast("bigint")))
-    merged = prune_retention(ranked_merge(ranked, key), as_of).drop("in_stored", "in_fresh", "changed")
-    before = sources.groupBy(*key).agg(
-        F.count_if(F.col("src") == "stored").alias("n_before"),
-        F.count_distinct(F.when(F.col("src") == "legacy", F.col("day"))).alias("files"))
-    after = merged.groupBy(*key).agg(F.count(F.lit(1)).alias("n_after"))
-    per = before.join(after, key, "left").na.fill(0, ["n_after"])
+    merged = ranked_merge(ranked, key)
+    # one aggregate of the merged rows gives both counts: before, and after the prune
+    per = merged.groupBy(*key).agg(F.count_if("in_stored").alias("n_before"),
+                                   F.count_if(retention_predicate(as_of)).alias("n_after"))
+    # a file per day: the set is bounded by the series' time span
+    files = sources.where(F.col("src") == "legacy").groupBy(*key).agg(F.size(F.collect_set("day")).alias("files"))
+    per = per.join(files, key, "left").na.fill(0, ["files"])
+    merged = prune_retention(merged, as_of).drop("in_stored", "in_fresh", "changed")
     report = per.groupBy("asset_class", "interval").agg(
         F.sum("files").alias("removed"),
         F.count_if(F.col("files") > 0).alias("consolidated"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from barforge.operators import merge as M
 from barforge.plans import sqlparts as Q
 from barforge.plans.registry import register
 from barforge.schema import CUMULATIVE_INTERVALS, DAILY_RUN_INTERVALS, RETENTION_DAYS, SERIES_KEY
+from barforge.session import checkpoint_dir
 from barforge.sources import derived as D
+from barforge.sources import store as ST
 
 KEY = list(SERIES_KEY)
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, tzinfo=dt.timezone.utc)
@@ -79,7 +82,10 @@ def a2_rows_kept(spark, sf):
 @register("p6_retention_prune", Q.with_(Q.TICKS, Q.bars_from_ticks()) + f"""
 SELECT {Q.SERIES}, ts, close FROM bars_intraday WHERE {Q.retention_sql(AS_OF_SQL)}""")
 def p6_retention_prune(spark, sf):
-    return B.prune_retention(D.bars_intraday(spark, sf), AS_OF).select(*KEY, "ts", "close")
+    """Retention on a stored table: written once, then one pruned read per cutoff."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/p6-{uuid.uuid4().hex}"
+    ST.write_store(D.bars_intraday(spark, sf), root)
+    return ST.read_retained(spark, root, AS_OF).select(*KEY, "ts", "close")
 
 
 # --------------------------------------------------------------------------- P13

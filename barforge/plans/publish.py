@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.schema import ALL_INTERVALS, FAILED_STATUSES, READY_STATUSES, SLICES
+from barforge.session import path_exists
+from barforge.sources.store import read_partitioned
 
 
 def tree_counts(tree: DataFrame, intervals=None):
@@ -53,6 +55,17 @@ def publish_guard(previous: DataFrame, current: DataFrame, required, include=Non
         j = j.join(req_df, "interval", "full")
     else:
         j = j.withColumn("required", F.lit(False))
+    return guard_rows(j)
+
+
+def guard_counts(counts: DataFrame, required, include=None) -> DataFrame:
+    """:func:`publish_guard` over one table (interval, pulled, current)."""
+    own = counts if include is None else counts.where(F.col("interval").isin(*include))
+    req = counts.sparkSession.createDataFrame([(r, True) for r in required], "interval string, required boolean")
+    return guard_rows(own.join(req, "interval", "full"))
+
+
+def guard_rows(j: DataFrame) -> DataFrame:
     j = j.na.fill(0, ["pulled", "current"]).na.fill(False, ["required"])
     return j.select("interval", "pulled", "current", "required",
                     (F.col("required") & (F.col("current") == 0)).alias("missing"),
@@ -111,6 +124,10 @@ def split_slices(tree: DataFrame, slice_dim: DataFrame) -> DataFrame:
     return data.join(F.broadcast(slice_dim.select("slice", "interval")), "interval", "inner")
 
 
+VERSION_ROW = "dataset string, version int, status string, at timestamp"
+MANIFEST_ROW = "dataset string, version int, interval string, n_files bigint"
+
+
 def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: str,
                      required=(), include=None, allow_shrink: bool = False) -> dict:
     """I5 write path, write-then-commit: the snapshot is written once to
@@ -119,37 +136,37 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     columns and ticker only), guarded against the last published manifest
     (re-based counts), and only then the version log is flipped - READY, or
     REFUSED, in which case readers never see the data. The snapshot lineage
-    is evaluated exactly once.
+    is evaluated exactly once. ``allow_shrink`` excuses fewer files, never a
+    missing required interval.
 
     Counts are series per interval (one file per series in the published
     layout), so the guard sees what a reader of the slice sees."""
     import datetime as dt
     log_path, man_path = f"{root}/versions", f"{root}/manifest"
-    try:
-        log = spark.read.parquet(log_path).where(F.col("dataset") == dataset)
+    last = top = None
+    if path_exists(spark, f"{log_path}/*.parquet"):  # else the first publish; a read error is raised
+        log = spark.read.schema(VERSION_ROW).parquet(log_path).where(F.col("dataset") == dataset)
         last = log.where(F.col("status") == "READY").agg(F.max("version")).first()[0]
         top = log.agg(F.max("version")).first()[0]
-    except Exception:  # noqa: BLE001 - first publish
-        last = top = None
     version = (top or 0) + 1
     path = f"{root}/data/version={version}"
     (bars.repartitionByRange("asset_class", "interval", "ticker", "ts")
      .sortWithinPartitions("asset_class", "interval", "ticker", "ts")
      .write.mode("overwrite").partitionBy("asset_class", "interval").parquet(path))
-    cur = (spark.read.parquet(path).select("asset_class", "interval", "ticker").distinct()
+    cur = (read_partitioned(spark, path).select("asset_class", "interval", "ticker").distinct()
            .groupBy("interval").agg(F.count(F.lit(1)).alias("n_files")))
     if last is not None:
-        prev = (spark.read.parquet(man_path).where((F.col("dataset") == dataset) & (F.col("version") == last))
+        prev = (spark.read.schema(MANIFEST_ROW).parquet(man_path).where((F.col("dataset") == dataset) & (F.col("version") == last))
                 .select("interval", "n_files"))
     else:
         prev = cur.limit(0)
     verdict = guard_verdict(publish_guard(prev, cur, required, include)).first()
-    refused = bool(verdict.refused) and not allow_shrink
+    refused = bool(verdict.any_missing) or (bool(verdict.refused) and not allow_shrink)
     if not refused:
         cur.select(F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "interval", "n_files") \
             .write.mode("append").parquet(man_path)
     spark.createDataFrame([(dataset, version, "REFUSED" if refused else "READY", dt.datetime.now(dt.timezone.utc))],
-                          "dataset string, version int, status string, at timestamp") \
+                          VERSION_ROW) \
         .write.mode("append").parquet(log_path)
     return {"version": None if refused else version, "refused": bool(verdict.refused),
             "pulled": verdict.pulled, "current": verdict.current}

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from barforge.functions.symbols import safe_filename
+from barforge.operators import bars as B
 from barforge.operators import merge as M
 from barforge.plans import publish as P
 from barforge.plans import sqlparts as Q
@@ -45,17 +46,6 @@ def _pulled_paths(spark, sf):
     return keys.select(F.explode(paths).alias("path")).distinct()
 
 
-def _current_paths(spark, sf):
-    """After consolidation: dated files folded into their series, retention applied."""
-    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
-    merged, _ = M.consolidate_sources(b, AS_OF)
-    d = D.bars_1d(spark, sf)
-    series = (merged.select("asset_class", "interval", "ticker")
-              .unionByName(d.select("asset_class", "interval", "ticker")).distinct())
-    return series.select(F.concat_ws("/", "asset_class", "interval",
-                                     F.concat(safe_filename(F.col("ticker")), F.lit(".csv"))).alias("path"))
-
-
 _SERIES_CTES = [Q.TICKS, Q.TICK_SOURCES, Q.source_bars(),
                 "stored_b AS (SELECT * FROM src_bars WHERE src = 'stored')",
                 "legacy_b AS (SELECT *, CAST(ts AS DATE) AS day FROM src_bars WHERE src = 'legacy')",
@@ -126,12 +116,25 @@ _GUARD = _CURRENT + [f"""prev AS (SELECT interval, count(*) AS n FROM ptree WHER
   LEFT JOIN prev p USING (interval) LEFT JOIN cur c USING (interval))"""]
 
 
+def _snapshot_counts(spark, sf):
+    """(interval, pulled, current) files without building a single path: per
+    series whether it is stored, its dated files and its latest bar. Pulled are
+    the series file and one file per dated day; after consolidation a series
+    has one file if its latest bar survives the retention."""
+    cols = ["asset_class", "interval", "ticker", "src", "day", "ts"]
+    b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
+    d = D.bars_1d_sources(spark, sf).withColumn("day", F.lit(None).cast("date"))
+    series = b.select(*cols).unionByName(d.select(*cols)).groupBy(
+        "asset_class", "interval", safe_filename(F.col("ticker")).alias("stem")).agg(
+        F.max((F.col("src") == "stored").cast("int")).alias("stored"),
+        F.size(F.collect_set("day")).alias("days"),  # one file a day: bounded by the series' time span
+        F.max("ts").alias("ts"))
+    kept = B.retention_predicate(AS_OF).cast("int")
+    return series.groupBy("interval").agg(F.sum(F.col("stored") + F.col("days")).alias("pulled"), F.sum(kept).alias("current"))
+
+
 def _guard(spark, sf):
-    def counts(tree):
-        return P.tree_counts(tree, _INC)[0]
-    prev = counts(_tree(_pulled_paths(spark, sf)))
-    cur = counts(_tree(_current_paths(spark, sf)))
-    return P.publish_guard(prev, cur, _REQ, _INC)
+    return P.guard_counts(_snapshot_counts(spark, sf), _REQ, _INC)
 
 
 @register("j9_publish_guard", Q.with_(*_GUARD) + "SELECT * FROM guard")
@@ -163,6 +166,29 @@ def i4_slice_split(spark, sf):
 _I5_BARS = ["asset_class", "interval", "ticker", "ts", "open", "high", "low", "close", "adj_close", "volume"]
 
 
+@register("i5_daily_publish", Q.with_(Q.bars_1d("stored_1d", ["F"]), Q.bars_1d()) + """
+SELECT 'daily' AS dataset, 1 AS version, interval, count(*) AS n_files, 'READY' AS status
+FROM (SELECT DISTINCT asset_class, interval, ticker FROM stored_1d) GROUP BY interval
+UNION ALL SELECT 'daily', 2, interval, count(*), 'READY'
+FROM (SELECT DISTINCT asset_class, interval, ticker FROM bars_1d) GROUP BY interval
+UNION ALL SELECT 'daily', v, '*', CAST(NULL AS BIGINT), 'READY' FROM (VALUES (1), (2)) t(v)
+UNION ALL SELECT 'daily', 3, '*', CAST(NULL AS BIGINT), 'REFUSED'""")
+def i5_daily_publish(spark, sf):
+    """A store that holds daily bars only, published with its required
+    interval; the third publish lacks that interval and is refused although
+    shrinking is allowed."""
+    root = _scratch(spark, "i5d")
+    stored, bars = D.bars_1d(spark, sf, ("F",)).select(*_I5_BARS), D.bars_1d(spark, sf).select(*_I5_BARS)
+    P.publish_snapshot(spark, stored, root, "daily", required=["1d"])
+    P.publish_snapshot(spark, bars, root, "daily", required=["1d"])
+    other = bars.withColumn("interval", F.lit("5d"))
+    P.publish_snapshot(spark, other, root, "daily", required=["1d"], allow_shrink=True)
+    man = spark.read.schema(P.MANIFEST_ROW).parquet(f"{root}/manifest").withColumn("status", F.lit("READY"))
+    log = spark.read.schema(P.VERSION_ROW).parquet(f"{root}/versions").select(
+        "dataset", "version", F.lit("*").alias("interval"), F.lit(None).cast("bigint").alias("n_files"), "status")
+    return man.unionByName(log)
+
+
 @register("i5_publish_plan", Q.with_(*_CURRENT, """v1 AS (
   SELECT interval, count(*) AS n FROM (SELECT DISTINCT asset_class, interval, ticker FROM pseries) GROUP BY interval)""",
                                      """v2 AS (
@@ -185,10 +211,10 @@ def i5_publish_plan(spark, sf):
     b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
     pulled = (b.where(F.col("src") == "stored").select(*_I5_BARS)
               .unionByName(D.bars_1d(spark, sf, ("F",)).select(*_I5_BARS)))
-    P.publish_snapshot(spark, pulled, root, "combined")
+    P.publish_snapshot(spark, pulled, root, "combined", required=["1d"])
     merged, _ = M.consolidate_sources(b, AS_OF)
     current = merged.select(*_I5_BARS).unionByName(D.bars_1d(spark, sf).select(*_I5_BARS))
-    P.publish_snapshot(spark, current, root, "combined")
+    P.publish_snapshot(spark, current, root, "combined", required=["1d"])
     man = spark.read.parquet(f"{root}/manifest").select(
         "dataset", "version", "interval", "n_files", F.lit("READY").alias("status"))
     log = spark.read.parquet(f"{root}/versions").select(
@@ -259,7 +285,7 @@ def s1_bar_csv_scan(spark, sf):
     """Round trip through a per-ticker CSV tree whose files do not all share
     one column order (crypto files are written Close-first)."""
     root = _scratch(spark, "s1")
-    b = D.bars_1d(spark, sf)
+    b = D.bars_1d(spark, sf).repartition("asset_class", "ticker")  # a file per ticker, not per task
     frame = ST.csv_frame(b).withColumnRenamed("Ticker", "ticker")
     std = ["Datetime", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
     alt = ["Datetime", "Close", "Volume", "Open", "Low", "High", "Adj Close"]

@@ -6,11 +6,14 @@ handful of joins over the universe, the stored series and the staged loads.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.operators.merge import trusted_last_ts
 from barforge.schema import CUMULATIVE_INTERVALS, RETENTION_DAYS, SERIES_KEY
+from barforge.session import stored_table
 
 # Job outcome messages
 MSG_UNSUPPORTED = "unsupported interval '%s'"
@@ -104,18 +107,27 @@ def positions(df: DataFrame, group, order, out: str = "pos", partitions: int | N
     (group, order), numbered inside each (partition, group) cell, and shifted
     by the sizes of the same group's cells in earlier partitions (a table of
     one row per partition and group). A group larger than a partition is thus
-    spread over several tasks."""
+    spread over several tasks.
+
+    The partitioned rows are written once with their partition id and their
+    place in the cell; counts and rows are both read from that table. Computing
+    the exchange twice would sample its bounds twice and give two different
+    partitionings."""
     group, order = list(group), list(order)
-    r = (df.repartitionByRange(*([partitions] if partitions else []), *group, *order)
-         .withColumn("_pid", F.spark_partition_id()))
-    cells = r.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    local = Window.partitionBy("_pid", *group).orderBy(*order)
+    placed = (df.repartitionByRange(*([partitions] if partitions else []), *group, *order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_local", F.row_number().over(local) - 1))
+    placed = stored_table(placed, "positions")
+    cells = placed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    local = Window.partitionBy("_pid", *group).orderBy(*order)
-    numbered = r.withColumn("_local", F.row_number().over(local) - 1)
-    return (numbered.join(offsets, ["_pid", *group], "inner")
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_pid", "_off", "_local"))
+    offsets = offsets.withColumnsRenamed({"_pid": "_cell", **{g: f"_of_{g}" for g in group}})
+    cond = F.col("_pid") == F.col("_cell")
+    for g in group:  # a null group is a group as well
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return placed.join(offsets, cond).select(
+        *df.columns, (F.col("_off") + F.col("_local")).cast("bigint").alias(out))
 
 
 def stable_shards(universe: DataFrame, shard_count: int, shard_index: int | None = None,
@@ -137,11 +149,14 @@ def stable_shards(universe: DataFrame, shard_count: int, shard_index: int | None
 
 def distinct_requests(plan: DataFrame, req=("ticker", "interval", "start", "period")):
     """Identical requests across classes are served once: (unique
-    requests, plan rows with their request id)."""
+    requests, plan rows with their request id). The id is the rank of the
+    request among all distinct ones; plan rows get it by a null-safe join on
+    the request's own columns, so two requests never share an id."""
     req = list(req)
-    rid = F.xxhash64(*req)
-    uniq = plan.select(*req).dropDuplicates(req).withColumn("request_id", rid)
-    return uniq, plan.withColumn("request_id", rid)
+    uniq = positions(plan.select(*req).distinct(), [], req, "request_id")
+    named = uniq.withColumnsRenamed({c: f"_req_{c}" for c in req})
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_req_{c}")) for c in req])
+    return uniq, plan.join(named, cond, "left").select(*plan.columns, "request_id")
 
 
 def job_outcomes(loaded: DataFrame, errors: DataFrame, supported=None, key=SERIES_KEY) -> DataFrame:
@@ -216,7 +231,6 @@ def shard_audit(plan: DataFrame, universe: DataFrame):
         s = stable_shards(universe, n).withColumn("shard_count", F.lit(n))
         counts.append(s.groupBy("asset_class", "shard_count", "shard").agg(
             F.count(F.lit(1)).alias("tickers")))
-    from functools import reduce
     per_shard = reduce(DataFrame.unionByName, counts)
     w = Window.partitionBy("asset_class", "shard_count", "shard_index")
     entries = (plan.join(per_shard.withColumnRenamed("shard", "shard_index"),

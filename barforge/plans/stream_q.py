@@ -20,21 +20,21 @@ from barforge.streaming import upsert as U
 SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM merged""")
 def i2_stream_upsert(spark, sf):
     """Stored bars seed the store; fresh and legacy files are staged and
-    streamed in (one file per micro-batch, a duplicate delivery included).
+    streamed in over several micro-batches, a duplicate delivery included.
     The streamed store must equal the batch merge (A2)."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/i2-{uuid.uuid4().hex}"
     s = D.intraday_sources(spark, sf)
-    cols = [*SERIES_KEY, "ts", *U.PAYLOAD, "src_rank", "seq"]
     stored = s["stored"].withColumn("src_rank", F.lit(1)).withColumn("seq", F.lit(0).cast("bigint"))
     fresh = s["fresh"].withColumn("src_rank", F.lit(0)).withColumn("seq", F.lit(0).cast("bigint"))
     legacy = s["legacy"].withColumn("src_rank", F.lit(2)).withColumn(
         "seq", F.unix_date("day").cast("bigint"))
-    U.seed_store(spark, f"{base}/store", stored.select(*cols))
+    U.seed_store(spark, f"{base}/store", U.bar_columns(stored))
     staged = f"{base}/staged"
-    for part in (fresh, legacy, fresh):  # the second fresh file is a duplicate delivery
-        part.select(*cols).coalesce(1).write.mode("append").parquet(staged)
-    schema = fresh.select(*cols).schema
-    q = U.start_upsert(spark, staged, schema, f"{base}/store", f"{base}/checkpoint", AS_OF)
+    for part in (fresh, legacy, fresh):  # the second fresh delivery is a duplicate
+        U.bar_columns(part).write.mode("append").parquet(staged)
+    schema = U.bar_columns(fresh).schema
+    files = 2 * spark.sparkContext.defaultParallelism  # so several micro-batches
+    q = U.start_upsert(spark, staged, schema, f"{base}/store", f"{base}/checkpoint", AS_OF, files_per_batch=files)
     q.awaitTermination()
     out = U.read_version(spark, f"{base}/store")
     return out.select(*SERIES_KEY, "ts", "open", "high", "low", "close", "volume")
@@ -51,17 +51,16 @@ def o1_sorted_symbols(spark, sf):
 SELECT {Q.SERIES}, ts, open, high, low, close, volume, n_ticks FROM b15
 WHERE ts + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 5 MINUTE""")
 def i6_stream_bars(spark, sf):
-    """Ticks streamed file by file into 15-minute bars with 5 minutes of
-    allowed lateness; the stream drains the staged files and emits every bar
-    the final watermark has closed."""
+    """Ticks streamed into 15-minute bars with 5 minutes of allowed lateness.
+    Contract: the stream emits final bars only, i.e. those the watermark (the
+    latest tick less the lateness) has closed; bars still open when the staged
+    files are drained come out with the next run over the same checkpoint."""
     from barforge.streaming import bars as SB
     base = f"{checkpoint_dir(spark).rstrip('/')}/i6s-{uuid.uuid4().hex}"
     t = D.ticks(spark, sf).select("asset_class", "ticker", "ts", "price", "size", "seq")
-    week = F.date_trunc("week", "ts")
-    # stage the ticks as one file per calendar week, oldest first (arrival order)
-    for w in sorted(r[0] for r in t.select(week.alias("w")).distinct().collect()):
-        t.where(week == F.lit(w)).coalesce(1).write.mode("append").parquet(f"{base}/staged")
-    q = SB.start_bar_stream(spark, f"{base}/staged", t.schema, f"{base}/out", f"{base}/ckpt", "15m", "5 minutes")
+    t.write.parquet(f"{base}/staged")
+    q = SB.start_bar_stream(spark, f"{base}/staged", t.schema, f"{base}/out", f"{base}/ckpt", "15m", "5 minutes",
+                            files_per_batch=1 << 20)  # one arrival: files of one run are in no time order
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select(*SERIES_KEY, "ts", "open", "high", "low", "close",
                                                     "volume", "n_ticks")

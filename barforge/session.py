@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every bar job relies on. The store is UTC throughout; AQE re-plans
 # shuffles at runtime (coalescing small partitions, splitting skewed ones).
@@ -44,7 +46,8 @@ def build_session(master: str | None = None, app: str = "barforge",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session for local runs and tests. On a cluster the
-    master and sizing come from spark-submit; only defaults are filled here."""
+    master and all sizing come from spark-submit: shuffle partitions and driver
+    memory are set here only for a local master or when asked for."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -53,9 +56,11 @@ def build_session(master: str | None = None, app: str = "barforge",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("BARFORGE_DRIVER_MEMORY", "4g"),
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
     })
+    if shuffle_partitions or (master or "").startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    if (master or "").startswith("local") or "BARFORGE_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ.get("BARFORGE_DRIVER_MEMORY", "4g")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -68,14 +73,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (or already set on
     the SparkContext).
 
-    On a cluster this must come from the deployment (a shared file system);
-    a local folder is created only when neither is set - the local/test case."""
+    On a cluster this must come from the deployment (a shared file system). A
+    folder of this machine is made only when neither is set and the master is
+    local, i.e. driver and executors are one process; elsewhere it raises."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; a shared folder is needed on master {master}")
         current = tempfile.mkdtemp(prefix="barforge-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back. Every
+    reader sees the same rows with the same values of non-deterministic columns
+    (partition ids, positions), whatever columns it prunes and however often
+    tasks are retried."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob of any Hadoop file system exists; errors of the
+    file system other than a missing path are raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0

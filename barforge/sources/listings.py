@@ -11,30 +11,32 @@ from pyspark.sql import functions as F
 
 from barforge.functions.symbols import (not_skipped_security, not_test_issue, plain_ticker,
                                         strip, usable_symbol, with_market_symbol)
+from barforge.operators.bars import ordered_pair, split_pair
 from barforge.schema import EUROPE_SUFFIXES
+from barforge.session import path_exists
 
 
 _INTEGRAL = ("byte", "short", "integer", "long")
-_LO_BITS = 40  # packed (hi, lo) position: 0 <= lo < 2^40, 0 <= hi < 2^23
 
 
 def first_seen(df: DataFrame, group, value: str, order) -> DataFrame:
     """Keep the first occurrence of ``value`` per ``group`` by ``order``.
 
-    With one or two non-negative integral position columns the position is
-    packed into one BIGINT and taken with ``min`` - a hash aggregate with
-    map-side combine - then unpacked (types preserved); other orderings fall
-    back to the minimum of a struct (a sort-based aggregate)."""
+    With one or two integral position columns (the second non-negative) the
+    position becomes one number taken with ``min`` - a hash aggregate with
+    map-side combine - then split again (types preserved, exact for every
+    BIGINT); other orderings fall back to the minimum of a struct (a sort-based
+    aggregate)."""
     group, order = list(group), list(order)
     types = [df.schema[c].dataType for c in order]
     if 1 <= len(order) <= 2 and all(t.typeName() in _INTEGRAL for t in types):
         cols = [F.col(c).cast("bigint") for c in order]
-        packed = cols[0] if len(cols) == 1 else cols[0] * F.lit(1 << _LO_BITS) + cols[1]
+        packed = cols[0] if len(cols) == 1 else ordered_pair(*cols)
         agg = df.groupBy(*group, value).agg(F.min(packed).alias("_p"))
         if len(order) == 1:
             parts = [F.col("_p")]
         else:
-            parts = [F.floor(F.col("_p") / F.lit(1 << _LO_BITS)), F.pmod(F.col("_p"), F.lit(1 << _LO_BITS))]
+            parts = split_pair(F.col("_p"))
         return agg.select(*group, value, *[p.cast(t).alias(c) for p, t, c in zip(parts, types, order)])
     first = F.min(F.struct(*order)).alias("_first")
     return df.groupBy(*group, value).agg(first).select(
@@ -79,9 +81,18 @@ def build_universe(inline: DataFrame, listed: DataFrame) -> DataFrame:
     return positions(u, ["asset_class"], ["src", "p1", "p2"]).select("asset_class", "ticker", "pos")
 
 
+def require_rows(rows: DataFrame, source: str) -> DataFrame:
+    """``rows``, or ValueError when there are none: an empty download must not
+    replace a listing. Looks at one row."""
+    if rows.isEmpty():
+        raise ValueError(f"{source}: no usable symbol in the source")
+    return rows
+
+
 def plain_ticker_listing(lines: DataFrame, value: str = "value", order: str = "line_no") -> DataFrame:
     """Plain text, one symbol per line -> distinct symbols, sorted."""
     t = lines.select(plain_ticker(F.col(value)).alias("symbol"), order).where(F.col("symbol").isNotNull())
+    t = require_rows(t, "plain ticker listing")
     return first_seen(t, [], "symbol", [order]).select("symbol").orderBy("symbol")
 
 
@@ -98,6 +109,7 @@ def json_directory_listing(rows: DataFrame, code_keys, name_keys, industry_keys,
                     strip(first_nonblank(name_keys)).alias("name"),
                     strip(first_nonblank(industry_keys)).alias("industry"), order)
     r = r.where(F.col("code").rlike(r"^\d+$")).withColumn("symbol", F.concat("code", F.lit(suffix)))
+    r = require_rows(r, "company directory")
     # one min_by per column on the (unique) record position: a hash aggregate
     firsts = r.groupBy("symbol").agg(F.min_by("name", order).alias("name"),
                                      F.min_by("industry", order).alias("industry"))
@@ -123,9 +135,10 @@ def nested_constituents_listing(stocks: DataFrame) -> DataFrame:
         "index_name", "index_pos", "stock_pos", "name", F.col("s.yahoo").alias("sym"))
     c = c.where(F.col("sym").isNotNull() & (F.col("sym") != "") & ~F.col("sym").rlike("^[0-9]"))
     c = c.withColumn("rank", suffix_rank(F.col("sym"))).where(F.col("rank") < 100)
+    c = require_rows(c, "constituents listing")
     best = c.groupBy("index_name", "index_pos", "stock_pos", "name").agg(
         F.min_by("sym", F.struct("rank", F.length("sym"), "sym")).alias("symbol"))
-    pos = F.col("index_pos").cast("bigint") * F.lit(1 << _LO_BITS) + F.col("stock_pos").cast("bigint")
+    pos = ordered_pair(F.col("index_pos"), F.col("stock_pos"))
     firsts = best.withColumn("_pos", pos).groupBy("symbol").agg(
         F.min_by("name", "_pos").alias("name"), F.min_by("index_name", "_pos").alias("index_name"))
     return firsts.select("symbol", "name", "index_name").orderBy("symbol")
@@ -141,19 +154,26 @@ def exchange_directory_listing(markets: dict[str, DataFrame], suffixes: dict[str
                                pad: int | None = 6, order: str = "row_no") -> DataFrame:
     """Per market ``(code, name[, industry])`` -> code (zero-padded) +
     market suffix; markets unioned, one row per symbol (first market / first
-    row wins), sorted."""
+    row wins), sorted; industry is kept when any market carries it. A market
+    without its code or name column, and directories without any row, raise."""
+    for market, df in markets.items():
+        missing = [c for c in ("code", "name") if c not in df.columns]
+        if missing:
+            raise ValueError(f"exchange directory {market!r} has no column {', '.join(missing)}")
     parts = []
     for i, (market, df) in enumerate(markets.items()):
         code = pad_code(F.col("code"), pad) if pad else strip(F.col("code").cast("string"))
         parts.append(df.select(F.concat(code, F.lit(suffixes[market])).alias("symbol"),
                                F.col("name").cast("string").alias("name"),
+                               (F.col("industry") if "industry" in df.columns else F.lit(None)).cast("string").alias("industry"),
                                F.lit(market).alias("market"), F.lit(i).alias("m_pos"),
                                F.col(order).alias("r_pos")))
     u = reduce(DataFrame.unionByName, parts)
-    pos = F.col("m_pos").cast("bigint") * F.lit(1 << _LO_BITS) + F.col("r_pos").cast("bigint")
-    firsts = u.withColumn("_pos", pos).groupBy("symbol").agg(
-        F.min_by("name", "_pos").alias("name"), F.min_by("market", "_pos").alias("market"))
-    return firsts.select("symbol", "name", "market").orderBy("symbol")
+    pos = ordered_pair(F.col("m_pos"), F.col("r_pos"))
+    u = require_rows(u.where(F.col("symbol").isNotNull()), "exchange directory")
+    kept = ["name", "market", *(["industry"] if any("industry" in df.columns for df in markets.values()) else [])]
+    firsts = u.withColumn("_pos", pos).groupBy("symbol").agg(*[F.min_by(c, "_pos").alias(c) for c in kept])
+    return firsts.select("symbol", *kept).orderBy("symbol")
 
 
 def content_fingerprint(df: DataFrame, group, cols) -> DataFrame:
@@ -161,8 +181,10 @@ def content_fingerprint(df: DataFrame, group, cols) -> DataFrame:
     independent sums of 64-bit row hashes (as DECIMAL so ANSI mode cannot
     overflow). Partial-aggregatable, unlike hashing one sorted, concatenated
     string per group."""
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    h2 = F.hash(*[F.col(c) for c in cols])
+    # the hash functions pass over nulls: which columns are null goes in as text
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in cols])
+    h = F.xxhash64(nulls, *[F.col(c) for c in cols])
+    h2 = F.xxhash64(F.lit("second"), nulls, *[F.col(c) for c in cols])
     return df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(h.cast("decimal(38,0)")).alias("h_sum"),
@@ -216,11 +238,23 @@ def refresh_report(outcomes: DataFrame) -> DataFrame:
 
 
 def universe_from_config(spark: SparkSession, config: dict | str, base_dir: str | None = None) -> DataFrame:
+    """S5 from a tickers config; see :func:`universe_and_skipped`, which also
+    reports skipped listing files. Each skipped file is warned about here."""
+    import warnings
+    universe, skipped = universe_and_skipped(spark, config, base_dir)
+    for cls, path in skipped:
+        warnings.warn(f"listing file of {cls} is missing and was skipped: {path}", stacklevel=2)
+    return universe
+
+
+def universe_and_skipped(spark: SparkSession, config: dict | str,
+                         base_dir: str | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
     """S5 from a tickers config (a dict, or a YAML file read on the driver -
     it is a small control file): ``{asset_class: [inline tickers],
     listings: {asset_class: [path | {path, url, source}]}}``. Inline entries
-    are kept verbatim (as text); listing files are read with Spark, bound by
-    header; a missing listing file is skipped."""
+    are kept verbatim (as text); listing files are read with Spark from any
+    file system it knows, bound by header. Returns the universe and the
+    (asset_class, path) of listing files that do not exist."""
     import os
     if isinstance(config, str):
         import yaml
@@ -232,19 +266,21 @@ def universe_from_config(spark: SparkSession, config: dict | str, base_dir: str
     inline = [(str(cls), i, str(t)) for cls, syms in config.items() if syms
               for i, t in enumerate(syms)]
     inline_df = spark.createDataFrame(inline, "asset_class string, pos int, ticker string")
-    parts = []
+    parts, skipped = [], []
     for cls, entries in listings.items():
         for file_pos, entry in enumerate(entries or []):
             path = entry if isinstance(entry, str) else entry.get("path")
             if not path:
                 raise ValueError(f"Listing entry missing 'path': {entry!r}")
-            full = path if os.path.isabs(path) or base_dir is None else os.path.join(base_dir, path)
-            if not os.path.exists(full):
-                continue  # missing listing file: skipped
+            absolute = os.path.isabs(path) or ":/" in path or base_dir is None
+            full = path if absolute else f"{base_dir.rstrip('/')}/{path}"
+            if not path_exists(spark, full):
+                skipped.append((str(cls), full))
+                continue
             rows = read_listing_csv(spark, full)
             parts.append(rows.withColumn("asset_class", F.lit(str(cls))).withColumn("file_pos", F.lit(file_pos)))
     if parts:
         listed = listing_symbols(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
     else:
         listed = spark.createDataFrame([], "asset_class string, symbol string, file_pos int, pos long")
-    return build_universe(inline_df, listed)
+    return build_universe(inline_df, listed), skipped

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barforge.schema import CONTROL_FILES
+from barforge.session import stored_table
 
 # column header in bar CSV files -> store column
 HEADER_NAMES = {"Datetime": "ts", "Date": "ts", "Open": "open", "High": "high", "Low": "low",
@@ -27,14 +28,29 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ssxx"
 _FILE_LAYOUT = r"([^/=]+)/([^/=]+)/([^/]+)\.csv$"
 
 
+def read_partitioned(spark: SparkSession, root: str, fmt: str = "parquet", keys=("asset_class", "interval"),
+                     **options) -> DataFrame:
+    """A key=value tree with its partition columns read as text. Spark would
+    otherwise infer their types from the directory names, and ``1d`` or ``5d``
+    parse as the doubles 1.0 and 5.0. The files' own columns come from their
+    footers or headers, read without partition discovery."""
+    from pyspark.sql import types as T
+    own = spark.read.format(fmt).options(**options).option("recursiveFileLookup", "true").load(root).schema
+    fields = [f for f in own.fields if f.name not in keys]
+    schema = T.StructType([*fields, *(T.StructField(k, T.StringType()) for k in keys)])
+    return spark.read.format(fmt).options(**options).schema(schema).load(root)
+
+
 def parse_ts(c) -> F.Column:
-    """ISO-8601 instants as written by the sink or by pandas (offset with or
-    without colon, optional fraction); unparseable text -> null."""
+    """Instants as written by the sink, by pandas or by hand: ISO-8601 with a
+    blank or a T, an offset with or without colon or Z, a fraction, or none of
+    these (then UTC, the session clock); unparseable text -> null."""
     s = F.regexp_replace(c, " ", "T")
     return F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssxx")),
                       F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")),
                       F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssxxx")),
-                      F.try_to_timestamp(s, F.lit("yyyy-MM-dd")))
+                      F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
+                      F.try_to_timestamp(F.trim(c)))
 
 
 def read_bar_csv(spark: SparkSession, root: str, glob: str = "*/*/*.csv"):
@@ -42,25 +58,30 @@ def read_bar_csv(spark: SparkSession, root: str, glob: str = "*/*/*.csv"):
 
     Files are grouped by their header line (found with one text pass) and
     each group is read natively with a schema in that header's order, so a
-    file whose columns are in another order is never mis-bound. The file
-    lists travel to the driver (paths only, no data). Returns (bars,
+    file whose columns are in another order is never mis-bound. Only the
+    distinct header lines travel to the driver: a group's files are told apart
+    by a join on the path while its scan runs over the tree. A header names its
+    time column ``Datetime`` or ``Date`` anywhere in the line. Returns (bars,
     quarantine): files without a bar header (corrupt or empty) and rows whose
     time does not parse are reported, not read."""
     pattern = f"{root.rstrip('/')}/{glob}"
     text = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("path"), "value")
-    heads = (text.where(F.col("value").rlike("^(Datetime|Date),"))
-             .groupBy("path").agg(F.min("value").alias("header")))
-    groups = heads.groupBy("header").agg(F.collect_list("path").alias("files")).collect()
+    is_head = F.col("value").rlike(r"(^|,)\s*(Datetime|Date)\s*(,|$)") & F.col("value").rlike(r"(^|,)\s*Close\s*(,|$)")
+    heads = stored_table(text.where(is_head).groupBy("path").agg(F.min("value").alias("header")), "csv-headers")
+    groups = heads.select("header").distinct().collect()
     # every file of the tree from the file listing alone (binaryFile with only
     # the path selected does not read contents); those without a header are bad
     all_files = spark.read.format("binaryFile").load(pattern).select("path")
     bad_files = all_files.join(heads, "path", "left_anti").withColumn("reason", F.lit("no header"))
+    bad = not bad_files.isEmpty()
     parts = []
     for row in groups:
         names = [h.strip() for h in row["header"].split(",")]
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
         raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-               .csv(row["files"]).withColumn("path", F.col("_metadata.file_path")))
+               .csv(pattern).withColumn("path", F.col("_metadata.file_path")))
+        if len(groups) > 1 or bad:
+            raw = raw.join(heads.where(F.col("header") == row["header"]).select("path"), "path", "left_semi")
         cols = []
         for i, n in enumerate(names):
             dst = HEADER_NAMES.get(n)
@@ -122,11 +143,12 @@ def write_bar_csv(bars: DataFrame, root: str, files_per_interval: int | None = N
 def read_store_csv(spark: SparkSession, root: str) -> DataFrame:
     """Read back :func:`write_bar_csv` output (partition discovery for the
     class / interval columns; every value read as text, then typed)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(root)
+    raw = read_partitioned(spark, root, "csv", header="true", inferSchema="false")
     return raw.select(
         "asset_class", "interval", F.col("Ticker").alias("ticker"), parse_ts(F.col("Datetime")).alias("ts"),
         *[F.col(f"`{h}`").try_cast("double").alias(d) for h, d in
-          (("Open", "open"), ("High", "high"), ("Low", "low"), ("Close", "close"), ("Adj Close", "adj_close"))
+          (("Open", "open"), ("High", "high"), ("Low", "low"), ("Close", "close"), ("Adj Close", "adj_close"),
+           ("Dividends", "dividends"), ("Stock Splits", "stock_splits"))
           if h in raw.columns],
         F.col("Volume").try_cast("bigint").alias("volume"))
 
@@ -141,7 +163,24 @@ def write_store(bars: DataFrame, root: str, mode: str = "overwrite") -> None:
 
 
 def read_store(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root)
+    """The bars of :func:`write_store`, interval and asset class as text."""
+    return read_partitioned(spark, root)
+
+
+def read_retained(spark: SparkSession, root: str, as_of) -> DataFrame:
+    """P6 on a stored table: the bars within retention, as one filtered read per
+    distinct cutoff (intervals of one cutoff together) plus the intervals kept
+    for good. Each read prunes its partitions, and ``ts >= cutoff`` reaches the
+    Parquet scan - in one predicate over all intervals it would not."""
+    from barforge.operators.bars import retention_cutoffs
+    by_cutoff: dict = {}
+    for interval, cutoff in retention_cutoffs(as_of).items():
+        by_cutoff.setdefault(cutoff, []).append(interval)
+    store = read_store(spark, root)
+    limited = [i for own in by_cutoff.values() for i in own]
+    parts = [store.where(~F.col("interval").isin(*limited) | F.col("interval").isNull())]
+    parts += [store.where(F.col("interval").isin(*own) & (F.col("ts") >= F.lit(cutoff))) for cutoff, own in by_cutoff.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def file_tree(paths: DataFrame, col: str = "path") -> DataFrame:

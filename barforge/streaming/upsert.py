@@ -21,13 +21,15 @@ straddles the retention cutoff; months wholly past retention are dropped by
 a log entry alone. A daily update of decades of daily bars therefore
 rewrites one month, not the series history.
 
-The data directory is written before its log rows and is named
-after the batch id, so a replayed batch overwrites its own output and a
-batch whose log rows exist is skipped: the sink is idempotent and survives
-executor or driver loss (the streaming checkpoint lives in the shared
-``spark.checkpoint.dir``). Precedence is carried in the rows, so the result
-does not depend on batch order. Duplicate deliveries are dropped with
-``dropDuplicatesWithinWatermark``.
+Commits. Data is written first, then one log row per touched partition, under
+a version one above the greatest logged one. A crash in between leaves an
+unlogged directory that the next batch overwrites. Precedence travels in the
+rows and the greatest (src_rank, seq) wins, so merging a batch again - a
+replay after a crash, a duplicate delivery, or a new checkpoint over staged
+files seen before - changes nothing: batches need no identity, none is ever
+skipped, and no row is dropped for being late. The streaming checkpoint lives
+in the shared ``spark.checkpoint.dir``. ``vacuum`` removes what no live
+partition refers to and shortens the log.
 """
 
 from __future__ import annotations
@@ -40,20 +42,32 @@ from pyspark.sql import functions as F
 
 from barforge.operators.bars import packed_rank, prune_retention
 from barforge.schema import SERIES_KEY
+from barforge.session import path_exists
 
 PAYLOAD = ["open", "high", "low", "close", "adj_close", "volume"]
+OPTIONAL = ["dividends", "stock_splits"]
+DATA_SCHEMA = ("ticker string, ts timestamp, open double, high double, low double, close double, adj_close double, "
+               "volume bigint, dividends double, stock_splits double, src_rank int, seq bigint, "
+               "stream string, v int, asset_class string, interval string, month string")
 PART = ["asset_class", "interval", "month"]
 LOG_ROW = "version int, asset_class string, interval string, month string, status string"
 LOG_SCHEMA = LOG_ROW + ", stream string"  # stream = the log/stream=<name> directory
 
 
+def bar_columns(bars: DataFrame) -> DataFrame:
+    """The store's columns in order and type; absent optional ones are null."""
+    cols = {c: F.col(c) if c in bars.columns else F.lit(None) for c in (*PAYLOAD, *OPTIONAL)}
+    return bars.select(*SERIES_KEY, F.col("ts").cast("timestamp").alias("ts"),
+                       *[c.cast("bigint" if n == "volume" else "double").alias(n) for n, c in cols.items()],
+                       F.col("src_rank").cast("int").alias("src_rank"), F.col("seq").cast("bigint").alias("seq"))
+
+
 def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> DataFrame:
     """Greatest (src_rank, seq) per (series, ts) over store + batch rows."""
     key = list(key)
-    cols = [*key, "ts", *PAYLOAD, "src_rank", "seq"]
-    u = batch.select(*cols) if store is None else store.select(*cols).unionByName(batch.select(*cols))
+    u = bar_columns(batch) if store is None else bar_columns(store).unionByName(bar_columns(batch))
     u = u.withColumn("_rk", packed_rank(F.col("src_rank"), F.col("seq")))
-    return u.groupBy(*key, "ts").agg(*[F.max_by(c, "_rk").alias(c) for c in (*PAYLOAD, "src_rank", "seq")])
+    return u.groupBy(*key, "ts").agg(*[F.max_by(c, "_rk").alias(c) for c in (*PAYLOAD, *OPTIONAL, "src_rank", "seq")])
 
 
 def month_of(ts) -> F.Column:
@@ -87,10 +101,11 @@ def retention_months(live, as_of: dt.datetime):
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
-    except Exception:  # noqa: BLE001 - nothing committed yet
+    """The commit log; None when nothing is committed yet. Any other failure to
+    read it is raised: an unreadable store must not pass for an empty one."""
+    if not path_exists(spark, f"{root}/log/stream=*/*.parquet"):
         return None
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
 
 
 def latest_version(spark: SparkSession, root: str, stream: str | None = None) -> int | None:
@@ -124,7 +139,8 @@ def read_current(spark: SparkSession, root: str, touched=None) -> DataFrame | No
     if not parts:
         return None
     paths = [f"{root}/data/stream={s}/v={v}/asset_class={c}/interval={i}/month={m}" for c, i, m, v, s in parts]
-    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("stream", "v", "month")
+    # explicit schema: an interval such as 1d must not be inferred as a number
+    return spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(*paths).drop("stream", "v", "month")
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
@@ -141,7 +157,7 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
      .repartitionByRange(*PART, "ticker", "ts")
      .sortWithinPartitions(*PART, "ticker", "ts")
      .write.mode("overwrite").partitionBy(*PART).parquet(path))
-    written = spark.read.parquet(path).select(*PART).distinct()
+    written = spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(path).select(*PART).distinct()
     present = {tuple(r) for r in written.collect()}
     rows = [(version, c, i, m, "READY" if (c, i, m) in present else "EMPTY") for c, i, m in touched]
     if rows:
@@ -150,51 +166,79 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
 
 def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:
     """Version 0 of the store (rows must carry src_rank and seq)."""
-    data = bars.select(*SERIES_KEY, "ts", *PAYLOAD, "src_rank", "seq")
+    data = bar_columns(bars)
     touched = [tuple(r) for r in data.select("asset_class", "interval", month_of(F.col("ts")).alias("month"))
                .distinct().collect()]
     commit(spark, root, data, 0, touched, "seed")
 
 
 def upsert_batch_fn(root: str, as_of: dt.datetime, key=SERIES_KEY, stream: str = "main"):
+    """The ``foreachBatch`` function. It always consumes its batch, once (the
+    batch is kept while its partitions are looked up and merged)."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        current = latest_version(spark, root, stream)
-        if current is not None and current >= version:
-            return  # replay of an already committed batch
-        touched = {tuple(r) for r in batch.select("asset_class", "interval", month_of(F.col("ts")).alias("month"))
-                   .distinct().collect()}
-        if not touched:
-            return
-        expired, straddling = retention_months(current_partitions(spark, root), as_of)
-        groups = {(c, i) for c, i, _ in touched}
-        straddling = {p for p in straddling if (p[0], p[1]) in groups}
-        expired = {p for p in expired if (p[0], p[1]) in groups}
-        store = read_current(spark, root, (touched | straddling) - expired)
-        merged = prune_retention(merge_ranked(store, batch, key), as_of)
-        commit(spark, root, merged, version, sorted(touched | straddling | expired), stream)
+        batch = batch.persist()
+        try:
+            touched = {tuple(r) for r in batch.select("asset_class", "interval", month_of(F.col("ts")).alias("month"))
+                       .distinct().collect()}
+            if not touched:
+                return
+            version = (latest_version(spark, root) or 0) + 1
+            expired, straddling = retention_months(current_partitions(spark, root), as_of)
+            groups = {(c, i) for c, i, _ in touched}
+            straddling = {p for p in straddling if (p[0], p[1]) in groups}
+            expired = {p for p in expired if (p[0], p[1]) in groups}
+            store = read_current(spark, root, (touched | straddling) - expired)
+            merged = prune_retention(merge_ranked(store, batch, key), as_of)
+            commit(spark, root, merged, version, sorted(touched | straddling | expired), stream)
+        finally:
+            batch.unpersist()
     return fn
 
 
 def start_upsert(spark: SparkSession, staged_dir: str, schema, root: str, checkpoint: str,
-                 as_of: dt.datetime, watermark: str = "60 days", files_per_batch: int = 1,
-                 intervals=None, stream: str = "main"):
+                 as_of: dt.datetime, files_per_batch: int = 1, intervals=None, stream: str = "main"):
     """Start the upsert stream; ``trigger(availableNow=True)`` drains what is
     staged and stops (a scheduled job); drop the trigger to run continuously.
 
-    A stream has one watermark, so series with different retention windows
-    run as separate streams over the same staged folder, e.g.
-    ``intervals=["1m"], watermark="7 days"`` and the other intraday
-    intervals with ``"60 days"`` (each with its own checkpoint); their
-    micro-batches touch disjoint store partitions."""
+    The stream keeps no state: duplicates and late rows are settled by the
+    merge itself, however late they are. ``intervals`` splits the work into
+    streams that touch disjoint partitions (each with its own checkpoint and
+    ``stream`` name)."""
     rows = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .parquet(staged_dir))
     if intervals is not None:
         rows = rows.where(F.col("interval").isin(*intervals))
-    rows = (rows
-            .withColumn("ts", F.col("ts").cast("timestamp"))  # watermark needs TIMESTAMP (not NTZ)
-            .withWatermark("ts", watermark)
-            .dropDuplicatesWithinWatermark([*SERIES_KEY, "ts", "src_rank", "seq"]))
     return (rows.writeStream.foreachBatch(upsert_batch_fn(root, as_of, stream=stream))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Delete data directories of versions that no live partition refers to and
+    replace the log by one row per partition. Run it while no stream writes and
+    no reader holds an older version. Returns the number of partition
+    directories removed."""
+    log = _log(spark, root)
+    if log is None:
+        return 0
+    w = Window.partitionBy(*PART).orderBy(F.col("version").desc())
+    newest = log.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    rows = [tuple(r) for r in newest.select("version", *PART, "status", "stream").collect()]
+    live = {(s, v, c, i, m) for v, c, i, m, status, s in rows if status == "READY"}
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    removed = 0
+    for found in fs.globStatus(hadoop.Path(f"{root}/data/stream=*/v=*/asset_class=*/interval=*/month=*")) or []:
+        path = found.getPath()
+        parts = dict(p.split("=", 1) for p in path.toString().split("/") if "=" in p)
+        if (parts["stream"], int(parts["v"]), parts["asset_class"], parts["interval"], parts["month"]) not in live:
+            fs.delete(path, True)
+            removed += 1
+    # the short log is complete before the long one goes; versions keep their numbers
+    old = [f.getPath() for f in fs.globStatus(hadoop.Path(f"{root}/log/stream=*/*")) or []]
+    for s in sorted({r[5] for r in rows}):
+        own = [r[:5] for r in rows if r[5] == s]
+        spark.createDataFrame(own, LOG_ROW).coalesce(1).write.mode("append").parquet(f"{root}/log/stream={s}")
+    for path in old:
+        fs.delete(path, False)
+    return removed

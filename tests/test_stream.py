@@ -30,21 +30,100 @@ def test_stream_equals_batch(spark):
     assert U.latest_version(spark, f"{base}/store") >= 1
 
 
+RANKED = ["asset_class", "interval", "ticker", "ts", *U.PAYLOAD, "src_rank", "seq"]
+
+
+def ranked(spark, spec, rank=0, iv="5m", seq=0):
+    """Rows (ts, value) of one series with a source rank."""
+    return (spark.createDataFrame([("c", iv, "X", t, v, v, v, v, None, 1) for t, v in spec], BAR_DDL)
+            .withColumn("src_rank", F.lit(rank)).withColumn("seq", F.lit(seq).cast("long")).select(*RANKED))
+
+
+def contents(spark, base):
+    return sorted((r.interval, r.ts.strftime("%Y-%m-%d"), r.close) for r in U.read_current(spark, f"{base}/store").collect())
+
+
 def test_replayed_batch_is_idempotent(spark):
     base = f"{checkpoint_dir(spark)}/test-i2-replay-{uuid.uuid4().hex}"
-    cols = ["asset_class", "interval", "ticker", "ts", *U.PAYLOAD, "src_rank", "seq"]
-    stored = spark.createDataFrame([("c", "5m", "X", ts(2024, 6, 1), 1.0, 1.0, 1.0, 1.0, None, 1)], BAR_DDL) \
-        .withColumn("src_rank", F.lit(1)).withColumn("seq", F.lit(0).cast("long")).select(*cols)
-    U.seed_store(spark, f"{base}/store", stored)
-    batch = spark.createDataFrame([("c", "5m", "X", ts(2024, 6, 2), 5.0, 5.0, 5.0, 5.0, None, 1)], BAR_DDL) \
-        .withColumn("src_rank", F.lit(0)).withColumn("seq", F.lit(0).cast("long")).select(*cols)
+    U.seed_store(spark, f"{base}/store", ranked(spark, [(ts(2024, 6, 1), 1.0)], 1))
+    batch = ranked(spark, [(ts(2024, 6, 2), 5.0)])
     fn = U.upsert_batch_fn(f"{base}/store", ts(2024, 6, 10))
     fn(batch, 0)
-    first = sorted(map(tuple, U.read_current(spark, f"{base}/store").select("ts", "close").collect()))
+    first = contents(spark, base)
     fn(batch, 0)  # the same micro-batch delivered again after a failure
-    again = sorted(map(tuple, U.read_current(spark, f"{base}/store").select("ts", "close").collect()))
-    assert first == again and len(first) == 2
-    assert U.latest_version(spark, f"{base}/store") == 1
+    assert contents(spark, base) == first and len(first) == 2
+
+
+def test_late_cumulative_bar_is_kept(spark):
+    base = f"{checkpoint_dir(spark)}/test-i2-late-{uuid.uuid4().hex}"
+    for rows in ([(ts(2024, 6, 3), 1.0), (ts(2024, 5, 27), 2.0)], [(ts(2024, 1, 1), 3.0)], [(ts(2024, 6, 10), 4.0)]):
+        ranked(spark, rows, iv="1wk").coalesce(1).write.mode("append").parquet(f"{base}/staged")
+    schema = ranked(spark, [(ts(2024, 6, 3), 1.0)]).schema
+    U.start_upsert(spark, f"{base}/staged", schema, f"{base}/store", f"{base}/ckpt", ts(2024, 6, 11)).awaitTermination()
+    assert contents(spark, base) == [("1wk", "2024-01-01", 3.0), ("1wk", "2024-05-27", 2.0),
+                                     ("1wk", "2024-06-03", 1.0), ("1wk", "2024-06-10", 4.0)]
+
+
+def test_daily_only_store_reads_back(spark):
+    base = f"{checkpoint_dir(spark)}/test-i2-1d-{uuid.uuid4().hex}"
+    fn = U.upsert_batch_fn(f"{base}/store", ts(2024, 6, 10))
+    fn(ranked(spark, [(ts(2024, 6, 1), 1.0), (ts(2024, 6, 2), 2.0)], iv="1d"), 0)
+    assert contents(spark, base) == [("1d", "2024-06-01", 1.0), ("1d", "2024-06-02", 2.0)]
+
+
+def test_new_checkpoint_takes_new_data_and_restart_after_crash(spark, monkeypatch):
+    base = f"{checkpoint_dir(spark)}/test-i2-restart-{uuid.uuid4().hex}"
+    schema = ranked(spark, [(ts(2024, 6, 3), 1.0)]).schema
+
+    def stage(rows):
+        ranked(spark, rows).coalesce(1).write.mode("append").parquet(f"{base}/staged")
+
+    def run(ckpt):
+        U.start_upsert(spark, f"{base}/staged", schema, f"{base}/store", f"{base}/{ckpt}", ts(2024, 6, 10)).awaitTermination()
+    stage([(ts(2024, 6, 3), 1.0)])
+    run("a")
+    # the process dies after the data and log are written, before the stream's own commit
+    stage([(ts(2024, 6, 4), 2.0)])
+    whole = U.commit
+
+    def dies(*args, **kw):
+        whole(*args, **kw)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(U, "commit", dies)
+    try:
+        run("a")
+    except Exception as e:  # noqa: BLE001 - the stream reports it as its own failure
+        assert "lost" in str(e)
+    monkeypatch.setattr(U, "commit", whole)
+    run("a")  # replays the batch
+    stage([(ts(2024, 6, 5), 3.0)])
+    run("b")  # a new checkpoint sees all staged files again, and the new one
+    assert contents(spark, base) == [("5m", "2024-06-03", 1.0), ("5m", "2024-06-04", 2.0), ("5m", "2024-06-05", 3.0)]
+
+
+def test_optional_columns_survive_and_vacuum_keeps_live(spark):
+    base = f"{checkpoint_dir(spark)}/test-i2-vacuum-{uuid.uuid4().hex}"
+    fn = U.upsert_batch_fn(f"{base}/store", ts(2024, 6, 10))
+    for i, v in enumerate((1.0, 2.0, 3.0)):
+        fn(ranked(spark, [(ts(2024, 6, 2), v)], seq=i).withColumn("dividends", F.lit(v / 10)), i)
+    before = contents(spark, base)
+    assert U.vacuum(spark, f"{base}/store") == 2
+    assert contents(spark, base) == before == [("5m", "2024-06-02", 3.0)]
+    assert [r.dividends for r in U.read_current(spark, f"{base}/store").collect()] == [0.3]
+    fn(ranked(spark, [(ts(2024, 6, 3), 9.0)]), 3)
+    assert len(contents(spark, base)) == 2
+
+
+def test_unreadable_log_is_an_error(spark):
+    base = f"{checkpoint_dir(spark)}/test-i2-bad-{uuid.uuid4().hex}"
+    spark.createDataFrame([("broken",)], "value string").coalesce(1).write.text(f"{base}/store/log/stream=main")
+    import glob
+    import os
+    for f in glob.glob(f"{base.removeprefix('file://')}/store/log/stream=main/*.txt"):
+        os.rename(f, f[:-4] + ".parquet")
+    import pytest
+    with pytest.raises(Exception, match="(?i)parquet|footer|magic|FAILED_READ"):
+        U.latest_version(spark, f"{base}/store")
 
 
 def test_stream_bars_equal_batch_bars_for_closed_windows(spark):
@@ -90,9 +169,9 @@ def test_two_streams_split_by_interval(spark):
     staged.coalesce(1).write.mode("append").parquet(f"{base}/staged")
     as_of = ts(2024, 6, 10)
     q1 = U.start_upsert(spark, f"{base}/staged", staged.schema, f"{base}/store", f"{base}/ck1", as_of,
-                        "7 days", intervals=["1m"], stream="m1")
+                        intervals=["1m"], stream="m1")
     q2 = U.start_upsert(spark, f"{base}/staged", staged.schema, f"{base}/store", f"{base}/ck2", as_of,
-                        "60 days", intervals=["5m"], stream="other")
+                        intervals=["5m"], stream="other")
     q1.awaitTermination()
     q2.awaitTermination()
     got = sorted((r.interval, r.ts.day, r.close) for r in U.read_current(spark, f"{base}/store").collect())

@@ -67,7 +67,41 @@ def test_positions_match_row_number_with_hot_group(spark):
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
     assert sorted(map(tuple, got.select("g", "k", "pos").collect())) == \
         sorted(map(tuple, exp.select("g", "k", F.col("pos").cast("long")).collect()))
-    assert got.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_positions_of_wide_rows_match_row_number(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    # wide rows: the counts need fewer columns than the numbered rows, so two exchanges
+    # would be planned (and sampled) differently if the ranges were computed twice
+    df = spark.range(0, 500_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"), ((F.col("id") * 7919) % 500_009).alias("k"),
+        F.repeat(F.lit("x"), 40).alias("payload"), F.xxhash64("id").alias("more"))
+    got = R.positions(df, ["g"], ["k"], "pos", partitions=12)
+    exp = df.withColumn("exp", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1).select("g", "k", "exp")
+    wrong = got.join(exp, ["g", "k"], "full").where(~F.col("pos").eqNullSafe(F.col("exp"))).count()
+    assert got.count() == 500_000 and wrong == 0
+
+
+def test_universe_keeps_every_row_over_many_files(spark):
+    from pyspark.sql import functions as F
+    from barforge.sources.listings import build_universe
+    listed = spark.range(0, 300_000, 1, 12).select(
+        F.lit("c").alias("asset_class"), F.concat(F.lit("S"), "id").alias("symbol"),
+        (F.col("id") % 5).cast("int").alias("file_pos"), (F.col("id") + (1 << 41)).alias("pos"))
+    inline = spark.range(0, 1000).select(F.lit("c").alias("asset_class"), F.col("id").cast("int").alias("pos"),
+                                         F.concat(F.lit("I"), "id").alias("ticker"))
+    u = build_universe(inline, listed)
+    assert u.count() == 301_000
+    assert u.agg(F.countDistinct("pos"), F.max("pos"), F.min("pos")).first() == (301_000, 300_999, 0)
+
+
+def test_first_seen_beyond_packed_ranges(spark):
+    from barforge.sources.listings import first_seen
+    rows = [("c", "A", 0, (1 << 40) + 5), ("c", "A", 1, 3), ("c", "B", 2, 1 << 62), ("c", "B", 2, (1 << 62) - 1)]
+    df = spark.createDataFrame(rows, "asset_class string, symbol string, file_pos int, pos long")
+    got = {r.symbol: (r.file_pos, r.pos) for r in first_seen(df, ["asset_class"], "symbol", ["file_pos", "pos"]).collect()}
+    assert got == {"A": (0, (1 << 40) + 5), "B": (2, (1 << 62) - 1)}
 
 
 def test_shard_audit_entries(spark):
