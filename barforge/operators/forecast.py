@@ -2,7 +2,7 @@
 
 The AR model is ARIMA(1,1,0) fitted by conditional least squares on the log
 price, which reduces to two sums per series: phi = sum(r_t r_{t-1}) /
-sum(r_{t-1}^2) over training rows. Alignment is the one-step rule:
+sum(r_{t-1}^2) over the rows of the fit. Alignment is the one-step rule:
 information through t, target t+1.
 """
 
@@ -14,29 +14,25 @@ from pyspark.sql import functions as F
 from barforge.schema import SERIES_KEY
 
 
-def ar1_coefficients(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train") -> DataFrame:
-    """W17 fit: per-series AR(1) coefficient of log returns on training rows."""
-    w = Window.partitionBy(*key).orderBy("ts")
-    lagged = feat.select(*key, train_col, "log_ret", F.lag("log_ret").over(w).alias("prev_ret"))
-    t = F.col(train_col) & F.col("prev_ret").isNotNull()
-    return lagged.groupBy(*key).agg(
-        F.try_divide(F.sum(F.when(t, F.col("log_ret") * F.col("prev_ret"))),
-                     F.sum(F.when(t, F.col("prev_ret") * F.col("prev_ret")))).alias("phi"))
-
-
-def ar1_forecast(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train") -> DataFrame:
+def ar1_forecast(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train",
+                 before_test_col: str = "before_split") -> DataFrame:
     """Log-price forecast ln p_t + phi * r_t for t+1 on every row.
 
-    phi is a window aggregate over the series partition - the frame is
-    already hash-partitioned by the series key for its other windows, so the
-    coefficient needs no join and no extra shuffle."""
+    There are two fits per series: phi of the training rows forecasts up to the
+    end of validation, phi refitted on all rows before the test span (training
+    and validation) forecasts the test span. Both are window aggregates over
+    the series partition - the frame is already hash-partitioned by the series
+    key for its other windows, so they need no join and no extra shuffle."""
     w = Window.partitionBy(*key).orderBy("ts")
     whole = Window.partitionBy(*key)
     lagged = feat.withColumn("_prev", F.lag("log_ret").over(w))
-    t = F.col(train_col) & F.col("_prev").isNotNull()
-    num = F.sum(F.when(t, F.col("log_ret") * F.col("_prev"))).over(whole)
-    den = F.sum(F.when(t, F.col("_prev") * F.col("_prev"))).over(whole)
-    return (lagged.withColumn("phi", F.try_divide(num, den)).drop("_prev")
+
+    def phi(rows):
+        t = F.col(rows) & F.col("_prev").isNotNull()
+        return F.try_divide(F.sum(F.when(t, F.col("log_ret") * F.col("_prev"))).over(whole),
+                            F.sum(F.when(t, F.col("_prev") * F.col("_prev"))).over(whole))
+    fitted = F.when(F.col(before_test_col), phi(train_col)).otherwise(phi(before_test_col))
+    return (lagged.withColumn("phi", fitted).drop("_prev")
             .withColumn("ar_log", F.col("log_price") + F.coalesce(F.col("phi"), F.lit(0.0)) * F.col("log_ret")))
 
 

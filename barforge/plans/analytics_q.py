@@ -33,7 +33,8 @@ def weekly_priced(spark: SparkSession, sf: str) -> DataFrame:
 def split_frame(spark: SparkSession, sf: str) -> DataFrame:
     feat = S.feature_frame(priced(spark, sf), "price")
     return (S.positional_split(feat, 90, 0.85)
-            .withColumn("is_train", F.col("split_label") == "train"))
+            .withColumn("is_train", F.col("split_label") == "train")
+            .withColumn("before_split", F.col("split_label") != "test"))
 
 
 def forecast_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,12 +203,13 @@ def w14_positional_split(spark, sf):
 
 
 @register("a17_standardisation_stats", Q.with_(*_SPLIT) + f"""
-SELECT {Q.SERIES}, {", ".join(f"round(avg({c}) FILTER (WHERE is_train), 6) AS {c}_mean, "
-    f"round(CASE WHEN stddev_pop({c}) FILTER (WHERE is_train) < 1e-8 THEN 1.0 "
-    f"ELSE stddev_pop({c}) FILTER (WHERE is_train) END, 6) AS {c}_std" for c in _FEATURES)}
+SELECT {Q.SERIES}, {", ".join(f"round(avg({c}) FILTER (WHERE row_idx < n_rows - 90), 6) AS {c}_mean, "
+    f"round(CASE WHEN stddev_pop({c}) FILTER (WHERE row_idx < n_rows - 90) < 1e-8 THEN 1.0 "
+    f"ELSE stddev_pop({c}) FILTER (WHERE row_idx < n_rows - 90) END, 6) AS {c}_std" for c in _FEATURES)}
 FROM fs GROUP BY {Q.SERIES}""")
 def a17_standardisation_stats(spark, sf):
-    st = ST.standardisation_stats(split_frame(spark, sf), _FEATURES, "is_train")
+    """Mean and scale over all rows before the test span, validation included."""
+    st = ST.standardisation_stats(split_frame(spark, sf), _FEATURES, "before_split")
     return st.select(*KEY, *[r6(c).alias(c) for c in st.columns if c not in KEY])
 
 

@@ -121,7 +121,8 @@ def split(src: str = "feat", name: str = "fs", test_rows: int = 90, frac: float
   SELECT *, CASE WHEN row_idx >= n_rows - {test_rows} THEN 'test'
                  WHEN row_idx >= floor((n_rows - {test_rows}) * {frac}) THEN 'val'
                  ELSE 'train' END AS split_label,
-         (row_idx < floor((n_rows - {test_rows}) * {frac})) AS is_train
+         (row_idx < floor((n_rows - {test_rows}) * {frac})) AS is_train,
+         (row_idx < n_rows - {test_rows}) AS before_split
   FROM {name}_i)"""
 
 
@@ -132,10 +133,13 @@ def forecasts(src: str = "fs") -> str:
 ar_phi AS (
   SELECT {SERIES},
          sum(CASE WHEN is_train AND prev_ret IS NOT NULL THEN log_ret * prev_ret END)
-           / NULLIF(sum(CASE WHEN is_train AND prev_ret IS NOT NULL THEN prev_ret * prev_ret END), 0) AS phi
+           / NULLIF(sum(CASE WHEN is_train AND prev_ret IS NOT NULL THEN prev_ret * prev_ret END), 0) AS phi_val,
+         sum(CASE WHEN before_split AND prev_ret IS NOT NULL THEN log_ret * prev_ret END)
+           / NULLIF(sum(CASE WHEN before_split AND prev_ret IS NOT NULL THEN prev_ret * prev_ret END), 0) AS phi_test
   FROM ar_lag GROUP BY {SERIES}),
 fc AS (
-  SELECT s.*, p.phi, s.log_price + coalesce(p.phi, 0.0) * s.log_ret AS ar_log,
+  SELECT s.*, CASE WHEN s.before_split THEN p.phi_val ELSE p.phi_test END AS phi,
+         s.log_price + coalesce(CASE WHEN s.before_split THEN p.phi_val ELSE p.phi_test END, 0.0) * s.log_ret AS ar_log,
          s.log_price + s.sma_5 AS ma_log, ln(s.next_price) AS actual_log
   FROM {src} s LEFT JOIN ar_phi p USING ({SERIES})),
 bw_sums AS (

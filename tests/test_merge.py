@@ -156,3 +156,20 @@ def test_consolidation_only_touches_intraday_intervals(spark):
     assert {r.interval for r in merged.collect()} == {"5m"}
     merged2, _ = M.consolidate(d5.drop("day").limit(0), d5, ts(2024, 6, 2, 20), intervals=["1m"])
     assert merged2.count() == 0
+
+
+def test_value_moving_between_nullable_columns_is_an_update(spark):
+    ddl = BAR_DDL + ", dividends double, stock_splits double"
+    row = ("c", "1d", "X", ts(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, None, 1)
+    stored = spark.createDataFrame([(*row, 2.0, None)], ddl)
+    fresh = spark.createDataFrame([(*row, None, 2.0)], ddl)
+    assert [r.updated_rows for r in M.merge_report(M.merge_cumulative(stored, fresh)).collect()] == [1]
+    assert [r.updated_rows for r in M.merge_report(M.merge_cumulative(stored, stored)).collect()] == [0]
+
+
+def test_ranks_beyond_packed_ranges(spark):
+    from barforge.operators.bars import last_write_wins
+    rows = [("k", 0, (1 << 48) + 1, "low"), ("k", 1, 0, "high"), ("m", 1, (1 << 62) + 1, "late"), ("m", 1, 1 << 62, "early"),
+            ("n", 0, -5, "a"), ("n", 0, -6, "b")]
+    df = spark.createDataFrame(rows, "k string, src_rank int, seq long, v string")
+    assert {r.k: r.v for r in last_write_wins(df, ["k"]).collect()} == {"k": "high", "m": "late", "n": "a"}

@@ -66,3 +66,18 @@ def test_split_requires_non_empty_source(spark):
     import pytest
     with pytest.raises(RuntimeError, match="No files"):
         P.split_slices(_tree(spark, ["c/.gitkeep", "notes.md"]), slice_dim(spark))
+
+
+def test_shrink_permission_does_not_excuse_a_missing_interval(spark):
+    import uuid
+
+    from barforge.session import checkpoint_dir
+    from conftest import BAR_DDL, daily_bars
+    root = f"{checkpoint_dir(spark)}/publish-{uuid.uuid4().hex}"
+    two = spark.createDataFrame(daily_bars(2) + daily_bars(2, ticker="B"), BAR_DDL)
+    one = spark.createDataFrame(daily_bars(2), BAR_DDL)
+    assert P.publish_snapshot(spark, two, root, "daily", required=["1d"])["version"] == 1
+    assert P.publish_snapshot(spark, one, root, "daily", required=["1d"])["version"] is None
+    assert P.publish_snapshot(spark, one, root, "daily", required=["1d"], allow_shrink=True)["version"] == 3
+    gone = spark.createDataFrame(daily_bars(2, iv="1wk"), BAR_DDL)
+    assert P.publish_snapshot(spark, gone, root, "daily", required=["1d"], allow_shrink=True)["version"] is None

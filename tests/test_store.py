@@ -61,3 +61,44 @@ def test_scan_quarantines_unparseable_rows(spark, tmp_path):
     assert [(r.stem, r.close) for r in bars.collect()] == [("BTC-USD", 2.0)]
     bad = [(r.reason, r.rows) for r in quarantine.collect()]
     assert bad == [("bad time", 1)]
+
+
+def test_daily_store_keeps_interval_names(spark, tmp_path):
+    """1d and 5d are also numbers to Spark's partition inference."""
+    for n, intervals in enumerate((["1d"], ["1d", "5d"])):
+        rows = [r for iv in intervals for r in daily_bars(3, iv=iv)]
+        bars = spark.createDataFrame(rows, BAR_DDL).withColumn("dividends", F.lit(0.5))
+        ST.write_store(bars, str(tmp_path / f"p{n}"))
+        back = ST.read_store(spark, str(tmp_path / f"p{n}"))
+        assert sorted({r.interval for r in back.collect()}) == intervals and back.count() == len(rows)
+        ST.write_bar_csv(bars, str(tmp_path / f"c{n}"))
+        back = ST.read_store_csv(spark, str(tmp_path / f"c{n}"))
+        assert sorted({r.interval for r in back.collect()}) == intervals
+        assert {r.dividends for r in back.collect()} == {0.5}
+
+
+def test_time_formats_and_header_position(spark, tmp_path):
+    d = tmp_path / "c" / "1d"
+    d.mkdir(parents=True)
+    times = ["2024-01-02 09:30:00", "2024-01-02T09:30:00", "2024-01-02T09:30:00Z", "2024-01-02 09:30:00+00:00",
+             "2024-01-02T11:30:00.000+0200", "2024-01-02T09:30:00+0000"]
+    (d / "A.csv").write_text("Open,Datetime,Close\n" + "".join(f"1,{t},{i}\n" for i, t in enumerate(times)))
+    (d / "B.csv").write_text("Date,Close\n2024-01-02,7\nnonsense,8\n")
+    (d / "C.csv").write_text("broken\n")
+    bars, bad = ST.read_bar_csv(spark, str(tmp_path))
+    got = {(r.stem, r.close): r.ts for r in bars.collect()}
+    assert {str(t) for (s, _), t in got.items() if s == "A"} == {"2024-01-02 09:30:00"} and len(got) == 7
+    assert sorted(r.reason for r in bad.collect()) == ["bad time", "no header"]
+
+
+def test_retained_read_pushes_time_to_the_scan(spark, tmp_path):
+    import datetime as dt
+    from barforge.operators.bars import prune_retention
+    rows = [r for iv in ("1d", "1m", "5m") for r in daily_bars(90, iv=iv)]
+    ST.write_store(spark.createDataFrame(rows, BAR_DDL), str(tmp_path / "r"))
+    as_of = dt.datetime(2024, 3, 30, tzinfo=dt.timezone.utc)
+    kept = ST.read_retained(spark, str(tmp_path / "r"), as_of)
+    exp = prune_retention(ST.read_store(spark, str(tmp_path / "r")), as_of)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, exp.collect()))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan

@@ -113,3 +113,29 @@ def test_refresh_report_cases(spark):
     five = [(f"f{i}", "europe", None) for i in range(5)]
     assert _report(spark, five, empty, empty) == (5, 0, 5)
     assert _report(spark, [("local", None, None)], empty, empty) == (0, 0, 0)  # not checked
+
+
+def test_fingerprint_sees_where_nulls_are(spark):
+    from barforge.sources import listings as L
+    df = spark.createDataFrame([("a", "x", None), ("b", None, "x")], "g string, p string, q string")
+    got = {tuple(r)[1:] for r in L.content_fingerprint(df, ["g"], ["p", "q"]).collect()}
+    assert len(got) == 2
+
+
+def test_empty_sources_raise(spark):
+    from barforge.sources import listings as L
+    lines = spark.createDataFrame([("  ", 1)], "value string, line_no int")
+    with pytest.raises(ValueError, match="no usable symbol"):
+        L.plain_ticker_listing(lines)
+    market = spark.createDataFrame([], "code string, name string, row_no int")
+    with pytest.raises(ValueError, match="no usable symbol"):
+        L.exchange_directory_listing({"M": market}, {"M": ".X"})
+    with pytest.raises(ValueError, match="no column"):
+        L.exchange_directory_listing({"M": market.drop("name")}, {"M": ".X"})
+
+
+def test_exchange_directory_keeps_industry(spark):
+    from barforge.sources import listings as L
+    market = spark.createDataFrame([("20", "N1", "steel", 1), ("20", "N2", "gas", 2)], "code string, name string, industry string, row_no int")
+    got = [tuple(r) for r in L.exchange_directory_listing({"M": market}, {"M": ".X"}).collect()]
+    assert got == [("000020.X", "N1", "M", "steel")]
