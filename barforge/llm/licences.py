@@ -83,9 +83,11 @@ def words_of(c: Column) -> Column:
 
 def ngrams_of(words: str, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
     """Word n-grams of an array column, words joined by one space."""
-    return F.concat(*(F.when(F.size(words) >= n, F.transform(
-        F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-        .otherwise(F.array().cast("array<string>")) if n > 1 else F.col(words) for n in sizes))
+    def grams(n: int) -> Column:
+        at = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        return F.when(F.size(words) >= n, F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(
+            F.array().cast("array<string>"))
+    return F.concat(*map(grams, sizes))
 
 
 def template_rows(spark: SparkSession) -> DataFrame:

@@ -31,6 +31,11 @@ def found(spark, model, rows):
     return out
 
 
+def test_ngrams(spark):
+    df = spark.createDataFrame([(["a", "b", "c", "d"],), (["x"],), ([],)], "w array<string>").select(L.ngrams_of("w", (2, 3)))
+    assert [r[0] for r in df.collect()] == [["a b", "b c", "c d", "a b c", "b c d"], [], []]
+
+
 def test_held_out_notices(spark, model):
     rows = [(i, f"some text\n\n{t}\nmore text") for i, t in enumerate(HELD_OUT.values())]
     got = found(spark, model, rows)
