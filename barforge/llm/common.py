@@ -43,9 +43,22 @@ def column_or_null(df: DataFrame, name: str, kind: str):
     return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
 
 
+#: Rows of text that a Python worker is handed at once, at most.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of texts: Spark's 10,000 rows can be hundreds of
+    megabytes in each worker. A smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def texts_only(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) alone, the text as UTF-8 bytes: other columns, whatever
     their names, never reach the operator."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).cast("string").cast("binary").alias("text"))
 

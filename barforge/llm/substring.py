@@ -33,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm.common import scratch_path, slices, window_hashes, word_hashes, written
+from barforge.llm.common import scratch_path, slices, small_batches, window_hashes, word_hashes, written
 
 WINDOW = 20
 PREFIX = 5
@@ -101,6 +101,7 @@ def _word_digest(text: bytes) -> tuple[int, str]:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
@@ -239,6 +240,12 @@ def _kept_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       ["doc", "digest", "n_removed", "kept", "spans"])
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files of finished steps: their results are written
+    tables by now, and the cleaner acts when the driver collects its garbage."""
+    spark._jvm.System.gc()
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_suffixes: int = GROUP_SUFFIXES,
                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(summary, changed). summary has a row per input row: doc_id, digest,
@@ -258,25 +265,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
         F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
     copies = written(copies.where("first_doc <> last_doc").drop("last_doc"), "substr-copies")
 
-    # 1. grams that occur at two different places, copies counting once
-    places = base.select("doc", "digest", F.xxhash64("digest").alias("d"),
-                         F.explode(F.arrays_zip("grams", "places")).alias("g"))
-    places = places.select("doc", "digest", F.col("g.grams").alias("gram"), F.col("g.places").alias("place"),
-                           F.xxhash64("d", "g.places").alias("v"))
-    repeated = places.groupBy("gram").agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count(F.lit(1)).alias("n"))
+    # 1. grams that occur at two different places, copies counting once: a place
+    # is a text (by its hash) and a position, whatever documents hold the text
+    d = F.xxhash64("digest").alias("d")
+    places = base.select(d, F.explode(F.arrays_zip("grams", "places")).alias("g"))
+    places = places.select("d", F.col("g.grams").alias("gram"), F.col("g.places").alias("place"))
+    v = F.xxhash64("d", "place")
+    repeated = places.groupBy("gram").agg(F.min(v).alias("a"), F.max(v).alias("b"), F.count(F.lit(1)).alias("n"))
     repeated = repeated.where("a <> b").select("gram", (F.col("n") > group_suffixes).alias("wide"))
-    flagged = places.drop("v").join(repeated, "gram").groupBy("doc", "digest").agg(
-        F.collect_list(F.struct("place", "wide")).alias("p"))
-    flagged = flagged.join(copies, "digest", "left").where(F.coalesce(F.col("first_doc"), F.col("doc")) == F.col("doc"))
-    flagged = flagged.select("doc", "digest", F.col("p.place").alias("places"), F.col("p.wide").alias("wide"))
-
-    # the texts that can change, kept bucketed by id: joined twice, shuffled once
+    flagged = places.join(repeated, "gram").groupBy("d").agg(F.collect_set(F.struct("place", "wide")).alias("p"))
+    # of whole copies only the first one's windows are looked at
+    firsts = base.join(copies, "digest", "left").where(F.coalesce(F.col("first_doc"), F.col("doc")) == F.col("doc"))
+    flagged = flagged.join(firsts.select("doc", d, "digest").distinct(), "d")
+    flagged = written(flagged.select("doc", "digest", F.col("p.place").alias("places"), F.col("p.wide").alias("wide")), "substr-flagged")
+    _let_go(spark)
+
+    # the texts that can change, kept bucketed by id: shuffled once, joined twice
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "substr-candidates")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    (texts.join(flagged, "doc").repartition(buckets, "doc").write.bucketBy(buckets, "doc")
+    (texts.repartition(buckets, "doc").join(flagged, "doc").write.bucketBy(buckets, "doc")
      .option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name))
     candidates = spark.table(name)
+    _let_go(spark)
 
     # 2. and 3. suffixes by prefix group, later leaves of each subtree
     opened = written(open_suffixes(candidates, window, prefix), "substr-open")
@@ -287,6 +298,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
         opened.where(F.size("settled") > 0).select("doc", F.xxhash64("digest").alias("d"), "settled"))
     starts = starts.groupBy("doc", "d").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     starts = written(starts, "substr-starts")
+    _let_go(spark)
 
     hit = candidates.join(starts, "doc").where(F.xxhash64("digest") == F.col("d"))
     changed = without_windows(hit.select("doc", "digest", "text", "starts"), window)
