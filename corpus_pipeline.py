@@ -20,21 +20,26 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the evidence settles on; lang holds that language.
-    The rest (no letters, or none of the known languages probable enough) goes."""
+    """Documents in a language the evidence settles on. The rest (no letters, or
+    none of the known languages probable enough) goes. Only the rejected ids
+    meet the texts: few, and broadcast where their written table is small."""
     from barforge.llm.queries import languages_of
-    found = written(languages_of(spark, docs, sf_dir).where(F.col("kept") & F.col("doc_id").isNotNull())
-                    .groupBy("doc_id").agg(F.max("lang").alias("found_lang")), "pipeline-languages")
-    return docs.join(found, "doc_id").select("doc_id", "text", F.col("found_lang").alias("lang"), "source", "n_chars")
+    found = languages_of(spark, docs, sf_dir).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    rejected = written(found.where(~F.col("kept")).select("doc_id"), "pipeline-rejected")
+    return docs.where(F.col("doc_id").isNotNull()).join(rejected, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest
-    doc_id (a repeated row counts once)."""
+    doc_id. Ids that occur in several rows keep one of them; only those rows
+    are shuffled for it."""
     from barforge.llm.simhash import near_duplicates
-    found = near_duplicates(docs, shingle=3, max_bits=2)
-    kept = written(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "pipeline-kept")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    found = near_duplicates(docs, shingle=3, max_bits=2).groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("n"))
+    found = written(found.where(~F.col("first") | (F.col("n") > 1)), "pipeline-copies")
+    once = docs.where(F.col("doc_id").isNotNull()).join(found.select("doc_id"), "doc_id", "left_anti")
+    again = docs.join(found.where(F.col("first") & (F.col("n") > 1)).select("doc_id"), "doc_id", "left_semi")
+    return once.select(*COLUMNS).union(again.select(*COLUMNS).dropDuplicates(["doc_id"]))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
