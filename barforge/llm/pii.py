@@ -6,11 +6,16 @@ Every generator is one regular expression; splitting a text at its matches
 gives the offsets. Matches become narrow rows (offsets, a few characters of
 context), so texts are never shuffled. Base spans follow their rules alone and
 always stay. The other candidates - secrets in assignments, loosely written
-numbers and addresses - are scored by boosted trees fitted on all candidates,
-with spans that a rule confirms as positives. Feature values are small codes,
-so all candidates of the corpus reduce to a bounded table of feature patterns
-with weights; trees are fitted and evaluated on it. Per kind, the threshold is
-the lowest score whose precision on held-out documents reaches the target.
+numbers and addresses - are scored by boosted trees. Their positives are
+confirmed spans rewritten so that the confirming rule no longer holds (phones
+without their plus or country code, hex secrets in base64 or cut short,
+addresses spelled out), in the context they stand in; negatives are candidates
+with a sign against them (numbers without a word that leads to a phone, values
+spelled in words, names that end in no domain). Candidates without either are
+in neither class: the trees decide them. Feature values are small codes, so all
+candidates of the corpus reduce to a bounded table of feature patterns with
+weights; trees are fitted and evaluated on it. Per kind, the threshold is the
+lowest score whose precision on held-out documents reaches the target.
 """
 
 from __future__ import annotations
@@ -43,9 +48,15 @@ KINDS = tuple(GENERATORS)
 CONTEXT = 24
 CONTACT_CUE = "(?i)(?:phone|tel|call|fax|mobile|contact|mail|card|account|ssn|passport|iban|addr)"
 SECRET_CUE = "(?i)(?:key|token|secret|passw|pwd)"
+#: What leads to a phone number, right before it.
+LEADS = r"(?i)\b(?:phone|tel|telephone|call|fax|mobile|cell|contact|reach|dial)\b[^0-9]{0,12}$"
+DATE = r"^(?:(?:19|20)[0-9]{2}([./-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./-])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?:\x20.*)?$"
+#: Values made of words and numbers, e.g. primary_key2 or camelCase names.
+SPELLED = "^(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]++(?![a-z])|[_/+=-]++)++$"
+DOMAIN_END = r"[\x20.)\]}](?!(?:txt|html?|pdf|docx?|xlsx?|csv|json|xml|php|js|py|java|jpe?g|png|gif|zip|md)$)[a-z]{2,24}$"
 PRECISION = 0.99
 TREES, DEPTH = 10, 4
-FEATURES = ("kind_code", "length_code", "digits", "separators", "luhn", "octets", "hex", "before", "behind", "cue")
+FEATURES = ("kind_code", "length_code", "digits", "separators", "luhn", "octets", "hex", "before", "behind", "cue", "mix", "runs")
 
 
 def _octets(m: Column) -> Column:
@@ -109,13 +120,55 @@ def _class(c: Column) -> Column:
             .when(c.rlike("^[\"'()\\[\\]<>{}]"), 3).otherwise(4))
 
 
-def featured(found: DataFrame) -> DataFrame:
-    """Candidates with their feature codes, the weak label (a rule confirms the
-    span, or one that overlaps it) and the fold of their document."""
+def _coded(rows: DataFrame) -> DataFrame:
+    """Rows of kind, found, prior, next with their feature codes. The cue is left
+    to the base kinds: for numbers it is what the labels rest on."""
     m, digits = F.col("found"), F.regexp_replace("found", "[^0-9]", "")
-    n = F.length(m)
+    cue = F.when(F.col("prior").rlike(CONTACT_CUE), 1).otherwise(0) + F.when(F.col("prior").rlike(SECRET_CUE), 2).otherwise(0)
+    has = lambda c, w: F.when(m.rlike(c), w).otherwise(0)
+    turns = "(?<=[a-z])(?![a-z])|(?<=[A-Z])(?![A-Z])|(?<=[0-9])(?![0-9])"
+    return rows.withColumns({
+        "kind_code": reduce(lambda a, k: F.when(F.col("kind") == k, KINDS.index(k)).otherwise(a), KINDS, F.lit(-1)),
+        "length_code": F.least(F.floor(F.log2(F.length(m))), F.lit(7)).cast("int"), "digits": F.least(F.length(digits), F.lit(20)),
+        "separators": F.least(F.length(F.regexp_replace(m, r"[^\x20()./-]", "")), F.lit(5)),
+        "luhn": (F.length(digits).between(12, 19) & _luhn(digits)).cast("int"), "octets": _octets(m).cast("int"),
+        "hex": m.rlike("^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{16,}$").cast("int"),
+        "before": _class(F.right("prior", F.lit(1))), "behind": _class(F.left("next", F.lit(1))),
+        "cue": F.when(F.col("kind").isin(*BASE), cue).otherwise(0), "mix": has("[a-z]", 1) + has("[A-Z]", 2) + has("[0-9]", 4),
+        "runs": F.least(F.size(F.regexp_extract_all(F.left(m, F.lit(64)), F.lit(turns), F.lit(0))), F.lit(7))})
+
+
+def _rewritten(sure: DataFrame) -> DataFrame:
+    """Confirmed phones, secrets and addresses in forms their rules do not
+    confirm, as rows of kind, found, prior, next, held_out and weight. The forms
+    of a span weigh 1 together. Only forms that the kind's generator finds."""
+    m = F.col("found")
+    at, name = F.regexp_extract(m, "^(.*)@", 1), F.regexp_extract(m, "@(.*)$", 1)
+    form = lambda kind, found, lead="": F.struct(
+        F.lit(kind).alias("kind"), found.alias("found"), F.concat("prior", lead if isinstance(lead, Column) else F.lit(lead)).alias("prior"))
+    country = r"^\+([0-9]{1,3}[\x20().-]+)([0-9].*)$"
+    code = F.base64(F.unhex(F.left(m, F.floor(F.length(m) / 2).cast("int") * 2)))
+    code = F.regexp_replace(code, r"\s", "")
+    forms = (F.when(F.col("kind") == "phone", F.array(
+        form("number", F.expr("substr(found, 2)")), form("number", F.regexp_extract(m, country, 2), F.regexp_extract(m, country, 1))))
+        .when(F.col("kind") == "secret", F.array(
+            form("secret", code), form("secret", F.left(code, F.lit(20))), form("secret", F.left(m, F.lit(24))), form("secret", F.left(m, F.lit(16)))))
+        .when(F.col("kind") == "email", F.array(*(
+            form("address", F.concat(at, F.lit(a), F.regexp_replace(name, r"\.", d)))
+            for a, d in ((" [at] ", " [dot] "), (" (at) ", " (dot) "), (" (at) ", "."), ("[at]", "[dot]"), (" [at] ", "."))))))
+    whole = {"number": f"^(?:{GENERATORS['number'][0]})$", "secret": "^[A-Za-z0-9+/_=-]{8,}$", "address": f"^(?:{GENERATORS['address'][0]})$"}
+    forms = F.filter(forms, lambda x: reduce(lambda a, k: a | ((x["kind"] == k) & x["found"].rlike(whole[k])), whole, F.lit(False)))
+    rows = sure.select("next", "held_out", (1.0 / F.size(forms)).alias("weight"), F.explode(forms).alias("x"))
+    return rows.select("x.*", "next", "held_out", "weight")
+
+
+def featured(found: DataFrame) -> DataFrame:
+    """Candidates with their feature codes, the weak label (1: a rule confirms
+    the span, 0: a sign is against it, null: undecided), whether a confirmed
+    span overlaps it or it cannot be of its kind, and the fold of their document."""
+    m, n = F.col("found"), F.length(F.regexp_replace("found", "[^0-9]", ""))
     by_place = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end", "kind")
-    # rule-confirmed secrets: a quoted or long mixed value behind a secret's name
+    # rule-confirmed secrets: 32 hex digits or more behind a secret's name
     seed = (F.col("kind") == "secret") & m.rlike("^[0-9A-Fa-f]{32,}$")
     sure = found.withColumn("sure", F.col("valid") | seed)
     back = F.max(F.when(F.col("sure"), F.col("end"))).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
@@ -123,39 +176,43 @@ def featured(found: DataFrame) -> DataFrame:
     from_end = Window.partitionBy("doc_id", "text_hash").orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))
     ahead = F.min(F.when(F.col("sure"), F.col("start"))).over(from_end.rowsBetween(Window.unboundedPreceding, -1))
     overlaps = F.coalesce(back > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
-    cue = F.when(F.col("prior").rlike(CONTACT_CUE), 1).otherwise(0) + F.when(F.col("prior").rlike(SECRET_CUE), 2).otherwise(0)
-    codes = {
-        "kind_code": reduce(lambda a, k: F.when(F.col("kind") == k, KINDS.index(k)).otherwise(a), KINDS, F.lit(-1)),
-        "length_code": F.least(F.floor(F.log2(n)), F.lit(7)).cast("int"), "digits": F.least(F.length(digits), F.lit(20)),
-        "separators": F.least(F.length(F.regexp_replace(m, r"[^\x20()./-]", "")), F.lit(5)),
-        "luhn": (F.length(digits).between(12, 19) & _luhn(digits)).cast("int"), "octets": _octets(m).cast("int"),
-        "hex": m.rlike("^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{16,}$").cast("int"),
-        "before": _class(F.right("prior", F.lit(1))), "behind": _class(F.left("next", F.lit(1))), "cue": cue}
-    return sure.withColumns({**codes, "label": F.when(F.col("sure") | overlaps, 1.0).otherwise(0.0), "inside": overlaps,
+    # no phone number has 16 digits; four parts of digits are an address or a version
+    refuted = (F.when(F.col("kind") == "number", (n > 15) | m.rlike(r"^[0-9]+(?:\.[0-9]+){3}$") | m.rlike(DATE))
+               .when(F.col("kind") == "secret", m.rlike(SPELLED)).when(F.col("kind") == "address", ~m.rlike(DOMAIN_END)).otherwise(False))
+    against = F.col("kind").isin(*BASE) | F.col("refuted") | ((F.col("kind") == "number") & ~F.col("prior").rlike(LEADS))
+    rows = sure.withColumns({"inside": overlaps, "refuted": ~F.col("sure") & refuted,
                              "held_out": F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(5)) == 0})
+    return _coded(rows.withColumn("label", F.when(F.col("sure"), 1.0).when(~F.col("inside") & against, 0.0)))
 
 
 def selected_patterns(candidates_featured: DataFrame, precision: float = PRECISION) -> DataFrame | None:
     """The feature patterns whose candidates are redacted, with their score:
-    boosted trees on the patterns' weights outside the held-out fold, the
-    threshold of each kind from the held-out fold (precision with one hit and one
-    miss added, so that a few lucky candidates select nothing). None without
-    both classes.
+    boosted trees on the patterns' weights outside the held-out fold, both
+    classes of each kind balanced, the threshold of each kind from the held-out
+    fold (precision with one hit and one miss added, so that a few lucky
+    candidates select nothing). For secrets, numbers and addresses the positives
+    are rewritten spans alone. None without both classes.
 
     The pattern table is bounded by the features' codes, not by the corpus."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    weight = lambda c: F.sum(F.when(c, 1.0).otherwise(0.0))
-    patterns = candidates_featured.groupBy(*FEATURES).agg(
+    weight = lambda c: F.sum(F.when(c, F.col("weight")).otherwise(0.0))
+    own = candidates_featured.select(*FEATURES, "held_out", F.when(F.col("kind").isin(*BASE) | (F.col("label") == 0), F.col("label")).alias("label"),
+                                     F.lit(1.0).alias("weight"))
+    forms = _coded(_rewritten(candidates_featured.where("sure"))).select(*FEATURES, "held_out", F.lit(1.0).alias("label"), "weight")
+    patterns = own.unionByName(forms).groupBy(*FEATURES).agg(
         weight(~F.col("held_out") & (F.col("label") == 1)).alias("fit_1"), weight(~F.col("held_out") & (F.col("label") == 0)).alias("fit_0"),
         weight(F.col("held_out") & (F.col("label") == 1)).alias("held_1"), weight(F.col("held_out") & (F.col("label") == 0)).alias("held_0"))
     patterns = written(patterns.coalesce(1).sortWithinPartitions(*FEATURES), "pii-patterns")
     sums = patterns.agg(F.sum("fit_1").alias("a"), F.sum("fit_0").alias("b")).first()
     if not sums["a"] or not sums["b"]:
         return None
-    vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(patterns)
+    # a rare kind counts as much as a frequent one
+    kind = Window.partitionBy("kind_code")
+    vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(patterns).withColumns(
+        {c: F.coalesce(F.try_divide(F.lit(1000.0) * F.col(c), F.sum(c).over(kind)), F.lit(0.0)) for c in ("fit_1", "fit_0")})
     fit = vector.select("features", F.lit(1.0).alias("label"), F.col("fit_1").alias("w")).union(
         vector.select("features", F.lit(0.0).alias("label"), F.col("fit_0").alias("w"))).where("w > 0").coalesce(1).cache()
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, weightCol="w", seed=7).fit(fit)
@@ -171,14 +228,14 @@ def find_spans(docs: DataFrame, precision: float = PRECISION, id_col: str = "doc
     """(doc_id, text_hash, kind, start, end, base): the base spans, secrets a
     rule confirms, and the other candidates the calibrated trees select.
     Candidates of a base kind that fail its rule are not added, nor candidates
-    of the trees that overlap a confirmed span."""
+    of the trees that cannot be of their kind or overlap a confirmed span."""
     found = written(featured(candidates(docs, id_col, text_col)), "pii-candidates")
     base = found.where("valid").select("doc_id", "text_hash", "kind", "start", "end", F.lit(True).alias("base"))
     chosen = selected_patterns(found, precision)
     more = found.where(~F.col("valid") & ~F.col("kind").isin(*BASE))
     added = more.where("sure")
     if chosen is not None:
-        added = added.unionByName(more.where("not sure and not inside").join(chosen, list(FEATURES), "left_semi"))
+        added = added.unionByName(more.where("not sure and not inside and not refuted").join(chosen, list(FEATURES), "left_semi"))
     return base.union(added.select("doc_id", "text_hash", "kind", "start", "end", F.lit(False)))
 
 

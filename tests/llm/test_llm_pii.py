@@ -112,3 +112,26 @@ def test_trees_use_context(spark, mixed):
     phone = P.KINDS.index("phone")
     assert chosen is not None and chosen.where(F.col("kind_code") == phone).count() > 0
     assert P.selected_patterns(found.limit(0)) is None
+
+
+def test_trees_alone_add_each_kind(spark):
+    """What no rule confirms: a mixed secret, a phone without its plus, a spelled-out address."""
+    rnd = random.Random(12)
+    some = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    rows, expected = [], {}
+    for i in range(6000):
+        what, number = i % 10, f"1 ({200 + i % 700}) 555-{i % 10000:04d}"
+        body = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(6))
+        body += {0: f" call +{number} now", 1: f" mail user{i}@mail{i % 9}.example.org today", 2: f' token = "{some("0123456789abcdef", 40)}"',
+                 3: f" order {i * 7919 % 10**9:09d} shipped", 4: f" key = primary_column_{i % 7} set", 5: f" call {i * 7919 % 10**9:09d} times",
+                 6: f" on 2019-{1 + i % 12:02d}-{10 + i % 18} we met", 7: f" look (at) table{i % 9}.2 here"}.get(what, "")
+        if what == 8 and i % 100 == 8:
+            found = [number, f"user{i} [at] mail{i % 9} [dot] example [dot] org", "aB3" + some("ABCDEFGHabcdefgh0123456789", 21) + "xY7"]
+            body += " " + (f"phone {found[0]} please", f"write {found[1]} soon", f'secret = "{found[2]}"')[i // 100 % 3]
+            expected[i] = (("number", "address", "secret")[i // 100 % 3], found[i // 100 % 3])
+        rows.append((i, body))
+    got = {r.doc_id: [s for s in r.s.split(",") if s] for r in P.document_spans(documents(spark, rows).repartition(4)).select("doc_id", P.span_text("spans").alias("s")).collect()}
+    for i, (kind, value) in expected.items():
+        at = rows[i][1].index(value)
+        assert f"{kind}:{at}:{at + len(value)}" in got[i], (kind, value, got[i])
+    assert all(got[i] == [] for i in got if i % 10 > 2 and i not in expected)  # clean documents are left alone
