@@ -212,12 +212,15 @@ def identify(docs: DataFrame, languages: list[str], models: np.ndarray, id_col:
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """(doc_id, declared, url): the markup language and address of the page of
-    each document (the page whose address ends in the document's number; the
-    smallest page_id if there are several)."""
+    """(doc_id, declared, url): the markup language and address of the pages of
+    each document (those whose address ends in the document's number). The
+    address is that of the smallest page_id, the language that of the smallest
+    page_id whose markup declares one, wherever in the page it stands; "" if
+    none does."""
     number = F.regexp_extract("url", r"/([0-9]{1,18})(?:\.[a-z]+)?/?(?:[?#].*)?$", 1)
-    tag = F.regexp_extract(F.substring("html", 1, 4096), r"(?i)<html[^>]*\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    tag = F.regexp_extract("html", r"(?i)<html(?=\s)[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     page = pages.select(F.when(number != "", number).cast("bigint").alias("doc_id"), "page_id", "url", tag.alias("declared"))
-    page = page.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min_by(F.struct("url", "declared"), "page_id").alias("p"))
-    return page.select("doc_id", F.col("p.declared").alias("declared"), F.col("p.url").alias("url"))
+    says = F.col("declared") != ""
+    return page.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.coalesce(F.min_by("declared", F.when(says, F.col("page_id"))), F.lit("")).alias("declared"),
+        F.min_by("url", "page_id").alias("url"))

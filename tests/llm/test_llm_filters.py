@@ -155,3 +155,12 @@ def test_other_script_is_unknown(spark):
     names, models = L.fit_text_models(labelled(spark, language_rows(200)), "lang")
     df = documents(spark, [(1, "совсем другой язык и другие буквы " * 5), (2, "完全不同的文字 " * 20)])
     assert {r.lang for r in L.identify(df, names, models).collect()} == {"und"}
+
+
+def test_page_evidence_of_whole_pages_and_all_pages(spark):
+    late = "<!-- " + "licence " * 2000 + "-->"
+    rows = [(1, "http://a.org/1", late + '<html class="x" lang="fr">'), (2, "http://a.org/2", "<html><p>"), (3, "http://b.org/2", None),
+            (5, "http://d.org/2", '<HTML LANG=es-MX>'), (4, "http://c.org/2", "<html lang='de'>"), (6, "http://a.org/3", "no markup"), (7, "http://a.org/x", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.doc_id: (r.declared, r.url) for r in L.page_evidence(pages).collect()}
+    assert got == {1: ("fr", "http://a.org/1"), 2: ("de", "http://a.org/2"), 3: ("", "http://a.org/3")}
