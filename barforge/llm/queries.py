@@ -166,3 +166,35 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_paragraphs", "n_licence", F.array_join("families", ",").alias("families"),
                         F.round("probability", 6).alias("probability"))
+
+
+@query("op12_phrase_collocations", oracle=r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, unnest(list_transform(pieces, lambda x: regexp_extract_all(x, '[^\x20\x09]+'))) AS w FROM d),
+q AS (SELECT lang, w FROM p WHERE len(w) > 0),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM q),
+g AS (SELECT lang, w[i:i + k - 1] AS g, count(*) AS f FROM s, (VALUES (1), (2), (3), (4)) v(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, f FROM g WHERE f >= 30 AND len(g) > 1),
+cover AS (
+  SELECT lang, g[b:e] AS g, max(f) AS longer
+  FROM (SELECT lang, g, f, unnest(range(1, len(g))) AS b FROM c WHERE len(g) > 2), (VALUES (2), (3), (4)) v(e)
+  WHERE e > b AND e <= len(g) AND e - b + 1 < len(g) GROUP BY ALL),
+kept AS (
+  SELECT c.lang, c.g, c.f FROM c LEFT JOIN cover ON cover.lang = c.lang AND cover.g = c.g
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * f),
+cuts AS (
+  SELECT kept.lang, kept.g, kept.f, k, l.f AS l, r.f AS r, (2000000::HUGEINT * kept.f // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM kept, (VALUES (1), (2), (3)) v(k), g l, g r
+  WHERE k < len(kept.g) AND l.lang = kept.lang AND r.lang = kept.lang AND l.g = kept.g[:k] AND r.g = kept.g[k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, list_aggregate(g, 'string_agg', ' ') AS phrase, f AS a, l, r, score FROM best),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM ranked)
+SELECT lang, rank, phrase, a, l, r, n, score FROM top JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
