@@ -198,3 +198,37 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM top JOIN n USING (lang) WHERE
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barforge.llm.collocations import collocations
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", oracle="""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id AS id,
+    CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.row AS anchor, a.id AS anchor_id, b.row, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a, v b WHERE a.id % 50 = 0 AND a.row <> b.row),
+p AS (
+  SELECT anchor, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, row) AS k
+  FROM s WHERE same QUALIFY k <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor, k ORDER BY score DESC, id, row)::INTEGER AS rank, id AS negative_id,
+  positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.hard_negatives import mine
+    rows, label = table(spark, sf_dir, "embeddings"), F.col("label").cast("bigint")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return mine(rows, F.col("vec_id") % 50 == 0)
+
+
+@query("op13_secret_randomness_tests")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barforge.llm.secret_scan import BASE, document_spans, span_text
+    found = document_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in BASE), F.sha2(span_text("base"), 256).alias("base_sha256"),
+                        span_text("spans").alias("spans"))
