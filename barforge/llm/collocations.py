@@ -50,8 +50,10 @@ MAX_EXTENDED = 1_000_000
 TABLE_BITS = 25
 #: Prefix hashes are summed in so many bins to lay out the groups.
 BIN_BITS = 16
-#: Bytes of text that are tokenised at once.
+#: A long text is cut at the piece's end behind so many bytes; so many bytes of
+#: text are held, by language, before they are tokenised.
 SLICE = 4 << 20
+HELD = 12 << 20
 
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
@@ -136,15 +138,15 @@ def _differ(raw: np.ndarray, first: np.ndarray, end: np.ndarray, of: np.ndarray)
 
 def _text_slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[str, int, bytes]]:
     """(lang, seed of the language, lower-cased text) of bounded size: whole
-    texts, or parts of a long one that end at a piece's end."""
+    texts, or parts of a long one that end at a piece's end. Texts are held up
+    to a bound, then the language with most of them goes out."""
     import xxhash
     held: dict[str, list[bytes]] = {}
-    size = 0
+    sizes: dict[str, int] = {}
 
-    def flush():
-        for lang, parts in held.items():
-            yield lang, xxhash.xxh64_intdigest(lang.encode(), seed), b"\n".join(parts).lower()
-        held.clear()
+    def flush(lang):
+        del sizes[lang]
+        return lang, xxhash.xxh64_intdigest(lang.encode(), seed), b"\n".join(held.pop(lang)).lower()
 
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
@@ -154,11 +156,11 @@ def _text_slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple
                 cut = _END.search(text, at + SLICE) if len(text) - at > SLICE else None
                 end = cut.end() if cut else len(text)
                 held.setdefault(lang, []).append(text[at:end])
-                size, at = size + end - at, end
-                if size >= SLICE:
-                    yield from flush()
-                    size = 0
-    yield from flush()
+                sizes[lang], at = sizes.get(lang, 0) + end - at, end
+                if sum(sizes.values()) >= HELD:
+                    yield flush(max(sizes, key=sizes.get))
+    for lang in list(held):
+        yield flush(lang)
 
 
 def _count_words(batches, layout: Layout) -> Iterator[pa.RecordBatch]:
