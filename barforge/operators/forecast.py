@@ -1,39 +1,149 @@
 """Forecasting operators (W16-W19, A14) for all series at once.
 
-The AR model is ARIMA(1,1,0) fitted by conditional least squares on the log
-price, which reduces to two sums per series: phi = sum(r_t r_{t-1}) /
-sum(r_{t-1}^2) over the rows of the fit. Alignment is the one-step rule:
-information through t, target t+1.
+Log prices are modelled as ARIMA(p, 1, q), p and q up to 2, by the two-stage
+regression of Hannan and Rissanen: a long autoregression of the log returns
+gives residuals, and returns are regressed on their own lags and the residuals'
+lags. Every order's fit follows from one table of sums per series, so the order
+with the least AIC is chosen without a solver that iterates. The return model
+(W18) is a ridge regression per series on the standardised feature windows.
+Alignment is the one-step rule: information through t, target t+1.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import operator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barforge.operators.regression import dot, product_sums, solved, system
 from barforge.schema import SERIES_KEY
 
+#: Lags of the long autoregression, and the largest p and q.
+LONG_LAGS, MAX_ORDER = 5, 2
+#: (p, q) in the order they are tried; the first of equal AICs is taken.
+ORDERS = [(p, q) for p in range(MAX_ORDER + 1) for q in range(MAX_ORDER + 1) if p + q]
+#: Rows of a feature window, and the ridge per training row.
+LOOKBACK, RIDGE = 30, 1e-3
+
 
-def ar1_forecast(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train",
-                 before_test_col: str = "before_split") -> DataFrame:
-    """Log-price forecast ln p_t + phi * r_t for t+1 on every row.
+_FITS = ("val", "test")
+_LAGS = [f"_r{i}" for i in range(1, LONG_LAGS + 1)]
 
-    There are two fits per series: phi of the training rows forecasts up to the
-    end of validation, phi refitted on all rows before the test span (training
-    and validation) forecasts the test span. Both are window aggregates over
-    the series partition - the frame is already hash-partitioned by the series
-    key for its other windows, so they need no join and no extra shuffle."""
+
+def _with_lags(feat: DataFrame, key) -> DataFrame:
     w = Window.partitionBy(*key).orderBy("ts")
-    whole = Window.partitionBy(*key)
-    lagged = feat.withColumn("_prev", F.lag("log_ret").over(w))
+    return feat.withColumns({c: F.lag("log_ret", i + 1).over(w) for i, c in enumerate(_LAGS)})
 
-    def phi(rows):
-        t = F.col(rows) & F.col("_prev").isNotNull()
-        return F.try_divide(F.sum(F.when(t, F.col("log_ret") * F.col("_prev"))).over(whole),
-                            F.sum(F.when(t, F.col("_prev") * F.col("_prev"))).over(whole))
-    fitted = F.when(F.col(before_test_col), phi(train_col)).otherwise(phi(before_test_col))
-    return (lagged.withColumn("phi", fitted).drop("_prev")
-            .withColumn("ar_log", F.col("log_price") + F.coalesce(F.col("phi"), F.lit(0.0)) * F.col("log_ret")))
+
+def _with_residuals(rows: DataFrame, key) -> DataFrame:
+    """``_e_val``, ``_e_test`` (of the two long autoregressions) and their lags."""
+    w = Window.partitionBy(*key).orderBy("ts")
+    rows = rows.withColumns({f"_e_{f}": F.when(F.col(_LAGS[-1]).isNotNull(), F.col("log_ret") - dot(
+        F.col(f"long_{f}"), [F.col(c) for c in _LAGS])) for f in _FITS})
+    return rows.withColumns({f"_e{i}_{f}": F.lag(f"_e_{f}", i).over(w) for f in _FITS for i in range(1, MAX_ORDER + 1)})
+
+
+def arma_fit(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train",
+             before_test_col: str = "before_split") -> DataFrame:
+    """One row per series: order ``p``, ``q``, coefficients ``val`` and
+    ``test`` (phi_1, phi_2, theta_1, theta_2) and those of the long
+    autoregressions, ``long_val`` and ``long_test``.
+
+    The order is chosen on the rows before the test span. The ``val`` fits use
+    the training rows, the ``test`` fits all rows before the test span. Rows
+    without all lags are not fitted; singular sums give null coefficients."""
+    key = list(key)
+    spans = {"val": F.col(train_col), "test": F.col(before_test_col)}
+    rows = _with_lags(feat.select(*key, "ts", "log_ret", train_col, before_test_col), key)
+    full = F.col(_LAGS[-1]).isNotNull()
+    sums = rows.groupBy(*key).agg(*(s for f, on in spans.items() for s in product_sums(
+        [F.col(c) for c in _LAGS], F.col("log_ret"), on & full, f"_{f}")))
+    long_fit = sums.select(*key, *(solved(system(f"_{f}", LONG_LAGS), LONG_LAGS).alias(f"long_{f}") for f in _FITS))
+    rows = _with_residuals(rows.join(long_fit, key), key)
+    k = 2 * MAX_ORDER
+    have = F.col(f"_e{MAX_ORDER}_test").isNotNull()
+    sums = rows.groupBy(*key, "long_val", "long_test").agg(*(s for f, on in spans.items() for s in product_sums(
+        [F.col(c) for c in _LAGS[:MAX_ORDER]] + [F.col(f"_e{i}_{f}") for i in range(1, MAX_ORDER + 1)],
+        F.col("log_ret"), on & have, f"_{f}")))
+    used = {(p, q): [*range(p), *range(MAX_ORDER, MAX_ORDER + q)] for p, q in ORDERS}
+    sums = sums.withColumns({f"_{f}_{p}{q}": solved(system(f"_{f}", k, used[p, q]), k) for f in _FITS for p, q in ORDERS})
+
+    def aic(p: int, q: int) -> Column:
+        left = F.col("_test_y_y") - dot(F.col(f"_test_{p}{q}"), [F.col(f"_test_{i}_y") for i in range(k)])
+        n = F.col("_test_n")
+        return F.when((left > 0) & (n > 0), n * F.ln(left / n) + 2 * (p + q + 1))
+    tried = F.array(*(F.struct(aic(p, q).alias("aic"), F.lit(i).alias("at"), F.lit(p).alias("p"), F.lit(q).alias("q"),
+                               F.col(f"_val_{p}{q}").alias("val"), F.col(f"_test_{p}{q}").alias("test")) for i, (p, q) in enumerate(ORDERS)))
+    best = F.array_min(F.filter(tried, lambda x: x["aic"].isNotNull()))
+    return sums.select(*key, "long_val", "long_test", best.alias("_b")).select(
+        *key, "long_val", "long_test", "_b.p", "_b.q", "_b.val", "_b.test")
+
+
+def arma_forecast(feat: DataFrame, fit: DataFrame, key=SERIES_KEY, before_test_col: str = "before_split") -> DataFrame:
+    """Adds ``p``, ``q``, ``coef`` and ``ar_log``, the forecast of the next
+    row's log price: the ``val`` coefficients of :func:`arma_fit` forecast up to
+    the end of validation, the ``test`` coefficients the test span. Lags that a
+    row lacks, and coefficients that a series lacks, count as zero."""
+    key = list(key)
+    rows = _with_residuals(_with_lags(feat.join(fit, key, "left"), key), key)
+    before = F.col(before_test_col)
+    rows = rows.withColumn("coef", F.when(before, F.col("val")).otherwise(F.col("test")))
+
+    def part(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0.0))
+
+    def residual(lag: str) -> Column:
+        return F.when(before, part(f"_{lag}_val")).otherwise(part(f"_{lag}_test"))
+    step = dot(F.col("coef"), [F.col("log_ret"), part("_r1"), residual("e"), residual("e1")])
+    rows = rows.withColumn("ar_log", F.col("log_price") + step)
+    return rows.select(*feat.columns, "p", "q", "coef", "ar_log")
+
+
+def _window_inputs(feat: DataFrame, features, key, before_test_col: str, lookback: int):
+    """Rows with the window's inputs: (rows, input columns, usable rows)."""
+    w, whole = Window.partitionBy(*key).orderBy("ts"), Window.partitionBy(*key)
+    before = w.rowsBetween(-lookback, -1)
+    pre = {c: F.when(F.col(before_test_col), F.col(c)) for c in features}
+    rows = feat.withColumns({f"_m_{c}": F.avg(x).over(whole) for c, x in pre.items()}
+                            | {f"_s_{c}": F.stddev_pop(x).over(whole) for c, x in pre.items()})
+    rows = rows.withColumns({f"_z_{c}": (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") < 1e-8, 1.0).otherwise(F.col(f"_s_{c}"))
+                             for c in features})
+    rows = rows.withColumns({f"_l_{c}": F.lag(f"_z_{c}").over(w) for c in features}
+                            | {f"_a_{c}": F.avg(f"_z_{c}").over(before) for c in features}
+                            | {"_full": F.count(F.lit(1)).over(before) == lookback})
+    names = [f"_l_{c}" for c in features] + [f"_a_{c}" for c in features]
+    usable = reduce(operator.and_, (F.col(c).isNotNull() for c in names), F.col("_full"))
+    return rows, [F.lit(1.0), *(F.col(c) for c in names)], usable
+
+
+def window_return_fit(feat: DataFrame, features, key=SERIES_KEY, train_col: str = "is_train",
+                      before_test_col: str = "before_split", lookback: int = LOOKBACK, ridge: float = RIDGE) -> DataFrame:
+    """One row per series with ``beta``, a ridge regression of the next log
+    return on the feature window before each row.
+
+    Features are standardised with the mean and scale of the rows before the
+    test span (A17). A window of ``lookback`` rows enters by its last row and
+    its mean, per feature; training rows with a full window are fitted: one
+    grouped aggregate of products and one small system per series."""
+    key = list(key)
+    rows, inputs, usable = _window_inputs(feat.select(*key, "ts", *features, "target", train_col, before_test_col),
+                                          features, key, before_test_col, lookback)
+    k = len(inputs)
+    sums = rows.groupBy(*key).agg(*product_sums(inputs, F.col("target"), F.col(train_col) & usable, "_g"))
+    return sums.select(*key, solved(system("_g", k, ridge=ridge * F.col("_g_n"), unpenalised=(0,)), k).alias("beta"))
+
+
+def window_return_forecast(feat: DataFrame, fit: DataFrame, features, key=SERIES_KEY,
+                           before_test_col: str = "before_split", lookback: int = LOOKBACK) -> DataFrame:
+    """Adds ``ret_hat``, the next log return by :func:`window_return_fit`,
+    and ``lr_log``, the log price it implies. Both are null on rows without a
+    full window; a series without training windows forecasts a return of 0."""
+    key = list(key)
+    rows, inputs, usable = _window_inputs(feat, features, key, before_test_col, lookback)
+    rows = rows.join(fit, key, "left").withColumn("ret_hat", F.when(usable, dot(F.col("beta"), inputs)))
+    return rows.withColumn("lr_log", F.col("log_price") + F.col("ret_hat")).select(*feat.columns, "ret_hat", "lr_log")
 
 
 def _mse_grid(n, saa, sab, sbb, steps: int):
@@ -104,18 +214,3 @@ def forecast_returns(df: DataFrame, models, prev: str = "prev_close",
 def align_forecast(pred: DataFrame, actual: DataFrame, key=("ticker", "ts")) -> DataFrame:
     """Predictions and actuals on shared keys; unmatched rows dropped."""
     return pred.join(actual, list(key), "inner")
-
-
-def linear_return_model(feat: DataFrame, features, key=SERIES_KEY,
-                        train_col: str = "is_train"):
-    """Return model on feature vectors -> next log return, fitted on the
-    training rows of all series with ``pyspark.ml`` (distributed), then
-    applied to every row; the price forecast is exp(ln p_t + r_hat)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    data = va.transform(feat)
-    model = LinearRegression(featuresCol="features", labelCol="target", regParam=1e-3,
-                             elasticNetParam=0.0).fit(data.where(F.col(train_col)))
-    pred = model.transform(data).withColumnRenamed("prediction", "ret_hat")
-    return pred.drop("features").withColumn("lr_pred", F.exp(F.col("log_price") + F.col("ret_hat")))

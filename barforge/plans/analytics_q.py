@@ -12,10 +12,12 @@ from barforge.operators import stats as ST
 from barforge.plans import sqlparts as Q
 from barforge.plans.registry import register
 from barforge.schema import ALL_INTERVALS, SERIES_KEY
+from barforge.session import stored_table
 from barforge.sources import derived as D
 
 KEY = list(SERIES_KEY)
 TICKERS_1D = [f"T{i}" for i in range(10)]  # every series of the daily fixture
+_FEATURES = ["log_ret", "sma_5", "vol_5", "sma_10", "vol_10", "sma_20", "vol_20", "volume_z"]
 
 
 def r6(c) -> F.Column:
@@ -37,17 +39,23 @@ def split_frame(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("before_split", F.col("split_label") != "test"))
 
 
+def log_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """ARMA and window-model forecasts of every row with a full feature window.
+    The split frame is written once: two fits and the forecasts read it."""
+    fs = stored_table(split_frame(spark, sf), "split-frame")
+    rows = FC.arma_forecast(fs, FC.arma_fit(fs))
+    rows = FC.window_return_forecast(rows, FC.window_return_fit(fs, _FEATURES), _FEATURES)
+    return rows.where(F.col("lr_log").isNotNull()).withColumn("actual_log", F.ln("next_price"))
+
+
 def forecast_table(spark: SparkSession, sf: str) -> DataFrame:
-    fs = FC.ar1_forecast(split_frame(spark, sf))
-    fs = (fs.withColumn("ma_log", F.col("log_price") + F.col("sma_5"))
-          .withColumn("actual_log", F.ln("next_price")))
-    fs = FC.with_blend_weight(fs.withColumn("is_val", F.col("split_label") == "val"),
-                              "ar_log", "ma_log", "actual_log", "is_val")
+    fs = log_forecasts(spark, sf).withColumn("is_val", F.col("split_label") == "val")
+    fs = FC.with_blend_weight(fs, "ar_log", "lr_log", "actual_log", "is_val")
     # series without validation rows have no weight (and no blended forecast)
-    out = FC.blended_forecast(fs.where(F.col("best_w").isNotNull()), None, "ar_log", "ma_log")
-    return out.select(*KEY, "ts", "split_label", "phi", F.col("next_price").alias("actual"),
+    out = FC.blended_forecast(fs.where(F.col("best_w").isNotNull()), None, "ar_log", "lr_log")
+    return out.select(*KEY, "ts", "split_label", "p", "q", "coef", "ret_hat", F.col("next_price").alias("actual"),
                       F.col("price").alias("prev_close"), F.exp("ar_log").alias("ar"),
-                      F.exp("ma_log").alias("ma"), F.col("price").alias("naive"),
+                      F.exp("lr_log").alias("lr"), F.col("price").alias("naive"),
                       "hybrid", "best_w", "collapsed")
 
 
@@ -177,9 +185,6 @@ def w10_next_target(spark, sf):
     return f.select(*KEY, "ts", r6("target").alias("target"), r6("next_price").alias("next_price"))
 
 
-_FEATURES = ["log_ret", "sma_5", "vol_5", "sma_10", "vol_10", "sma_20", "vol_20", "volume_z"]
-
-
 @register("w11_feature_windows", Q.with_(*_FEAT) + f"""
 SELECT {Q.SERIES}, ts, round(target, 6) AS target, win AS window FROM (
   SELECT *, list([{", ".join(f"round({c}, 6)" for c in _FEATURES)}]) OVER (
@@ -214,71 +219,77 @@ def a17_standardisation_stats(spark, sf):
 
 
 # --------------------------------------------------------------------------- forecasts
-_FC = _SPLIT + [Q.forecasts("fs")]
+_FC = _SPLIT + [Q.forecasts(_FEATURES, "fs")]
+
+
+def r4(c) -> F.Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 4)
 
 
 @register("w17_ar_forecast", Q.with_(*_FC) + f"""
-SELECT {Q.SERIES}, ts, round(phi, 6) AS phi, round(ar, 6) AS ar FROM fct WHERE split_label = 'test'""")
+SELECT {Q.SERIES}, ts, p::INTEGER AS p, q::INTEGER AS q, round(coalesce(coef[1], 0), 6) AS phi_1, round(coalesce(coef[2], 0), 6) AS phi_2,
+       round(coalesce(coef[3], 0), 6) AS theta_1, round(coalesce(coef[4], 0), 6) AS theta_2, round(ar, 4) AS ar
+FROM fct WHERE split_label = 'test'""")
 def w17_ar_forecast(spark, sf):
     t = forecast_table(spark, sf).where(F.col("split_label") == "test")
-    return t.select(*KEY, "ts", r6("phi").alias("phi"), r6("ar").alias("ar"))
+    names = ("phi_1", "phi_2", "theta_1", "theta_2")
+    return t.select(*KEY, "ts", "p", "q", *(r6(F.coalesce(F.element_at("coef", i + 1), F.lit(0.0))).alias(c) for i, c in enumerate(names)),
+                    r4("ar").alias("ar"))
 
 
 @register("a14_blend_weight", Q.with_(*_FC) + f"""
 SELECT {Q.SERIES}, round(best_w, 6) AS best_w, round(best_mse, 9) AS best_mse FROM bw""")
 def a14_blend_weight(spark, sf):
-    fs = FC.ar1_forecast(split_frame(spark, sf))
-    fs = (fs.withColumn("ma_log", F.col("log_price") + F.col("sma_5"))
-          .withColumn("actual_log", F.ln("next_price")))
-    w = FC.blend_weight(fs.where(F.col("split_label") == "val"), "ar_log", "ma_log", "actual_log")
+    val = log_forecasts(spark, sf).where(F.col("split_label") == "val")
+    w = FC.blend_weight(val, "ar_log", "lr_log", "actual_log")
     return w.select(*KEY, r6("best_w").alias("best_w"), F.round("best_mse", 9).alias("best_mse"))
 
 
 @register("w19_blended_forecast", Q.with_(*_FC) + f"""
-SELECT {Q.SERIES}, ts, round(hybrid, 6) AS hybrid, NOT (best_w > 0.05 AND best_w < 0.95) AS collapsed
+SELECT {Q.SERIES}, ts, round(hybrid, 4) AS hybrid, NOT (best_w > 0.05 AND best_w < 0.95) AS collapsed
 FROM fct WHERE split_label = 'test'""")
 def w19_blended_forecast(spark, sf):
     t = forecast_table(spark, sf).where(F.col("split_label") == "test")
-    return t.select(*KEY, "ts", r6("hybrid").alias("hybrid"), "collapsed")
+    return t.select(*KEY, "ts", r4("hybrid").alias("hybrid"), "collapsed")
 
 
-_MODELS = ["naive", "ar", "ma", "hybrid"]
+_MODELS = ["naive", "ar", "lr", "hybrid"]
 
 
 @register("a10_forecast_metrics", Q.with_(*_FC) + f"""
-SELECT {Q.SERIES}, model, count(pred) AS n, round(avg(abs(pred - actual)), 6) AS mae,
-       round(sqrt(avg((pred - actual) * (pred - actual))), 6) AS rmse,
+SELECT {Q.SERIES}, model, count(pred) AS n, round(avg(abs(pred - actual)), 4) AS mae,
+       round(sqrt(avg((pred - actual) * (pred - actual))), 4) AS rmse,
        round(avg(abs(pred - actual) / actual) * 100, 6) AS mape_pct
-FROM (SELECT {Q.SERIES}, actual, unnest(['naive', 'ar', 'ma', 'hybrid']) AS model,
-             unnest([naive, ar, ma, hybrid]) AS pred FROM fct WHERE split_label = 'test')
+FROM (SELECT {Q.SERIES}, actual, unnest(['naive', 'ar', 'lr', 'hybrid']) AS model,
+             unnest([naive, ar, lr, hybrid]) AS pred FROM fct WHERE split_label = 'test')
 GROUP BY {Q.SERIES}, model""")
 def a10_forecast_metrics(spark, sf):
     t = forecast_table(spark, sf).where(F.col("split_label") == "test")
     m = ST.forecast_metrics(t, _MODELS, "actual", KEY)
-    return m.select(*KEY, "model", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "mape_pct")])
+    return m.select(*KEY, "model", "n", r4("mae").alias("mae"), r4("rmse").alias("rmse"), r6("mape_pct").alias("mape_pct"))
 
 
 @register("a15_model_gap", Q.with_(*_FC) + f"""
-SELECT {Q.SERIES}, round(avg(abs(ar - ma)), 6) AS gap_mean, round(max(abs(ar - ma)), 6) AS gap_max
+SELECT {Q.SERIES}, round(avg(abs(ar - lr)), 4) AS gap_mean, round(max(abs(ar - lr)), 4) AS gap_max
 FROM fct WHERE split_label = 'test' GROUP BY {Q.SERIES}""")
 def a15_model_gap(spark, sf):
     t = forecast_table(spark, sf).where(F.col("split_label") == "test")
-    g = ST.model_gap(t, "ar", "ma", KEY)
-    return g.select(*KEY, r6("gap_mean").alias("gap_mean"), r6("gap_max").alias("gap_max"))
+    g = ST.model_gap(t, "ar", "lr", KEY)
+    return g.select(*KEY, r4("gap_mean").alias("gap_mean"), r4("gap_max").alias("gap_max"))
 
 
 @register("w15_smoothed_abs_error", Q.with_(*_FC) + f"""
-SELECT {Q.SERIES}, ts, round(CASE WHEN count(e) OVER w = 5 THEN avg(e) OVER w END, 6) AS mae_5
+SELECT {Q.SERIES}, ts, round(CASE WHEN count(e) OVER w = 5 THEN avg(e) OVER w END, 4) AS mae_5
 FROM (SELECT *, abs(hybrid - actual) AS e FROM fct WHERE split_label = 'test')
 WINDOW w AS (PARTITION BY {Q.SERIES} ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
 def w15_smoothed_abs_error(spark, sf):
     t = forecast_table(spark, sf).where(F.col("split_label") == "test")
-    return t.select(*KEY, "ts", r6(S.smoothed_abs_error(F.col("hybrid") - F.col("actual"), 5)).alias("mae_5"))
+    return t.select(*KEY, "ts", r4(S.smoothed_abs_error(F.col("hybrid") - F.col("actual"), 5)).alias("mae_5"))
 
 
 @register("w16_forecast_returns", Q.with_(*_FC) + f"""
 SELECT {Q.SERIES}, ts, round(actual / prev_close - 1, 6) AS actual_ret, round(ar / prev_close - 1, 6) AS ar_ret,
-       round(ma / prev_close - 1, 6) AS ma_ret, round(hybrid / prev_close - 1, 6) AS hybrid_ret,
+       round(lr / prev_close - 1, 6) AS lr_ret, round(hybrid / prev_close - 1, 6) AS hybrid_ret,
        round(naive / prev_close - 1, 6) AS naive_ret
 FROM fct WHERE split_label = 'test'""")
 def w16_forecast_returns(spark, sf):
@@ -289,7 +300,7 @@ def w16_forecast_returns(spark, sf):
 
 @register("j3_forecast_alignment", Q.with_(*_FC, f"""nxt AS (
   SELECT ticker, ts, lead(close) OVER (PARTITION BY {Q.SERIES} ORDER BY ts) AS next_close FROM bars_1d)""") + """
-SELECT f.ticker, f.ts, round(n.next_close, 6) AS next_close, round(f.ar, 6) AS ar
+SELECT f.ticker, f.ts, round(n.next_close, 6) AS next_close, round(f.ar, 4) AS ar
 FROM fct f JOIN nxt n ON f.ticker = n.ticker AND f.ts = n.ts AND n.next_close IS NOT NULL
 WHERE f.split_label = 'test'""")
 def j3_forecast_alignment(spark, sf):
@@ -298,15 +309,18 @@ def j3_forecast_alignment(spark, sf):
               .select("ticker", "ts", S.next_value(F.col("close"), S.series_window()).alias("next_close"))
               .where(F.col("next_close").isNotNull()))
     j = FC.align_forecast(pred, actual, ("ticker", "ts"))
-    return j.select("ticker", "ts", r6("next_close").alias("next_close"), r6("ar").alias("ar"))
+    return j.select("ticker", "ts", r6("next_close").alias("next_close"), r4("ar").alias("ar"))
 
 
-@register("w18_linear_return_model")
+@register("w18_linear_return_model", Q.with_(*_SPLIT, Q.window_model(_FEATURES, "fs")) + f"""
+SELECT {Q.SERIES}, ts, round(ret_hat, 6) AS ret_hat, round(exp(lr_log), 4) AS lr_pred
+FROM lr_fc WHERE split_label = 'test' AND lr_log IS NOT NULL""")
 def w18_linear_return_model(spark, sf):
-    """Rows-only: pyspark.ml regression on the feature vectors (no SQL twin)."""
-    fs = split_frame(spark, sf)
-    pred = FC.linear_return_model(fs, _FEATURES, KEY, "is_train")
-    return pred.where(F.col("split_label") == "test").select(*KEY, "ts", "ret_hat", "lr_pred")
+    """One ridge regression per series on its standardised feature windows."""
+    fs = stored_table(split_frame(spark, sf), "split-frame")
+    pred = FC.window_return_forecast(fs, FC.window_return_fit(fs, _FEATURES), _FEATURES)
+    pred = pred.where((F.col("split_label") == "test") & F.col("lr_log").isNotNull())
+    return pred.select(*KEY, "ts", r6("ret_hat").alias("ret_hat"), r4(F.exp("lr_log")).alias("lr_pred"))
 
 
 # --------------------------------------------------------------------------- J2 / P14

@@ -126,27 +126,127 @@ def split(src: str = "feat", name: str = "fs", test_rows: int = 90, frac: float
   FROM {name}_i)"""
 
 
-def forecasts(src: str = "fs") -> str:
-    """AR(1) + moving-average return model + blend weight + hybrid."""
-    return f"""ar_lag AS (
-  SELECT *, lag(log_ret) OVER (PARTITION BY {SERIES} ORDER BY ts) AS prev_ret FROM {src}),
-ar_phi AS (
-  SELECT {SERIES},
-         sum(CASE WHEN is_train AND prev_ret IS NOT NULL THEN log_ret * prev_ret END)
-           / NULLIF(sum(CASE WHEN is_train AND prev_ret IS NOT NULL THEN prev_ret * prev_ret END), 0) AS phi_val,
-         sum(CASE WHEN before_split AND prev_ret IS NOT NULL THEN log_ret * prev_ret END)
-           / NULLIF(sum(CASE WHEN before_split AND prev_ret IS NOT NULL THEN prev_ret * prev_ret END), 0) AS phi_test
-  FROM ar_lag GROUP BY {SERIES}),
+def _system(regressors, target: str, rows: str, used=None, ridge: str = "0.0", unpenalised=()) -> str:
+    """Normal equations as a list of rows, the right-hand side last."""
+    k = len(regressors)
+    used = range(k) if used is None else used
+
+    def entry(i: int, j: int) -> str:
+        if i not in used or (j < k and j not in used):
+            return "1.0::DOUBLE" if i == j else "0.0::DOUBLE"
+        other = target if j == k else regressors[j]
+        extra = f" + {ridge}" if i == j and i not in unpenalised else ""
+        return f"coalesce(sum(({regressors[i]}) * ({other})) FILTER ({rows}), 0.0)::DOUBLE{extra}"
+    return "[" + ", ".join("[" + ", ".join(entry(i, j) for j in range(k + 1)) + "]" for i in range(k)) + "]"
+
+
+def _solved(src: str, key: str, k: int, name: str) -> str:
+    """``name(key, x)``: the solutions of ``src(key, m)``, k unknowns each."""
+    return f"""{name}_gj AS (
+  SELECT {key}, 0 AS k, m FROM {src}
+  UNION ALL
+  SELECT {key}, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN r ELSE
+    list_transform(r, lambda v, j: v - m[k + 1][j] * (r[k + 1] / nullif(m[k + 1][k + 1], 0))) END)
+  FROM {name}_gj WHERE k < {k}),
+{name} AS (
+  SELECT {key}, list_transform(m, lambda r, i: r[{k + 1}] / nullif(r[i], 0)) AS x FROM {name}_gj WHERE k = {k})"""
+
+
+def _dot(coefficients: str, values) -> str:
+    return "(" + " + ".join(f"coalesce({coefficients}[{i + 1}], 0.0) * ({v})" for i, v in enumerate(values)) + ")"
+
+
+def arma(src: str = "fs") -> str:
+    """Two-stage regression, order by AIC, one-step forecast: ``arma_fc``."""
+    from barforge.operators.forecast import LONG_LAGS, ORDERS
+    lags = [f"r{i}" for i in range(1, LONG_LAGS + 1)]
+    spans = {"val": "is_train", "test": "before_split"}
+    win = f"PARTITION BY {SERIES} ORDER BY ts"
+    lag_cols = ", ".join(f"lag(log_ret, {i + 1}) OVER ({win}) AS {c}" for i, c in enumerate(lags))
+    arms = "\n  UNION ALL ".join(f"SELECT {SERIES}, '{f}' AS f, {_system(lags, 'log_ret', f'{on} AND r5 IS NOT NULL')} AS m "
+                                 f"FROM al GROUP BY {SERIES}" for f, on in spans.items())
+    res = ", ".join(f"CASE WHEN r5 IS NOT NULL THEN log_ret - {_dot(f'l_{f}.x', lags)} END AS e_{f}" for f in spans)
+    res_lags = ", ".join(f"lag(e_{f}, {i}) OVER ({win}) AS e{i}_{f}" for f in spans for i in (1, 2))
+    tries = []
+    for f, on in spans.items():
+        x = ["r1", "r2", f"e1_{f}", f"e2_{f}"]
+        for at, (p, q) in enumerate(ORDERS):
+            m = _system(x, "log_ret", f"{on} AND e2_test IS NOT NULL", [*range(p), *range(2, 2 + q)])
+            tries.append(f"SELECT {SERIES}, '{f}' AS f, {at} AS nth, {p} AS p, {q} AS q, {m} AS m, "
+                         f"[{', '.join(f'sum(({v}) * log_ret) FILTER ({on} AND e2_test IS NOT NULL)' for v in x)}] AS c, "
+                         f"sum(log_ret * log_ret) FILTER ({on} AND e2_test IS NOT NULL) AS yy, "
+                         f"(count(*) FILTER ({on} AND e2_test IS NOT NULL))::DOUBLE AS n FROM ar GROUP BY {SERIES}")
+    split = ", ".join(f"s.{c}" for c in SERIES.split(", "))
+    return f"""al AS (SELECT *, {lag_cols} FROM {src}),
+a_long AS (
+  {arms}),
+{_solved("a_long", f"{SERIES}, f", LONG_LAGS, "a_fit")},
+a_val AS (SELECT * FROM a_fit WHERE f = 'val'),
+a_test AS (SELECT * FROM a_fit WHERE f = 'test'),
+a_res AS (
+  SELECT s.*, {res}
+  FROM al s LEFT JOIN a_val l_val USING ({SERIES}) LEFT JOIN a_test l_test USING ({SERIES})),
+ar AS (SELECT *, {res_lags} FROM a_res),
+a_try AS (
+  {(chr(10) + "  UNION ALL ").join(tries)}),
+{_solved("a_try", f"{SERIES}, f, nth, p, q, c, yy, n", 4, "a_all")},
+a_aic AS (
+  SELECT *, CASE WHEN n > 0 AND yy - {_dot("x", [f"c[{i}]" for i in range(1, 5)])} > 0
+    THEN n * ln((yy - {_dot("x", [f"c[{i}]" for i in range(1, 5)])}) / n) + 2 * (p + q + 1) END AS aic FROM a_all),
+a_best AS (
+  SELECT {SERIES}, nth, p, q FROM a_aic WHERE f = 'test' AND aic IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {SERIES} ORDER BY aic, nth) = 1),
+a_coef AS (
+  SELECT b.*, v.x AS x_val, t.x AS x_test
+  FROM a_best b JOIN a_aic v USING ({SERIES}, nth) JOIN a_aic t USING ({SERIES}, nth) WHERE v.f = 'val' AND t.f = 'test'),
+a_with AS (
+  SELECT s.*, b.p, b.q, CASE WHEN before_split THEN b.x_val ELSE b.x_test END AS coef,
+    CASE WHEN before_split THEN coalesce(e_val, 0.0) ELSE coalesce(e_test, 0.0) END AS e0,
+    CASE WHEN before_split THEN coalesce(e1_val, 0.0) ELSE coalesce(e1_test, 0.0) END AS e1
+  FROM ar s LEFT JOIN a_coef b USING ({SERIES})),
+arma_fc AS (
+  SELECT {split}, s.ts, s.p, s.q, s.coef, s.log_price + {_dot("s.coef", ["s.log_ret", "coalesce(s.r1, 0.0)", "s.e0", "s.e1"])} AS ar_log
+  FROM a_with s)"""
+
+
+def window_model(features, src: str = "fs") -> str:
+    """Ridge regression on standardised feature windows: ``lr_fc``."""
+    from barforge.operators.forecast import LOOKBACK, RIDGE
+    whole, win = f"PARTITION BY {SERIES}", f"PARTITION BY {SERIES} ORDER BY ts"
+    before = f"({win} ROWS BETWEEN {LOOKBACK} PRECEDING AND 1 PRECEDING)"
+    stats = ", ".join(f"avg({c}) FILTER (before_split) OVER ({whole}) AS m_{c}, stddev_pop({c}) FILTER (before_split) OVER ({whole}) AS s_{c}"
+                      for c in features)
+    z = ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} < 1e-8 THEN 1.0 ELSE s_{c} END AS z_{c}" for c in features)
+    parts = ", ".join(f"lag(z_{c}) OVER ({win}) AS l_{c}, avg(z_{c}) OVER {before} AS a_{c}" for c in features)
+    names = [f"l_{c}" for c in features] + [f"a_{c}" for c in features]
+    inputs = ["1.0::DOUBLE", *names]
+    n = "(count(*) FILTER (is_train AND usable))::DOUBLE"
+    k = len(inputs)
+    return f"""w_stats AS (SELECT *, {stats} FROM {src}),
+w_z AS (SELECT *, {z} FROM w_stats),
+w_in AS (SELECT *, {parts}, count(*) OVER {before} = {LOOKBACK} AS is_full FROM w_z),
+w_rows AS (SELECT *, is_full AND {" AND ".join(f"{c} IS NOT NULL" for c in names)} AS usable FROM w_in),
+w_sys AS (
+  SELECT {SERIES}, {_system(inputs, "target", "is_train AND usable", None, f"{RIDGE!r} * {n}", (0,))} AS m FROM w_rows GROUP BY {SERIES}),
+{_solved("w_sys", SERIES, k, "w_fit")},
+lr_fc AS (
+  SELECT *, log_price + ret_hat AS lr_log
+  FROM (SELECT s.*, CASE WHEN usable THEN {_dot("b.x", inputs)} END AS ret_hat
+        FROM w_rows s LEFT JOIN w_fit b USING ({SERIES})))"""
+
+
+def forecasts(features, src: str = "fs") -> str:
+    """ARMA and return model on the windows, blend weight, blended forecast."""
+    return f"""{arma(src)},
+{window_model(features, src)},
 fc AS (
-  SELECT s.*, CASE WHEN s.before_split THEN p.phi_val ELSE p.phi_test END AS phi,
-         s.log_price + coalesce(CASE WHEN s.before_split THEN p.phi_val ELSE p.phi_test END, 0.0) * s.log_ret AS ar_log,
-         s.log_price + s.sma_5 AS ma_log, ln(s.next_price) AS actual_log
-  FROM {src} s LEFT JOIN ar_phi p USING ({SERIES})),
+  SELECT s.*, a.p, a.q, a.coef, a.ar_log, ln(s.next_price) AS actual_log
+  FROM lr_fc s JOIN arma_fc a USING ({SERIES}, ts) WHERE lr_log IS NOT NULL),
 bw_sums AS (
   SELECT {SERIES}, count(*) AS n_val,
          sum((ar_log - actual_log) * (ar_log - actual_log)) AS saa,
-         sum((ar_log - actual_log) * (ma_log - actual_log)) AS sab,
-         sum((ma_log - actual_log) * (ma_log - actual_log)) AS sbb
+         sum((ar_log - actual_log) * (lr_log - actual_log)) AS sab,
+         sum((lr_log - actual_log) * (lr_log - actual_log)) AS sbb
   FROM fc WHERE split_label = 'val' GROUP BY {SERIES}),
 bw_grid AS (
   SELECT {SERIES}, i, i / 100.0 AS w,
@@ -157,9 +257,9 @@ bw AS (
   SELECT {SERIES}, arg_min(w, (mse, i)) AS best_w, min(mse) AS best_mse
   FROM bw_grid GROUP BY {SERIES}),
 fct AS (
-  SELECT f.{SERIES.replace(", ", ", f.")}, f.ts, f.split_label, f.phi, f.next_price AS actual,
-         f.price AS prev_close, exp(f.ar_log) AS ar, exp(f.ma_log) AS ma, f.price AS naive,
-         exp(b.best_w * f.ar_log + (1 - b.best_w) * f.ma_log) AS hybrid, b.best_w
+  SELECT f.{SERIES.replace(", ", ", f.")}, f.ts, f.split_label, f.p, f.q, f.coef, f.ret_hat, f.next_price AS actual,
+         f.price AS prev_close, exp(f.ar_log) AS ar, exp(f.lr_log) AS lr, f.price AS naive,
+         exp(b.best_w * f.ar_log + (1 - b.best_w) * f.lr_log) AS hybrid, b.best_w
   FROM fc f JOIN bw b USING ({SERIES}))"""
 
 
@@ -191,7 +291,7 @@ JOBS = f"""jobs AS (
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
 TICK_SOURCES = f"""tick_src AS (
