@@ -101,13 +101,19 @@ def period_fallback(responses: DataFrame, key=("asset_class", "ticker", "interva
     return responses.join(best, [*key, rank], "left_semi")
 
 
+#: Partitions whose counts are summed together in :func:`positions`.
+PREFIX_BLOCK = 128
+
+
 def positions(df: DataFrame, group, order, out: str = "pos", partitions: int | None = None) -> DataFrame:
     """0-based row number of each row within ``group`` by ``order``, without
     putting a whole group into one task: rows are range-partitioned on
     (group, order), numbered inside each (partition, group) cell, and shifted
-    by the sizes of the same group's cells in earlier partitions (a table of
-    one row per partition and group). A group larger than a partition is thus
-    spread over several tasks.
+    by the sizes of the same group's cells in earlier partitions. That shift is
+    a two-level prefix sum over a table of one row per partition and group:
+    partitions are summed in blocks, and only the blocks' sums of a group meet
+    in one row. A group larger than a partition is thus spread over several
+    tasks, and no window spans a whole group.
 
     The partitioned rows are written once with their partition id and their
     place in the cell; counts and rows are both read from that table. Computing
@@ -119,9 +125,19 @@ def positions(df: DataFrame, group, order, out: str = "pos", partitions: int | N
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.row_number().over(local) - 1))
     placed = stored_table(placed, "positions")
-    cells = placed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    cells = (placed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_block", F.expr(f"_pid div {PREFIX_BLOCK}")))
+    within = Window.partitionBy("_block", *group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    sums = cells.groupBy(*group, "_block").agg(F.sum("_n").alias("_n"))
+    sums = sums.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("_block", "_n"))).alias("_sums"))
+    shifts = sums.select(*(F.col(g).alias(f"_sum_{g}") for g in group), F.explode(F.transform("_sums", lambda x, i: F.struct(
+        x["_block"].alias("block"), F.aggregate(F.slice("_sums", F.lit(1), i), F.lit(0).cast("bigint"),
+                                                lambda t, y: t + y["_n"]).alias("shift")))).alias("_s"))
+    same = F.col("_block") == F.col("_s.block")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_sum_{g}"))
+    offsets = cells.join(shifts, same).select("_pid", *group, (F.col("_before") + F.col("_s.shift")).alias("_off"))
     offsets = offsets.withColumnsRenamed({"_pid": "_cell", **{g: f"_of_{g}" for g in group}})
     cond = F.col("_pid") == F.col("_cell")
     for g in group:  # a null group is a group as well

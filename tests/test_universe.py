@@ -1,6 +1,7 @@
 """Universe, shards, class selection (F6) and refresh planning."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from barforge.plans import refresh as R
 from barforge.sources import listings as L
@@ -137,3 +138,19 @@ def test_job_outcome_rules(spark):
     assert skip[("OLD", "1d")] == ("success", "skipped (exists)")
     assert skip[("OLD", "5m")] == ("success", "skipped (exists)")
     assert skip[("NEW", "1d")][0] == "failed"                            # untrusted history is not skipped
+
+
+def test_positions_across_blocks_of_partitions(spark, monkeypatch):
+    """Groups over many partitions, more than one block of them; no groups; null groups."""
+    monkeypatch.setattr(R, "PREFIX_BLOCK", 3)
+    df = spark.range(4000).select(F.when(F.col("id") % 5 != 0, F.when(F.col("id") % 3 == 0, "hot").otherwise("b")).alias("g"),
+                                  (F.col("id") * 7919 % 4001).alias("k"))
+    got = R.positions(df, [], ["k"], "pos", partitions=17)
+    assert sorted((r["k"], r["pos"]) for r in got.collect()) == [(k, i) for i, k in enumerate(sorted(r["k"] for r in df.collect()))]
+    by_group = {}
+    for r in df.collect():
+        by_group.setdefault(r["g"], []).append(r["k"])
+    want = sorted((str(g), k, i) for g, ks in by_group.items() for i, k in enumerate(sorted(ks)))
+    got = R.positions(df, ["g"], ["k"], "pos", partitions=17)
+    assert sorted((str(r["g"]), r["k"], r["pos"]) for r in got.collect()) == want
+    assert R.positions(df.limit(0), [], ["k"]).collect() == []
