@@ -33,8 +33,10 @@ def read_partitioned(spark: SparkSession, root: str, fmt: str = "parquet", keys=
     """A key=value tree with its partition columns read as text. Spark would
     otherwise infer their types from the directory names, and ``1d`` or ``5d``
     parse as the doubles 1.0 and 5.0. The files' own columns come from their
-    footers or headers, read without partition discovery."""
-    from pyspark.sql import types as T
+    footers or headers, read without partition discovery; Parquet footers are
+    merged, so a column that only some files carry is always there."""
+    if fmt == "parquet":
+        options = {"mergeSchema": "true", **options}
     own = spark.read.format(fmt).options(**options).option("recursiveFileLookup", "true").load(root).schema
     fields = [f for f in own.fields if f.name not in keys]
     schema = T.StructType([*fields, *(T.StructField(k, T.StringType()) for k in keys)])

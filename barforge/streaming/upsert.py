@@ -54,6 +54,28 @@ LOG_ROW = "version int, asset_class string, interval string, month string, statu
 LOG_SCHEMA = LOG_ROW + ", stream string"  # stream = the log/stream=<name> directory
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _part_dir(spark: SparkSession, **values) -> str:
+    """``name=value/...`` as Spark's writer names partition directories: values
+    with characters such as ``:`` or ``%`` are escaped there."""
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join(named(k, None if v is None else str(v)) for k, v in values.items())
+
+
+def _part_values(spark: SparkSession, path: str) -> dict[str, str | None]:
+    """The partition values of a directory, unescaped."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    named = (p.split("=", 1) for p in path.split("/") if "=" in p)
+    return {k: None if v == NO_VALUE else unescape(v) for k, v in named}
+
+
+def _glob(path: str) -> str:
+    """A path as a glob that matches it alone."""
+    return "".join(f"\\{c}" if c in "\\*?[]{},^" else c for c in path)
+
+
 def bar_columns(bars: DataFrame) -> DataFrame:
     """The store's columns in order and type; absent optional ones are null."""
     cols = {c: F.col(c) if c in bars.columns else F.lit(None) for c in (*PAYLOAD, *OPTIONAL)}
@@ -138,7 +160,7 @@ def read_current(spark: SparkSession, root: str, touched=None) -> DataFrame | No
     parts = current_partitions(spark, root, touched)
     if not parts:
         return None
-    paths = [f"{root}/data/stream={s}/v={v}/asset_class={c}/interval={i}/month={m}" for c, i, m, v, s in parts]
+    paths = [_glob(f"{root}/data/" + _part_dir(spark, stream=s, v=v, asset_class=c, interval=i, month=m)) for c, i, m, v, s in parts]
     # explicit schema: an interval such as 1d must not be inferred as a number
     return spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(*paths).drop("stream", "v", "month")
 
@@ -152,16 +174,16 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
            stream: str = "main") -> None:
     """Write the new data of the ``touched`` partitions as ``version`` of
     ``stream`` and log them; partitions left empty are logged as EMPTY."""
-    path = f"{root}/data/stream={stream}/v={version}"
+    path = f"{root}/data/{_part_dir(spark, stream=stream, v=version)}"
     (bars.withColumn("month", month_of(F.col("ts")))
      .repartitionByRange(*PART, "ticker", "ts")
      .sortWithinPartitions(*PART, "ticker", "ts")
      .write.mode("overwrite").partitionBy(*PART).parquet(path))
-    written = spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(path).select(*PART).distinct()
+    written = spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(_glob(path)).select(*PART).distinct()
     present = {tuple(r) for r in written.collect()}
     rows = [(version, c, i, m, "READY" if (c, i, m) in present else "EMPTY") for c, i, m in touched]
     if rows:
-        spark.createDataFrame(rows, LOG_ROW).write.mode("append").parquet(f"{root}/log/stream={stream}")
+        spark.createDataFrame(rows, LOG_ROW).write.mode("append").parquet(f"{root}/log/{_part_dir(spark, stream=stream)}")
 
 
 def seed_store(spark: SparkSession, root: str, bars: DataFrame) -> None:
@@ -228,9 +250,10 @@ def vacuum(spark: SparkSession, root: str) -> int:
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     removed = 0
+    found_root = fs.getFileStatus(hadoop.Path(root)).getPath().toString()
     for found in fs.globStatus(hadoop.Path(f"{root}/data/stream=*/v=*/asset_class=*/interval=*/month=*")) or []:
         path = found.getPath()
-        parts = dict(p.split("=", 1) for p in path.toString().split("/") if "=" in p)
+        parts = _part_values(spark, path.toString()[len(found_root):])
         if (parts["stream"], int(parts["v"]), parts["asset_class"], parts["interval"], parts["month"]) not in live:
             fs.delete(path, True)
             removed += 1
@@ -238,7 +261,7 @@ def vacuum(spark: SparkSession, root: str) -> int:
     old = [f.getPath() for f in fs.globStatus(hadoop.Path(f"{root}/log/stream=*/*")) or []]
     for s in sorted({r[5] for r in rows}):
         own = [r[:5] for r in rows if r[5] == s]
-        spark.createDataFrame(own, LOG_ROW).coalesce(1).write.mode("append").parquet(f"{root}/log/stream={s}")
+        spark.createDataFrame(own, LOG_ROW).coalesce(1).write.mode("append").parquet(f"{root}/log/{_part_dir(spark, stream=s)}")
     for path in old:
         fs.delete(path, False)
     return removed

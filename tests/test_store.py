@@ -102,3 +102,15 @@ def test_retained_read_pushes_time_to_the_scan(spark, tmp_path):
     assert sorted(map(str, kept.collect())) == sorted(map(str, exp.collect()))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan
+
+
+def test_optional_columns_of_some_files_are_read(spark, tmp_path):
+    """A store written with and without dividends keeps the column, whichever
+    file is listed first."""
+    b = spark.createDataFrame(daily_bars(3), BAR_DDL)
+    for i in range(4):
+        part = b.withColumn("ticker", F.lit(f"T{i}"))
+        part = part.withColumn("dividends", F.lit(float(i))) if i % 2 else part
+        ST.write_store(part, str(tmp_path / "mixed"), "append")
+    got = {r.ticker: r.dividends for r in ST.read_store(spark, str(tmp_path / "mixed")).collect()}
+    assert got == {"T0": None, "T1": 1.0, "T2": None, "T3": 3.0}

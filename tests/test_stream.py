@@ -198,3 +198,28 @@ def test_month_partitions_touched_expired_straddling(spark):
     assert live[("1m", "2024-06")] == 1          # straddles the cutoff: re-pruned
     got = sorted((r.interval, r.ts.day, r.ts.month, r.close) for r in U.read_current(spark, f"{base}/store").collect())
     assert got == [("1d", 5, 1, 1.0), ("1d", 5, 2, 2.0), ("1d", 6, 2, 6.0), ("1m", 9, 6, 5.0), ("1m", 10, 6, 7.0)]
+
+
+def test_names_that_paths_escape(spark):
+    """Class and stream names with characters that directories escape are read,
+    merged and kept by vacuum."""
+    base = f"{checkpoint_dir(spark)}/test-i2-names-{uuid.uuid4().hex}"
+    names = ["fx:spot", "a%b", "c d", "x=y", "p{q}[r]"]
+
+    def rows(day, value):
+        parts = [ranked(spark, [(ts(2024, 6, day), value)], iv="1d").withColumn("asset_class", F.lit(n)) for n in names]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+    U.seed_store(spark, f"{base}/store", rows(1, 1.0))
+    for batch in (rows(2, 2.0), rows(2, 3.0)):
+        U.upsert_batch_fn(f"{base}/store", ts(2024, 6, 10), stream="a%b:c")(batch, 0)
+
+    def now():
+        return sorted((r.asset_class, r.ts.day, r.close) for r in U.read_current(spark, f"{base}/store").collect())
+    want = sorted((n, d, v) for n in names for d, v in ((1, 1.0), (2, 3.0)))
+    assert now() == want
+    assert U.vacuum(spark, f"{base}/store") == 2 * len(names)
+    assert now() == want
+    assert U.vacuum(spark, f"{base}/store") == 0 and now() == want
