@@ -85,12 +85,19 @@ def feature_frame(bars: DataFrame, price: str = "close", key=SERIES_KEY,
                   widths=(5, 10, 20), volume: str | None = "volume") -> DataFrame:
     """W7-W10 in one select: log return, rolling means/stds, volume z-score
     and next-step target; rows with an incomplete feature vector dropped (P14)."""
+    columns = [*key, "ts", F.col(price).alias("price"), *([F.col(volume).alias("volume")] if volume else [])]
+    return feature_columns(bars.select(*columns), key, widths, "volume" if volume else None)
+
+
+def feature_columns(rows: DataFrame, key, widths=(5, 10, 20), volume: str | None = "volume", also=()) -> DataFrame:
+    """The features of ``rows`` (key, ts, price and volume), windows by ``key``;
+    columns ``also`` are kept as they are."""
     w = series_window(key)
-    lp = F.ln(F.col(price))
-    base = bars.select(*key, "ts", F.col(price).alias("price"), lp.alias("log_price"),
+    lp = F.ln(F.col("price"))
+    base = rows.select(*key, "ts", "price", lp.alias("log_price"),
                        (lp - F.lag(lp).over(w)).alias("log_ret"),
-                       F.lead(F.col(price)).over(w).alias("next_price"),
-                       *([F.col(volume).alias("volume")] if volume else []))
+                       F.lead(F.col("price")).over(w).alias("next_price"),
+                       *([volume] if volume else []), *also)
     lr = F.col("log_ret")
     cols = [*key, "ts", "price", "log_price", "log_ret", "next_price"]
     feats = []
@@ -98,10 +105,10 @@ def feature_frame(bars: DataFrame, price: str = "close", key=SERIES_KEY,
         feats += [rolling_mean(lr, width, key).alias(f"sma_{width}"),
                   rolling_std(lr, width, key).alias(f"vol_{width}")]
     if volume:
-        feats.append(volume_zscore(F.col("volume"), 20, key).alias("volume_z"))
+        feats.append(volume_zscore(F.col(volume), 20, key).alias("volume_z"))
     feats.append(next_value(lr, w).alias("target"))
-    out = base.select(*cols, *feats)
-    names = [c for c in out.columns if c not in key and c != "ts"]
+    out = base.select(*cols, *feats, *also)
+    names = [c for c in out.columns if c not in key and c != "ts" and c not in also]
     cond = None
     for c in names:
         cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()

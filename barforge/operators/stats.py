@@ -2,28 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.schema import SERIES_KEY
 
-# Pivoted (wide) operators take an explicit, checked series list: the wide
-# row has one column per series and the correlation matrix one accumulator
-# per pair, so the list must stay small and known before planning.
-MAX_WIDE_SERIES = 64
-
-
-def _check_series_list(names) -> list[str]:
-    names = list(dict.fromkeys(names))
-    if not names:
-        raise ValueError("series list is empty")
-    if len(names) > MAX_WIDE_SERIES:
-        raise ValueError(f"{len(names)} series exceed the wide-form limit {MAX_WIDE_SERIES}")
-    return names
-
-
 def align_long(df: DataFrame, series_col: str = "ticker", n_series: int | None = None,
                on: str = "ts") -> DataFrame:
     """J1 (long form): keep timestamps present in all ``n_series`` series,
@@ -43,12 +26,24 @@ def align_long(df: DataFrame, series_col: str = "ticker", n_series: int | None =
 def align_wide(df: DataFrame, series, value: str = "price", series_col: str = "ticker",
                on: str = "ts") -> DataFrame:
     """J1 (wide form): one column per series (explicit pivot values), rows
-    with any missing series dropped - ``concat(axis=1).dropna()``."""
-    names = _check_series_list(series)
+    with any missing series dropped - ``concat(axis=1).dropna()``. For lists of
+    series too long for columns use :func:`align_long` or :func:`align_arrays`."""
+    names = list(dict.fromkeys(series))
+    if not names:
+        raise ValueError("series list is empty")
     wide = df.groupBy(on).pivot(series_col, names).agg(F.first(value))
     return wide.na.drop("any", subset=names)
 
 
+def align_arrays(df: DataFrame, value: str = "price", series_col: str = "ticker", on: str = "ts",
+                 n_series: int | None = None) -> DataFrame:
+    """J1 (wide form, any number of series): one row per timestamp that all
+    series share, with the names in order and their values beside them."""
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(series_col).alias("name"), F.col(value).alias("value"))))
+    rows = align_long(df, series_col, n_series, on).groupBy(on).agg(pairs.alias("_p"))
+    return rows.select(on, F.col("_p.name").alias("series"), F.col("_p.value").alias("values"))
+
+
 def left_reindex(axis: DataFrame, other: DataFrame, on=("ticker", "ts")) -> DataFrame:
     """Keep ``axis`` rows, attach matching ``other`` columns (nulls when absent)."""
     return axis.join(other, list(on), "left")
@@ -62,24 +57,6 @@ def describe_returns(r: DataFrame, col: str = "ret", key=SERIES_KEY) -> DataFram
                                F.max(x).alias("max"))
 
 
-def correlation_matrix(df: DataFrame, series, value: str = "ret",
-                       series_col: str = "ticker", on: str = "ts") -> DataFrame:
-    """Pairwise Pearson correlation of ``value`` across an explicit
-    series list, on timestamps where all series are present (pairwise-complete
-    would differ; the source drops incomplete rows first).
-
-    Computed in one aggregation pass over the wide form - one ``corr``
-    accumulator per pair - instead of a self-join, which would emit every
-    pair of rows per timestamp. Output is long: (a, b, corr) for a <= b."""
-    names = _check_series_list(series)
-    wide = align_wide(df, names, value, series_col, on)
-    pairs = list(combinations_with_replacement(sorted(names), 2))
-    aggs = [F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    one = wide.agg(*aggs)
-    stack = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-    return one.selectExpr(f"stack({len(pairs)}, {stack}) AS (a, b, corr)")
-
-
 def session_stats(bars: DataFrame, price: str = "close", key=SERIES_KEY) -> DataFrame:
     """Bars, sessions (distinct UTC days), return mean/std/min/max and
     first/last bar per series."""

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators import bars as B
+from barforge.operators import blocks as BL
 from barforge.operators import forecast as FC
+from barforge.operators import longseries as LS
 from barforge.operators import series as S
 from barforge.operators import stats as ST
 from barforge.plans import sqlparts as Q
@@ -16,7 +18,6 @@ from barforge.session import stored_table
 from barforge.sources import derived as D
 
 KEY = list(SERIES_KEY)
-TICKERS_1D = [f"T{i}" for i in range(10)]  # every series of the daily fixture
 _FEATURES = ["log_ret", "sma_5", "vol_5", "sma_10", "vol_10", "sma_20", "vol_20", "volume_z"]
 
 
@@ -107,13 +108,13 @@ def s2_load_close(spark, sf):
 
 # --------------------------------------------------------------------------- J1 / W5 / A8 (weekly)
 _WEEKLY = [Q.bars_1d(), Q.rollup("bars_1d", "1wk", "bars_1wk"), Q.adjusted("bars_1wk")]
-_ALIGNED = _WEEKLY + [f"""aligned AS (
+_ALIGNED = _WEEKLY + ["""aligned AS (
   SELECT * FROM px WHERE ts IN (
-    SELECT ts FROM px GROUP BY ts HAVING count(DISTINCT ticker) = {len(TICKERS_1D)}))"""]
+    SELECT ts FROM px GROUP BY ts HAVING count(DISTINCT ticker) = (SELECT count(DISTINCT ticker) FROM px)))"""]
 
 
 def aligned_weekly(spark, sf):
-    return ST.align_long(weekly_priced(spark, sf), "ticker", len(TICKERS_1D))
+    return ST.align_long(weekly_priced(spark, sf), "ticker")
 
 
 @register("j1_series_alignment", Q.with_(*_ALIGNED) + """
@@ -130,26 +131,36 @@ def w5_normalized_price(spark, sf):
     return n.select("ticker", "ts", r6("norm").alias("norm"))
 
 
-def _corr_sql() -> str:
-    names = sorted(TICKERS_1D)
-    piv = ", ".join(f"max(ret) FILTER (WHERE ticker = '{t}') AS {t}" for t in names)
-    full = " AND ".join(f"{t} IS NOT NULL" for t in names)
-    arms = [f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM wide"
-            for i, a in enumerate(names) for b in names[i:]]
-    return Q.with_(*_ALIGNED, f"""rets AS (
-  SELECT ticker, ts, price / lag(price) OVER (PARTITION BY {Q.SERIES} ORDER BY ts) - 1 AS ret
-  FROM aligned)""", f"""wide AS (
-  SELECT * FROM (SELECT ts, {piv} FROM rets GROUP BY ts) WHERE {full})""") + "\nUNION ALL ".join(arms)
+_RETURNS = """rets AS (
+  SELECT ticker, ts, price / lag(price) OVER (PARTITION BY ticker ORDER BY ts) - 1 AS ret FROM aligned),
+full_rets AS (SELECT * FROM rets WHERE ret IS NOT NULL)"""
 
 
-@register("a8_correlation_matrix", _corr_sql())
+@register("a8_correlation_matrix", Q.with_(*_ALIGNED, _RETURNS) + """
+SELECT x.ticker AS a, y.ticker AS b, round(corr(x.ret, y.ret), 6) AS corr
+FROM full_rets x JOIN full_rets y ON x.ts = y.ts AND x.ticker <= y.ticker GROUP BY ALL""")
 def a8_correlation_matrix(spark, sf):
-    a = aligned_weekly(spark, sf)
-    r = S.returns(a, "price")
-    c = ST.correlation_matrix(r, TICKERS_1D, "ret")
+    c = BL.correlations(S.returns(aligned_weekly(spark, sf), "price"))
     return c.select("a", "b", r6("corr").alias("corr"))
 
 
+_MANY = [Q.bars_many(), """aligned AS (
+  SELECT ticker, ts, close AS price FROM bars_3mo WHERE ts IN (
+    SELECT ts FROM bars_3mo GROUP BY ts HAVING count(*) = (SELECT count(DISTINCT ticker) FROM bars_3mo)))"""]
+
+
+@register("a8_top_correlated", Q.with_(*_MANY, _RETURNS) + """
+SELECT a, b, rank, round(corr, 6) AS corr FROM (
+  SELECT x.ticker AS a, y.ticker AS b, corr(x.ret, y.ret) AS corr,
+         row_number() OVER (PARTITION BY x.ticker ORDER BY corr(x.ret, y.ret) DESC, y.ticker)::INTEGER AS rank
+  FROM full_rets x JOIN full_rets y ON x.ts = y.ts AND x.ticker <> y.ticker GROUP BY x.ticker, y.ticker)
+WHERE rank <= 5""")
+def a8_top_correlated(spark, sf):
+    """The five most correlated others of each of many quarterly series."""
+    r = S.returns(ST.align_long(D.bars_many(spark, sf), "ticker"), "close")
+    return BL.correlations(r, top=5, block=16).select("a", "b", "rank", r6("corr").alias("corr"))
+
+
 # --------------------------------------------------------------------------- W6
 @register("w6_row_tail", Q.with_(Q.bars_1d()) + f"""
 SELECT {Q.SERIES}, ts, close FROM bars_1d
@@ -407,3 +418,24 @@ def a16_series_coverage(spark, sf):
     allb = D.bars_1d(spark, sf).select(*KEY, "ts").unionByName(
         D.bars_intraday(spark, sf).select(*KEY, "ts"))
     return ST.coverage(allb)
+
+
+# --------------------------------------------------------------------------- series too long for one task
+_MINUTE = [Q.TICKS, Q.bars_from_ticks(["1m"], "bars_1m")]
+
+
+@register("w3_long_series_returns", Q.with_(*_MINUTE) + f"""
+SELECT {Q.SERIES}, ts, round(close / lag(close) OVER (PARTITION BY {Q.SERIES} ORDER BY ts) - 1, 6) AS ret
+FROM bars_1m QUALIFY ret IS NOT NULL""")
+def w3_long_series_returns(spark, sf):
+    """Returns of minute bars, windows by (series, time bucket) with halo rows."""
+    return LS.returns(D.bars_intraday(spark, sf, ["1m"])).select(*KEY, "ts", r6("ret").alias("ret"))
+
+
+@register("w8_long_series_features", Q.with_(*_MINUTE, f"px AS (SELECT *, close AS price FROM bars_1m)", Q.features("px")) + f"""
+SELECT {Q.SERIES}, ts, round(log_ret, 6) AS log_ret, round(sma_5, 6) AS sma_5, round(vol_20, 6) AS vol_20,
+       round(volume_z, 6) AS volume_z, round(target, 6) AS target FROM feat""")
+def w8_long_series_features(spark, sf):
+    """The feature frame (W7-W10) of minute bars, by (series, time bucket)."""
+    f = LS.feature_frame(D.bars_intraday(spark, sf, ["1m"]), "close")
+    return f.select(*KEY, "ts", *(r6(c).alias(c) for c in ("log_ret", "sma_5", "vol_20", "volume_z", "target")))

@@ -41,6 +41,13 @@ def bars_1d(name: str = "bars_1d", statuses=None) -> str:
   GROUP BY k, ts)"""
 
 
+def bars_many(n: int = 40, name: str = "bars_3mo") -> str:
+    return f"""{name} AS (
+  SELECT 'Q' || CAST(o_custkey % {n} AS VARCHAR) AS ticker, date_trunc('quarter', CAST(o_orderdate AS TIMESTAMP)) AS ts,
+         arg_max(o_totalprice, o_orderkey) AS close
+  FROM orders GROUP BY ALL)"""
+
+
 TICKS = r"""ticks AS (
   SELECT CASE WHEN user_id % 3 = 0 THEN 'crypto' WHEN user_id % 3 = 1 THEN 'stocks_us'
               ELSE 'currencies' END AS asset_class,

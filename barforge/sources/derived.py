@@ -75,6 +75,17 @@ def bars_1d(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] | None =
         F.col("volume").cast("bigint").alias("volume"))
 
 
+@_memo
+def bars_many(spark: SparkSession, sf_dir: str, n: int = 40) -> DataFrame:
+    """Quarterly bars of ``n`` series from orders (ticker per o_custkey % n)."""
+    prepare(spark)
+    o = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("Q"), (F.col("o_custkey") % n).cast("string")).alias("ticker"),
+        F.date_trunc("quarter", F.col("o_orderdate").cast("timestamp")).alias("ts"), "o_orderkey", "o_totalprice")
+    bars = o.groupBy("ticker", "ts").agg(F.max_by("o_totalprice", "o_orderkey").alias("close"))
+    return bars.select(F.lit("indices").alias("asset_class"), F.lit("3mo").alias("interval"), "ticker", "ts", "close")
+
+
 @_memo
 def bars_1d_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored (finished orders) and fresh (open / pending orders) daily bars

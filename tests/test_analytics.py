@@ -5,11 +5,13 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from barforge.operators import bars as B
 from barforge.operators import forecast as FC
 from barforge.operators import series as S
+from barforge.operators import blocks as BL
 from barforge.operators import stats as ST
 from conftest import BAR_DDL, ts
 
@@ -68,15 +70,55 @@ def test_blend_weight_equals_brute_force(spark):
     assert abs(got - best_w) < 1e-9
 
 
-def test_correlation_matrix_matches_pandas(spark):
-    rng = np.random.default_rng(3)
-    data = {t: rng.normal(size=30) for t in ("A", "B", "C")}
-    rows = [(t, ts(2024, 1, 1) + dt.timedelta(days=i), float(v[i])) for t, v in data.items() for i in range(30)]
+def aligned_series(spark, n, rows, seed=3):
+    rng = np.random.default_rng(seed)
+    common = rng.normal(size=rows)
+    data = {f"S{i:04d}": rng.normal(size=rows) + common * (i % 7) / 3 for i in range(n)}
+    frame = pd.DataFrame(data)
+    long = [(t, ts(2024, 1, 1) + dt.timedelta(days=i), float(v)) for t in data for i, v in enumerate(data[t])]
+    return frame, spark.createDataFrame(pd.DataFrame(long, columns=["ticker", "ts", "ret"]))
+
+
+def test_correlations_match_pandas(spark):
+    frame, df = aligned_series(spark, 23, 40)
+    exp = frame.corr()
+    for block, chunk in ((256, 1024), (5, 7), (1, 40)):
+        got = {(r.a, r.b): r["corr"] for r in BL.correlations(df, block=block, chunk=chunk).collect()}
+        assert len(got) == 23 * 24 // 2 and all(a <= b for a, b in got)
+        assert all(abs(v - exp.loc[k]) < 1e-9 for k, v in got.items())
+
+
+def test_correlations_of_a_thousand_series(spark):
+    frame, df = aligned_series(spark, 1000, 30)
+    exp = np.corrcoef(frame.to_numpy().T)
+    got = BL.correlations(df, block=128, top=3).toPandas()
+    assert len(got) == 3000
+    np.fill_diagonal(exp, -2)
+    for a, own in got[got.a.isin([f"S{i:04d}" for i in (0, 5, 500, 999)])].groupby("a"):
+        i = int(a[1:])
+        want = sorted(range(1000), key=lambda j: (-exp[i, j], j))[:3]
+        assert [int(b[1:]) for b in own.sort_values("rank").b] == want
+    asked = spark.createDataFrame([("S0007", "S0003"), ("S0900", "S0001"), ("S0002", "S0002"), ("S0001", "none")], "a string, b string")
+    got = {(r.a, r.b): r["corr"] for r in BL.correlations(df, block=128, pairs=asked).collect()}
+    full = np.corrcoef(frame.to_numpy().T)
+    assert set(got) == {("S0003", "S0007"), ("S0001", "S0900"), ("S0002", "S0002")}
+    assert all(abs(v - full[int(a[1:]), int(b[1:])]) < 1e-9 for (a, b), v in got.items())
+
+
+def test_correlations_of_constant_and_unaligned_series(spark):
+    rows = [(t, ts(2024, 1, 1 + i), 1.0 if t == "B" else float(i * i)) for t in "ABC" for i in range(5)]
     df = spark.createDataFrame(rows, "ticker string, ts timestamp, ret double")
-    got = {(r.a, r.b): r.corr for r in ST.correlation_matrix(df, ["A", "B", "C"]).collect()}
-    exp = pd.DataFrame(data).corr()
-    for (x, y), v in got.items():
-        assert abs(v - exp.loc[x, y]) < 1e-9
+    got = {(r.a, r.b): r["corr"] for r in BL.correlations(df).collect()}
+    assert got["A", "B"] is None and abs(got["A", "C"] - 1) < 1e-12
+    with pytest.raises(Exception, match="not aligned"):
+        BL.correlations(df.where("not (ticker = 'C' and day(ts) = 2)")).collect()
+    assert BL.correlations(df.limit(0)).collect() == []
+
+
+def test_align_arrays(spark):
+    rows = [("B", ts(2024, 1, 2), 2.0), ("A", ts(2024, 1, 1), 9.0), ("A", ts(2024, 1, 2), 1.0)]
+    got = ST.align_arrays(spark.createDataFrame(rows, "ticker string, ts timestamp, price double")).collect()
+    assert [(r.series, r["values"]) for r in got] == [(["A", "B"], [1.0, 2.0])]
 
 
 def test_align_long_keeps_common_timestamps(spark):
