@@ -11,13 +11,11 @@ Alignment is the one-step rule: information through t, target t+1.
 
 from __future__ import annotations
 
-import operator
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.operators.regression import dot, product_sums, solved, system
+from barforge.operators.regression import (dot, product_sums, products, right_side, row_count, solved, system,
+                                           target_squares)
 from barforge.schema import SERIES_KEY
 
 #: Lags of the long autoregression, and the largest p and q.
@@ -32,6 +30,10 @@ _FITS = ("val", "test")
 _LAGS = [f"_r{i}" for i in range(1, LONG_LAGS + 1)]
 
 
+def _array(names) -> str:
+    return f"array({', '.join(names)})"
+
+
 def _with_lags(feat: DataFrame, key) -> DataFrame:
     w = Window.partitionBy(*key).orderBy("ts")
     return feat.withColumns({c: F.lag("log_ret", i + 1).over(w) for i, c in enumerate(_LAGS)})
@@ -40,8 +42,8 @@ def _with_lags(feat: DataFrame, key) -> DataFrame:
 def _with_residuals(rows: DataFrame, key) -> DataFrame:
     """``_e_val``, ``_e_test`` (of the two long autoregressions) and their lags."""
     w = Window.partitionBy(*key).orderBy("ts")
-    rows = rows.withColumns({f"_e_{f}": F.when(F.col(_LAGS[-1]).isNotNull(), F.col("log_ret") - dot(
-        F.col(f"long_{f}"), [F.col(c) for c in _LAGS])) for f in _FITS})
+    rows = rows.withColumns({f"_e_{f}": F.expr(f"IF({_LAGS[-1]} IS NOT NULL, log_ret - {dot(f'long_{f}', _array(_LAGS))}, NULL)")
+                             for f in _FITS})
     return rows.withColumns({f"_e{i}_{f}": F.lag(f"_e_{f}", i).over(w) for f in _FITS for i in range(1, MAX_ORDER + 1)})
 
 
@@ -55,29 +57,26 @@ def arma_fit(feat: DataFrame, key=SERIES_KEY, train_col: str = "is_train",
     the training rows, the ``test`` fits all rows before the test span. Rows
     without all lags are not fitted; singular sums give null coefficients."""
     key = list(key)
-    spans = {"val": F.col(train_col), "test": F.col(before_test_col)}
+    spans = {"val": train_col, "test": before_test_col}
     rows = _with_lags(feat.select(*key, "ts", "log_ret", train_col, before_test_col), key)
-    full = F.col(_LAGS[-1]).isNotNull()
-    sums = rows.groupBy(*key).agg(*(s for f, on in spans.items() for s in product_sums(
-        [F.col(c) for c in _LAGS], F.col("log_ret"), on & full, f"_{f}")))
-    long_fit = sums.select(*key, *(solved(system(f"_{f}", LONG_LAGS), LONG_LAGS).alias(f"long_{f}") for f in _FITS))
-    rows = _with_residuals(rows.join(long_fit, key), key)
+    full = rows.where(F.col(_LAGS[-1]).isNotNull()).withColumns({f"_x_{f}": products(_array(_LAGS), "log_ret", on) for f, on in spans.items()})
+    sums = full.groupBy(*key).agg(*(product_sums(f"_x_{f}").alias(f"_{f}") for f in _FITS))
+    long_fit = sums.select(*key, *(F.expr(solved(system(f"_{f}", LONG_LAGS), LONG_LAGS)).alias(f"long_{f}") for f in _FITS))
     k = 2 * MAX_ORDER
-    have = F.col(f"_e{MAX_ORDER}_test").isNotNull()
-    sums = rows.groupBy(*key, "long_val", "long_test").agg(*(s for f, on in spans.items() for s in product_sums(
-        [F.col(c) for c in _LAGS[:MAX_ORDER]] + [F.col(f"_e{i}_{f}") for i in range(1, MAX_ORDER + 1)],
-        F.col("log_ret"), on & have, f"_{f}")))
-    used = {(p, q): [*range(p), *range(MAX_ORDER, MAX_ORDER + q)] for p, q in ORDERS}
-    sums = sums.withColumns({f"_{f}_{p}{q}": solved(system(f"_{f}", k, used[p, q]), k) for f in _FITS for p, q in ORDERS})
-
-    def aic(p: int, q: int) -> Column:
-        left = F.col("_test_y_y") - dot(F.col(f"_test_{p}{q}"), [F.col(f"_test_{i}_y") for i in range(k)])
-        n = F.col("_test_n")
-        return F.when((left > 0) & (n > 0), n * F.ln(left / n) + 2 * (p + q + 1))
-    tried = F.array(*(F.struct(aic(p, q).alias("aic"), F.lit(i).alias("at"), F.lit(p).alias("p"), F.lit(q).alias("q"),
-                               F.col(f"_val_{p}{q}").alias("val"), F.col(f"_test_{p}{q}").alias("test")) for i, (p, q) in enumerate(ORDERS)))
-    best = F.array_min(F.filter(tried, lambda x: x["aic"].isNotNull()))
-    return sums.select(*key, "long_val", "long_test", best.alias("_b")).select(
+    rows = _with_residuals(rows.join(long_fit, key), key).where(F.col(f"_e{MAX_ORDER}_test").isNotNull())
+    rows = rows.withColumns({f"_x_{f}": products(_array([*_LAGS[:MAX_ORDER], *(f"_e{i}_{f}" for i in range(1, MAX_ORDER + 1))]), "log_ret", on)
+                             for f, on in spans.items()})
+    sums = rows.groupBy(*key).agg(F.any_value("long_val").alias("long_val"), F.any_value("long_test").alias("long_test"),
+                                  *(product_sums(f"_x_{f}").alias(f"_{f}") for f in _FITS))
+    orders = _array(f"named_struct('at', {i}, 'p', {p}, 'q', {q}, 'used', {_array(str(r < p or MAX_ORDER <= r < MAX_ORDER + q) for r in range(k))})"
+                    for i, (p, q) in enumerate(ORDERS))
+    tried = ", ".join(f"'{f}', {solved(system(f'_{f}', k, 'o.used'), k)}" for f in _FITS)
+    fits = sums.withColumn("_tried", F.expr(f"transform({orders}, o -> named_struct('at', o.at, 'p', o.p, 'q', o.q, {tried}))"))
+    left, n = f"({target_squares('_test', k)} - {dot('o.test', right_side('_test', k))})", row_count("_test", k)
+    scored = (f"transform(_tried, o -> named_struct('aic', IF({left} > 0 AND {n} > 0, {n} * ln({left} / {n}) + 2 * (o.p + o.q + 1), NULL), "
+              "'at', o.at, 'p', o.p, 'q', o.q, 'val', o.val, 'test', o.test))")
+    best = F.expr(f"array_min(filter({scored}, o -> o.aic IS NOT NULL))").alias("_b")
+    return fits.select(*key, "long_val", "long_test", best).select(
         *key, "long_val", "long_test", "_b.p", "_b.q", "_b.val", "_b.test")
 
 
@@ -88,34 +87,25 @@ def arma_forecast(feat: DataFrame, fit: DataFrame, key=SERIES_KEY, before_test_c
     row lacks, and coefficients that a series lacks, count as zero."""
     key = list(key)
     rows = _with_residuals(_with_lags(feat.join(fit, key, "left"), key), key)
-    before = F.col(before_test_col)
-    rows = rows.withColumn("coef", F.when(before, F.col("val")).otherwise(F.col("test")))
-
-    def part(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0.0))
-
-    def residual(lag: str) -> Column:
-        return F.when(before, part(f"_{lag}_val")).otherwise(part(f"_{lag}_test"))
-    step = dot(F.col("coef"), [F.col("log_ret"), part("_r1"), residual("e"), residual("e1")])
-    rows = rows.withColumn("ar_log", F.col("log_price") + step)
-    return rows.select(*feat.columns, "p", "q", "coef", "ar_log")
+    rows = rows.withColumn("coef", F.when(F.col(before_test_col), F.col("val")).otherwise(F.col("test")))
+    residuals = [f"coalesce(IF({before_test_col}, _{e}_val, _{e}_test), 0D)" for e in ("e", "e1")]
+    step = dot("coef", _array(["log_ret", "coalesce(_r1, 0D)", *residuals]))
+    return rows.withColumn("ar_log", F.expr(f"log_price + {step}")).select(*feat.columns, "p", "q", "coef", "ar_log")
 
 
 def _window_inputs(feat: DataFrame, features, key, before_test_col: str, lookback: int):
-    """Rows with the window's inputs: (rows, input columns, usable rows)."""
-    w, whole = Window.partitionBy(*key).orderBy("ts"), Window.partitionBy(*key)
-    before = w.rowsBetween(-lookback, -1)
-    pre = {c: F.when(F.col(before_test_col), F.col(c)) for c in features}
-    rows = feat.withColumns({f"_m_{c}": F.avg(x).over(whole) for c, x in pre.items()}
-                            | {f"_s_{c}": F.stddev_pop(x).over(whole) for c, x in pre.items()})
-    rows = rows.withColumns({f"_z_{c}": (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") < 1e-8, 1.0).otherwise(F.col(f"_s_{c}"))
-                             for c in features})
-    rows = rows.withColumns({f"_l_{c}": F.lag(f"_z_{c}").over(w) for c in features}
-                            | {f"_a_{c}": F.avg(f"_z_{c}").over(before) for c in features}
-                            | {"_full": F.count(F.lit(1)).over(before) == lookback})
-    names = [f"_l_{c}" for c in features] + [f"_a_{c}" for c in features]
-    usable = reduce(operator.and_, (F.col(c).isNotNull() for c in names), F.col("_full"))
-    return rows, [F.lit(1.0), *(F.col(c) for c in names)], usable
+    """(rows, inputs, usable rows): the last two as SQL texts, an array and a
+    condition on ``rows``."""
+    by = ", ".join(f"`{c}`" for c in key)
+    whole, along = f"(PARTITION BY {by})", f"(PARTITION BY {by} ORDER BY ts)"
+    before = f"(PARTITION BY {by} ORDER BY ts ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING)"
+    rows = feat.selectExpr("*", *(f"{how}(IF({before_test_col}, {c}, NULL)) OVER {whole} AS _{n}_{c}"
+                                  for c in features for n, how in (("m", "avg"), ("s", "stddev_pop"))))
+    rows = rows.selectExpr("*", *(f"({c} - _m_{c}) / IF(_s_{c} < 1e-8, 1D, _s_{c}) AS _z_{c}" for c in features))
+    rows = rows.selectExpr("*", *(f"lag(_z_{c}) OVER {along} AS _l_{c}" for c in features),
+                           *(f"avg(_z_{c}) OVER {before} AS _a_{c}" for c in features), f"count(*) OVER {before} = {lookback} AS _full")
+    names = [f"_{n}_{c}" for n in ("l", "a") for c in features]
+    return rows, _array(["1D", *names]), " AND ".join(["_full", *(f"{c} IS NOT NULL" for c in names)])
 
 
 def window_return_fit(feat: DataFrame, features, key=SERIES_KEY, train_col: str = "is_train",
@@ -130,9 +120,10 @@ def window_return_fit(feat: DataFrame, features, key=SERIES_KEY, train_col: str
     key = list(key)
     rows, inputs, usable = _window_inputs(feat.select(*key, "ts", *features, "target", train_col, before_test_col),
                                           features, key, before_test_col, lookback)
-    k = len(inputs)
-    sums = rows.groupBy(*key).agg(*product_sums(inputs, F.col("target"), F.col(train_col) & usable, "_g"))
-    return sums.select(*key, solved(system("_g", k, ridge=ridge * F.col("_g_n"), unpenalised=(0,)), k).alias("beta"))
+    k = 2 * len(features) + 1
+    rows = rows.where(f"{usable} AND {train_col} AND target IS NOT NULL").withColumn("_x", products(inputs, "target"))
+    sums = rows.groupBy(*key).agg(product_sums("_x").alias("_g"))
+    return sums.select(*key, F.expr(solved(system("_g", k, ridge=f"{ridge!r}D * {row_count('_g', k)}", unpenalised=(0,)), k)).alias("beta"))
 
 
 def window_return_forecast(feat: DataFrame, fit: DataFrame, features, key=SERIES_KEY,
@@ -142,7 +133,7 @@ def window_return_forecast(feat: DataFrame, fit: DataFrame, features, key=SERIES
     full window; a series without training windows forecasts a return of 0."""
     key = list(key)
     rows, inputs, usable = _window_inputs(feat, features, key, before_test_col, lookback)
-    rows = rows.join(fit, key, "left").withColumn("ret_hat", F.when(usable, dot(F.col("beta"), inputs)))
+    rows = rows.join(fit, key, "left").withColumn("ret_hat", F.expr(f"IF({usable}, {dot('beta', inputs)}, NULL)"))
     return rows.withColumn("lr_log", F.col("log_price") + F.col("ret_hat")).select(*feat.columns, "ret_hat", "lr_log")
 
 

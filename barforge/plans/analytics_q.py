@@ -42,10 +42,10 @@ def split_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     """ARMA and window-model forecasts of every row with a full feature window.
-    The split frame is written once: two fits and the forecasts read it."""
+    The split frame and the fits (a row per series) are written once."""
     fs = stored_table(split_frame(spark, sf), "split-frame")
-    rows = FC.arma_forecast(fs, FC.arma_fit(fs))
-    rows = FC.window_return_forecast(rows, FC.window_return_fit(fs, _FEATURES), _FEATURES)
+    rows = FC.arma_forecast(fs, stored_table(FC.arma_fit(fs), "arma-fit"))
+    rows = FC.window_return_forecast(rows, stored_table(FC.window_return_fit(fs, _FEATURES), "return-fit"), _FEATURES)
     return rows.where(F.col("lr_log").isNotNull()).withColumn("actual_log", F.ln("next_price"))
 
 
@@ -329,7 +329,7 @@ FROM lr_fc WHERE split_label = 'test' AND lr_log IS NOT NULL""")
 def w18_linear_return_model(spark, sf):
     """One ridge regression per series on its standardised feature windows."""
     fs = stored_table(split_frame(spark, sf), "split-frame")
-    pred = FC.window_return_forecast(fs, FC.window_return_fit(fs, _FEATURES), _FEATURES)
+    pred = FC.window_return_forecast(fs, stored_table(FC.window_return_fit(fs, _FEATURES), "return-fit"), _FEATURES)
     pred = pred.where((F.col("split_label") == "test") & F.col("lr_log").isNotNull())
     return pred.select(*KEY, "ts", r6("ret_hat").alias("ret_hat"), r4(F.exp("lr_log")).alias("lr_pred"))
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barforge.operators import forecast as FC
-from barforge.operators.regression import product_sums, solved, system
+from barforge.operators.regression import product_sums, products, row_count, solved, system
 
 UTC = dt.timezone.utc
 KEY = ["asset_class", "interval", "ticker"]
@@ -130,8 +130,10 @@ def test_solved_equals_numpy(spark, k):
     rng = np.random.default_rng(k)
     x, y = rng.normal(0, 1, (50, k)), rng.normal(0, 1, 50)
     df = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], ", ".join(f"x{i} double" for i in range(k)) + ", y double")
-    sums = df.agg(*product_sums([F.col(f"x{i}") for i in range(k)], F.col("y"), F.lit(True), "s"))
-    got = sums.select(solved(system("s", k, ridge=F.lit(0.5)), k).alias("b")).first()["b"]
-    assert np.allclose(got, np.linalg.solve(x.T @ x + 0.5 * np.eye(k), x.T @ y), atol=1e-12)
-    empty = df.limit(0).agg(*product_sums([F.col(f"x{i}") for i in range(k)], F.col("y"), F.lit(True), "s"))
-    assert empty.select(solved(system("s", k), k).alias("b")).first()["b"] == [None] * k
+    df = df.withColumn("p", products(f"array({', '.join(f'x{i}' for i in range(k))})", "y"))
+    sums = df.groupBy().agg(product_sums("p").alias("s"))
+    got = sums.selectExpr(solved(system("s", k, ridge="0.5D"), k) + " AS b", row_count("s", k) + " AS n").first()
+    assert np.allclose(got["b"], np.linalg.solve(x.T @ x + 0.5 * np.eye(k), x.T @ y), atol=1e-12) and got["n"] == 50
+    only = f"array({', '.join(str(i == 0) for i in range(k))})"
+    part = sums.selectExpr(solved(system("s", k, used=only), k) + " AS b").first()["b"]
+    assert math.isclose(part[0], x[:, 0] @ y / (x[:, 0] @ x[:, 0])) and part[1:] == [0.0] * (k - 1)
