@@ -70,6 +70,7 @@ SETTINGS = [("", ""), ("Copyright 2021 the authors. ", ""), ("Note: ", " See the
             ("The code in this archive, unless stated otherwise: ", " Thank you.")]
 CUE = "(?i)licen[sc]|copyright|public domain|rights reserved|permission|spdx|proprietary|redistribut"
 NEGATIVES = 3000
+NEGATIVE_CHARS = 2000
 VOCABULARY = 5000
 #: n-grams in more than this share of the negatives are no features.
 COMMON_SHARE = 0.01
@@ -99,15 +100,16 @@ def template_rows(spark: SparkSession) -> DataFrame:
 def examples(docs: DataFrame, text_col: str = "text", negatives: int = NEGATIVES) -> DataFrame:
     """(family, words, held_out): notices in their settings, whole and cut, and
     at most ``negatives`` distinct paragraphs of the corpus without a licence
-    cue (those with the smallest hash; each document offers one)."""
+    cue, of up to NEGATIVE_CHARS characters (those with the smallest hash; each
+    document offers one)."""
     known = template_rows(docs.sparkSession)
     whole = known.select("family", F.explode(F.array(*(
         F.concat(F.lit(a), F.col("template"), F.lit(b)) for a, b in SETTINGS))).alias("body"))
     half = known.where(F.size("words") >= 6).select("family", F.explode(F.array(
         F.array_join(F.slice("words", 1, F.ceil(F.size("words") * 0.75).cast("int")), " "),
         F.array_join(F.expr("slice(words, cast(floor(size(words) * 0.25) as int) + 1, size(words))"), " "))).alias("body"))
-    line = lambda t: F.filter(F.split(t, "\n"), lambda x: x.rlike(r"\p{L}") & ~x.rlike(CUE))
-    offered = docs.select(F.array_min(F.transform(line(F.col(text_col).cast("string")), lambda x: F.struct(F.xxhash64(x).alias("h"), F.left(x, F.lit(2000)).alias("body")))).alias("p"))
+    line = lambda t: F.filter(F.split(t, "\n"), lambda x: (F.length(x) <= NEGATIVE_CHARS) & x.rlike(r"\p{L}") & ~x.rlike(CUE))
+    offered = docs.select(F.array_min(F.transform(line(F.col(text_col).cast("string")), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("body")))).alias("p"))
     other = offered.where("p is not null").select("p.*").orderBy("h", "body").limit(negatives).distinct()
     rows = whole.union(half).union(other.select(F.lit(UNKNOWN), "body"))
     return rows.select("family", words_of(F.col("body")).alias("words"), (F.pmod(F.xxhash64("body"), F.lit(5)) == 0).alias("held_out"))
@@ -161,17 +163,28 @@ def fit(docs: DataFrame, text_col: str = "text", negatives: int = NEGATIVES, voc
 
 
 def _triggers(vocab: list[str], regression: LogisticRegressionModel, others: dict[str, int], least: float) -> list[str] | None:
-    """One word of every n-gram that speaks for a family against unknown: without
-    any of them no family reaches ``least``. None if the intercepts alone do."""
+    """Words without any of which no family reaches ``least``: one word of every
+    n-gram that speaks for a family against unknown, less the most common words
+    whose n-grams together cannot lift any family to ``least``. None if the
+    intercepts alone do."""
     weights, bias = regression.coefficientMatrix.toArray().tolist(), list(regression.interceptVector)
-    lead = max(b - bias[-1] for b in bias[:-1])
-    if 1 / (1 + math.exp(-lead)) >= least:
+    # the lead over unknown that a family needs, and what the intercepts give it
+    need = math.log(least / (1 - least)) if least < 1 else math.inf
+    room = [need - (b - bias[-1]) for b in bias[:-1]]
+    if min(room) <= 0:
         return None
-    out = set()
+    lifts: dict[str, list[float]] = {}
     for j, gram in enumerate(vocab):
-        if max(w[j] for w in weights[:-1]) > weights[-1][j]:
-            out.add(min(gram.split(" "), key=lambda w: (others.get(w, 0), -len(w), w)))
-    return sorted(out)
+        lift = [max(0.0, w[j] - weights[-1][j]) for w in weights[:-1]]
+        if any(lift):
+            word = min(gram.split(" "), key=lambda w: (others.get(w, 0), -len(w), w))
+            lifts[word] = [a + b for a, b in zip(lifts.get(word, [0.0] * len(lift)), lift)]
+    for word in sorted(lifts, key=lambda w: (-others.get(w, 0), len(w), w)):
+        less = [r - x for r, x in zip(room, lifts[word])]
+        if others.get(word, 0) and min(less) > 0:
+            room = less
+            del lifts[word]
+    return sorted(lifts)
 
 
 def licence_paragraphs(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text",
@@ -186,8 +199,11 @@ def licence_paragraphs(docs: DataFrame, model: LicenceModel, id_col: str = "doc_
         rows = rows.where(F.lower("t").rlike(some))
     rows = rows.select("doc_id", "text_hash", F.posexplode(F.split("t", "\n")).alias("paragraph", "body"))
     rows = rows.where(F.lower("body").rlike(some) if model.triggers is not None else F.col("body").rlike(r"\p{L}"))
-    rows = rows.withColumn("words", words_of(F.col("body"))).drop("body")
-    scored = written(model.score(rows).where(F.col("family") != UNKNOWN).dropDuplicates(["doc_id", "text_hash", "paragraph"]), "licence-scored")
+    rows = rows.withColumn("words", words_of(F.col("body"))).drop("body").dropDuplicates(["doc_id", "text_hash", "paragraph"])
+    # written before and after scoring: a filter on the family would otherwise be
+    # pushed below and repeat the words and n-grams in every part of the score
+    rows = written(rows, "licence-paragraphs").repartition("doc_id", "text_hash", "paragraph")
+    scored = written(model.score(rows), "licence-scored").where(F.col("family") != UNKNOWN)
     # template comparison: shared word pairs over those of the shorter side
     pairs = lambda df: df.withColumn("pairs", F.array_distinct(ngrams_of("words", (2,))))
     templates = pairs(template_rows(docs.sparkSession)).select("family", "template", F.col("pairs").alias("t_pairs"))
