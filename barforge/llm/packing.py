@@ -20,6 +20,7 @@ import sys
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,15 @@ END_ID = 1
 PIECE_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()),
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
-    T.StructField("ids", T.BinaryType()), T.StructField("part", T.IntegerType()),
-    T.StructField("nth", T.LongType())])
+    T.StructField("ids_crc32", T.LongType()), T.StructField("part", T.IntegerType()),
+    T.StructField("nth", T.LongType()), T.StructField("ids", T.BinaryType())])
 
 # ---------------------------------------------------------------------------
 # Tokenising: the ids of a text are those of its white-space separated chunks,
 # so a worker keeps the chunks it has met.
 # ---------------------------------------------------------------------------
 #: Chunks kept by a Python worker before it starts afresh (bounds its memory).
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 _SIMPLE = re.compile("[!-~¡-ÿ]+")
 
 
@@ -126,12 +127,15 @@ def tokenizer_at(path: str) -> ChunkTokenizer:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """Token pieces of every document, written to the shared folder: doc_id,
-    piece, start, length, ids (little-endian unsigned 32-bit), and the place of
-    the piece (part, nth among that part's pieces of its length). A document's
-    ids end with ``end_id``; only those longer than ``capacity`` are cut. Null
-    text counts as empty, a null doc_id stays."""
+    piece, start, length, ids_crc32 (of the ids as little-endian unsigned 32-bit
+    integers), the place of the piece (part, nth among that part's pieces of its
+    length), and with ``keep_ids`` the ids themselves. A document's ids end with
+    ``end_id``; only those longer than ``capacity`` are cut. Null text counts as
+    empty, a null doc_id stays."""
+    schema = PIECE_SCHEMA if keep_ids else T.StructType(PIECE_SCHEMA.fields[:-1])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, nth, tokenize = TaskContext.get().partitionId(), Counter(), tokenizer_at(tokenizer_path)
@@ -143,20 +147,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                 for piece, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at:at + step]
                     n = len(cut) // 4
-                    rows.append((doc, piece, at // 4, n, cut, part, nth[n]))
+                    rows.append((doc, piece, at // 4, n, crc32(cut), part, nth[n], *([cut] if keep_ids else [])))
                     nth[n] += 1
                 size += len(ids)
                 if size > 4_000_000:
-                    yield _frame(rows)
+                    yield _frame(rows, schema)
                     rows, size = [], 0
-            yield _frame(rows)
-    return written(texts_only(docs, id_col, text_col).mapInArrow(run, PIECE_SCHEMA), "pack-pieces")
+            yield _frame(rows, schema)
+    return written(texts_only(docs, id_col, text_col).mapInArrow(run, schema), "pack-pieces")
 
 
-def _frame(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+def _frame(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()][:len(schema)]
     columns = zip(*rows) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], PIECE_SCHEMA.names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], schema.names)
 
 
 # ---------------------------------------------------------------------------

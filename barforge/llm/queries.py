@@ -35,8 +35,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     from barforge.llm.packing import pack, token_pieces
-    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "nth"))
+    return pack(token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False))
 
 
 @query("op9_warc_chunked_records", oracle="""
