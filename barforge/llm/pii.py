@@ -277,9 +277,11 @@ def redact(docs: DataFrame, precision: float = PRECISION, id_col: str = "doc_id"
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans"))
     spans = written(spans, "pii-spans")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # kept apart from the names used here
-    rows = docs.select(row, F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text, F.lit(1)).alias("_hash"), text.alias("_text"))
-    rows = rows.join(spans, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left")
-    text = F.col("_text")
+    rows = docs.select(row, F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text, F.lit(1)).alias("_hash"))
+    # one plan at every size: each row is shuffled once, with its text once; a
+    # broadcast that turns into this once the spans outgrow it gains nothing
+    rows = rows.join(spans.hint("merge"), F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left")
+    text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
     start = F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("at"))
     done = F.aggregate("_spans", start, lambda a, s: F.when(s["start"] < a["at"], F.struct(
         a["text"].alias("text"), F.greatest(a["at"], s["end"]).alias("at"))).otherwise(F.struct(
