@@ -61,8 +61,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     import public_tokenizers
 
     from barforge.llm.packing import pack, token_pieces
-    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "nth"))
+    return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False))
 
 
 STAGES: list[tuple[str, Callable]] = [
