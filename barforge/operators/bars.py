@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,12 +66,13 @@ def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker"))
     """OHLCV bars per series and interval from trade ticks
     ``(key..., ts, price, size, seq)``.
 
-    Two aggregation levels, one scan: ticks are first combined into 1-minute
-    bars (hash aggregation with map-side partial aggregation, so a hot
-    ticker is reduced before the shuffle), then every requested interval -
-    1-minute included - is rolled up from those bars, which are orders of
-    magnitude smaller than the ticks. Each interval's boundaries are
-    multiples of one minute, so the roll-up is exact."""
+    A lattice of intervals, one scan: ticks are first combined into 1-minute
+    bars (hash aggregation with map-side partial aggregation, so a hot ticker is
+    reduced before the shuffle). Those meet once by (series, day), where every
+    interval within a day follows without another shuffle: a series has at most
+    1,440 such bars a day. Longer intervals are rolled up from the daily bars.
+    Each interval's boundaries are multiples of its parent's, so every roll-up
+    is exact; 1-minute bars travel once, not once per interval."""
     key = list(key)
     ticks = ticks.withColumn("bar_ts", bar_start("ts", "1m"))
     order = tick_order(F.col("ts"), F.col("bar_ts"), F.col("seq"))
@@ -82,15 +84,22 @@ def bars_from_ticks(ticks: DataFrame, intervals, key=("asset_class", "ticker"))
                  F.sum("size").alias("volume"),
                  F.count(F.lit(1)).alias("n_ticks")))
     ivs = list(dict.fromkeys(intervals))
-    rolled = (base.withColumn("interval", F.explode(F.array(*[F.lit(i) for i in ivs])))
-              .withColumn("ts", _bar_start_by_interval(F.col("bar_ts"), ivs))
-              .groupBy(*key, "interval", "ts")
-              .agg(F.min_by("open", "bar_ts").alias("open"),
-                   F.max("high").alias("high"),
-                   F.min("low").alias("low"),
-                   F.max_by("close", "bar_ts").alias("close"),
-                   F.sum("volume").alias("volume"),
-                   F.sum("n_ticks").alias("n_ticks")))
+    within = [i for i in ivs if i in INTRADAY_MINUTES or i == "1d"]
+    beyond = [i for i in ivs if i not in within]
+
+    def rolled_up(parent: DataFrame, wanted: list[str], start: str, *at: str) -> DataFrame:
+        return (parent.withColumn("interval", F.explode(F.array(*[F.lit(i) for i in wanted])))
+                .withColumn("ts", _bar_start_by_interval(F.col(start), wanted))
+                .groupBy(*key, *at, "interval", "ts")
+                .agg(F.min_by("open", start).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+                     F.max_by("close", start).alias("close"), F.sum("volume").alias("volume"), F.sum("n_ticks").alias("n_ticks"))
+                .drop(*at))
+    by_day = base.withColumn("_day", F.date_trunc("day", "bar_ts")).repartition(*key, "_day")
+    parts = [rolled_up(by_day, within, "bar_ts", "_day")] if within else []
+    if beyond:
+        days = rolled_up(by_day, ["1d"], "bar_ts", "_day").withColumnRenamed("ts", "day_ts").drop("interval")
+        parts.append(rolled_up(days, beyond, "day_ts"))
+    rolled = reduce(DataFrame.unionByName, parts)
     return rolled.select(*key[:1], "interval", *key[1:], "ts", "open", "high", "low", "close",
                          F.lit(None).cast("double").alias("adj_close"),
                          F.col("volume").cast("bigint").alias("volume"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -380,13 +382,22 @@ def w12_last_n_days(spark, sf):
     return S.last_n_days(D.bars_intraday(spark, sf), 7).select(*KEY, "ts", "close")
 
 
-@register("s3_intraday_load", Q.with_(*_INTRA) + f"""
-SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM bars_intraday WHERE interval = '5m'
+_LOADED = [Q.TICKS, Q.TICK_SOURCES, Q.source_bars(["5m"])]
+_FILE_ORDER = {"legacy": 0, "stored": 1, "fresh": 2}  # files of a series in load order
+
+
+@register("s3_intraday_load", Q.with_(*_LOADED, f"""loaded AS (
+  SELECT * FROM src_bars QUALIFY row_number() OVER (PARTITION BY {Q.SERIES}, ts
+    ORDER BY CASE src WHEN 'legacy' THEN 0 WHEN 'stored' THEN 1 ELSE 2 END DESC) = 1)""") + f"""
+SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM loaded
 QUALIFY ts >= date_trunc('day', max(ts) OVER (PARTITION BY {Q.SERIES})) - INTERVAL 2 DAY""")
 def s3_intraday_load(spark, sf):
-    """5-minute bars of every series, last-wins deduplicated, last 3 calendar days."""
-    b = D.bars_intraday(spark, sf, ["5m"]).where(F.col("interval") == "5m")
-    b = B.last_write_wins(b.withColumn("seq", F.lit(0)), [*KEY, "ts"], ("seq",))
+    """5-minute bars of every series from all its files: of rows with one time
+    the last file's is kept; the last 3 calendar days."""
+    files = D.intraday_sources(spark, sf, ["5m"])
+    rows = [b.select(*KEY, "ts", "open", "high", "low", "close", "volume").withColumn("seq", F.lit(_FILE_ORDER[src]))
+            for src, b in files.items()]
+    b = B.last_write_wins(reduce(DataFrame.unionByName, rows), [*KEY, "ts"], ("seq",))
     return S.last_n_days(b, 3).select(*KEY, "ts", "open", "high", "low", "close", "volume")
 
 

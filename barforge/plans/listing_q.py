@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from barforge.functions import symbols as SY
@@ -11,7 +13,9 @@ from barforge.plans.registry import register
 from barforge.schema import (ALL_INTERVALS, EUROPE_SUFFIXES, EXCHANGE_SUFFIXES, INTRADAY_INTERVALS,
                              PLAIN_TICKER_PATTERN, PLAIN_TICKER_SKIP, SKIP_SECURITY_NAME_PATTERN,
                              interval_dim)
+from barforge.session import checkpoint_dir
 from barforge.sources import derived as D
+from barforge.sources import files as SF
 from barforge.sources import listings as L
 
 # ---- SQL twins of the symbol expressions ---------------------------------
@@ -150,8 +154,9 @@ def s6_plain_ticker_text(spark, sf):
     p = D.table(spark, sf, "part").withColumn("base", F.upper(F.concat(
         F.substring(F.substring_index("p_name", " ", 1), 1, 2),
         F.substring(F.substring_index("p_name", " ", -1), 1, 3))))
-    lines = p.select(F.col("p_partkey").alias("line_no"), F.expr(_PLAIN_LINE_SQL).alias("value"))
-    return L.plain_ticker_listing(lines)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/s6-{uuid.uuid4().hex}"
+    p.select(F.expr(_PLAIN_LINE_SQL).alias("value")).where("value is not null").write.text(path)  # as the lists arrive
+    return L.plain_ticker_listing(SF.read_lines(spark, path))
 
 
 # --------------------------------------------------------------------------- S7
@@ -178,12 +183,14 @@ def s7_json_directory(spark, sf):
     s = D.table(spark, sf, "supplier")
     rows = s.select(F.col("s_suppkey").alias("row_no"),
                     *[F.expr(v.replace("VARCHAR", "STRING")).alias(k) for k, v in _JSON_ROWS_SQL.items()])
-    # round-trip through JSON text, as the directory arrives
+    # staged as the directories arrive: a JSON array a file, with an element that is no object
     js = rows.select("row_no", F.to_json(F.struct(*[F.col(f"`{k}`") for k in _JSON_ROWS_SQL])).alias("j"))
-    schema = "struct<" + ", ".join(f"`{k}`: string" for k in _JSON_ROWS_SQL) + ">"
-    parsed = js.select("row_no", F.from_json("j", schema).alias("r")).select("row_no", "r.*")
-    return L.json_directory_listing(parsed, ["公司代號", "Code"], ["公司簡稱", "公司名稱", "Name"],
-                                    ["產業別", "Industry"])
+    arrays = js.groupBy(F.expr("row_no div 100").alias("file")).agg(F.sort_array(F.collect_list(F.struct("row_no", "j"))).alias("r"))
+    text = arrays.select("file", F.concat(F.lit('["no object", '), F.array_join("r.j", ",\n"), F.lit("]")).alias("value"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/s7-{uuid.uuid4().hex}"
+    text.repartitionByRange("file").sortWithinPartitions("file").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return L.json_directory_listing(SF.read_json_records(spark, path, list(_JSON_ROWS_SQL)), ["公司代號", "Code"],
+                                    ["公司簡稱", "公司名稱", "Name"], ["產業別", "Industry"])
 
 
 # --------------------------------------------------------------------------- S8

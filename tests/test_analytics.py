@@ -158,3 +158,45 @@ def test_bars_from_ticks_hot_ticker_matches_pandas(spark):
         for (tk, b), r in exp.iterrows():
             assert got[(tk, iv, b.to_pydatetime())] == (r.open, r.high, r.low, r.close, r.volume)
     assert len(got) == sum(len(pdf.assign(b=pdf["ts"].dt.floor(f)).groupby(["ticker", "b"])) for f in ("5min", "1h"))
+
+
+def _shuffled_rows(df):
+    """Rows written to shuffles when ``df`` runs, by the plan's own counters."""
+    df.collect()
+    plan, seen, total = [df._jdf.queryExecution().executedPlan()], set(), 0
+    while plan:
+        node = plan.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plan.append(node.executedPlan())
+            continue
+        if name in ("ShuffleQueryStageExec", "BroadcastQueryStageExec"):
+            plan.append(node.plan())
+            continue
+        if name == "ShuffleExchangeExec" and node.id() not in seen:
+            seen.add(node.id())
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        for i in range(node.children().size()):
+            plan.append(node.children().apply(i))
+    return total
+
+
+def test_interval_lattice_shuffles_minute_bars_once(spark):
+    """Every interval equals a direct roll-up, and the rows that travel are a
+    third of one row per minute bar and interval at most."""
+    from barforge.schema import ALL_INTERVALS
+    rng = np.random.default_rng(8)
+    start = dt.datetime(2024, 1, 30, 22, tzinfo=dt.timezone.utc)
+    rows = [("c", f"X{rng.integers(0, 3)}", start + dt.timedelta(seconds=int(s)), float(rng.integers(1, 99)), int(rng.integers(0, 5)), i)
+            for i, s in enumerate(rng.integers(0, 5 * 86400, 6000))]
+    ticks = spark.createDataFrame(rows, "asset_class string, ticker string, ts timestamp, price double, size long, seq long").repartition(4)
+    df = B.bars_from_ticks(ticks, ALL_INTERVALS)
+    got = {(r.ticker, r.interval, r.ts): (r.open, r.high, r.low, r.close, r.volume, r.n_ticks) for r in df.collect()}
+    want = {}
+    for iv in ALL_INTERVALS:
+        t = ticks.withColumn("b", B.bar_start("ts", iv)).orderBy("ts", "seq").toPandas()
+        for (x, b), g in t.groupby(["ticker", "b"], sort=False):
+            want[x, iv, b.to_pydatetime()] = (g.price.iloc[0], g.price.max(), g.price.min(), g.price.iloc[-1], g["size"].sum(), len(g))
+    assert {(a, i, t.replace(tzinfo=None)): v for (a, i, t), v in got.items()} == {(a, i, t.replace(tzinfo=None)): v for (a, i, t), v in want.items()}
+    minutes = sum(1 for k in want if k[1] == "1m")
+    assert _shuffled_rows(df) - 6000 <= minutes * len(ALL_INTERVALS) / 3
