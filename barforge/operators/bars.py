@@ -31,6 +31,17 @@ def bar_start(ts: Column | str, interval: str) -> Column:
     raise ValueError(f"unsupported interval {interval!r}")
 
 
+def bar_end(ts: Column | str, interval: str) -> Column:
+    """End of the bar that contains ``ts`` (the start of the next one)."""
+    start = bar_start(ts, interval)
+    months = {"1mo": 1, "3mo": 3}.get(interval)
+    if months:
+        return (F.add_months(F.to_date(start), months)).cast("timestamp")
+    days = {"1d": 1, "1wk": 7, **_FIXED_DAYS}.get(interval)
+    minutes = days * 1440 if days else INTRADAY_MINUTES[interval]
+    return F.timestamp_micros(F.unix_micros(start) + F.lit(minutes * 60_000_000))
+
+
 def _bar_start_by_interval(ts: Column, intervals) -> Column:
     expr = None
     for iv in intervals:
@@ -46,7 +57,7 @@ def ordered_pair(high: Column, low: Column) -> Column:
     ``max_by`` run as a hash aggregate (a struct ordering forces a sort-based
     one)."""
     wide = F.lit(Decimal(1 << 64))
-    return (high.cast("decimal(12,0)") * wide + F.coalesce(low.cast("bigint"), F.lit(0)).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return (high.cast("decimal(17,0)") * wide + F.coalesce(low.cast("bigint"), F.lit(0)).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def split_pair(pair: Column) -> tuple[Column, Column]:

@@ -48,19 +48,17 @@ def o1_sorted_symbols(spark, sf):
 
 
 @register("i6_stream_bars", Q.with_(Q.TICKS, Q.bars_from_ticks(["15m"], "b15")) + f"""
-SELECT {Q.SERIES}, ts, open, high, low, close, volume, n_ticks FROM b15
-WHERE ts + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 5 MINUTE""")
+SELECT {Q.SERIES}, ts, open, high, low, close, volume, n_ticks, true AS final FROM b15""")
 def i6_stream_bars(spark, sf):
-    """Ticks streamed into 15-minute bars with 5 minutes of allowed lateness.
-    Contract: the stream emits final bars only, i.e. those the watermark (the
-    latest tick less the lateness) has closed; bars still open when the staged
-    files are drained come out with the next run over the same checkpoint."""
+    """Ticks streamed into 15-minute bars over several micro-batches of files in
+    time order; the bars still open when the staged files are drained are
+    flushed. Every tick is in its bar."""
     from barforge.streaming import bars as SB
     base = f"{checkpoint_dir(spark).rstrip('/')}/i6s-{uuid.uuid4().hex}"
     t = D.ticks(spark, sf).select("asset_class", "ticker", "ts", "price", "size", "seq")
-    t.write.parquet(f"{base}/staged")
-    q = SB.start_bar_stream(spark, f"{base}/staged", t.schema, f"{base}/out", f"{base}/ckpt", "15m", "5 minutes",
-                            files_per_batch=1 << 20)  # one arrival: files of one run are in no time order
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(*SERIES_KEY, "ts", "open", "high", "low", "close",
-                                                    "volume", "n_ticks")
+    files = 2 * spark.sparkContext.defaultParallelism
+    t.repartitionByRange(files, "ts").sortWithinPartitions("ts", "seq").write.parquet(f"{base}/staged")
+    SB.start_bar_updates(spark, f"{base}/staged", t.schema, f"{base}/bars", f"{base}/ckpt", "15m",
+                         files_per_batch=-(-files // 4)).awaitTermination()
+    out = SB.read_bar_updates(spark, f"{base}/bars", "15m", drained=True)
+    return out.select(*SERIES_KEY, "ts", "open", "high", "low", "close", "volume", "n_ticks", "final")

@@ -55,54 +55,66 @@ def parse_ts(c) -> F.Column:
                       F.try_to_timestamp(F.trim(c)))
 
 
+#: Header lines of this many bytes in all are sent to every task; more are joined.
+HEADER_BYTES = 32 << 20
+
+
+def _bar_header(line: F.Column) -> F.Column:
+    """Whether a line is a bar file's header: it names its time and its close."""
+    return line.rlike(r"(^|,)\s*(Datetime|Date)\s*(,|$)") & line.rlike(r"(^|,)\s*Close\s*(,|$)")
+
+
+def file_headers(text: DataFrame) -> DataFrame:
+    """(path, header, names, width) per file with a bar header, written once."""
+    heads = text.where(_bar_header(F.col("value"))).groupBy("path").agg(F.min("value").alias("header"))
+    names = F.transform(F.split("header", ","), lambda n: F.trim(n))
+    return stored_table(heads.select("path", "header", names.alias("names"), F.size(names).alias("width")), "csv-headers")
+
+
 def read_bar_csv(spark: SparkSession, root: str, glob: str = "*/*/*.csv"):
     """Scan a per-ticker CSV tree, binding columns by header name.
 
-    Files are grouped by their header line (found with one text pass) and
-    each group is read natively with a schema in that header's order, so a
-    file whose columns are in another order is never mis-bound. Only the
-    distinct header lines travel to the driver: a group's files are told apart
-    by a join on the path while its scan runs over the tree. A header names its
-    time column ``Datetime`` or ``Date`` anywhere in the line. Returns (bars,
-    quarantine): files without a bar header (corrupt or empty) and rows whose
-    time does not parse are reported, not read."""
+    The tree is read as text, however many different headers it has: one pass
+    finds each file's header line, the other reads the rows and binds each by
+    the names of its own file's header, so a file whose columns are in another
+    order is never mis-bound. The headers (one small row per file) meet the rows
+    by path; they are broadcast only if their measured size allows. A header
+    names its time column ``Datetime`` or ``Date`` anywhere in the line, and
+    unknown columns are left out. Returns (bars, quarantine): files without a
+    bar header (corrupt or empty) and rows whose time does not parse are
+    reported, not read. Optional columns that no file has are left out."""
     pattern = f"{root.rstrip('/')}/{glob}"
     text = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("path"), "value")
-    is_head = F.col("value").rlike(r"(^|,)\s*(Datetime|Date)\s*(,|$)") & F.col("value").rlike(r"(^|,)\s*Close\s*(,|$)")
-    heads = stored_table(text.where(is_head).groupBy("path").agg(F.min("value").alias("header")), "csv-headers")
-    groups = heads.select("header").distinct().collect()
+    heads = file_headers(text)
     # every file of the tree from the file listing alone (binaryFile with only
     # the path selected does not read contents); those without a header are bad
     all_files = spark.read.format("binaryFile").load(pattern).select("path")
     bad_files = all_files.join(heads, "path", "left_anti").withColumn("reason", F.lit("no header"))
-    bad = not bad_files.isEmpty()
-    parts = []
-    for row in groups:
-        names = [h.strip() for h in row["header"].split(",")]
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-               .csv(pattern).withColumn("path", F.col("_metadata.file_path")))
-        if len(groups) > 1 or bad:
-            raw = raw.join(heads.where(F.col("header") == row["header"]).select("path"), "path", "left_semi")
-        cols = []
-        for i, n in enumerate(names):
-            dst = HEADER_NAMES.get(n)
-            if dst is None:
-                continue  # unknown columns are dropped (whitelist)
-            src = F.col(f"c{i}")
-            if dst == "ts":
-                cols.append(parse_ts(src).alias("ts"))
-            elif dst == "ticker":
-                cols.append(src.alias("ticker"))
-            elif dst == "volume":
-                cols.append(src.try_cast("double").cast("bigint").alias("volume"))
-            else:
-                cols.append(src.try_cast("double").alias(dst))
-        parts.append(raw.select("path", *cols))
-    if not parts:
-        empty = spark.createDataFrame([], "path string, ts timestamp")
-        return empty, bad_files
-    bars = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    size = heads.agg(F.max("width").alias("width"), F.sum(F.length("path") + 2 * F.length("header") + 64).alias("bytes"),
+                     F.array_distinct(F.flatten(F.collect_set("names"))).alias("names")).first()
+    if size["width"] is None:
+        return spark.createDataFrame([], "path string, ts timestamp"), bad_files
+    small = F.broadcast(heads) if size["bytes"] <= HEADER_BYTES else heads
+    rows = text.join(small, "path").where((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+    cells = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(size["width"]))))
+    rows = rows.select("path", "names", cells.alias("cells")).select("path", "names", F.array(
+        *(F.col(f"cells.c{i}") for i in range(size["width"]))).alias("cells"))
+
+    def bound(dst: str) -> F.Column | None:
+        """The cell under the header's first name for ``dst``."""
+        known = [n for n, d in HEADER_NAMES.items() if d == dst and n in size["names"]]
+        places = [F.nullif(F.array_position("names", n), F.lit(0)) for n in known]
+        return F.get("cells", (F.coalesce(*places) - 1).cast("int")) if places else None
+
+    def typed(dst: str, cell: F.Column) -> F.Column:
+        if dst == "ts":
+            return parse_ts(cell)
+        if dst == "ticker":
+            return cell
+        number = cell.try_cast("double")
+        return number.cast("bigint") if dst == "volume" else number
+    columns = {d: bound(d) for d in dict.fromkeys(HEADER_NAMES.values())}
+    bars = rows.select("path", *(typed(d, c).alias(d) for d, c in columns.items() if c is not None))
     # identity from the path: key=value directories (as Spark writes them)
     # or the per-ticker file layout <class>/<interval>/<stem>.csv
     ident = []

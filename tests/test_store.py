@@ -114,3 +114,35 @@ def test_optional_columns_of_some_files_are_read(spark, tmp_path):
         ST.write_store(part, str(tmp_path / "mixed"), "append")
     got = {r.ticker: r.dividends for r in ST.read_store(spark, str(tmp_path / "mixed")).collect()}
     assert got == {"T0": None, "T1": 1.0, "T2": None, "T3": 3.0}
+
+
+def test_many_headers_are_bound_in_one_scan(spark, tmp_path):
+    """As many headers as files: every row is bound by its own file's header, and
+    the rows' plan scans the tree once."""
+    import itertools
+    d = tmp_path / "stocks_us" / "1d"
+    d.mkdir(parents=True)
+    columns = ["Datetime", "Open", "Close", "Volume", "Extra"]
+    for i, order in enumerate(itertools.permutations(columns)):
+        cells = {"Datetime": f"2024-01-{1 + i % 28:02d}", "Open": f"{i}.5", "Close": f'"{i}.25"', "Volume": f"{i}.0", "Extra": "x"}
+        (d / f"T{i:03d}.csv").write_text(", ".join(order) + "\n" + ",".join(cells[c] for c in order) + "\n\n")
+    (d / "SHORT.csv").write_text("Date,Close\n2024-02-01\n")
+    bars, quarantine = ST.read_bar_csv(spark, str(tmp_path))
+    rows = {r.stem: r for r in bars.collect()}
+    assert len(rows) == 121 and quarantine.count() == 0
+    for i in range(120):
+        r = rows[f"T{i:03d}"]
+        assert (r.open, r.close, r.volume, r.ts.day) == (i + 0.5, i + 0.25, i, 1 + i % 28)
+    assert rows["SHORT"].close is None and "dividends" not in bars.columns
+    plan = bars._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(" text" in x and "Relation" in x for x in plan.splitlines()) == 1
+
+
+def test_headers_beyond_the_limit_are_joined(spark, tmp_path, monkeypatch):
+    d = tmp_path / "crypto" / "5m"
+    d.mkdir(parents=True)
+    (d / "A.csv").write_text("Datetime,Close\n2024-06-01T00:00:00+0000,2.0\n")
+    (d / "B.csv").write_text("Close,Datetime\n3.0,2024-06-01T00:05:00+0000\n")
+    monkeypatch.setattr(ST, "HEADER_BYTES", 0)
+    bars, _ = ST.read_bar_csv(spark, str(tmp_path))
+    assert sorted((r.stem, r.close) for r in bars.collect()) == [("A", 2.0), ("B", 3.0)]

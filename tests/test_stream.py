@@ -223,3 +223,54 @@ def test_names_that_paths_escape(spark):
     assert U.vacuum(spark, f"{base}/store") == 2 * len(names)
     assert now() == want
     assert U.vacuum(spark, f"{base}/store") == 0 and now() == want
+
+
+def _ticks(spark, spec):
+    rows = [("c", t, ts(2024, 6, 1, h, m, s), float(p), 1, i) for i, (t, h, m, s, p) in enumerate(spec)]
+    return spark.createDataFrame(rows, "asset_class string, ticker string, ts timestamp, price double, size long, seq long")
+
+
+def test_bar_updates_over_batches_with_late_ticks(spark):
+    """Bars are current after every batch, late ticks are in their bars and the
+    side table, replays and compaction change nothing, open bars are flushed."""
+    from barforge.operators.bars import bars_from_ticks
+    from barforge.streaming import bars as SB
+    root = f"{checkpoint_dir(spark)}/test-i6u-{uuid.uuid4().hex}"
+    batches = [_ticks(spark, [("X", 9, 1, 0, 5), ("X", 9, 14, 59, 7), ("Y", 9, 3, 0, 1)]),
+               _ticks(spark, [("X", 9, 16, 0, 6), ("X", 9, 40, 0, 8)]),
+               _ticks(spark, [("X", 9, 0, 30, 4), ("X", 9, 41, 0, 9), ("Y", 9, 20, 0, 2)]),    # 9:00 and 9:15 are closed
+               _ticks(spark, [])]
+    fn = SB.update_batch_fn(root, "15m", 5)
+
+    def bars(**more):
+        out = SB.read_bar_updates(spark, root, "15m", **more)
+        return sorted((r.ticker, r.ts.hour * 60 + r.ts.minute, r.open, r.high, r.low, r.close, r.volume, r.n_ticks, r.final) for r in out.collect())
+    fn(batches[0], 0)
+    assert bars() == [("X", 540, 5, 7, 5, 7, 2, 2, False), ("Y", 540, 1, 1, 1, 1, 1, 1, False)]
+    fn(batches[1], 1)
+    assert [x[-1] for x in bars()] == [True, True, False, True]
+    for _ in range(2):  # the second is a replay
+        fn(batches[2], 2)
+        assert bars()[0] == ("X", 540, 4, 7, 4, 7, 3, 3, True)
+        late = SB.read_late_ticks(spark, root, batches[0].schema)
+        assert sorted((r.ticker, r.price) for r in late.collect()) == [("X", 4.0), ("Y", 2.0)]
+    fn(batches[3], 3)
+    before = bars(drained=True)
+    assert all(x[-1] for x in before) and sum(x[-2] for x in before) == 8
+    everything = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    want = bars_from_ticks(everything, ["15m"]).collect()
+    assert sorted((r.ticker, r.ts.hour * 60 + r.ts.minute, r.open, r.high, r.low, r.close, r.volume, r.n_ticks, True) for r in want) == before
+    assert SB.compact(spark, root) == 3 and bars(drained=True) == before
+    fn(_ticks(spark, [("X", 9, 2, 0, 99)]), 4)
+    assert bars()[0][3] == 99 and SB.compact(spark, root) == 4 and bars()[0][3] == 99
+
+
+def test_bar_update_stream_takes_many_batches(spark):
+    from barforge.streaming import bars as SB
+    base = f"{checkpoint_dir(spark)}/test-i6s-{uuid.uuid4().hex}"
+    t = _ticks(spark, [(f"T{i % 3}", 9 + i // 60, i % 60, 0, i) for i in range(180)])
+    t.repartitionByRange(6, "ts").write.parquet(f"{base}/staged")
+    SB.start_bar_updates(spark, f"{base}/staged", t.schema, f"{base}/bars", f"{base}/ckpt", "1h", files_per_batch=2).awaitTermination()
+    out = SB.read_bar_updates(spark, f"{base}/bars", "1h", drained=True)
+    assert out.agg(F.sum("n_ticks")).first()[0] == 180 and out.count() == 9
+    assert spark.read.parquet(f"{base}/bars/marks").select("batch").distinct().count() >= 3
