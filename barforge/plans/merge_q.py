@@ -62,11 +62,26 @@ _A2 = _SRC + [Q.merged({"fresh": ("fresh_b", 0, 0), "stored": ("stored_b", 1, 0)
               f"merged AS (SELECT * FROM m_all WHERE {Q.retention_sql(AS_OF_SQL)})"]
 
 
+def _winners(sources: tuple[str, ...], name: str) -> str:
+    """The rows that win by (source rank, day of a dated file) within retention,
+    without the change flags of the full merge."""
+    listed = ", ".join(f"'{x}'" for x in sources)
+    return f"""{name} AS (
+  SELECT * FROM src_bars WHERE src IN ({listed}) AND {Q.retention_sql(AS_OF_SQL)}
+  QUALIFY row_number() OVER (PARTITION BY {Q.SERIES}, ts ORDER BY
+    CASE src WHEN 'legacy' THEN 2 WHEN 'stored' THEN 1 ELSE 0 END DESC) = 1)"""
+
+
+#: A legacy row's day is its own, so rows of one time differ in their source alone.
+_A2_ROWS = [Q.TICKS, Q.TICK_SOURCES, Q.source_bars(), _winners(("fresh", "stored", "legacy"), "merged")]
+_A11_ROWS = [Q.TICKS, Q.TICK_SOURCES, Q.source_bars(), _winners(("stored", "legacy"), "consolidated")]
+
+
 def _a2(spark, sf):
     return M.merge_intraday_sources(D.intraday_source_bars(spark, sf), AS_OF)
 
 
-@register("a2_intraday_merge", Q.with_(*_A2) + f"""
+@register("a2_intraday_merge", Q.with_(*_A2_ROWS) + f"""
 SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM merged""")
 def a2_intraday_merge(spark, sf):
     return _a2(spark, sf).select(*KEY, "ts", "open", "high", "low", "close", "volume")
@@ -114,7 +129,7 @@ def _a11(spark, sf):
     return M.consolidate_sources(b, AS_OF)
 
 
-@register("a11_consolidated_bars", Q.with_(*_A11) + f"""
+@register("a11_consolidated_bars", Q.with_(*_A11_ROWS) + f"""
 SELECT {Q.SERIES}, ts, open, close, volume FROM consolidated""")
 def a11_consolidated_bars(spark, sf):
     return _a11(spark, sf)[0].select(*KEY, "ts", "open", "close", "volume")

@@ -113,6 +113,36 @@ def s16_summary_json(spark, sf):
     return RP.summary_document(RP.run_summary(jobs), RP.first_failures(jobs))
 
 
+_DOCUMENT = ("success long, failed long, skipped long, total long, attempted long, failure_rate_pct double, "
+             "by_interval map<string, struct<success: long, failed: long, skipped: long>>, "
+             "by_asset_class map<string, struct<success: long, failed: long, skipped: long>>, "
+             "failures array<struct<ticker: string, asset_class: string, interval: string, message: string>>")
+
+
+@register("s16_summary_fields", Q.with_(*_SUMMARY) + """
+SELECT scope, key, success, failed, skipped, CASE WHEN scope = 'total' THEN total END AS total,
+       CASE WHEN scope = 'total' THEN attempted END AS attempted,
+       CASE WHEN scope = 'total' THEN round(failure_rate * 100, 4) END AS failure_rate_pct, CAST(NULL AS VARCHAR) AS failure FROM summary
+UNION ALL
+SELECT 'failure', CAST(row_number() OVER (ORDER BY seq) AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL,
+       concat_ws('|', ticker, asset_class, interval, message)
+FROM (SELECT * FROM j WHERE status = 'failed' ORDER BY seq LIMIT 100)""")
+def s16_summary_fields(spark, sf):
+    """The JSON summary document, parsed back into its fields."""
+    doc = s16_summary_json(spark, sf).select(F.from_json("summary_json", _DOCUMENT).alias("d")).select("d.*")
+    none = lambda kind: F.lit(None).cast(kind)
+    total = doc.select(F.lit("total").alias("scope"), F.lit("").alias("key"), "success", "failed", "skipped", "total", "attempted",
+                       "failure_rate_pct", none("string").alias("failure"))
+    buckets = [doc.select(F.lit(scope).alias("scope"), F.explode(f"by_{scope}").alias("key", "b")).select(
+        "scope", "key", "b.success", "b.failed", "b.skipped", none("long").alias("total"), none("long").alias("attempted"),
+        none("double").alias("failure_rate_pct"), none("string").alias("failure")) for scope in ("interval", "asset_class")]
+    failures = doc.select(F.posexplode("failures").alias("pos", "f")).select(
+        F.lit("failure").alias("scope"), (F.col("pos") + 1).cast("string").alias("key"), *(none("long").alias(c) for c in (
+            "success", "failed", "skipped", "total", "attempted")), none("double").alias("failure_rate_pct"),
+        F.concat_ws("|", "f.ticker", "f.asset_class", "f.interval", "f.message").alias("failure"))
+    return total.unionByName(buckets[0]).unionByName(buckets[1]).unionByName(failures)
+
+
 # --------------------------------------------------------------------------- I3
 _PLAN_IVS = ("1d", "1wk", "3mo", "5m", "2h")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barforge.plans import sqlparts as Q
 from barforge.plans.listing_q import _LISTED, _listed
-from barforge.plans.merge_q import _A2, AS_OF
+from barforge.plans.merge_q import _A2_ROWS, AS_OF
 from barforge.plans.registry import register
 from barforge.schema import SERIES_KEY
 from barforge.session import checkpoint_dir
@@ -16,7 +16,7 @@ from barforge.sources import derived as D
 from barforge.streaming import upsert as U
 
 
-@register("i2_stream_upsert", Q.with_(*_A2) + f"""
+@register("i2_stream_upsert", Q.with_(*_A2_ROWS) + f"""
 SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM merged""")
 def i2_stream_upsert(spark, sf):
     """Stored bars seed the store; fresh and legacy files are staged and
