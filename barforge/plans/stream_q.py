@@ -19,9 +19,21 @@ from barforge.streaming import upsert as U
 @register("i2_stream_upsert", Q.with_(*_A2_ROWS) + f"""
 SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM merged""")
 def i2_stream_upsert(spark, sf):
+    """The streamed store equals the batch merge (A2)."""
+    out = U.read_version(spark, _streamed_store(spark, sf))
+    return out.select(*SERIES_KEY, "ts", "open", "high", "low", "close", "volume")
+
+
+@register("a6_live_series_counts", Q.with_(*_A2_ROWS) + """
+SELECT interval, count(DISTINCT asset_class || '|' || ticker) AS series, count(*) AS bars FROM merged GROUP BY interval""")
+def a6_live_series_counts(spark, sf):
+    """Series and bars per interval of the streamed store, from its digests."""
+    return U.series_counts(spark, _streamed_store(spark, sf))
+
+
+def _streamed_store(spark, sf) -> str:
     """Stored bars seed the store; fresh and legacy files are staged and
-    streamed in over several micro-batches, a duplicate delivery included.
-    The streamed store must equal the batch merge (A2)."""
+    streamed in over several micro-batches, a duplicate delivery included."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/i2-{uuid.uuid4().hex}"
     s = D.intraday_sources(spark, sf)
     stored = s["stored"].withColumn("src_rank", F.lit(1)).withColumn("seq", F.lit(0).cast("bigint"))
@@ -36,8 +48,7 @@ def i2_stream_upsert(spark, sf):
     files = 2 * spark.sparkContext.defaultParallelism  # so several micro-batches
     q = U.start_upsert(spark, staged, schema, f"{base}/store", f"{base}/checkpoint", AS_OF, files_per_batch=files)
     q.awaitTermination()
-    out = U.read_version(spark, f"{base}/store")
-    return out.select(*SERIES_KEY, "ts", "open", "high", "low", "close", "volume")
+    return f"{base}/store"
 
 
 @register("o1_sorted_symbols", Q.with_(*_LISTED) + """

@@ -15,6 +15,10 @@ Store layout (plain Parquet, partition-level versions):
   logged version (status ``EMPTY`` when the merge left nothing). Concurrent
   streams must touch disjoint partitions (e.g. split by interval).
 
+* ``<root>/series/stream=<s>/v=<N>/``  one row per series of each partition that
+  version wrote (bars, first and last time): what counts and manifests need, so
+  that they follow from the touched partitions and never from a recount of bars
+
 A micro-batch reads and rewrites only the (asset_class, interval, month)
 partitions its rows touch, plus, per intraday interval, the month that
 straddles the retention cutoff; months wholly past retention are dropped by
@@ -35,6 +39,8 @@ partition refers to and shortens the log.
 from __future__ import annotations
 
 import datetime as dt
+import operator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -51,6 +57,7 @@ DATA_SCHEMA = ("ticker string, ts timestamp, open double, high double, low doubl
                "stream string, v int, asset_class string, interval string, month string")
 PART = ["asset_class", "interval", "month"]
 LOG_ROW = "version int, asset_class string, interval string, month string, status string"
+DIGEST_ROW = "asset_class string, interval string, month string, ticker string, bars long, first_ts timestamp, last_ts timestamp"
 LOG_SCHEMA = LOG_ROW + ", stream string"  # stream = the log/stream=<name> directory
 
 
@@ -170,6 +177,30 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return read_current(spark, root)
 
 
+def live_series(spark: SparkSession, root: str) -> DataFrame:
+    """One row per series of the live store: asset_class, interval, ticker, bars,
+    first_ts, last_ts, from the digests of the live partitions."""
+    live = spark.createDataFrame(current_partitions(spark, root), "asset_class string, interval string, month string, v int, stream string")
+    if not path_exists(spark, f"{root}/series/stream=*/v=*/*.parquet"):
+        return spark.createDataFrame([], DIGEST_ROW).drop("month")
+    digests = spark.read.schema(DIGEST_ROW + ", stream string, v int").option("basePath", f"{root}/series").parquet(f"{root}/series")
+    same = [digests[c].eqNullSafe(live[c]) for c in (*PART, "v", "stream")]
+    kept = digests.join(live, reduce(operator.and_, same), "left_semi")
+    return kept.groupBy(*SERIES_KEY).agg(F.sum("bars").alias("bars"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+
+def series_counts(spark: SparkSession, root: str) -> DataFrame:
+    """A6 / I5 on the live store: series and bars per interval, kept current by
+    each micro-batch (no bar is read)."""
+    return live_series(spark, root).groupBy("interval").agg(F.count(F.lit(1)).alias("series"), F.sum("bars").alias("bars"))
+
+
+def live_manifest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """S15 on the live store: series per interval under the latest version."""
+    return series_counts(spark, root).select(F.lit(dataset).alias("dataset"), F.lit(latest_version(spark, root)).alias("version"),
+                                             "interval", F.col("series").alias("n_files"))
+
+
 def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touched,
            stream: str = "main") -> None:
     """Write the new data of the ``touched`` partitions as ``version`` of
@@ -179,8 +210,11 @@ def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touche
      .repartitionByRange(*PART, "ticker", "ts")
      .sortWithinPartitions(*PART, "ticker", "ts")
      .write.mode("overwrite").partitionBy(*PART).parquet(path))
-    written = spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(_glob(path)).select(*PART).distinct()
-    present = {tuple(r) for r in written.collect()}
+    written = spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(_glob(path))
+    digest = written.groupBy(*PART, "ticker").agg(F.count(F.lit(1)).alias("bars"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    own = f"{root}/series/{_part_dir(spark, stream=stream, v=version)}"
+    digest.write.mode("overwrite").parquet(own)
+    present = {tuple(r) for r in spark.read.schema(DIGEST_ROW).parquet(_glob(own)).select(*PART).distinct().collect()}
     rows = [(version, c, i, m, "READY" if (c, i, m) in present else "EMPTY") for c, i, m in touched]
     if rows:
         spark.createDataFrame(rows, LOG_ROW).write.mode("append").parquet(f"{root}/log/{_part_dir(spark, stream=stream)}")
@@ -257,6 +291,11 @@ def vacuum(spark: SparkSession, root: str) -> int:
         if (parts["stream"], int(parts["v"]), parts["asset_class"], parts["interval"], parts["month"]) not in live:
             fs.delete(path, True)
             removed += 1
+    versions = {(s, v) for s, v, *_ in live}
+    for found in fs.globStatus(hadoop.Path(f"{root}/series/stream=*/v=*")) or []:
+        parts = _part_values(spark, found.getPath().toString()[len(found_root):])
+        if (parts["stream"], int(parts["v"])) not in versions:
+            fs.delete(found.getPath(), True)
     # the short log is complete before the long one goes; versions keep their numbers
     old = [f.getPath() for f in fs.globStatus(hadoop.Path(f"{root}/log/stream=*/*")) or []]
     for s in sorted({r[5] for r in rows}):

@@ -274,3 +274,34 @@ def test_bar_update_stream_takes_many_batches(spark):
     out = SB.read_bar_updates(spark, f"{base}/bars", "1h", drained=True)
     assert out.agg(F.sum("n_ticks")).first()[0] == 180 and out.count() == 9
     assert spark.read.parquet(f"{base}/bars/marks").select("batch").distinct().count() >= 3
+
+
+def test_series_counts_equal_a_recount(spark):
+    """Counts from the touched partitions equal a recount of the bars after
+    inserts, a replay, an expired month and vacuum."""
+    base = f"{checkpoint_dir(spark)}/test-i5-{uuid.uuid4().hex}"
+    root = f"{base}/store"
+
+    def rows(spec):
+        return (spark.createDataFrame([(c, iv, t, at, 1.0, 1.0, 1.0, 1.0, None, 1) for c, iv, t, at in spec], BAR_DDL)
+                .withColumn("src_rank", F.lit(0)).withColumn("seq", F.lit(0).cast("long")).select(*RANKED))
+
+    def check():
+        bars = U.read_current(spark, root)
+        want = bars.groupBy("interval").agg(F.count_distinct("asset_class", "ticker").alias("series"), F.count(F.lit(1)).alias("bars"))
+        got = U.series_counts(spark, root).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+        spans = bars.groupBy("asset_class", "interval", "ticker").agg(F.count(F.lit(1)), F.min("ts"), F.max("ts"))
+        assert sorted(map(tuple, U.live_series(spark, root).collect())) == sorted(map(tuple, spans.collect()))
+        return {r["interval"]: r["series"] for r in got}
+    U.seed_store(spark, root, rows([("c", "1d", t, ts(2024, m, 1)) for t in "ABC" for m in (4, 5)] + [("c", "5m", "A", ts(2024, 3, 2))]))
+    assert check() == {"1d": 3, "5m": 1}
+    fn = U.upsert_batch_fn(root, ts(2024, 4, 20))
+    for _ in range(2):
+        fn(rows([("c", "1d", "D", ts(2024, 5, 2)), ("k", "1d", "A", ts(2024, 5, 2)), ("c", "5m", "B", ts(2024, 4, 19))]), 0)
+        assert check() == {"1d": 5, "5m": 2}
+    U.upsert_batch_fn(root, ts(2024, 7, 1))(rows([("c", "5m", "E", ts(2024, 6, 30))]), 1)   # March and April have expired
+    assert check() == {"1d": 5, "5m": 1}
+    U.vacuum(spark, root)
+    assert check() == {"1d": 5, "5m": 1}
+    assert {r["interval"]: (r["version"], r["n_files"]) for r in U.live_manifest(spark, root, "bars").collect()} == {"1d": (3, 5), "5m": (3, 1)}
