@@ -128,6 +128,23 @@ VERSION_ROW = "dataset string, version int, status string, at timestamp"
 MANIFEST_ROW = "dataset string, version int, interval string, n_files bigint"
 
 
+def remove_refused(spark: SparkSession, root: str) -> list[int]:
+    """Delete the data of versions that the log refuses (and no dataset below
+    ``root`` published); returns them. The log keeps their rows, so a number is
+    never used again, and a crash before the deletion is made up for by the
+    next publish."""
+    log = spark.read.schema(VERSION_ROW).parquet(f"{root}/versions")
+    counts = log.groupBy("version").agg(F.bool_or(F.col("status") == "READY").alias("ready"))
+    refused = [r["version"] for r in counts.where("not ready").orderBy("version").collect()]
+    removed = []
+    for version in refused:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data/version={version}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path) and fs.delete(path, True):
+            removed.append(version)
+    return removed
+
+
 def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: str,
                      required=(), include=None, allow_shrink: bool = False) -> dict:
     """I5 write path, write-then-commit: the snapshot is written once to
@@ -135,7 +152,8 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     per-interval counts are read back from the written files (partition
     columns and ticker only), guarded against the last published manifest
     (re-based counts), and only then the version log is flipped - READY, or
-    REFUSED, in which case readers never see the data. The snapshot lineage
+    REFUSED, in which case readers never see the data and it is deleted. The
+    snapshot lineage
     is evaluated exactly once. ``allow_shrink`` excuses fewer files, never a
     missing required interval.
 
@@ -168,5 +186,6 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     spark.createDataFrame([(dataset, version, "REFUSED" if refused else "READY", dt.datetime.now(dt.timezone.utc))],
                           VERSION_ROW) \
         .write.mode("append").parquet(log_path)
+    remove_refused(spark, root)
     return {"version": None if refused else version, "refused": bool(verdict.refused),
             "pulled": verdict.pulled, "current": verdict.current}

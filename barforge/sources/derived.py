@@ -219,11 +219,11 @@ CASE WHEN l_discount >= 0.09 THEN 'failed'
 JOB_MESSAGE_SQL = """
 CASE WHEN l_discount >= 0.09 THEN
   CASE CAST(l_quantity AS BIGINT) % 5
-    WHEN 0 THEN '404 Not Found: Dataset does not exist'
-    WHEN 1 THEN '403 Client Error. You don''t have permission to access'
-    WHEN 2 THEN '401 unauthorized'
-    WHEN 3 THEN 'Forbidden: invalid credentials'
-    ELSE 'read timed out' END
+    WHEN 0 THEN 'No dataset under this name (code 404)'
+    WHEN 1 THEN 'source answered 403, no permission for this series'
+    WHEN 2 THEN 'login rejected, Unauthorized'
+    WHEN 3 THEN 'forbidden: the key has invalid credentials'
+    ELSE 'no answer within the time limit' END
   ELSE 'ok' END"""
 
 

@@ -3,6 +3,7 @@
 from barforge.plans import publish as P
 from barforge.schema import slice_dim
 from barforge.sources import store as ST
+from conftest import BAR_DDL, daily_bars
 
 
 def _tree(spark, paths):
@@ -81,3 +82,15 @@ def test_shrink_permission_does_not_excuse_a_missing_interval(spark):
     assert P.publish_snapshot(spark, one, root, "daily", required=["1d"], allow_shrink=True)["version"] == 3
     gone = spark.createDataFrame(daily_bars(2, iv="1wk"), BAR_DDL)
     assert P.publish_snapshot(spark, gone, root, "daily", required=["1d"], allow_shrink=True)["version"] is None
+
+
+def test_refused_version_is_removed_and_its_number_is_not_used_again(spark, tmp_path):
+    import os
+    root = str(tmp_path / "pub")
+    full = spark.createDataFrame(daily_bars(3) + daily_bars(3, ticker="MSFT"), BAR_DDL)
+    assert P.publish_snapshot(spark, full, root, "d")["version"] == 1
+    out = P.publish_snapshot(spark, full.where("ticker = 'AAPL'"), root, "d")
+    assert out["version"] is None and out["refused"]
+    assert sorted(os.listdir(f"{root}/data")) == ["version=1"]
+    assert P.publish_snapshot(spark, full, root, "d")["version"] == 3
+    assert sorted(x for x in os.listdir(f"{root}/data")) == ["version=1", "version=3"]
