@@ -51,7 +51,7 @@ WINDOW = (50, 95)
 BLOCK_VALUES = 1 << 18
 ANCHOR_VALUES = 1 << 22
 #: Columns read between two looks at the bounds.
-STEP = 8
+STEP = 16
 #: Blocks that a Python worker is handed at once.
 BLOCKS_AT_ONCE = 8
 _LONG = (-(1 << 63), (1 << 63) - 1)
