@@ -200,3 +200,19 @@ def test_interval_lattice_shuffles_minute_bars_once(spark):
     assert {(a, i, t.replace(tzinfo=None)): v for (a, i, t), v in got.items()} == {(a, i, t.replace(tzinfo=None)): v for (a, i, t), v in want.items()}
     minutes = sum(1 for k in want if k[1] == "1m")
     assert _shuffled_rows(df) - 6000 <= minutes * len(ALL_INTERVALS) / 3
+
+
+def test_rollup_partitions_follow_the_ticks_files(spark, tmp_path, monkeypatch):
+    """More tick bytes, more roll-up partitions: a task's share stays the same
+    though the shuffle's own bytes would let them be joined."""
+    rows = [("c", f"X{i % 7}", dt.datetime(2024, 1, 1 + i % 9, i % 24, i % 60, tzinfo=dt.timezone.utc), float(i % 13), 1, i) for i in range(4000)]
+    path = f"{tmp_path}/ticks of a%b"
+    spark.createDataFrame(rows, "asset_class string, ticker string, ts timestamp, price double, size long, seq long").repartition(4).write.parquet(path)
+    ticks = spark.read.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "ticks of a%b").glob("*.parquet"))
+    small = B.bars_from_ticks(ticks, ["1m", "5m"])
+    want = sorted(small.collect())
+    monkeypatch.setattr(B, "ROLLUP_BYTES", size // 20)
+    large = B.bars_from_ticks(ticks, ["1m", "5m"])
+    assert sorted(large.collect()) == want
+    assert small.rdd.getNumPartitions() < 40 <= large.rdd.getNumPartitions() <= 42
