@@ -195,9 +195,11 @@ def consolidate_sources(sources: DataFrame, as_of: dt.datetime, key=SERIES_KEY,
 def overlay(dest: DataFrame, incoming: DataFrame, key=SERIES_KEY):
     """Incoming series replace the same series in ``dest``; other series
     are kept. Returns (bars, per-series origin) - the anti join drops the
-    replaced series without shuffling the incoming rows twice."""
+    replaced series without shuffling the incoming rows twice. Its tasks hold
+    the incoming series' names, one row each, and stream the stored bars past
+    them: nothing is sorted, however many bars there are."""
     key = list(key)
-    inc_keys = incoming.select(*key).distinct()
+    inc_keys = incoming.select(*key).distinct().hint("shuffle_hash")
     kept = dest.join(inc_keys, key, "left_anti")
     out = kept.withColumn("origin", F.lit("kept")).unionByName(
         incoming.withColumn("origin", F.lit("incoming")), allowMissingColumns=True)

@@ -173,3 +173,18 @@ def test_ranks_beyond_packed_ranges(spark):
             ("n", 0, -5, "a"), ("n", 0, -6, "b")]
     df = spark.createDataFrame(rows, "k string, src_rank int, seq long, v string")
     assert {r.k: r.v for r in last_write_wins(df, ["k"]).collect()} == {"k": "high", "m": "late", "n": "a"}
+
+
+def test_overlay_sorts_no_bars(spark):
+    """The stored bars stream past the incoming series' names; a sort of them
+    would hold a partition's bars in a task."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = M.overlay(bars(spark, daily_bars(3) + daily_bars(3, ticker="MSFT")), bars(spark, daily_bars(2, ticker="MSFT")))
+        rows = out.groupBy("ticker", "origin").count().collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(map(tuple, rows)) == [("AAPL", "kept", 3), ("MSFT", "incoming", 2)]
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
