@@ -42,10 +42,12 @@ def _streamed_store(spark, sf) -> str:
         "seq", F.unix_date("day").cast("bigint"))
     U.seed_store(spark, f"{base}/store", U.bar_columns(stored))
     staged = f"{base}/staged"
-    for part in (fresh, legacy, fresh):  # the second fresh delivery is a duplicate
+    deliveries = (fresh, legacy, fresh)
+    for part in deliveries:  # the second fresh delivery is a duplicate
         U.bar_columns(part).write.mode("append").parquet(staged)
     schema = U.bar_columns(fresh).schema
-    files = 2 * spark.sparkContext.defaultParallelism  # so several micro-batches
+    # several micro-batches, each a merge of the partitions it touches: as many at any size
+    files = -(-len(spark.read.parquet(staged).inputFiles()) // len(deliveries))
     q = U.start_upsert(spark, staged, schema, f"{base}/store", f"{base}/checkpoint", AS_OF, files_per_batch=files)
     q.awaitTermination()
     return f"{base}/store"

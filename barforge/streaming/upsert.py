@@ -56,6 +56,7 @@ DATA_SCHEMA = ("ticker string, ts timestamp, open double, high double, low doubl
                "volume bigint, dividends double, stock_splits double, src_rank int, seq bigint, "
                "stream string, v int, asset_class string, interval string, month string")
 PART = ["asset_class", "interval", "month"]
+FILE_ORDER = [*PART, "ticker", "ts"]
 LOG_ROW = "version int, asset_class string, interval string, month string, status string"
 DIGEST_ROW = "asset_class string, interval string, month string, ticker string, bars long, first_ts timestamp, last_ts timestamp"
 LOG_SCHEMA = LOG_ROW + ", stream string"  # stream = the log/stream=<name> directory
@@ -91,19 +92,29 @@ def bar_columns(bars: DataFrame) -> DataFrame:
                        F.col("src_rank").cast("int").alias("src_rank"), F.col("seq").cast("bigint").alias("seq"))
 
 
-def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> DataFrame:
-    """Greatest (src_rank, seq) per (series, ts) over store + batch rows."""
-    key = list(key)
-    u = bar_columns(batch) if store is None else bar_columns(store).unionByName(bar_columns(batch))
-    u = u.withColumn("_rk", packed_rank(F.col("src_rank"), F.col("seq")))
-    return u.groupBy(*key, "ts").agg(*[F.max_by(c, "_rk").alias(c) for c in (*PAYLOAD, *OPTIONAL, "src_rank", "seq")])
-
-
 def month_of(ts) -> F.Column:
     """The store's time partition of a bar: its UTC calendar month."""
     return F.date_format(ts, "yyyy-MM")
 
 
+def laid_out(bars: DataFrame) -> DataFrame:
+    """Bars with their ``month``, in ranges of the store's file order."""
+    return bars.withColumn("month", month_of(F.col("ts"))).repartitionByRange(*FILE_ORDER)
+
+
+def merge_ranked(store: DataFrame | None, batch: DataFrame, key=SERIES_KEY) -> DataFrame:
+    """Greatest (src_rank, seq) per (series, ts) over store + batch rows - the
+    batch's row where they are equal - laid out for :func:`commit`. The rows
+    travel once, as they are, into the ranges they are written in; one sort
+    there serves the choice of the winner and the files' order."""
+    u = bar_columns(batch).withColumn("_late", F.lit(True))
+    if store is not None:
+        u = bar_columns(store).withColumn("_late", F.lit(False)).unionByName(u)
+    newest = (Window.partitionBy(*dict.fromkeys([*PART, *key, "ts"]))
+              .orderBy(packed_rank(F.col("src_rank"), F.col("seq")).desc(), F.col("_late").desc()))
+    return laid_out(u).withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") == 1).drop("_rn", "_late")
+
+
 def _month_bounds(month: str) -> tuple[dt.datetime, dt.datetime]:
     y, m = (int(x) for x in month.split("-"))
     start = dt.datetime(y, m, 1, tzinfo=dt.timezone.utc)
@@ -204,11 +215,11 @@ def live_manifest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
 def commit(spark: SparkSession, root: str, bars: DataFrame, version: int, touched,
            stream: str = "main") -> None:
     """Write the new data of the ``touched`` partitions as ``version`` of
-    ``stream`` and log them; partitions left empty are logged as EMPTY."""
+    ``stream`` and log them; partitions left empty are logged as EMPTY. Bars
+    that carry ``month`` are taken as :func:`laid_out`."""
     path = f"{root}/data/{_part_dir(spark, stream=stream, v=version)}"
-    (bars.withColumn("month", month_of(F.col("ts")))
-     .repartitionByRange(*PART, "ticker", "ts")
-     .sortWithinPartitions(*PART, "ticker", "ts")
+    ((bars if "month" in bars.columns else laid_out(bars))
+     .sortWithinPartitions(*FILE_ORDER)
      .write.mode("overwrite").partitionBy(*PART).parquet(path))
     written = spark.read.schema(DATA_SCHEMA).option("basePath", f"{root}/data").parquet(_glob(path))
     digest = written.groupBy(*PART, "ticker").agg(F.count(F.lit(1)).alias("bars"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))

@@ -305,3 +305,29 @@ def test_series_counts_equal_a_recount(spark):
     U.vacuum(spark, root)
     assert check() == {"1d": 5, "5m": 1}
     assert {r["interval"]: (r["version"], r["n_files"]) for r in U.live_manifest(spark, root, "bars").collect()} == {"1d": (3, 5), "5m": (3, 1)}
+
+
+def test_merge_moves_rows_once_in_file_order(spark):
+    """A batch's merge shuffles each row once, and its one sort is the files'."""
+    stored = ranked(spark, [(ts(2024, 6, d), 1.0) for d in range(1, 9)], 1)
+    fresh = ranked(spark, [(ts(2024, 6, d), 2.0) for d in range(5, 13)])
+    merged = U.merge_ranked(stored, fresh).sortWithinPartitions(*U.FILE_ORDER)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning") == 1 and plan.count("Sort [") == 1
+    assert sorted((r.ts.day, r.close) for r in merged.collect()) == [(d, 1.0 if d < 9 else 2.0) for d in range(1, 13)]
+
+
+def test_micro_batches_do_not_grow_with_the_staged_files(spark, tmp_path, monkeypatch):
+    """Three micro-batches at most, each a rewrite of the store, however many files are staged."""
+    from barforge.operators import bars as B
+    from barforge.plans import stream_q
+    from barforge.session import input_bytes
+    kinds = ["view", "click", "error", "purchase", "signup"]
+    rows = [(i, ts(2024, 1, 25 + i % 5, i % 3), i % 10, kinds[i % 5], float(i), '{"k": 2}') for i in range(300)]
+    path = f"{tmp_path}/sf/events.parquet"
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(path)
+    monkeypatch.setattr(B, "ROLLUP_BYTES", input_bytes(spark.read.parquet(path)) * 8 // 16)
+    root = stream_q._streamed_store(spark, f"{tmp_path}/sf")
+    staged = len(spark.read.parquet(root.replace("/store", "/staged")).inputFiles())
+    assert staged > 8 * 3 and 1 < U.latest_version(spark, root) <= 3
