@@ -323,7 +323,7 @@ def test_micro_batches_do_not_grow_with_the_staged_files(spark, tmp_path, monkey
     from barforge.plans import stream_q
     from barforge.session import input_bytes
     kinds = ["view", "click", "error", "purchase", "signup"]
-    rows = [(i, ts(2024, 1, 25 + i % 5, i % 3), i % 10, kinds[i % 5], float(i), '{"k": 2}') for i in range(300)]
+    rows = [(i, ts(2024, 1, 25 + i // 100, i % 3), i // 5 % 20, kinds[i % 5], float(i), '{"k": 2}') for i in range(300)]
     path = f"{tmp_path}/sf/events.parquet"
     spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string") \
         .coalesce(1).write.parquet(path)
