@@ -138,8 +138,9 @@ def _differ(raw: np.ndarray, first: np.ndarray, end: np.ndarray, of: np.ndarray)
 
 def _text_slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[str, int, bytes]]:
     """(lang, seed of the language, lower-cased text) of bounded size: whole
-    texts, or parts of a long one that end at a piece's end. Texts are held up
-    to a bound, then the language with most of them goes out."""
+    texts, or parts of a long one that end at a piece's end and go out as they
+    are cut. Texts are held up to a bound, then the language with most of them
+    goes out."""
     import xxhash
     held: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
@@ -157,8 +158,8 @@ def _text_slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple
                 end = cut.end() if cut else len(text)
                 held.setdefault(lang, []).append(text[at:end])
                 sizes[lang], at = sizes.get(lang, 0) + end - at, end
-                if sum(sizes.values()) >= HELD:
-                    yield flush(max(sizes, key=sizes.get))
+                if cut or sum(sizes.values()) >= HELD:
+                    yield flush(lang if cut else max(sizes, key=sizes.get))
     for lang in list(held):
         yield flush(lang)
 
