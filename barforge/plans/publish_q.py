@@ -302,7 +302,7 @@ def s1_bar_csv_scan(spark, sf):
 SELECT {Q.SERIES}, ts, open, high, low, close, volume FROM bars_intraday WHERE interval = '5m'""")
 def s11_partitioned_store(spark, sf):
     root = _scratch(spark, "s11")
-    ST.write_store(D.bars_intraday(spark, sf), root)
+    ST.write_store(D.bars_intraday(spark, sf), root, partitions=D.bar_tasks(spark, sf))
     back = ST.read_store(spark, root).where(F.col("interval") == "5m")  # partition pruning
     return back.select("asset_class", "interval", "ticker", "ts", "open", "high", "low", "close", "volume")
 
