@@ -37,6 +37,18 @@ def _rows(df):
     return sorted(map(repr, df.collect()))
 
 
+@pytest.mark.parametrize("name,share", [
+    ("w12_last_n_days", "BAR_BYTES"), ("a9_session_stats", "BAR_BYTES")])
+def test_tasks_follow_the_ticks_files(spark, tables, monkeypatch, name, share):
+    query = E.queries()[name]
+    few = query(spark, tables)
+    want = _rows(few)
+    _many_tasks(monkeypatch, tables, share)
+    many = query(spark, tables)
+    assert len(want) > 8 and _rows(many) == want
+    assert few.rdd.getNumPartitions() <= 8 and 20 <= many.rdd.getNumPartitions() <= 21
+
+
 def _parts(root):
     """The write tasks whose files lie below ``root``."""
     return {m.group(1) for _, _, files in os.walk(root) for f in files if (m := re.match(r"part-(\d+)", f))}
