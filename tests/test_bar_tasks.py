@@ -38,7 +38,7 @@ def _rows(df):
 
 
 @pytest.mark.parametrize("name,share", [
-    ("w12_last_n_days", "BAR_BYTES"), ("w13_latest_session", "BAR_BYTES"), ("a9_session_stats", "BAR_BYTES")])
+    ("w12_last_n_days", "BAR_BYTES"), ("w13_latest_session", "BAR_BYTES"), ("a9_session_stats", "BAR_BYTES"), ("a11_consolidated_bars", "ROLLUP_BYTES"), ("a2_intraday_merge", "ROLLUP_BYTES")])
 def test_tasks_follow_the_ticks_files(spark, tables, monkeypatch, name, share):
     query = E.queries()[name]
     few = query(spark, tables)
