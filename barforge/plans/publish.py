@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barforge.schema import ALL_INTERVALS, FAILED_STATUSES, READY_STATUSES, SLICES
 from barforge.session import path_exists
-from barforge.sources.store import read_partitioned
+from barforge.sources.store import read_partitioned, write_store
 
 
 def tree_counts(tree: DataFrame, intervals=None):
@@ -146,7 +146,7 @@ def remove_refused(spark: SparkSession, root: str) -> list[int]:
 
 
 def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: str,
-                     required=(), include=None, allow_shrink: bool = False) -> dict:
+                     required=(), include=None, allow_shrink: bool = False, partitions: int | None = None) -> dict:
     """I5 write path, write-then-commit: the snapshot is written once to
     ``<root>/data/version=<N+1>`` (partitioned by asset_class / interval), its
     per-interval counts are read back from the written files (partition
@@ -155,7 +155,7 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
     REFUSED, in which case readers never see the data and it is deleted. The
     snapshot lineage
     is evaluated exactly once. ``allow_shrink`` excuses fewer files, never a
-    missing required interval.
+    missing required interval. ``partitions``: see :func:`store.write_store`.
 
     Counts are series per interval (one file per series in the published
     layout), so the guard sees what a reader of the slice sees."""
@@ -168,9 +168,7 @@ def publish_snapshot(spark: SparkSession, bars: DataFrame, root: str, dataset: s
         top = log.agg(F.max("version")).first()[0]
     version = (top or 0) + 1
     path = f"{root}/data/version={version}"
-    (bars.repartitionByRange("asset_class", "interval", "ticker", "ts")
-     .sortWithinPartitions("asset_class", "interval", "ticker", "ts")
-     .write.mode("overwrite").partitionBy("asset_class", "interval").parquet(path))
+    write_store(bars, path, partitions=partitions)
     cur = (read_partitioned(spark, path).select("asset_class", "interval", "ticker").distinct()
            .groupBy("interval").agg(F.count(F.lit(1)).alias("n_files")))
     if last is not None:

@@ -208,13 +208,14 @@ def i5_publish_plan(spark, sf):
     again (version 2) through the no-shrink guard; returns the manifest of
     the READY versions and the version log ('*' rows)."""
     root = _scratch(spark, "i5")
+    tasks = D.bar_tasks(spark, sf)
     b = D.intraday_source_bars(spark, sf).where(F.col("src").isin("stored", "legacy"))
     pulled = (b.where(F.col("src") == "stored").select(*_I5_BARS)
               .unionByName(D.bars_1d(spark, sf, ("F",)).select(*_I5_BARS)))
-    P.publish_snapshot(spark, pulled, root, "combined", required=["1d"])
-    merged, _ = M.consolidate_sources(b, AS_OF)
+    P.publish_snapshot(spark, pulled, root, "combined", required=["1d"], partitions=tasks)
+    merged, _ = M.consolidate_sources(D.source_bars_by_time(spark, sf, ("stored", "legacy")), AS_OF)
     current = merged.select(*_I5_BARS).unionByName(D.bars_1d(spark, sf).select(*_I5_BARS))
-    P.publish_snapshot(spark, current, root, "combined", required=["1d"])
+    P.publish_snapshot(spark, current, root, "combined", required=["1d"], partitions=tasks)
     man = spark.read.parquet(f"{root}/manifest").select(
         "dataset", "version", "interval", "n_files", F.lit("READY").alias("status"))
     log = spark.read.parquet(f"{root}/versions").select(

@@ -38,7 +38,8 @@ def _rows(df):
 
 
 @pytest.mark.parametrize("name,share", [
-    ("w12_last_n_days", "BAR_BYTES"), ("w13_latest_session", "BAR_BYTES"), ("a9_session_stats", "BAR_BYTES"), ("a11_consolidated_bars", "ROLLUP_BYTES"), ("a2_intraday_merge", "ROLLUP_BYTES")])
+    ("w12_last_n_days", "BAR_BYTES"), ("w13_latest_session", "BAR_BYTES"), ("a9_session_stats", "BAR_BYTES"),
+    ("a11_consolidated_bars", "ROLLUP_BYTES"), ("a2_intraday_merge", "ROLLUP_BYTES")])
 def test_tasks_follow_the_ticks_files(spark, tables, monkeypatch, name, share):
     query = E.queries()[name]
     few = query(spark, tables)
@@ -54,7 +55,8 @@ def _parts(root):
     return {m.group(1) for _, _, files in os.walk(root) for f in files if (m := re.match(r"part-(\d+)", f))}
 
 
-@pytest.mark.parametrize("name,written", [("s11_partitioned_store", ""), ("p6_retention_prune", None)])
+@pytest.mark.parametrize("name,written", [("s11_partitioned_store", ""), ("p6_retention_prune", None),
+                                          ("i5_publish_plan", "data/version=1"), ("i5_publish_plan", "data/version=2")])
 def test_written_ranges_follow_the_ticks_files(spark, tables, tmp_path, monkeypatch, name, written):
     monkeypatch.setattr(publish_q, "_scratch", lambda spark, tag: f"{tmp_path}/{tag}-{len(os.listdir(tmp_path))}")
     query = E.queries()[name]
